@@ -13,32 +13,34 @@ from jobtide.plans import staging, unify
 from jobtide.schemas import MART_COLUMNS
 
 
+# Staged table: the raw table it is made from and the step that makes it.
+STAGED = {
+    "greenhouse_departments": ("greenhouse_departments", staging.stage_greenhouse_departments),
+    "greenhouse": ("greenhouse_openings", staging.stage_greenhouse),
+    "lever": ("lever_openings", staging.stage_lever),
+    "ashby": ("ashby_openings", staging.stage_ashby),
+    "ashby_departments": ("ashby_departments", staging.stage_ashby_departments),
+    "ashby_locations": ("ashby_locations", staging.stage_ashby_locations),
+    "rippling": ("rippling_openings", staging.stage_rippling),
+}
+
+# Provider: the staged tables its unified postings are made from and the step that makes them.
+UNIFIED = {
+    "greenhouse": (("greenhouse", "greenhouse_departments"), unify.unify_greenhouse),
+    "lever": (("lever",), unify.unify_lever),
+    "ashby": (("ashby", "ashby_locations", "ashby_departments"), unify.unify_ashby),
+    "rippling": (("rippling",), unify.conform),
+}
+
+
 def staged_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The seven staged tables from the raw ones."""
-    return {
-        "greenhouse_departments": staging.stage_greenhouse_departments(
-            raw["greenhouse_departments"]
-        ),
-        "greenhouse": staging.stage_greenhouse(raw["greenhouse_openings"]),
-        "lever": staging.stage_lever(raw["lever_openings"]),
-        "ashby": staging.stage_ashby(raw["ashby_openings"]),
-        "ashby_departments": staging.stage_ashby_departments(raw["ashby_departments"]),
-        "ashby_locations": staging.stage_ashby_locations(raw["ashby_locations"]),
-        "rippling": staging.stage_rippling(raw["rippling_openings"]),
-    }
+    return {name: stage(raw[source]) for name, (source, stage) in STAGED.items()}
 
 
 def unified_tables(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """One frame of unified postings per provider."""
     return {
-        "greenhouse": unify.unify_greenhouse(
-            staged["greenhouse"], staged["greenhouse_departments"]
-        ),
-        "lever": unify.unify_lever(staged["lever"]),
-        "ashby": unify.unify_ashby(
-            staged["ashby"], staged["ashby_locations"], staged["ashby_departments"]
-        ),
-        "rippling": staged["rippling"],
+        name: unify_provider(*[staged[source] for source in sources])
+        for name, (sources, unify_provider) in UNIFIED.items()
     }
 
 

@@ -2,68 +2,97 @@
 
 from pyspark.sql import types as T
 
-_HTML_HEADER = """
-    id BIGINT, record_id STRING, created_at BIGINT, updated_at BIGINT, source STRING,
-    run_id STRING, raw_file STRING, existing_used BOOLEAN
-"""
-_JSON_HEADER = """
-    id BIGINT, record_id STRING, created_at BIGINT, updated_at BIGINT, company_name STRING,
-    board_source STRING, run_id STRING, raw_file STRING, existing_used BOOLEAN
-"""
-
-_RAW_DDL = {
-    "greenhouse_openings": _HTML_HEADER
-    + ", department_ids STRING, location STRING, office_ids STRING, opening_link STRING, opening_title STRING",
-    "greenhouse_departments": _HTML_HEADER
-    + ", company_name STRING, department_category STRING, department_id STRING, department_name STRING",
-    "lever_openings": _HTML_HEADER
-    + ", company_name STRING, department_names STRING, location STRING, opening_link STRING,"
-    + " opening_title STRING, workplace_type STRING",
-    "ashby_openings": _JSON_HEADER
-    + ", opening_id STRING, opening_name STRING, department_id STRING, location_id STRING,"
-    + " location_name STRING, employment_type STRING, compensation_tier STRING, opening_link STRING",
-    "ashby_departments": _JSON_HEADER
-    + ", department_id STRING, department_name STRING, parent_department_id STRING",
-    "ashby_locations": _JSON_HEADER
-    + ", opening_id STRING, secondary_location_id STRING, secondary_location_name STRING",
-    "rippling_openings": """
-        id BIGINT, job_id STRING, created_at TIMESTAMP_NTZ, title STRING, url STRING, location STRING,
-        board_token STRING, department STRING, run_id STRING, api_endpoint STRING
-    """,
-    "boards": """
-        id BIGINT, url STRING, is_enabled BOOLEAN, is_prospect BOOLEAN, is_web_scraped BOOLEAN,
-        job_board_provider STRING, board_token STRING
-    """,
+_TYPES = {
+    "long": T.LongType(),
+    "text": T.StringType(),
+    "int": T.IntegerType(),
+    "number": T.DoubleType(),
+    "flag": T.BooleanType(),
+    "day": T.DateType(),
+    "time": T.TimestampNTZType(),
 }
 
-RAW = {name: T.StructType.fromDDL(ddl) for name, ddl in _RAW_DDL.items()}
+
+def _struct(**columns: T.DataType | str) -> T.StructType:
+    """A struct of nullable fields, their types given by short name or as such."""
+    return T.StructType([T.StructField(n, _TYPES[t] if isinstance(t, str) else t) for n, t in columns.items()])
+
+
+def _texts(names: str) -> dict[str, str]:
+    return dict.fromkeys(names.split(), "text")
+
+
+_BEGIN = {"id": "long", "record_id": "text", "created_at": "long", "updated_at": "long"}
+_END = {"run_id": "text", "raw_file": "text", "existing_used": "flag"}
+_HTML_HEADER = {**_BEGIN, "source": "text", **_END}
+_JSON_HEADER = {**_BEGIN, **_texts("company_name board_source"), **_END}
+
+RAW = {
+    "greenhouse_openings": _struct(
+        **_HTML_HEADER,
+        **_texts("department_ids location office_ids opening_link opening_title"),
+    ),
+    "greenhouse_departments": _struct(
+        **_HTML_HEADER,
+        **_texts("company_name department_category department_id department_name"),
+    ),
+    "lever_openings": _struct(
+        **_HTML_HEADER,
+        **_texts(
+            "company_name department_names location opening_link opening_title workplace_type"
+        ),
+    ),
+    "ashby_openings": _struct(
+        **_JSON_HEADER,
+        **_texts(
+            "opening_id opening_name department_id location_id location_name employment_type"
+            " compensation_tier opening_link"
+        ),
+    ),
+    "ashby_departments": _struct(
+        **_JSON_HEADER, **_texts("department_id department_name parent_department_id")
+    ),
+    "ashby_locations": _struct(
+        **_JSON_HEADER, **_texts("opening_id secondary_location_id secondary_location_name")
+    ),
+    "rippling_openings": _struct(
+        id="long",
+        job_id="text",
+        created_at="time",
+        **_texts("title url location board_token department run_id api_endpoint"),
+    ),
+    "boards": _struct(
+        id="long",
+        url="text",
+        is_enabled="flag",
+        is_prospect="flag",
+        is_web_scraped="flag",
+        **_texts("job_board_provider board_token"),
+    ),
+}
 
 # Column that dates a raw row: epoch seconds everywhere but for the one timestamp-typed table.
 LOADED_AT = {name: "updated_at" for name in RAW if name not in ("boards", "rippling_openings")}
 LOADED_AT["rippling_openings"] = "created_at"
 
-PAGES = T.StructType.fromDDL(
-    "source STRING, page_number BIGINT, run_id STRING, fetched_at BIGINT, html STRING"
-)
-RESPONSES = T.StructType.fromDDL("board STRING, run_id STRING, fetched_at BIGINT, body STRING")
+PAGES = _struct(source="text", page_number="long", run_id="text", fetched_at="long", html="text")
+RESPONSES = _struct(board="text", run_id="text", fetched_at="long", body="text")
 
-NESTED_BOARD = T.StructType.fromDDL(
-    """
-    data STRUCT<jobBoard: STRUCT<
-        teams: ARRAY<STRUCT<id: STRING, name: STRING, parentTeamId: STRING>>,
-        jobPostings: ARRAY<STRUCT<
-            id: STRING, title: STRING, teamId: STRING, locationId: STRING, locationName: STRING,
-            employmentType: STRING, compensationTierSummary: STRING,
-            secondaryLocations: ARRAY<STRUCT<locationId: STRING, locationName: STRING>>>>>>,
-    broken STRING
-    """
+_TEAM = _struct(**_texts("id name parentTeamId"))
+_SECONDARY = _struct(**_texts("locationId locationName"))
+_POSTING = _struct(
+    **_texts(
+        "id title teamId locationId locationName employmentType compensationTierSummary"
+    ),
+    secondaryLocations=T.ArrayType(_SECONDARY),
 )
+_BOARD = _struct(teams=T.ArrayType(_TEAM), jobPostings=T.ArrayType(_POSTING))
+NESTED_BOARD = _struct(data=_struct(jobBoard=_BOARD), broken="text")
+
+_LABELLED = _struct(**_texts("id label"))
 FLAT_BOARD = T.ArrayType(
-    T.StructType.fromDDL(
-        """
-        uuid STRING, name STRING, department STRUCT<id: STRING, label: STRING>, url STRING,
-        workLocation STRUCT<id: STRING, label: STRING>
-        """
+    _struct(
+        **_texts("uuid name"), department=_LABELLED, url="text", workLocation=_LABELLED
     )
 )
 
@@ -94,11 +123,21 @@ MART_COLUMNS = UNIFIED_COLUMNS + [
     "posting_length_category",
     "opening_category",
 ]
-UNIFIED = T.StructType.fromDDL(
-    """
-    id STRING, record_id STRING, created_date_utc DATE, updated_date_utc DATE, source STRING,
-    company_name STRING, uses_existing BOOLEAN, location STRING, full_opening_link STRING,
-    opening_title STRING, is_remote BOOLEAN, primary_department STRING, secondary_department STRING,
-    tertiary_department STRING, quaternary_department STRING, run_id STRING, job_board STRING
-    """
-)
+_UNTEXTUAL = {
+    "created_date_utc": "day",
+    "updated_date_utc": "day",
+    "uses_existing": "flag",
+    "is_remote": "flag",
+}
+UNIFIED = _struct(**{name: _UNTEXTUAL.get(name, "text") for name in UNIFIED_COLUMNS})
+
+# Given tables that queries read.
+GIVEN = {
+    "events": _struct(
+        event_id="long", ts="time", user_id="long", event_type="text", value="number", props="text"
+    ),
+    "pages": _struct(page_id="long", url="text", html="text"),
+    "documents": _struct(doc_id="long", text="text", lang="text", source="text", n_chars="long"),
+    "nation": _struct(n_nationkey="int", n_name="text", n_regionkey="int"),
+    "region": _struct(r_regionkey="int", r_name="text"),
+}

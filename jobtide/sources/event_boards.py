@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.fixed_values import PATH_SEPARATOR
-from jobtide.schemas import RAW
+from jobtide.schemas import GIVEN, RAW
 
 AS_OF = date(2024, 1, 30)
 AS_OF_EPOCH = 1706572800
@@ -41,7 +41,8 @@ def _chosen(index: Column, values: list[str]) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table with its declared schema, so that no job runs to find it out."""
+    return spark.read.schema(GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sightings(spark: SparkSession, sf_dir: str, provider: int) -> DataFrame:

@@ -11,20 +11,30 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from jobtide.fixed_values import PATH_SEPARATOR
-from jobtide.functions import first_value, first_word, keyed_id, last_word, page_company
+from jobtide.functions import (
+    blank_to_null,
+    first_value,
+    first_word,
+    keyed_id,
+    last_word,
+    page_company,
+)
 from jobtide.sources.runs import stamp_run
 
 ATTRIBUTES = ["id", "class", "href", "department_id", "office_id"]
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
 )
-_ELEMENT = ", ".join(
-    ["start: int", "end: int", "parent: int", "tag: string", "text: string"]
-    + [f"{a}: string" for a in ATTRIBUTES]
+ELEMENTS = T.ArrayType(
+    T.StructType(
+        [T.StructField(name, T.IntegerType()) for name in ["start", "end", "parent"]]
+        + [T.StructField(name, T.StringType()) for name in ["tag", "text", *ATTRIBUTES]]
+    )
 )
-ELEMENTS = f"array<struct<{_ELEMENT}>>"
 
 
 class _Elements(HTMLParser):
@@ -73,19 +83,11 @@ class _Elements(HTMLParser):
         return self.found
 
 
-_ARROW_ELEMENTS = pa.list_(
-    pa.struct(
-        [("start", pa.int32()), ("end", pa.int32()), ("parent", pa.int32())]
-        + [(name, pa.string()) for name in ["tag", "text", *ATTRIBUTES]]
-    )
-)
-
-
 @F.arrow_udf(ELEMENTS)
 def page_elements(pages: pa.Array) -> pa.Array:
     """All elements of each page, in document order; NULL for a NULL page."""
     listed = [None if page is None else _Elements().read(page) for page in pages.to_pylist()]
-    return pa.array(listed, type=_ARROW_ELEMENTS)
+    return pa.array(listed, type=to_arrow_type(ELEMENTS))
 
 
 def _classed(element: Column, text: str, exact: bool = False) -> Column:
@@ -209,8 +211,8 @@ def extract_openings(pages: DataFrame) -> DataFrame:
         inside = _pick(F.col("_parts"), lambda e: _beneath(e, block))
         anchors = _pick(inside, lambda e: _tagged(e, "a"))
         return F.struct(
-            block["department_id"].alias("department_ids"),
-            block["office_id"].alias("office_ids"),
+            blank_to_null(block["department_id"]).alias("department_ids"),
+            blank_to_null(block["office_id"]).alias("office_ids"),
             _first(anchors, "href").alias("opening_link"),
             _first(anchors, "text").alias("opening_title"),
             _first(_pick(inside, lambda e: _tagged(e, "span")), "text").alias("location"),

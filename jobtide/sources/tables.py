@@ -1,5 +1,7 @@
 """Typed scans of the raw tables and of the board dimension."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,16 +9,26 @@ from jobtide.schemas import RAW
 
 
 def read_raw(
-    spark: SparkSession, base: str, name: str, fmt: str = "parquet", **options
+    spark: SparkSession,
+    base: str,
+    name: str,
+    fmt: str = "parquet",
+    from_day: date | None = None,
+    **options,
 ) -> DataFrame:
     """A raw table under ``base`` with its declared schema; nothing is inferred.
 
-    Any file format or ``jdbc`` will do; for the latter pass ``url`` and the like as options.
+    ``from_day`` skips the folders of earlier load days. Any file format or ``jdbc`` will do; for
+    the latter pass ``url`` and the like as options.
     """
+    schema = RAW[name]
     if fmt == "jdbc":
-        table = spark.read.format("jdbc").options(dbtable=name, **options).load()
-        return table.select(*[F.col(f.name).cast(f.dataType) for f in RAW[name]])
-    return spark.read.format(fmt).schema(RAW[name]).options(**options).load(f"{base}/{name}")
+        rows = spark.read.format("jdbc").options(dbtable=name, **options).load()
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    rows = spark.read.format(fmt).schema(schema).options(**options).load(f"{base}/{name}")
+    if from_day is not None:
+        rows = rows.where(F.col("run_date") >= F.lit(from_day))
+    return rows.select(*schema.names)
 
 
 def enabled_boards(boards: DataFrame, provider: str | None = None) -> DataFrame:
