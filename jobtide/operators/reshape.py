@@ -1,12 +1,22 @@
 """Lists to rows, rows to columns, rows to text."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.fixed_values import NAME_SEPARATOR
 from jobtide.functions import split_literal
 
 
+def entries(df: DataFrame, array: Column | str, place: str, item: str, *keep: str) -> DataFrame:
+    """One row per array entry with its 0-based place; rows without entries vanish.
+
+    For a plain ``posexplode`` Spark adds a filter on the array's size and works the array out twice,
+    parsing and Python functions included. The outer form is free of that.
+    """
+    exploded = df.select(*(keep or ["*"]), F.posexplode_outer(array).alias(place, item))
+    return exploded.where(F.col(place).isNotNull())
+
+
 def explode_list(
     df: DataFrame, col: str, separator: str, item: str, ordinal: str | None = None
 ) -> DataFrame:
@@ -14,11 +24,9 @@ def explode_list(
 
     Rows with NULL or empty text have no entries and vanish.
     """
-    entries = split_literal(F.col(col), separator)
-    if ordinal is None:
-        return df.select("*", F.explode(entries).alias(item))
-    placed = df.select("*", F.posexplode(entries).alias("_place", item))
-    return placed.select(*df.columns, item, (F.col("_place") + 1).cast("bigint").alias(ordinal))
+    placed = entries(df, split_literal(F.col(col), separator), "_place", item)
+    numbered = [] if ordinal is None else [(F.col("_place") + 1).cast("bigint").alias(ordinal)]
+    return placed.select(*df.columns, item, *numbered)
 
 
 def pivot_by_value(

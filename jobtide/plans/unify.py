@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as V
 from jobtide.functions import is_remote, split_literal
 from jobtide.operators.joins import attach_children, hierarchy_path, left_lookup
-from jobtide.operators.reshape import concat_children
+from jobtide.operators.reshape import concat_children, entries
 from jobtide.schemas import UNIFIED
 
 _LOOKUP = ["source", "department_id", "run_id"]
@@ -30,13 +30,8 @@ def department_slots(openings: DataFrame) -> DataFrame:
     """One narrow row per listed department; the first of a posting carries its other columns."""
     ids = split_literal(F.col("department_ids"), V.LIST_SEPARATOR)
     carried = [c for c in openings.columns if c not in ("id", "source", "run_id", "department_ids")]
-    slots = openings.select(
-        "id",
-        "source",
-        "run_id",
-        F.struct(*carried).alias("_posting"),
-        F.posexplode(ids).alias("_place", "department_id"),
-    )
+    narrow = openings.select("id", "source", "run_id", F.struct(*carried).alias("_posting"), ids.alias("_ids"))
+    slots = entries(narrow, "_ids", "_place", "department_id").drop("_ids")
     return slots.withColumn("_posting", F.when(F.col("_place") == 0, F.col("_posting")))
 
 

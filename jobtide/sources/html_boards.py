@@ -6,7 +6,8 @@ Spark expressions over that list. A page row is (source, page_number, run_id, fe
 every page is one row and is worked on within its row, so nothing is shuffled.
 """
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,12 +24,10 @@ from jobtide.functions import (
     last_word,
     page_company,
 )
+from jobtide.operators.reshape import entries
 from jobtide.sources.runs import stamp_run
 
 ATTRIBUTES = ["id", "class", "href", "department_id", "office_id"]
-VOID_TAGS = frozenset(
-    "area base br col embed hr img input link meta source track wbr".split()
-)
 ELEMENTS = T.ArrayType(
     T.StructType(
         [T.StructField(name, T.IntegerType()) for name in ["start", "end", "parent"]]
@@ -36,58 +35,91 @@ ELEMENTS = T.ArrayType(
     )
 )
 
-
-class _Elements(HTMLParser):
-    """Elements of one page: place, end of the subtree, parent, tag, first own text, attributes."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.found = []
-        self.open = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "p" and self.open and self.open[-1]["tag"] == "p":
-            self._close(len(self.open) - 1)
-        given = dict(reversed(attrs))
-        element = {
-            "start": len(self.found),
-            "end": len(self.found),
-            "parent": self.open[-1]["start"] if self.open else None,
-            "tag": tag,
-            "text": None,
-            **{name: given.get(name) for name in ATTRIBUTES},
-        }
-        self.found.append(element)
-        if tag not in VOID_TAGS:
-            self.open.append(element)
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth]["tag"] == tag:
-                self._close(depth)
-                break
-
-    def handle_data(self, data):
-        if self.open and not self.open[-1]["text"]:
-            self.open[-1]["text"] = data
-
-    def _close(self, depth):
-        for element in self.open[depth:]:
-            element["end"] = len(self.found) - 1
-        del self.open[depth:]
-
-    def read(self, html):
-        self.feed(html)
-        self.close()
-        self._close(0)
-        return self.found
+_VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_RAW_TEXT_END = {tag: re.compile(f"</{tag}", re.I) for tag in ("script", "style")}
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_NO_ATTRIBUTES = [None] * len(ATTRIBUTES)
+_START, _END, _PARENT, _TAG, _TEXT = range(5)
+
+
+def _attributes(text: str) -> list[str | None]:
+    """The attributes of interest; of one given twice the first counts."""
+    if not text:
+        return _NO_ATTRIBUTES
+    given = {}
+    for name, *quoted in _ATTRIBUTE.findall(text):
+        given.setdefault(name.lower(), unescape("".join(quoted)))
+    return [given.get(name) for name in ATTRIBUTES]
+
+
+def read_elements(html: str) -> list[list]:
+    """Elements of a page as in ``ELEMENTS``: place, last place beneath, parent, tag, first own
+    text, attributes. Missing end tags are made up for by the end of an outer element."""
+    found, open_elements, position = [], [], 0
+
+    def close(depth):
+        for element in open_elements[depth:]:
+            element[_END] = len(found) - 1
+        del open_elements[depth:]
+
+    def add_text(begin, until):
+        if begin < until and open_elements and not open_elements[-1][_TEXT]:
+            open_elements[-1][_TEXT] = unescape(html[begin:until])
+
+    def start(tag, rest):
+        if tag == "p" and open_elements and open_elements[-1][_TAG] == "p":
+            close(len(open_elements) - 1)
+        parent = open_elements[-1][_START] if open_elements else None
+        element = [len(found), len(found), parent, tag, None, *_attributes(rest)]
+        found.append(element)
+        if tag not in _VOID_TAGS and not rest.endswith("/"):
+            open_elements.append(element)
+
+    def end(tag):
+        for depth in range(len(open_elements) - 1, -1, -1):
+            if open_elements[depth][_TAG] == tag:
+                return close(depth)
+
+    opening = html.find("<")
+    while opening >= 0:
+        token = _TOKEN.match(html, opening)
+        if token is None:
+            opening = html.find("<", opening + 1)
+            continue
+        add_text(position, opening)
+        position = token.end()
+        closing, tag, rest = token.groups()
+        if closing:
+            end(tag.lower())
+        elif tag:
+            tag = tag.lower()
+            start(tag, rest)
+            if tag in _RAW_TEXT_END:
+                ending = _RAW_TEXT_END[tag].search(html, position)
+                opening = ending.start() if ending else -1
+                continue
+        opening = html.find("<", position)
+    add_text(position, len(html))
+    close(0)
+    return found
 
 
 @F.arrow_udf(ELEMENTS)
 def page_elements(pages: pa.Array) -> pa.Array:
-    """All elements of each page, in document order; NULL for a NULL page."""
-    listed = [None if page is None else _Elements().read(page) for page in pages.to_pylist()]
-    return pa.array(listed, type=to_arrow_type(ELEMENTS))
+    """All elements of each page, in document order; none for a NULL page."""
+    element = to_arrow_type(ELEMENTS).value_type
+    rows, ends = [], [0]
+    for page in pages.to_pylist():
+        rows += read_elements(page or "")
+        ends.append(len(rows))
+    columns = zip(*rows, strict=True) if rows else [[]] * len(element)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, element, strict=True)]
+    flat = pa.StructArray.from_arrays(arrays, fields=list(element))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
 
 
 def _classed(element: Column, text: str, exact: bool = False) -> Column:
@@ -103,9 +135,15 @@ def _heading(element: Column) -> Column:
     return element["tag"].startswith("h")
 
 
-def _beneath(element: Column, root: Column, inclusive: bool = True) -> Column:
-    starts = element["start"] >= root["start"] if inclusive else element["start"] > root["start"]
-    return starts & (element["start"] <= root["end"])
+def _subtree(root: Column) -> Column:
+    """The element and all beneath it: they follow each other in document order."""
+    return F.slice("_elements", root["start"] + 1, root["end"] - root["start"] + 1)
+
+
+def _within(element: Column, tag: str, text: str, exact: bool = False) -> Column:
+    """Is the parent an element of that tag and class?"""
+    parent = F.get(F.col("_elements"), element["parent"])
+    return F.coalesce(_tagged(parent, tag) & _classed(parent, text, exact), F.lit(False))
 
 
 def _pick(elements: Column, condition) -> Column:
@@ -163,7 +201,7 @@ _GROUPED = [
 def page_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Every anchor with a target on a page, with its 0-based place among them and its text."""
     anchors = _pick(page_elements("html"), lambda e: _tagged(e, "a") & e["href"].isNotNull())
-    return pages.select(key, F.posexplode(anchors).alias("_place", "_a")).select(
+    return entries(pages, anchors, "_place", "_a", key).select(
         key,
         F.col("_place").cast("bigint").alias("link_index"),
         F.col("_a.href").alias("href"),
@@ -173,42 +211,35 @@ def page_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 def extract_departments(pages: DataFrame) -> DataFrame:
     """Classic boards: a department per section with a level, named by its heading."""
-    every = F.col("_elements")
-    levels = _pick(every, lambda e: _tagged(e, "section") & _classed(e, "level"))
-    headings = _pick(
-        every,
-        lambda h: _heading(h) & F.exists(levels, lambda s: s["start"] == h["parent"]),
-    )
 
     def department(section: Column) -> Column:
-        own = _pick(F.col("_headings"), lambda h: _beneath(h, section, inclusive=False))
+        headings = _pick(
+            _subtree(section), lambda h: _heading(h) & _within(h, "section", "level")
+        )
         return F.struct(
             last_word(section["class"]).alias("department_category"),
-            _first(own, "id").alias("department_id"),
-            _first(own, "text").alias("department_name"),
+            _first(headings, "id").alias("department_id"),
+            _first(headings, "text").alias("department_name"),
         )
 
-    found = _with_elements(pages).withColumns({"_levels": levels, "_headings": headings})
-    rows = found.withColumn("_rows", F.transform("_levels", department))
+    sections = _pick(
+        F.col("_elements"), lambda e: _tagged(e, "section") & _classed(e, "level")
+    )
+    rows = _with_elements(pages).withColumn("_rows", F.transform(sections, department))
     return _exploded(rows, "_row", "department", ["_row"]).select(*_DEPARTMENTS)
 
 
 def _exploded(rows: DataFrame, place: str, kind: str, places: list[str]) -> DataFrame:
-    flat = rows.select(
-        "source", "page_number", "run_id", "fetched_at", F.posexplode("_rows").alias(place, "_r")
-    )
-    fields = flat.select(
-        "source", "page_number", "run_id", "fetched_at", place, "_r.*"
-    )
+    page = ["source", "page_number", "run_id", "fetched_at"]
+    fields = entries(rows, "_rows", place, "_r", *page).select(*page, place, "_r.*")
     return _stamped(fields, kind, places)
 
 
 def extract_openings(pages: DataFrame) -> DataFrame:
     """Classic boards: an opening per block, with its department and office lists."""
-    every = F.col("_elements")
 
     def opening(block: Column) -> Column:
-        inside = _pick(F.col("_parts"), lambda e: _beneath(e, block))
+        inside = _subtree(block)
         anchors = _pick(inside, lambda e: _tagged(e, "a"))
         return F.struct(
             blank_to_null(block["department_id"]).alias("department_ids"),
@@ -218,29 +249,22 @@ def extract_openings(pages: DataFrame) -> DataFrame:
             _first(_pick(inside, lambda e: _tagged(e, "span")), "text").alias("location"),
         )
 
-    blocks = _pick(every, lambda e: _tagged(e, "div") & _classed(e, "opening", exact=True))
-    parts = _pick(every, lambda e: e["tag"].isin("a", "span"))
-    found = _with_elements(pages).withColumns({"_blocks": blocks, "_parts": parts})
-    rows = found.withColumn("_rows", F.transform("_blocks", opening))
+    blocks = _pick(
+        F.col("_elements"), lambda e: _tagged(e, "div") & _classed(e, "opening", exact=True)
+    )
+    rows = _with_elements(pages).withColumn("_rows", F.transform(blocks, opening))
     return _exploded(rows, "_row", "opening", ["_row"]).select(*_OPENINGS)
 
 
 def extract_paged_departments(pages: DataFrame) -> DataFrame:
     """Paged boards: a top-level department per table heading, its id made of company and name."""
-    every = F.col("_elements")
-    tables = _pick(
-        every, lambda e: _tagged(e, "div") & _classed(e, "job-posts--table--department", exact=True)
-    )
     headings = _pick(
-        every,
+        F.col("_elements"),
         lambda h: _heading(h)
         & h["text"].isNotNull()
-        & F.exists(tables, lambda t: t["start"] == h["parent"]),
-    )
-    names = F.transform(
-        headings,
-        lambda h: F.struct(h["text"].alias("department_name")),
+        & _within(h, "div", "job-posts--table--department", exact=True),
     )
+    names = F.transform(headings, lambda h: F.struct(h["text"].alias("department_name")))
     rows = _exploded(
         _with_elements(pages).withColumn("_rows", names), "_row", "paged department", ["_row"]
     )
@@ -254,34 +278,43 @@ def extract_paged_departments(pages: DataFrame) -> DataFrame:
 
 def extract_paged_openings(pages: DataFrame) -> DataFrame:
     """Paged boards: an opening per table cell, in the department its group is headed by."""
-    every = F.col("_elements")
-    groups = _pick(every, lambda e: _tagged(e, "div") & _classed(e, "job-posts", exact=True))
+
+    def headed(group: Column) -> Column:
+        inside = _subtree(group)
+        return F.struct(
+            _first(_pick(inside, _heading), "text").alias("heading"),
+            _pick(inside, lambda e: _tagged(e, "td") & _classed(e, "cell", exact=True)).alias(
+                "cells"
+            ),
+        )
+
+    def opening(cell: Column) -> list[Column]:
+        inside = _subtree(cell)
+        lines = _pick(inside, lambda e: _tagged(e, "p"))
+        title = _pick(lines, lambda e: _classed(e, "body--medium"))
+        location = _pick(lines, lambda e: _classed(e, "body--metadata"))
+        return [
+            _first(_pick(inside, lambda e: _tagged(e, "a")), "href").alias("opening_link"),
+            _first(title, "text").alias("opening_title"),
+            _first(location, "text").alias("location"),
+        ]
 
     def openings(group: Column, place: Column) -> Column:
-        inside = _pick(every, lambda e: _beneath(e, group))
-        heading = _first(_pick(inside, _heading), "text")
-        cells = _pick(inside, lambda e: _tagged(e, "td") & _classed(e, "cell", exact=True))
-
-        def opening(cell: Column, row: Column) -> Column:
-            parts = _pick(inside, lambda e: _beneath(e, cell))
-            lines = _pick(parts, lambda e: _tagged(e, "p"))
-            return F.struct(
+        return F.transform(
+            group["cells"],
+            lambda cell, row: F.struct(
                 place.alias("_group"),
                 row.alias("_row"),
-                heading.alias("_heading"),
-                _first(_pick(parts, lambda e: _tagged(e, "a")), "href").alias("opening_link"),
-                _first(_pick(lines, lambda e: _classed(e, "body--medium")), "text").alias(
-                    "opening_title"
-                ),
-                _first(_pick(lines, lambda e: _classed(e, "body--metadata")), "text").alias(
-                    "location"
-                ),
-            )
-
-        return F.transform(cells, opening)
-
-    found = _with_elements(pages).withColumn("_groups", groups)
-    rows = found.withColumn("_rows", F.flatten(F.transform("_groups", openings)))
+                group["heading"].alias("_heading"),
+                *opening(cell),
+            ),
+        )
+
+    groups = _pick(
+        F.col("_elements"), lambda e: _tagged(e, "div") & _classed(e, "job-posts", exact=True)
+    )
+    found = F.transform(groups, headed)
+    rows = _with_elements(pages).withColumn("_rows", F.flatten(F.transform(found, openings)))
     stamped = _exploded(rows, "_place", "paged opening", ["_group", "_row"])
     return stamped.withColumns(
         {
@@ -292,39 +325,39 @@ def extract_paged_openings(pages: DataFrame) -> DataFrame:
 
 
 def page_groups(pages: DataFrame) -> DataFrame:
-    """Grouped boards: one row per group of a page with header, label and openings."""
-    every = F.col("_elements")
-    groups = _pick(every, lambda e: _tagged(e, "div") & _classed(e, "postings-group", exact=True))
+    """Grouped boards: the groups of a page with header, label and openings, as an array."""
+
+    def opening(anchor: Column) -> Column:
+        inside = _subtree(anchor)
+        spans = _pick(inside, lambda e: _tagged(e, "span"))
+        kinds = F.transform(
+            _pick(spans, lambda e: _classed(e, "workplaceType")), lambda e: first_word(e["text"])
+        )
+        return F.struct(
+            anchor["href"].alias("opening_link"),
+            _first(_pick(inside, lambda e: _tagged(e, "h5")), "text").alias("opening_title"),
+            first_value(kinds).alias("workplace_type"),
+            _first(_pick(spans, lambda e: _classed(e, "location")), "text").alias("location"),
+        )
 
     def group_row(group: Column) -> Column:
-        inside = _pick(every, lambda e: _beneath(e, group))
+        inside = _subtree(group)
 
         def named(text: str) -> Column:
             return _first(_pick(inside, lambda e: _tagged(e, "div") & _classed(e, text)), "text")
 
         titles = _pick(inside, lambda e: _tagged(e, "a") & _classed(e, "posting-title", exact=True))
-
-        def opening(anchor: Column) -> Column:
-            parts = _pick(inside, lambda e: _beneath(e, anchor))
-            spans = _pick(parts, lambda e: _tagged(e, "span"))
-            kinds = F.transform(
-                _pick(spans, lambda e: _classed(e, "workplaceType")), lambda e: first_word(e["text"])
-            )
-            return F.struct(
-                anchor["href"].alias("opening_link"),
-                _first(_pick(parts, lambda e: _tagged(e, "h5")), "text").alias("opening_title"),
-                first_value(kinds).alias("workplace_type"),
-                _first(_pick(spans, lambda e: _classed(e, "location")), "text").alias("location"),
-            )
-
         return F.struct(
             named("large-category-header").alias("header"),
             named("large-category-label").alias("label"),
             F.transform(titles, opening).alias("openings"),
         )
 
-    found = _with_elements(pages).withColumn("_groups", groups)
-    return found.withColumn("_groups", F.transform("_groups", group_row)).drop("_elements")
+    groups = _pick(
+        F.col("_elements"), lambda e: _tagged(e, "div") & _classed(e, "postings-group", exact=True)
+    )
+    found = _with_elements(pages).withColumn("_groups", F.transform(groups, group_row))
+    return found.drop("_elements")
 
 
 def extract_grouped(pages: DataFrame) -> DataFrame:
@@ -335,24 +368,32 @@ def extract_grouped(pages: DataFrame) -> DataFrame:
     """
     groups = F.col("_groups")
     headed = F.get(groups, F.lit(0))["header"].isNotNull()
+    carried = F.aggregate(
+        groups,
+        F.array().cast("array<string>"),
+        lambda done, g: F.array_append(
+            done, F.coalesce(g["header"], F.try_element_at(done, F.lit(-1)))
+        ),
+    )
 
-    def path(group: Column, place: Column) -> Column:
-        seen = F.transform(F.slice(groups, F.lit(1), place + 1), lambda g: g["header"])
-        header = F.try_element_at(F.filter(seen, lambda h: h.isNotNull()), F.lit(-1))
+    def named(group: Column, header: Column) -> Column:
         full = F.concat(header, F.lit(f" {PATH_SEPARATOR} "), group["label"])
-        return F.when(headed, full).otherwise(group["label"])
+        return F.struct(
+            F.when(headed, full).otherwise(group["label"]).alias("path"),
+            group["openings"].alias("openings"),
+        )
 
     def openings(group: Column, place: Column) -> Column:
-        names = path(group, place)
         return F.transform(
             group["openings"],
             lambda o, row: F.struct(
                 place.alias("_group"),
                 row.alias("_row"),
-                names.alias("department_names"),
+                group["path"].alias("department_names"),
                 *[o[c].alias(c) for c in _GROUPED[-4:]],
             ),
         )
 
-    rows = page_groups(pages).withColumn("_rows", F.flatten(F.transform("_groups", openings)))
+    paths = F.zip_with(groups, carried, named)
+    rows = page_groups(pages).withColumn("_rows", F.flatten(F.transform(paths, openings)))
     return _exploded(rows, "_place", "grouped opening", ["_group", "_row"]).select(*_GROUPED)

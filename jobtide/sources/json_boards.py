@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions import blank_to_null, keyed_id, skipping_concat, token_company
-from jobtide.operators.reshape import concat_all_but_one
+from jobtide.operators.reshape import concat_all_but_one, entries
 from jobtide.schemas import FLAT_BOARD, NESTED_BOARD
 from jobtide.sources.runs import stamp_run
 
 _REQUIRED = ["id", "title", "teamId", "locationId", "locationName", "employmentType"]
+_RESPONSE = ["board", "run_id", "fetched_at"]
 _HEADER = [
     "record_id",
     "created_at",
@@ -94,9 +95,7 @@ def _good_boards(responses: DataFrame) -> DataFrame:
 
 
 def _postings(responses: DataFrame) -> DataFrame:
-    return _good_boards(responses).select(
-        "board", "run_id", "fetched_at", F.posexplode("_board.jobPostings").alias("_row", "_p")
-    )
+    return entries(_good_boards(responses), "_board.jobPostings", "_row", "_p", *_RESPONSE)
 
 
 def decode_postings(responses: DataFrame) -> DataFrame:
@@ -117,18 +116,14 @@ def decode_postings(responses: DataFrame) -> DataFrame:
 
 
 def _row_key() -> list[Column]:
-    return [F.col("board"), F.col("run_id"), F.col("fetched_at")]
+    return [F.col(c) for c in _RESPONSE]
 
 
 def decode_locations(responses: DataFrame) -> DataFrame:
     """One row per secondary location of a posting; a posting without any gives none."""
-    children = _postings(responses).select(
-        "board",
-        "run_id",
-        "fetched_at",
-        "_row",
-        F.col("_p.id").alias("opening_id"),
-        F.posexplode("_p.secondaryLocations").alias("_child", "_l"),
+    listed = _postings(responses).withColumn("opening_id", F.col("_p.id"))
+    children = entries(
+        listed, "_p.secondaryLocations", "_child", "_l", *_RESPONSE, "_row", "opening_id"
     )
     key = keyed_id(F.lit("location"), *_row_key(), F.col("_row"), F.col("_child"))
     return _stamped(children.withColumn("record_id", key)).select(
@@ -143,9 +138,7 @@ def decode_teams(responses: DataFrame) -> DataFrame:
     """One row per team with its parent, also for boards that have no posting just now."""
     boards = _parsed(responses).withColumn("_reason", _reject_reason())
     usable = boards.where(F.coalesce("_reason", F.lit("no_postings")) == "no_postings")
-    teams = usable.select(
-        "board", "run_id", "fetched_at", F.posexplode("_board.teams").alias("_row", "_t")
-    )
+    teams = entries(usable, "_board.teams", "_row", "_t", *_RESPONSE)
     key = keyed_id(F.lit("team"), *_row_key(), F.col("_row"))
     return _stamped(teams.withColumn("record_id", key)).select(
         *_HEADER,
@@ -157,9 +150,7 @@ def decode_teams(responses: DataFrame) -> DataFrame:
 
 def decode_flat_board(responses: DataFrame) -> DataFrame:
     """Postings of flat responses; one listed under several locations becomes a single row."""
-    rows = _parsed_flat(responses).select(
-        "board", "run_id", F.posexplode("_postings").alias("_row", "_p")
-    )
+    rows = entries(_parsed_flat(responses), "_postings", "_row", "_p", "board", "run_id")
     listed = rows.select(
         F.col("_p.uuid").alias("job_id"),
         F.col("_p.name").alias("title"),
