@@ -1,5 +1,11 @@
 """Equi-joins. None is forced to broadcast: Spark does so by itself below its size threshold and
-otherwise sort-merges, where adaptive execution splits hot keys of the larger side."""
+otherwise sort-merges, where adaptive execution splits hot keys of the larger side.
+
+That splitting needs both sides to come straight from a shuffle made for the join. A side grouped by
+the join keys is not shuffled again, and a hot key of the other side then ends up in one task. So
+where one side is grouped, ``_splittable_join`` adds a hash of the keys as one more key, which the
+grouping does not cover.
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +16,17 @@ from jobtide.operators.aggregates import lifespan
 from jobtide.operators.dedupe import latest
 
 
+def _splittable_join(
+    detail: DataFrame, grouped: DataFrame, keys: list[str], how: str
+) -> DataFrame:
+    hashed = F.xxhash64(*keys)
+    left, right = detail.withColumn("_hash", hashed), grouped.withColumn("_hash", hashed)
+    return left.join(right, [*keys, "_hash"], how).drop("_hash")
+
+
 def left_lookup(detail: DataFrame, dims: DataFrame, keys: list[str]) -> DataFrame:
     """Detail rows with the matching dimension columns, NULL where nothing matches."""
-    return detail.join(dims, keys, "left")
+    return _splittable_join(detail, dims, keys, "left")
 
 
 def team_paths(
@@ -45,13 +59,13 @@ def attach_children(
 ) -> DataFrame:
     """Parents' own text followed by their children's, or alone when they have none."""
     both = skipping_concat(F.col(own), F.lit(NAME_SEPARATOR), F.col(extra))
-    joined = parents.join(children, keys, "left")
+    joined = left_lookup(parents, children, keys)
     return joined.withColumn(name, F.when(F.col(extra).isNull(), F.col(own)).otherwise(both))
 
 
 def with_group_values(detail: DataFrame, grouped: DataFrame, key: str) -> DataFrame:
     """Detail rows with the values of their group."""
-    return detail.join(grouped, key, "inner")
+    return _splittable_join(detail, grouped, [key], "inner")
 
 
 def combine_on_id(first: DataFrame, *others: DataFrame, key: str = "id") -> DataFrame:

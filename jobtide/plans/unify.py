@@ -18,9 +18,10 @@ _LOOKUP = ["source", "department_id", "run_id"]
 
 def conform(df: DataFrame) -> DataFrame:
     """The 17 columns by name, in order and type; a column the provider lacks is NULL."""
-    return df.select(
+    known = set(df.columns)
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in known else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in UNIFIED
         ]
     )
@@ -28,10 +29,14 @@ def conform(df: DataFrame) -> DataFrame:
 
 def department_slots(openings: DataFrame) -> DataFrame:
     """One narrow row per listed department; the first of a posting carries its other columns."""
-    ids = split_literal(F.col("department_ids"), V.LIST_SEPARATOR)
-    carried = [c for c in openings.columns if c not in ("id", "source", "run_id", "department_ids")]
-    narrow = openings.select("id", "source", "run_id", F.struct(*carried).alias("_posting"), ids.alias("_ids"))
-    slots = entries(narrow, "_ids", "_place", "department_id").drop("_ids")
+    own = ["id", "source", "run_id"]
+    carried = [c for c in UNIFIED.names if c in openings.columns and c not in own]
+    listed = openings.select(
+        *own,
+        F.struct(*carried).alias("_posting"),
+        split_literal(F.col("department_ids"), V.LIST_SEPARATOR).alias("_ids"),
+    )
+    slots = entries(listed, "_ids", "_place", "department_id").drop("_ids")
     return slots.withColumn("_posting", F.when(F.col("_place") == 0, F.col("_posting")))
 
 

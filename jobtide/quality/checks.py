@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as V
-from jobtide.functions import normalise_url
-from jobtide.operators.aggregates import count_by, distinct_count_by, lifespan
+from jobtide.functions import days_active, normalise_url
+from jobtide.operators.aggregates import count_by, distinct_count_by
 from jobtide.operators.dedupe import first_daily
 from jobtide.operators.joins import count_mismatch, unmatched_both, value_mismatch
 from jobtide.operators.setops import union_counts
@@ -93,14 +93,12 @@ def returning_by_days(mart: DataFrame) -> DataFrame:
 
 def returning(mart: DataFrame) -> DataFrame:
     """Links seen on fewer days than they were open: they vanished and came back."""
-    days = distinct_count_by(mart, ["full_opening_link"], "created_date_utc", "days_seen")
-    spans = lifespan(mart, "full_opening_link", "created_date_utc").select(
-        "full_opening_link",
-        (F.datediff("latest_opening_date", "earliest_opening_date") + 1)
-        .cast("bigint")
-        .alias("days_active"),
+    day = "created_date_utc"
+    links = mart.groupBy("full_opening_link").agg(
+        F.count_distinct(day).alias("days_seen"),
+        days_active(F.min(day), F.max(day)).alias("days_active"),
     )
-    return count_mismatch(days, spans, ["full_opening_link"], "days_seen", "days_active")
+    return links.where("days_seen < days_active")
 
 
 def raw_link_counts(raw: dict[str, DataFrame]) -> DataFrame:

@@ -7,37 +7,19 @@ or unknown departments and locations. Work grows with the events; nation and reg
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from jobtide.fixed_values import PATH_SEPARATOR
 from jobtide.schemas import GIVEN, RAW
 
 AS_OF = date(2024, 1, 30)
 AS_OF_EPOCH = 1706572800
 
-_TITLES = {
-    "signup": "Data Engineer",
-    "error": "Software Engineer",
-    "view": "Product Manager",
-    "click": "Accounting Analyst",
-    "purchase": "Senior Account Executive",
-}
-_TYPES = ["click", "error", "purchase", "signup", "view"]
-_EMPLOYMENT = ["FullTime", "PartTime", "Intern", "Contract", "Temporary"]
-_WORKPLACES = ["Remote", "On-site", "Hybrid"]
-
-
-def _text(*parts) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
-
-
-def _one_in(n: int, offset: int = 0) -> Column:
-    return F.col("event_id") % n == offset
-
-
-def _chosen(index: Column, values: list[str]) -> Column:
-    return F.get(F.array(*map(F.lit, values)), index.cast("int"))
+_DAY = "datediff(to_date(ts), DATE'2024-01-01')"
+_TITLE = """CASE event_type WHEN 'signup' THEN 'Data Engineer' WHEN 'error' THEN 'Software Engineer'
+    WHEN 'view' THEN 'Product Manager' WHEN 'click' THEN 'Accounting Analyst'
+    WHEN 'purchase' THEN 'Senior Account Executive' END"""
+_LOCATION = """CASE WHEN event_id % 19 = 0 THEN NULL
+    WHEN event_id % 6 = 0 THEN 'Remote - ' || n_name ELSE n_name END"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,364 +29,260 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sightings(spark: SparkSession, sf_dir: str, provider: int) -> DataFrame:
     """Events of one provider's companies as sightings, with the names of their place."""
-    ts, user = F.col("ts"), F.col("user_id")
-    events = table(spark, sf_dir, "events").where(user % 4 == provider)
-    day = F.datediff(F.to_date(ts), F.lit("2024-01-01").cast("date"))
-    seconds = (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("bigint")
-    days_back = (29 - day) * (1 + user % 5)
-    seen = (
-        events.where(~((user % 10 == 1) & (day < 24)))
-        .select(
-            "event_id",
-            "user_id",
-            "event_type",
-            (user % 20).alias("company"),
-            (user % 25).cast("int").alias("n_nationkey"),
-            _text(user, "-", F.col("event_type")).alias("posting"),
-            F.date_sub(F.lit(AS_OF), days_back.cast("int")).alias("seen_on"),
-            (AS_OF_EPOCH - days_back * 86400 + seconds).alias("seen_at"),
-            F.floor(F.hour(ts) / 12).alias("half"),
-        )
-        .withColumn("run_id", F.col("seen_on").cast("string"))
-        .withColumn("record_id", _text(F.col("posting"), "-", F.col("run_id"), "-", F.col("half")))
-        .withColumn("title", F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in _TITLES.items()]))
+    events = table(spark, sf_dir, "events").where(
+        f"user_id % 4 = {provider} AND NOT (user_id % 10 = 1 AND {_DAY} < 24)"
     )
-    nations = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
-    places = nations.join(table(spark, sf_dir, "region"), "r_regionkey")
-    return seen.join(places, "n_nationkey")
-
-
-def _location() -> Column:
-    away = F.when(_one_in(6), _text("Remote - ", F.col("n_name"))).otherwise(F.col("n_name"))
-    return F.when(~_one_in(19), away)
-
-
-def _raw(df: DataFrame, name: str, **columns: Column) -> DataFrame:
-    known = {"raw_file": F.lit(None), "existing_used": _one_in(3), **columns}
-    return df.select(
-        *[known.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in RAW[name]]
+    seen = events.selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "user_id % 20 AS company",
+        "CAST(user_id % 25 AS INT) AS n_nationkey",
+        "user_id || '-' || event_type AS posting",
+        f"(29 - {_DAY}) * (1 + user_id % 5) AS days_back",
+        "CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT) AS seconds",
+        "hour(ts) div 12 AS half",
+        f"{_TITLE} AS title",
+    ).selectExpr(
+        "*",
+        f"{AS_OF_EPOCH} - days_back * 86400 + seconds AS seen_at",
+        f"CAST(date_sub(DATE'{AS_OF}', CAST(days_back AS INT)) AS STRING) AS run_id",
     )
-
-
-def _seen(**columns: Column) -> dict[str, Column]:
-    return {
-        "id": F.col("event_id"),
-        "created_at": F.col("seen_at"),
-        "updated_at": F.col("seen_at"),
-        **columns,
-    }
-
-
-# greenhouse: companies 0, 4, 8, 12 and 16; 4 and 12 on the newer host, 16 embedded
-
-
-def _greenhouse_source() -> Column:
-    company = F.col("company")
-    return (
-        F.when(company % 8 == 4, _text("https://job-boards.greenhouse.io/company", company))
-        .when(company == 16, _text("https://boards.greenhouse.io/embed/job_board?for=company", company))
-        .otherwise(_text("https://boards.greenhouse.io/company", company))
+    places = (
+        table(spark, sf_dir, "nation")
+        .withColumnRenamed("n_regionkey", "r_regionkey")
+        .join(table(spark, sf_dir, "region"), "r_regionkey")
+    )
+    named = seen.selectExpr("*", "posting || '-' || run_id || '-' || half AS record_id")
+    return named.join(places, "n_nationkey")
+
+
+def _raw(df: DataFrame, name: str, **columns: str) -> DataFrame:
+    """A raw table's columns, each from its expression or else the column of that name."""
+    known = {"raw_file": "NULL", "existing_used": "event_id % 3 = 0", **columns}
+    return df.selectExpr(
+        *[
+            f"CAST({known.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in RAW[name]
+        ]
     )
 
 
-def _greenhouse_link() -> Column:
-    path = _text("/company", F.col("company"), "/jobs/", F.col("posting"))
-    relative = F.col("company").isin(0, 8)
-    return F.when(relative, path).otherwise(_text("https://job-boards.greenhouse.io", path))
-
-
-def _region_department(region: Column) -> Column:
-    return _text(F.col("company") * 100 + region)
-
-
-def _nation_department() -> Column:
-    return _text(F.col("company") * 100 + 50 + F.col("n_nationkey"))
+_SEEN = {"id": "event_id", "created_at": "seen_at", "updated_at": "seen_at"}
 
+# greenhouse: companies 0, 4, 8, 12 and 16; 4 and 12 on the newer host, 16 embedded
 
-def _type_department() -> Column:
-    place = F.array_position(F.array(*map(F.lit, _TYPES)), F.col("event_type"))
-    return _text(F.col("company") * 100 + 80 + place)
+_GREENHOUSE_SOURCE = """CASE
+    WHEN company % 8 = 4 THEN 'https://job-boards.greenhouse.io/company' || company
+    WHEN company = 16 THEN 'https://boards.greenhouse.io/embed/job_board?for=company' || company
+    ELSE 'https://boards.greenhouse.io/company' || company END"""
+_REGION_DEPARTMENT = "(company * 100 + r_regionkey)"
+_NEXT_REGION_DEPARTMENT = "(company * 100 + (r_regionkey + 1) % 5)"
+_NATION_DEPARTMENT = "(company * 100 + 50 + n_nationkey)"
+_TYPE_DEPARTMENT = """(company * 100 + 80
+    + array_position(array('click', 'error', 'purchase', 'signup', 'view'), event_type))"""
+_BOTH_DEPARTMENTS = f"{_REGION_DEPARTMENT} || ',' || {_NATION_DEPARTMENT}"
 
 
 def greenhouse_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    region = F.col("r_regionkey")
-    both = _text(_region_department(region), ",", _nation_department())
-    department_ids = (
-        F.when(_one_in(11), F.lit(None))
-        .when(_one_in(17), "")
-        .when(_one_in(13), _text(both, ",999999"))
-        .when(_one_in(7), _text(both, ",", _region_department((region + 1) % 5)))
-        .when(_one_in(5), _text(both, ",", _type_department()))
-        .otherwise(both)
-    )
     return _raw(
         sightings(spark, sf_dir, 0),
         "greenhouse_openings",
-        **_seen(
-            source=_greenhouse_source(),
-            department_ids=department_ids,
-            location=_location(),
-            office_ids=_text("o", F.col("n_nationkey")),
-            opening_link=_greenhouse_link(),
-            opening_title=F.col("title"),
-        ),
+        **_SEEN,
+        source=_GREENHOUSE_SOURCE,
+        department_ids=f"""CASE WHEN event_id % 11 = 0 THEN NULL
+            WHEN event_id % 17 = 0 THEN ''
+            WHEN event_id % 13 = 0 THEN {_BOTH_DEPARTMENTS} || ',999999'
+            WHEN event_id % 7 = 0 THEN {_BOTH_DEPARTMENTS} || ',' || {_NEXT_REGION_DEPARTMENT}
+            WHEN event_id % 5 = 0 THEN {_BOTH_DEPARTMENTS} || ',' || {_TYPE_DEPARTMENT}
+            ELSE {_BOTH_DEPARTMENTS} END""",
+        location=_LOCATION,
+        office_ids="'o' || n_nationkey",
+        opening_link="""if(company IN (0, 8), '', 'https://job-boards.greenhouse.io')
+            || '/company' || company || '/jobs/' || posting""",
+        opening_title="title",
     )
 
 
 def greenhouse_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Departments a crawl's postings refer to; some are listed twice, some much too early."""
-
-    def level(n: int, department_id: Column, name: str) -> Column:
-        return F.struct(
-            F.lit(n).alias("level"),
-            department_id.alias("department_id"),
-            F.col(name).alias("department_name"),
-        )
-
-    named = sightings(spark, sf_dir, 0).select(
+    named = sightings(spark, sf_dir, 0).selectExpr(
         "event_id",
         "seen_at",
         "run_id",
-        _text("company", F.col("company")).alias("company_name"),
-        _greenhouse_source().alias("source"),
-        F.inline(
-            F.array(
-                level(0, _region_department(F.col("r_regionkey")), "r_name"),
-                level(1, _nation_department(), "n_name"),
-                level(2, _type_department(), "event_type"),
-            )
-        ),
+        "'company' || company AS company_name",
+        f"{_GREENHOUSE_SOURCE} AS source",
+        f"""stack(3, 0, {_REGION_DEPARTMENT}, r_name, 1, {_NATION_DEPARTMENT}, n_name,
+            2, {_TYPE_DEPARTMENT}, event_type) AS (level, number, department_name)""",
+    )
+    once = _first_listed(
+        named, "run_id", "company_name", "source", "level", "number", "department_name"
     )
-    once = named.groupBy(
-        "run_id", "company_name", "source", "level", "department_id", "department_name"
-    ).agg(F.min("event_id").alias("event_id"), F.min("seen_at").alias("seen_at"))
-    number = F.col("department_id").cast("bigint")
-    copies = F.when(number % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    listed = once.withColumn("copy", F.explode(copies))
-    again = F.col("copy") == 1
+    listed = once.selectExpr("*", "explode(if(number % 3 = 0, array(0, 1), array(0))) AS copy")
     return _raw(
         listed,
         "greenhouse_departments",
-        id=F.col("event_id") * 10 + F.col("level") + F.col("copy") * 5,
-        record_id=_text(
-            F.col("run_id"),
-            "-",
-            F.col("department_id"),
-            F.when(again & (number % 9 != 0), "-again").otherwise(""),
-        ),
-        created_at=F.col("seen_at"),
-        updated_at=F.when(again & (number % 8 == 7), F.lit(1684500000)).otherwise(
-            F.col("seen_at") + F.col("copy") * 60
-        ),
-        department_category=_text("level-", F.col("level")),
+        id="event_id * 10 + level + copy * 5",
+        record_id="run_id || '-' || number || if(copy = 1 AND number % 9 <> 0, '-again', '')",
+        created_at="seen_at",
+        updated_at="if(copy = 1 AND number % 8 = 7, 1684500000, seen_at + copy * 60)",
+        department_category="'level-' || level",
+        department_id="number",
     )
 
 
-# lever: companies 1, 5, 9, 13 and 17
+def _first_listed(named: DataFrame, *keys: str) -> DataFrame:
+    return named.groupBy(*keys).agg({"event_id": "min", "seen_at": "min"}).selectExpr(
+        *keys, "`min(event_id)` AS event_id", "`min(seen_at)` AS seen_at"
+    )
 
 
-def _lever_source() -> Column:
-    return _text("https://jobs.lever.co/company", F.col("company"))
+# lever: companies 1, 5, 9, 13 and 17
 
 
 def lever_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dash = f" {PATH_SEPARATOR} "
-    region, nation = F.col("r_name"), F.col("n_name")
-    short = _text(region, dash, nation)
-    longer = _text(short, dash, F.col("event_type"))
-    deep = _text(longer, dash, "Team-", F.col("user_id") % 3, dash, "Extra")
-    department_names = (
-        F.when(_one_in(11), F.lit(None))
-        .when(_one_in(17), "")
-        .when(_one_in(13), region)
-        .when(_one_in(7), deep)
-        .when(_one_in(5), longer)
-        .otherwise(short)
-    )
-    workplace = F.when(~_one_in(19), _chosen(F.col("event_id") % 3, _WORKPLACES))
     return _raw(
         sightings(spark, sf_dir, 1),
         "lever_openings",
-        **_seen(
-            source=_lever_source(),
-            company_name=_text("company", F.col("company")),
-            department_names=department_names,
-            location=_location(),
-            opening_link=_text(_lever_source(), "/", F.col("posting")),
-            opening_title=F.col("title"),
-            workplace_type=workplace,
-        ),
+        **_SEEN,
+        source="'https://jobs.lever.co/company' || company",
+        company_name="'company' || company",
+        department_names="""CASE WHEN event_id % 11 = 0 THEN NULL
+            WHEN event_id % 17 = 0 THEN ''
+            WHEN event_id % 13 = 0 THEN r_name
+            WHEN event_id % 7 = 0
+                THEN concat_ws(' – ', r_name, n_name, event_type, 'Team-' || (user_id % 3), 'Extra')
+            WHEN event_id % 5 = 0 THEN concat_ws(' – ', r_name, n_name, event_type)
+            ELSE concat_ws(' – ', r_name, n_name) END""",
+        location=_LOCATION,
+        opening_link="'https://jobs.lever.co/company' || company || '/' || posting",
+        opening_title="title",
+        workplace_type="""if(event_id % 19 = 0, NULL,
+            get(array('Remote', 'On-site', 'Hybrid'), CAST(event_id % 3 AS INT)))""",
     )
 
 
 # ashby: companies 2, 6, 10, 14 and 18; some names hold a space
 
-
-def _ashby_header() -> dict[str, Column]:
-    company = F.col("company")
-    spaced = company % 8 == 2
-    return {
-        "company_name": F.when(spaced, _text("company ", company)).otherwise(_text("company", company)),
-        "board_source": _text(
-            "https://jobs.ashbyhq.com/company", F.when(spaced, "%20").otherwise(""), company
-        ),
-    }
-
-
-def _region_team() -> Column:
-    return _text("c", F.col("company"), "-r", F.col("r_regionkey"))
-
-
-def _nation_team() -> Column:
-    return _text("c", F.col("company"), "-n", F.col("n_nationkey"))
+_ASHBY_COMPANY = "if(company % 8 = 2, 'company ', 'company') || company"
+_ASHBY_SOURCE = "'https://jobs.ashbyhq.com/company' || if(company % 8 = 2, '%20', '') || company"
+_REGION_TEAM = "'c' || company || '-r' || r_regionkey"
+_NATION_TEAM = "'c' || company || '-n' || n_nationkey"
 
 
 def ashby_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    header = _ashby_header()
-    team = F.when(_one_in(13), "missing").when(_one_in(7), _region_team()).otherwise(_nation_team())
     return _raw(
         sightings(spark, sf_dir, 2),
         "ashby_openings",
-        **_seen(
-            **header,
-            opening_id=F.col("posting"),
-            opening_name=F.col("title"),
-            department_id=team,
-            location_id=_text("n", F.col("n_nationkey")),
-            location_name=F.col("n_name"),
-            employment_type=_chosen(F.col("event_id") % 5, _EMPLOYMENT),
-            compensation_tier=F.when(~_one_in(4), _text("$", 50 + F.col("event_id") % 100, "K")),
-            opening_link=_text(header["board_source"], "/", F.col("posting")),
-        ),
+        **_SEEN,
+        company_name=_ASHBY_COMPANY,
+        board_source=_ASHBY_SOURCE,
+        opening_id="posting",
+        opening_name="title",
+        department_id=f"""CASE WHEN event_id % 13 = 0 THEN 'missing'
+            WHEN event_id % 7 = 0 THEN {_REGION_TEAM} ELSE {_NATION_TEAM} END""",
+        location_id="'n' || n_nationkey",
+        location_name="n_name",
+        employment_type="""get(array('FullTime', 'PartTime', 'Intern', 'Contract', 'Temporary'),
+            CAST(event_id % 5 AS INT))""",
+        compensation_tier="if(event_id % 4 = 0, NULL, '$' || (50 + event_id % 100) || 'K')",
+        opening_link=f"{_ASHBY_SOURCE} || '/' || posting",
     )
 
 
 def ashby_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Teams a crawl's postings refer to; nations are renamed from the middle of the month on."""
-    renamed = F.when(F.col("run_id") >= "2024-01-15", _text(F.col("n_name"), " Team"))
-
-    def team(kind: int, team_id: Column, name: Column, parent: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            team_id.alias("department_id"),
-            name.alias("department_name"),
-            parent.alias("parent_department_id"),
-        )
-
-    header = _ashby_header()
-    named = sightings(spark, sf_dir, 2).select(
+    named = sightings(spark, sf_dir, 2).selectExpr(
         "event_id",
         "seen_at",
         "run_id",
-        *[c.alias(name) for name, c in header.items()],
-        F.inline(
-            F.array(
-                team(0, _region_team(), F.col("r_name"), F.lit(None).cast("string")),
-                team(1, _nation_team(), F.coalesce(renamed, F.col("n_name")), _region_team()),
-            )
-        ),
+        f"{_ASHBY_COMPANY} AS company_name",
+        f"{_ASHBY_SOURCE} AS board_source",
+        f"""stack(2, 0, {_REGION_TEAM}, r_name, NULL,
+            1, {_NATION_TEAM}, n_name || if(run_id >= '2024-01-15', ' Team', ''), {_REGION_TEAM})
+            AS (kind, department_id, department_name, parent_department_id)""",
     )
     keys = [c for c in named.columns if c not in ("event_id", "seen_at")]
-    once = named.groupBy(*keys).agg(
-        F.min("event_id").alias("event_id"), F.min("seen_at").alias("seen_at")
+    listed = _first_listed(named, *keys).selectExpr(
+        "*", "explode(if(event_id % 3 = 0, array(0, 1), array(0))) AS copy"
     )
-    copies = F.when(_one_in(3), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return _raw(
-        once.withColumn("copy", F.explode(copies)),
+        listed,
         "ashby_departments",
-        id=F.col("event_id") * 10 + F.col("kind") + F.col("copy") * 5,
-        record_id=_text(F.col("run_id"), "-", F.col("department_id")),
-        created_at=F.col("seen_at"),
-        updated_at=F.col("seen_at") + F.col("copy") * 60,
+        id="event_id * 10 + kind + copy * 5",
+        record_id="run_id || '-' || department_id",
+        created_at="seen_at",
+        updated_at="seen_at + copy * 60",
     )
 
 
 def ashby_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No, one or two further locations per sighting."""
-    seen = sightings(spark, sf_dir, 2).where(~_one_in(3)).drop("n_name")
-    children = seen.withColumn("place", F.explode(F.sequence(F.lit(1), (F.col("event_id") % 3).cast("int"))))
-    further = children.withColumn("further", (F.col("n_nationkey") + F.col("place")) % 25)
-    names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("further"), "n_name")
-    remote = (F.col("place") == 1) & _one_in(8)
+    places = "explode(sequence(1, CAST(event_id % 3 AS INT))) AS place"
+    seen = sightings(spark, sf_dir, 2).where("event_id % 3 > 0").drop("n_name")
+    further = seen.selectExpr("*", places).selectExpr("*", "(n_nationkey + place) % 25 AS further")
+    names = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS further", "n_name")
     return _raw(
         further.join(names, "further"),
         "ashby_locations",
-        **_seen(
-            **_ashby_header(),
-            id=F.col("event_id") * 10 + F.col("place"),
-            record_id=_text(F.col("record_id"), "-", F.col("place")),
-            opening_id=F.col("posting"),
-            secondary_location_id=_text("n", F.col("further")),
-            secondary_location_name=F.when(remote, _text("Remote - ", F.col("n_name"))).otherwise(
-                F.col("n_name")
-            ),
-        ),
+        **{**_SEEN, "id": "event_id * 10 + place"},
+        record_id="record_id || '-' || place",
+        company_name=_ASHBY_COMPANY,
+        board_source=_ASHBY_SOURCE,
+        opening_id="posting",
+        secondary_location_id="'n' || further",
+        secondary_location_name="if(place = 1 AND event_id % 8 = 0, 'Remote - ', '') || n_name",
     )
 
 
 # rippling: companies 3, 7, 11, 15 and 19
 
-
-def _rippling_source() -> Column:
-    return _text("https://api.rippling.com/boards/company", F.col("company"), "/jobs")
+_RIPPLING_SOURCE = "'https://api.rippling.com/boards/company' || company || '/jobs'"
 
 
 def rippling_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return _raw(
         sightings(spark, sf_dir, 3),
         "rippling_openings",
-        id=F.col("event_id"),
-        job_id=F.col("posting"),
-        created_at=F.timestamp_add("SECOND", F.col("seen_at"), zero),
-        url=_text("https://ats.rippling.com/company", F.col("company"), "/jobs/", F.col("posting")),
-        location=_location(),
-        board_token=_text("company", F.col("company")),
-        department=F.col("r_name"),
-        api_endpoint=_rippling_source(),
+        id="event_id",
+        job_id="posting",
+        created_at="timestampadd(SECOND, seen_at, TIMESTAMP_NTZ'1970-01-01 00:00:00')",
+        url="'https://ats.rippling.com/company' || company || '/jobs/' || posting",
+        location=_LOCATION,
+        board_token="'company' || company",
+        department="r_name",
+        api_endpoint=_RIPPLING_SOURCE,
     )
 
 
 def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A board per company but for one, plus two boards without postings, one of them disabled."""
-    user = F.col("user_id")
-    companies = (
-        table(spark, sf_dir, "events")
-        .select((user % 20).alias("company"))
-        .where(F.col("company") != 19)
-        .distinct()
-    )
-    company = F.col("company")
-    url = (
-        F.when(company % 4 == 0, _greenhouse_source())
-        .when(company % 4 == 1, _lever_source())
-        .when(company % 4 == 2, _ashby_header()["board_source"])
-        .otherwise(_rippling_source())
-    )
-    slash = F.when(company % 6 == 1, "/").otherwise("")
-    providers = ["greenhouse", "lever", "ashby", "rippling"]
+    companies = table(spark, sf_dir, "events").selectExpr("user_id % 20 AS company").distinct()
     known = _raw(
-        companies,
+        companies.where("company <> 19"),
         "boards",
-        id=company * 2 + 1,
-        url=F.concat(url, slash),
-        is_enabled=company != 7,
-        is_prospect=company % 2 == 0,
-        is_web_scraped=company % 4 < 2,
-        job_board_provider=_chosen(company % 4, providers),
-        board_token=_text("company", company),
+        id="company * 2 + 1",
+        url=f"""CASE company % 4 WHEN 0 THEN {_GREENHOUSE_SOURCE}
+            WHEN 1 THEN 'https://jobs.lever.co/company' || company
+            WHEN 2 THEN {_ASHBY_SOURCE} ELSE {_RIPPLING_SOURCE} END
+            || if(company % 6 = 1, '/', '')""",
+        is_enabled="company <> 7",
+        is_prospect="company % 2 = 0",
+        is_web_scraped="company % 4 < 2",
+        job_board_provider="""get(array('greenhouse', 'lever', 'ashby', 'rippling'),
+            CAST(company % 4 AS INT))""",
+        board_token="'company' || company",
     )
-    region = F.col("r_regionkey")
     quiet = _raw(
-        table(spark, sf_dir, "region").where(region < 2),
+        table(spark, sf_dir, "region").where("r_regionkey < 2"),
         "boards",
-        id=100 + region,
-        url=_text("https://jobs.lever.co/quiet", region),
-        is_enabled=region == 0,
-        is_prospect=F.lit(False),
-        is_web_scraped=F.lit(True),
-        job_board_provider=F.lit("lever"),
-        board_token=_text("quiet", region),
+        id="100 + r_regionkey",
+        url="'https://jobs.lever.co/quiet' || r_regionkey",
+        is_enabled="r_regionkey = 0",
+        is_prospect="false",
+        is_web_scraped="true",
+        job_board_provider="'lever'",
+        board_token="'quiet' || r_regionkey",
     )
     return known.unionByName(quiet)
 

@@ -240,3 +240,52 @@ def test_two_keys_shuffle_only_the_winners(hot):
 def test_grouped_counts_shuffle_one_row_per_key_and_task(hot):
     assert sum(shuffled_rows(aggregates.lifespan(hot, "k", "v"))) <= 1001 + 8
     assert max(shuffled_rows(aggregates.distinct_count_by(hot, ["k"], "v", "n"))) <= 1000 + 8 * 50
+
+
+@pytest.fixture
+def skew_splitting(spark):
+    """Thresholds low enough for small data, and no broadcast."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for name, value in low.items():
+        spark.conf.set(name, value)
+    yield
+    for name in low:
+        spark.conf.unset(name)
+
+
+@pytest.fixture
+def hot_links(spark):
+    link = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 5000).cast("string"))
+    return spark.range(0, 60_000, 1, 6).select(
+        "id", link.alias("link"), (F.col("id") % 77).alias("day"), F.sha2(F.hex("id"), 256).alias("rest")
+    )
+
+
+def test_joins_with_a_grouped_side_split_hot_keys(skew_splitting, hot_links):
+    spanned = joins.with_lifespan(hot_links, "link", "day")
+    assert len(spanned.collect()) == 60_000
+    assert "skew=true" in plan(spanned)
+    counted = aggregates.count_by(hot_links, ["link"], "n")
+    looked_up = joins.left_lookup(hot_links, counted, ["link"])
+    assert looked_up.where("link = 'hot' and n = 20000").count() == 20_000
+    looked_up.collect()
+    assert "skew=true" in plan(looked_up)
+
+
+def test_board_and_team_joins_split_hot_keys(spark, skew_splitting, hot_links):
+    boards = spark.createDataFrame([(1, "hot/", True), (2, "7", True)], "id long, url string, ok boolean")
+    kept = joins.on_boards(hot_links, boards, F.col("ok"), "link")
+    assert len(kept.collect()) == 20_000 + 8
+    assert "skew=true" in plan(kept)
+    teams = hot_links.where("id < 4000").selectExpr(
+        "id", "day AS at", "link AS department_id", "rest AS department_name", "'hot' AS parent_department_id"
+    )
+    items = hot_links.withColumnRenamed("link", "department_id")
+    placed = joins.hierarchy_path(items, teams, ["at", "id"])
+    assert len(placed.collect()) == 60_000
+    assert "skew=true" in plan(placed)
