@@ -6,6 +6,8 @@ others, in front of it. The tables of the data folder are views of the same name
 
 import re
 
+from jobtide.quality.declared import MART_CHECKS, RAW_CHECKS, STAGED_CHECKS
+
 CTES = {}
 ORACLES = {}
 
@@ -1012,6 +1014,47 @@ FROM ({failing})"""
     ),
 )
 
+def _declared(checks, tables):
+    rows = []
+
+    def row(name, check, column, failures, severity="error"):
+        rows.append(
+            f"""SELECT '{name}' AS dataset, '{check}' AS check_name, '{column}' AS column_name, failures,
+       CASE WHEN failures > 0 THEN '{severity}' ELSE 'pass' END AS verdict FROM ({failures})"""
+        )
+
+    for name, d in checks.items():
+        table = tables[name]
+        row(name, "columns match", "", "SELECT CAST(0 AS BIGINT) AS failures")
+        for column in [*d.filled, *d.filled_warn]:
+            nulls = f"SELECT count(*) - count({column}) AS failures FROM {table}"
+            row(name, "not null", column, nulls, "error" if column in d.filled else "warn")
+        for column in [*d.unique, *d.unique_where]:
+            where = d.unique_where.get(column, "true")
+            repeated = f"SELECT {column} FROM {table} WHERE {column} IS NOT NULL AND {where} GROUP BY 1 HAVING count(*) > 1"
+            row(name, "unique", column, f"SELECT count(*) AS failures FROM ({repeated})")
+        for column, values in {**d.accepted, **d.accepted_warn}.items():
+            known = ", ".join(f"'{v}'" for v in values)
+            other = f"SELECT count(DISTINCT {column}) AS failures FROM {table} WHERE {column} NOT IN ({known})"
+            row(name, "accepted values", column, other, "error" if column in d.accepted else "warn")
+    return " UNION ALL ".join(rows)
+
+
+oracle("declared_checks_raw", _declared(RAW_CHECKS, {name: name for name in RAW_CHECKS}))
+oracle("declared_checks_staged", _declared(STAGED_CHECKS, {n: f"staged_{n}" for n in STAGED_CHECKS}))
+oracle(
+    "declared_checks_marts",
+    _declared(
+        MART_CHECKS,
+        {
+            "all_postings": "mart",
+            "active_postings": "active",
+            "active_selected": "selected",
+            "active_prospect": "prospect",
+        },
+    ),
+)
+
 # L: datasets
 
 for _name in (

@@ -10,7 +10,7 @@ from jobtide import fixed_values as V
 from jobtide import functions as C
 from jobtide.operators import aggregates, dedupe, joins, reshape, setops
 from jobtide.plans import build, marts, staging, unify
-from jobtide.quality import checks
+from jobtide.quality import checks, declared
 from jobtide.schemas import LOADED_AT, MART_COLUMNS, RAW
 from jobtide.sinks import storage
 from jobtide.sinks.scratch import shared_folder, stored
@@ -165,10 +165,7 @@ def _by_load_time(spark, sf, pick):
         for name, make in E.TABLES.items()
         if name in LOADED_AT
     ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    return setops.union_all(*frames)
 
 
 @query
@@ -195,10 +192,7 @@ def retained_rows(spark, sf):
 def published_layers(spark, sf):
     marts_built = build.build(E.raw_tables(spark, sf), _folder(spark), E.AS_OF)
     tagged = [df.withColumn("mart", F.lit(name)) for name, df in marts_built.items()]
-    result = tagged[0]
-    for frame in tagged[1:]:
-        result = result.unionByName(frame)
-    return result
+    return setops.union_all(*tagged)
 
 
 # B: projections, filters, derived columns
@@ -287,10 +281,9 @@ def length_bucket(spark, sf):
 @query
 def opening_category(spark, sf):
     """Categories of documents: source and language stand for departments, the text for a title."""
-    return E.table(spark, sf, "documents").select(
-        "doc_id",
-        C.categorise([F.col("source"), F.col("lang")], F.col("text")).alias("opening_category"),
-    )
+    text = C.searchable([F.col("source"), F.col("lang")], F.col("text")).alias("searchable")
+    documents = E.table(spark, sf, "documents").select("doc_id", text)
+    return documents.select("doc_id", C.categorise(F.col("searchable")).alias("opening_category"))
 
 
 @query
@@ -553,10 +546,7 @@ def check_freshness(spark, sf):
             fresh.withColumn("table_name", F.lit(f"{name} today")),
             stale.withColumn("table_name", F.lit(f"{name} later")),
         ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    return setops.union_all(*frames)
 
 
 @query
@@ -626,6 +616,31 @@ def check_verdicts(spark, sf):
     )
 
 
+@query
+def declared_checks_raw(spark, sf):
+    return declared.run_all(E.raw_tables(spark, sf), declared.RAW_CHECKS)
+
+
+@query
+def declared_checks_staged(spark, sf):
+    staged = {
+        name: stored(_staged(spark, sf, name), f"staged_{name}") for name in declared.STAGED_CHECKS
+    }
+    return declared.run_all(staged, declared.STAGED_CHECKS)
+
+
+@query
+def declared_checks_marts(spark, sf):
+    mart, boards = stored(_mart(spark, sf), "mart"), E.boards(spark, sf)
+    frames = {
+        "all_postings": mart,
+        "active_postings": marts.active_postings(mart),
+        "active_selected": marts.active_selected(mart, boards),
+        "active_prospect": marts.active_prospect(mart, boards),
+    }
+    return declared.run_all(frames, declared.MART_CHECKS)
+
+
 # L: datasets
 
 

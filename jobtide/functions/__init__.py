@@ -6,8 +6,9 @@ from jobtide.functions.classify import (
     is_active,
     is_remote,
     length_bucket,
+    searchable,
 )
-from jobtide.functions.dates import day_of, epoch_to_utc, is_before
+from jobtide.functions.dates import day_of, epoch_to_utc
 from jobtide.functions.keys import keyed_id, namespaced_id, skipping_concat
 from jobtide.functions.text import (
     blank_to_null,
@@ -39,7 +40,6 @@ __all__ = [
     "first_word",
     "full_link",
     "is_active",
-    "is_before",
     "is_full_link",
     "is_remote",
     "keyed_id",
@@ -49,6 +49,7 @@ __all__ = [
     "normalise_url",
     "page_company",
     "provider_of",
+    "searchable",
     "skipping_concat",
     "split_literal",
     "token_company",

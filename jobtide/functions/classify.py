@@ -32,16 +32,19 @@ def length_bucket(active: Column, days: Column, buckets=V.LENGTH_BUCKETS) -> Col
     return branch.otherwise(V.LENGTH_SHORTEST)
 
 
-def _any(conditions) -> Column:
-    return reduce(Column.__or__, conditions)
+def searchable(departments: list[Column], title: Column) -> Column:
+    """Departments and title in lower case, a line each and the title last, to look words up in.
 
+    A frame should hold this as a column, so that it is worked out once per row.
+    """
+    return F.lower(F.concat_ws("\n", *departments, F.coalesce(title, F.lit(""))))
 
-def categorise(departments: list[Column], title: Column, rules=V.CATEGORY_RULES) -> Column:
-    """First rule with one of its words in a department or the title, or an ending of the title."""
-    texts = [F.lower(c) for c in [*departments, title]]
+
+def categorise(text: Column, rules=V.CATEGORY_RULES) -> Column:
+    """First rule with one of its words in a ``searchable`` text, or an ending at its end."""
     branch = F
     for category, words, endings in rules:
-        hits = [text.contains(word) for text in texts for word in words]
-        hits += [F.lower(title).endswith(ending) for ending in endings]
-        branch = branch.when(_any(hits), category)
+        hits = [text.contains(word) for word in words]
+        hits += [text.endswith(ending) for ending in endings]
+        branch = branch.when(reduce(Column.__or__, hits), category)
     return branch.otherwise(V.CATEGORY_DEFAULT)

@@ -15,7 +15,3 @@ def epoch_to_utc(seconds: Column) -> Column:
 def day_of(timestamp: Column) -> Column:
     return F.to_date(timestamp)
 
-
-def is_before(timestamp: Column, seconds: int, epoch: bool) -> Column:
-    """Is the row older than the epoch second, for an epoch-typed or a timestamp-typed column?"""
-    return timestamp < (F.lit(seconds) if epoch else epoch_to_utc(F.lit(seconds)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as V
-from jobtide.functions import categorise, days_active, is_active, length_bucket
+from jobtide.functions import categorise, days_active, is_active, length_bucket, searchable
 from jobtide.operators.joins import on_boards, with_lifespan
 from jobtide.operators.setops import union_postings
 from jobtide.plans import staging, unify
@@ -56,13 +56,16 @@ def all_postings(unified: DataFrame, as_of: date | None = None) -> DataFrame:
             "days_active": days_active(
                 F.col("earliest_opening_date"), F.col("latest_opening_date")
             ),
+            "_text": searchable(
+                [F.col("primary_department"), F.col("secondary_department")],
+                F.col("opening_title"),
+            ),
         }
     )
-    departments = [F.col("primary_department"), F.col("secondary_department")]
     return lasting.withColumns(
         {
             "posting_length_category": length_bucket(F.col("is_active"), F.col("days_active")),
-            "opening_category": categorise(departments, F.col("opening_title")),
+            "opening_category": categorise(F.col("_text")),
         }
     ).select(*MART_COLUMNS)
 

@@ -1,7 +1,6 @@
 """Checks return their failing rows; ``verdict`` turns a number of those into pass, warn or error."""
 
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from jobtide.functions import days_active, normalise_url
 from jobtide.operators.aggregates import count_by, distinct_count_by
 from jobtide.operators.dedupe import first_daily
 from jobtide.operators.joins import count_mismatch, unmatched_both, value_mismatch
-from jobtide.operators.setops import union_counts
+from jobtide.operators.setops import union_all, union_counts
 
 _DAY_SECONDS = 86400
 
@@ -20,6 +19,12 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNull())
 
 
+def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Number of NULLs in each of the columns, a row per column from one pass over the rows."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return counts.unpivot([], columns, "column_name", "failures")
+
+
 def unique(df: DataFrame, col: str, where: str | Column | None = None) -> DataFrame:
     """Values that occur more than once, optionally among some rows only; NULL is ignored."""
     rows = df if where is None else df.where(where)
@@ -133,14 +138,17 @@ def verdict(
 ) -> DataFrame:
     """Number of failing rows and what it means; with severity ``warn`` it is never an error."""
     counted = failures.agg(F.count(F.lit(1)).alias("failures"))
+    return counted.withColumn("verdict", status(severity, warn_at, error_at))
+
+
+def status(severity: str, warn_at: int = 1, error_at: int = 1) -> Column:
+    """What the number in a column ``failures`` means."""
     number = F.col("failures")
-    status = F.when(number >= warn_at, "warn").otherwise("pass")
-    if severity == "error":
-        status = F.when(number >= error_at, "error").otherwise(status)
-    return counted.withColumn("verdict", status)
+    label = F.when(number >= warn_at, "warn").otherwise("pass")
+    return F.when(number >= error_at, "error").otherwise(label) if severity == "error" else label
 
 
 def verdicts(checks: dict[str, DataFrame]) -> DataFrame:
     """Verdict rows of several checks under their names."""
     named = [v.select(F.lit(name).alias("check_name"), "*") for name, v in checks.items()]
-    return reduce(DataFrame.unionByName, named)
+    return union_all(*named)

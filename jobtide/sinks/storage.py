@@ -6,11 +6,11 @@ ones, so a run day holding a third of the rows becomes many files of even size.
 
 from datetime import date, datetime, time, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.fixed_values import RETENTION_DAYS
-from jobtide.functions import epoch_to_utc, is_before
+from jobtide.functions import epoch_to_utc
 from jobtide.schemas import LOADED_AT, RAW
 
 LAYERS = {"staging": None, "intermediate": None, "marts": "core"}
@@ -33,20 +33,23 @@ def append_raw(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     dated.write.mode("append").partitionBy("run_date").format(fmt).save(path)
 
 
-def _is_old(name: str, cutoff: int):
+def _age(name: str, cutoff: int) -> tuple[Column, Column]:
+    """The column that dates a raw table, and the cutoff in its type; both plain for pushdown."""
     column = LOADED_AT[name]
     is_epoch = RAW[name][column].dataType.typeName() == "long"
-    return F.coalesce(is_before(F.col(column), cutoff, is_epoch), F.lit(False))
+    return F.col(column), F.lit(cutoff) if is_epoch else epoch_to_utc(F.lit(cutoff))
 
 
 def outdated(df: DataFrame, name: str, cutoff: int) -> DataFrame:
     """Rows of a raw table from before the cutoff."""
-    return df.where(_is_old(name, cutoff))
+    loaded, limit = _age(name, cutoff)
+    return df.where(loaded < limit)
 
 
 def retained(df: DataFrame, name: str, cutoff: int) -> DataFrame:
     """Rows to keep: at the cutoff, after it, or of unknown age."""
-    return df.where(~_is_old(name, cutoff))
+    loaded, limit = _age(name, cutoff)
+    return df.where((loaded >= limit) | loaded.isNull())
 
 
 def archive(df: DataFrame, name: str, cutoff: int, base: str, as_of: date) -> str:

@@ -127,6 +127,8 @@ def test_days_active(value):
         ("GTM", None, "Senior Account Executive", "Sales"),
         ("GTM", None, "Account Executive, West", "Other"),
         ("Account Executive", None, "Lead", "Other"),
+        (None, "Account Executive", None, "Other"),
+        ("Account", None, "Executive", "Other"),
         ("Finance", "Operations", "Lead", "Finance & Accounting"),
         (None, None, "Business Operations", "Operations"),
         (None, "Product", "Lead", "Product"),
@@ -134,6 +136,6 @@ def test_days_active(value):
     ],
 )
 def test_categorise(value, primary, secondary, title, category):
-    label = C.categorise([F.col("p"), F.col("s")], F.col("t"))
+    label = C.categorise(C.searchable([F.col("p"), F.col("s")], F.col("t")))
     assert value(label, p=primary, s=secondary, t=title) == category
     assert category in V.ACCEPTED["opening_category"]
