@@ -638,6 +638,22 @@ UNION ALL SELECT *, 'active_selected' FROM selected UNION ALL SELECT *, 'active_
 """,
 )
 
+oracle(
+    "landed_rows",
+    """
+SELECT 'lever' AS job_board, opening_link AS full_opening_link, CAST(make_timestamp(fetched_at * 1000000) AS DATE) AS created_date_utc,
+       opening_title, run_id
+FROM grouped_openings
+QUALIFY row_number() OVER (PARTITION BY opening_link, CAST(make_timestamp(fetched_at * 1000000) AS DATE)) = 1
+UNION ALL
+SELECT 'ashby', opening_link, CAST(make_timestamp(fetched_at * 1000000) AS DATE), opening_name, run_id
+FROM response_postings
+QUALIFY row_number() OVER (PARTITION BY opening_link, CAST(make_timestamp(fetched_at * 1000000) AS DATE)) = 1
+UNION ALL
+SELECT 'rippling', url, DATE '2024-01-30', title, run_id FROM rippling_openings
+""",
+)
+
 # B: projections, filters, derived columns
 
 oracle(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as V
 from jobtide import functions as C
 from jobtide.operators import aggregates, dedupe, joins, reshape, setops
-from jobtide.plans import build, marts, staging, unify
+from jobtide.plans import build, ingest, marts, staging, unify
 from jobtide.quality import checks, declared
 from jobtide.schemas import LOADED_AT, MART_COLUMNS, RAW
 from jobtide.sinks import storage
@@ -195,6 +195,24 @@ def published_layers(spark, sf):
     return setops.union_all(*tagged)
 
 
+@query
+def landed_rows(spark, sf):
+    """Pages and responses landed, read back and staged; without the ids the landing gave out."""
+    path = _folder(spark)
+    rows = ingest.page_rows(P.grouped_pages(spark, sf))
+    rows.update(ingest.response_rows(P.nested_responses(spark, sf), P.flat_responses(spark, sf)))
+    wanted = ("lever_openings", "ashby_openings", "rippling_openings")
+    ingest.land({name: rows[name] for name in wanted}, path, AS_OF_TIME)
+    landed = {name: tables.read_raw(spark, path, name) for name in wanted}
+    staged = [
+        staging.stage_lever(landed["lever_openings"]),
+        staging.stage_ashby(landed["ashby_openings"]),
+        staging.stage_rippling(landed["rippling_openings"]),
+    ]
+    shown = ["job_board", "full_opening_link", "created_date_utc", "opening_title", "run_id"]
+    return setops.union_all(*[df.select(*shown) for df in staged])
+
+
 # B: projections, filters, derived columns
 
 

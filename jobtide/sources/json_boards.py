@@ -5,6 +5,7 @@ A response row is (board, run_id, fetched_at, body); ``board`` is the board URL.
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.functions import blank_to_null, keyed_id, skipping_concat, token_company
 from jobtide.operators.reshape import concat_all_but_one, entries
@@ -25,18 +26,27 @@ _HEADER = [
 ]
 
 
+def _with_decoded(responses: DataFrame, schema: T.DataType, **options) -> DataFrame:
+    """Responses with their decoded body, parsed once per row.
+
+    Filters on the decoded body would be pushed down as copies of the parsing; they stop at the
+    one-entry list that is unfolded here.
+    """
+    decoded = F.array(F.from_json("body", schema, options))
+    return responses.select("*", F.explode_outer(decoded).alias("_decoded"))
+
+
 def _parsed(responses: DataFrame) -> DataFrame:
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
-    decoded = F.from_json("body", NESTED_BOARD, options)
-    return responses.withColumn("_decoded", decoded).select(
+    """Nested responses with their board and the reason why it cannot be used, if there is one."""
+    decoded = _with_decoded(
+        responses, NESTED_BOARD, mode="PERMISSIVE", columnNameOfCorruptRecord="broken"
+    )
+    boards = decoded.select(
         *responses.columns,
         F.col("_decoded.broken").alias("_broken"),
         F.col("_decoded.data.jobBoard").alias("_board"),
     )
-
-
-def _parsed_flat(responses: DataFrame) -> DataFrame:
-    return responses.withColumn("_postings", F.from_json("body", FLAT_BOARD))
+    return boards.withColumn("_reason", _reject_reason())
 
 
 def _incomplete(posting: Column) -> Column:
@@ -67,15 +77,16 @@ def _split(judged: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]
 
 def split_valid(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nested responses worth decoding, and the others with the reason they are left out."""
-    return _split(_parsed(responses).withColumn("_reason", _reject_reason()), responses.columns)
+    return _split(_parsed(responses), responses.columns)
 
 
 def split_valid_flat(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The same for responses that are one array of postings."""
-    reason = F.when(F.col("_postings").isNull(), "decode_error").when(
-        F.size("_postings") == 0, "no_postings"
+    reason = F.when(F.col("_decoded").isNull(), "decode_error").when(
+        F.size("_decoded") == 0, "no_postings"
     )
-    return _split(_parsed_flat(responses).withColumn("_reason", reason), responses.columns)
+    judged = _with_decoded(responses, FLAT_BOARD).withColumn("_reason", reason)
+    return _split(judged, responses.columns)
 
 
 def _stamped(rows: DataFrame) -> DataFrame:
@@ -89,13 +100,9 @@ def _stamped(rows: DataFrame) -> DataFrame:
     )
 
 
-def _good_boards(responses: DataFrame) -> DataFrame:
-    parsed = _parsed(responses).withColumn("_reason", _reject_reason())
-    return parsed.where(F.col("_reason").isNull())
-
-
 def _postings(responses: DataFrame) -> DataFrame:
-    return entries(_good_boards(responses), "_board.jobPostings", "_row", "_p", *_RESPONSE)
+    good = _parsed(responses).where(F.col("_reason").isNull())
+    return entries(good, "_board.jobPostings", "_row", "_p", *_RESPONSE)
 
 
 def decode_postings(responses: DataFrame) -> DataFrame:
@@ -136,8 +143,9 @@ def decode_locations(responses: DataFrame) -> DataFrame:
 
 def decode_teams(responses: DataFrame) -> DataFrame:
     """One row per team with its parent, also for boards that have no posting just now."""
-    boards = _parsed(responses).withColumn("_reason", _reject_reason())
-    usable = boards.where(F.coalesce("_reason", F.lit("no_postings")) == "no_postings")
+    usable = _parsed(responses).where(
+        F.coalesce("_reason", F.lit("no_postings")) == "no_postings"
+    )
     teams = entries(usable, "_board.teams", "_row", "_t", *_RESPONSE)
     key = keyed_id(F.lit("team"), *_row_key(), F.col("_row"))
     return _stamped(teams.withColumn("record_id", key)).select(
@@ -150,7 +158,8 @@ def decode_teams(responses: DataFrame) -> DataFrame:
 
 def decode_flat_board(responses: DataFrame) -> DataFrame:
     """Postings of flat responses; one listed under several locations becomes a single row."""
-    rows = entries(_parsed_flat(responses), "_postings", "_row", "_p", "board", "run_id")
+    decoded = _with_decoded(responses, FLAT_BOARD)
+    rows = entries(decoded, "_decoded", "_row", "_p", "board", "run_id")
     listed = rows.select(
         F.col("_p.uuid").alias("job_id"),
         F.col("_p.name").alias("title"),

@@ -2,6 +2,7 @@
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,17 @@ def read_raw(
     return rows.select(*schema.names)
 
 
+def last_id(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> int:
+    """The greatest id of a raw table, -1 while it has no rows or does not exist yet."""
+    try:
+        greatest = read_raw(spark, base, name, fmt).agg(F.max("id")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    return -1 if greatest is None else greatest
+
+
 def enabled_boards(boards: DataFrame, provider: str | None = None) -> DataFrame:
     """Boards to process: URLs of the enabled ones, or board tokens of one provider's."""
     enabled = boards.where("is_enabled")

@@ -7,6 +7,7 @@ from jobtide.schemas import PAGES, RESPONSES
 from jobtide.sources import html_boards as H
 from jobtide.sources import json_boards as J
 from jobtide.sources import tables
+from jobtide.sources.page_elements import read_elements
 from jobtide.sources.runs import stamp_run
 
 
@@ -20,7 +21,7 @@ def pages(spark):
 
 
 def test_read_elements_mends_tag_soup():
-    found = H.read_elements('<div class="a"><p>one<p>two<br>three</div><b>x &amp; y<i>z</b>')
+    found = read_elements('<div class="a"><p>one<p>two<br>three</div><b>x &amp; y<i>z</b>')
     assert [(e[0], e[1], e[2], e[3], e[4]) for e in found] == [
         (0, 3, None, "div", None),
         (1, 1, 0, "p", "one"),
@@ -29,11 +30,11 @@ def test_read_elements_mends_tag_soup():
         (4, 5, None, "b", "x & y"),
         (5, 5, 4, "i", "z"),
     ]
-    script = H.read_elements('<script>if (a<b) "</p>"</script><p>k</p>')
+    script = read_elements('<script>if (a<b) "</p>"</script><p>k</p>')
     assert [(e[3], e[4]) for e in script] == [("script", 'if (a<b) "</p>"'), ("p", "k")]
-    assert H.read_elements("1 < 2 and <a href='q\"'>l</a>")[0][7] == 'q"'
-    assert H.read_elements("<!-- <a> --><A HREF=x>l</A>")[0][3] == "a"
-    assert H.read_elements("plain") == []
+    assert read_elements("1 < 2 and <a href='q\"'>l</a>")[0][7] == 'q"'
+    assert read_elements("<!-- <a> --><A HREF=x>l</A>")[0][3] == "a"
+    assert read_elements("plain") == []
 
 
 def test_extract_departments(pages, rows):
@@ -209,6 +210,14 @@ def test_split_valid(responses, rows):
     ]
 
 
+def test_bodies_are_parsed_once(responses):
+    df = responses(nested([POSTING]))
+    frames = [*J.split_valid(df), *J.split_valid_flat(df), J.decode_flat_board(df)]
+    frames += [J.decode_postings(df), J.decode_locations(df), J.decode_teams(df)]
+    for frame in frames:
+        assert frame._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+
+
 def test_decode_nested(responses, rows):
     teams = [{"id": "t", "name": "Web", "parentTeamId": "e"}, {"id": "e", "name": "Eng", "parentTeamId": None}]
     df = responses(nested([POSTING, SECOND], teams), nested([], teams[1:]), "{")
