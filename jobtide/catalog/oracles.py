@@ -753,7 +753,7 @@ oracle(
 
 oracle(
     "combined_on_id",
-    "SELECT id, opening_id, location_name, department_id FROM ashby_openings WHERE id % 6 = 0",
+    "SELECT id, opening_id, compensation_tier, department_id FROM ashby_openings WHERE compensation_tier IS NOT NULL AND department_id <> 'missing'",
 )
 
 oracle(
@@ -786,7 +786,7 @@ oracle(
     """
 SELECT id, url, seen_on, min(seen_on) OVER link AS earliest_opening_date, max(seen_on) OVER link AS latest_opening_date,
        CAST(max(seen_on) OVER link - min(seen_on) OVER link + 1 AS BIGINT) AS days_active
-FROM (SELECT id, url, CAST(created_at AS DATE) AS seen_on FROM rippling_openings WHERE id % 23 <> 0)
+FROM (SELECT id, url, CAST(created_at AS DATE) AS seen_on FROM rippling_openings WHERE location IS NOT NULL)
 WINDOW link AS (PARTITION BY url)
 """,
 )
@@ -874,7 +874,7 @@ oracle(
 oracle(
     "header_fill",
     """
-SELECT event_id, event_type, last_value(CASE WHEN event_id % 7 = 0 THEN user_id END IGNORE NULLS) OVER (
+SELECT event_id, event_type, last_value(CASE WHEN value > 40 THEN user_id END IGNORE NULLS) OVER (
          PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS header
 FROM events
 """,
@@ -883,7 +883,7 @@ FROM events
 oracle(
     "keyed_ids",
     """
-SELECT event_id, sha256(concat_ws('|', 'posting', event_id, user_id, CASE WHEN event_id % 2 = 0 THEN event_type ELSE '' END)) AS record_id
+SELECT event_id, sha256(concat_ws('|', 'posting', event_id, user_id, CASE WHEN value > 40 THEN event_type ELSE '' END)) AS record_id
 FROM events
 """,
 )
@@ -964,7 +964,7 @@ GROUP BY full_opening_link HAVING count(DISTINCT created_date_utc) <> max(days_a
 )
 
 CTES["distorted"] = """
-SELECT * REPLACE (days_active + CASE WHEN id LIKE '%3' THEN 1 ELSE 0 END AS days_active) FROM mart
+SELECT * REPLACE (days_active + CASE WHEN is_remote THEN 1 ELSE 0 END AS days_active) FROM mart
 """
 
 oracle(

@@ -151,9 +151,10 @@ def first_and_last_words(spark, sf):
 def append_runs(spark, sf):
     raw, path = E.lever_openings(spark, sf), _folder(spark)
     frames = []
+    this_year = F.col("run_id") >= "2024-01-01"
     for fmt in ("parquet", "json"):
-        for run in (0, 1):
-            storage.append_raw(raw.where(F.col("id") % 2 == run), f"{path}/{fmt}/lever_openings", fmt)
+        for run in (raw.where(~this_year), raw.where(this_year)):
+            storage.append_raw(run, f"{path}/{fmt}/lever_openings", fmt)
         back = tables.read_raw(spark, f"{path}/{fmt}", "lever_openings", fmt)
         frames.append(back.withColumn("stored_as", F.lit(fmt)))
     return frames[0].unionByName(frames[1])
@@ -361,8 +362,8 @@ def combined_on_id(spark, sf):
     raw = E.ashby_openings(spark, sf)
     return joins.combine_on_id(
         raw.select("id", "opening_id"),
-        raw.where("id % 2 = 0").select("id", "location_name"),
-        raw.where("id % 3 = 0").select("id", "department_id"),
+        raw.where("compensation_tier IS NOT NULL").select("id", "compensation_tier"),
+        raw.where("department_id <> 'missing'").select("id", "department_id"),
     )
 
 
@@ -393,8 +394,8 @@ def explode_path_ordinal(spark, sf):
 @query
 def lifespan(spark, sf):
     raw = E.rippling_openings(spark, sf)
-    days = raw.select("id", "url", C.day_of(F.col("created_at")).alias("seen_on"))
-    days = days.withColumn("url", F.when(F.col("id") % 23 != 0, F.col("url")))
+    link = F.when(F.col("location").isNotNull(), F.col("url")).alias("url")
+    days = raw.select("id", link, C.day_of(F.col("created_at")).alias("seen_on"))
     spanned = joins.with_lifespan(days, "url", "seen_on")
     return spanned.withColumn(
         "days_active",
@@ -505,16 +506,16 @@ def first_daily(spark, sf):
 
 @query
 def header_fill(spark, sf):
-    """User ids shown with every seventh event only, carried on within the event type."""
-    shown = F.when(F.col("event_id") % 7 == 0, F.col("user_id"))
+    """User ids shown with events of some value only, carried on within the event type."""
+    shown = F.when(F.col("value") > 40, F.col("user_id"))
     rows = E.table(spark, sf, "events").select("event_id", "event_type", shown.alias("header"))
     return dedupe.fill_forward(rows, ["event_type"], "event_id", "header", chunk_rows=10_000)
 
 
 @query
 def keyed_ids(spark, sf):
-    ts = C.blank_to_null(F.when(F.col("event_id") % 2 == 0, F.col("event_type")))
-    key = C.keyed_id(F.lit("posting"), F.col("event_id"), F.col("user_id"), ts)
+    known = F.when(F.col("value") > 40, F.col("event_type"))
+    key = C.keyed_id(F.lit("posting"), F.col("event_id"), F.col("user_id"), known)
     return E.table(spark, sf, "events").select("event_id", key.alias("record_id"))
 
 
@@ -586,9 +587,9 @@ def returning_postings(spark, sf):
 
 @query
 def returning_postings_by_days(spark, sf):
-    """Distorts the days of some active rows first, as the check cannot fail otherwise."""
+    """Distorts the days of remote rows first, as the check cannot fail otherwise."""
     mart = stored(_mart(spark, sf), "mart")
-    bent = F.when(F.col("id").endswith("3"), F.col("days_active") + 1)
+    bent = F.when(F.col("is_remote"), F.col("days_active") + 1)
     distorted = mart.withColumn("days_active", F.coalesce(bent, F.col("days_active")))
     return checks.returning_by_days(distorted).select(
         "id", "full_opening_link", "days_active", "expected_days_active"
