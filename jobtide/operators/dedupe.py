@@ -65,7 +65,7 @@ def fill_forward(
     filled on its own, and what enters it from the runs before comes from one summary row per run.
     So a hot part is spread over many tasks.
     """
-    cut = df.withColumn("_chunk", F.floor(F.col(order) / chunk_rows))
+    cut = df.withColumn("_chunk", F.col(order) - F.pmod(F.col(order), F.lit(chunk_rows)))
     keys = [*part, "_chunk"]
 
     summary = cut.groupBy(*keys).agg(

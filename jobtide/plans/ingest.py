@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobtide.functions import normalise_url, provider_of
 from jobtide.operators.setops import union_all
 from jobtide.schemas import RAW
-from jobtide.sinks.storage import append_raw
+from jobtide.sinks.storage import append_numbered
 from jobtide.sources import html_boards, json_boards
 from jobtide.sources.tables import last_id
 
@@ -41,11 +41,6 @@ def response_rows(nested: DataFrame, flat: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def numbered(rows: DataFrame, after: int) -> DataFrame:
-    """Rows with ids above the given one: unique and rising, with gaps, and without a shuffle."""
-    return rows.withColumn("id", F.monotonically_increasing_id() + (after + 1))
-
-
 def land(
     rows: dict[str, DataFrame], base: str, landed_at: datetime, fmt: str = "parquet"
 ) -> None:
@@ -57,4 +52,5 @@ def land(
     for name, df in rows.items():
         after = last_id(df.sparkSession, base, name, fmt)
         dated = df if "created_at" in df.columns else df.withColumn("created_at", at)
-        append_raw(numbered(dated, after).select(*RAW[name].names), f"{base}/{name}", fmt)
+        columns = [c for c in RAW[name].names if c != "id"]
+        append_numbered(dated.select(*columns), f"{base}/{name}", after, fmt)

@@ -22,15 +22,29 @@ def cutoff_epoch(as_of: date, days: int = RETENTION_DAYS) -> int:
     return int(start.timestamp())
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows with their load day, shuffled into even partitions by it."""
+    by_epoch = "updated_at" in df.columns
+    loaded = epoch_to_utc(F.col("updated_at")) if by_epoch else F.col("created_at")
+    return df.withColumn("run_date", F.to_date(loaded)).hint("rebalance", "run_date")
+
+
 def append_raw(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Add the rows of a run, in a folder per load day; an empty frame adds no file.
 
     ``fmt`` may be any file format, such as parquet, json or csv.
     """
-    by_epoch = "updated_at" in df.columns
-    loaded = epoch_to_utc(F.col("updated_at")) if by_epoch else F.col("created_at")
-    dated = df.withColumn("run_date", F.to_date(loaded)).hint("rebalance", "run_date")
-    dated.write.mode("append").partitionBy("run_date").format(fmt).save(path)
+    _spread(df).write.mode("append").partitionBy("run_date").format(fmt).save(path)
+
+
+def append_numbered(df: DataFrame, path: str, after: int, fmt: str = "parquet") -> None:
+    """The same with ids above the given one: unique and rising, with gaps.
+
+    They are given out in the writing tasks, behind the last shuffle: a lost executor then makes a
+    task write again as a whole, and never mixes two numberings of the same rows.
+    """
+    numbered = _spread(df).withColumn("id", F.monotonically_increasing_id() + (after + 1))
+    numbered.write.mode("append").partitionBy("run_date").format(fmt).save(path)
 
 
 def _age(name: str, cutoff: int) -> tuple[Column, Column]:
@@ -60,9 +74,9 @@ def archive(df: DataFrame, name: str, cutoff: int, base: str, as_of: date) -> st
 
 
 def retain(df: DataFrame, name: str, cutoff: int, new_path: str) -> str:
-    """Write the rows to keep to a new place, so readers of the old one are undisturbed."""
-    kept = retained(df, name, cutoff).hint("rebalance")
-    kept.write.mode("errorifexists").parquet(new_path)
+    """Write the rows to keep to a new place, laid out like the old one, to be read from then on."""
+    kept = _spread(retained(df, name, cutoff))
+    kept.write.mode("errorifexists").partitionBy("run_date").parquet(new_path)
     return new_path
 
 

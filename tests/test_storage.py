@@ -45,6 +45,17 @@ def test_append_adds_runs(spark, raw, rows, tmp_path, fmt):
     assert rows(later, "id") == [(2,)]
 
 
+def test_appended_ids_rise_and_stay_unique(spark, raw, tmp_path):
+    path = f"{tmp_path}/lever_openings"
+    run = raw("lever_openings", *[lever(None, CUTOFF + n * 40_000) for n in range(20)]).drop("id")
+    for _ in range(3):
+        last = tables.last_id(spark, str(tmp_path), "lever_openings")
+        storage.append_numbered(run, path, last)
+    ids = [r.id for r in tables.read_raw(spark, str(tmp_path), "lever_openings").collect()]
+    assert len(ids) == len(set(ids)) == 60
+    assert min(ids) == 0 and tables.last_id(spark, str(tmp_path), "lever_openings") == max(ids)
+
+
 def test_archive_and_retain_split_the_table(spark, raw, rows, tmp_path):
     df = raw("lever_openings", lever(1, CUTOFF - 5), lever(2, CUTOFF))
     archived = storage.archive(df, "lever_openings", CUTOFF, str(tmp_path), date(2024, 1, 30))
@@ -52,6 +63,8 @@ def test_archive_and_retain_split_the_table(spark, raw, rows, tmp_path):
     kept = storage.retain(df, "lever_openings", CUTOFF, f"{tmp_path}/new")
     assert rows(spark.read.parquet(archived), "id") == [(1,)]
     assert rows(spark.read.parquet(kept), "id") == [(2,)]
+    storage.append_raw(raw("lever_openings", lever(3, CUTOFF + 86400)), kept)
+    assert rows(spark.read.parquet(kept), "id") == [(2,), (3,)]
 
 
 def test_publish_layers(spark, raw, rows, tmp_path):
