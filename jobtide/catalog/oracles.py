@@ -423,9 +423,6 @@ FROM (SELECT page_id, generate_subscripts(tags, 1) AS place,
 """,
 )
 
-_PAGE_HEADER = """max(updated_at) OVER page AS fetched_at"""
-
-
 def _html_key(kind, *places):
     parts = [f"'{kind}'", "source", "run_id", "fetched_at", "page_number", *places]
     return f"sha256(concat_ws('|', {', '.join(parts)}))"

@@ -582,7 +582,7 @@ def reconcile_boards_excluding(spark, sf):
 
 @query
 def returning_postings(spark, sf):
-    return checks.returning(stored(_mart(spark, sf), "mart"))
+    return checks.returning(_mart(spark, sf))
 
 
 @query

@@ -16,8 +16,8 @@ def is_remote(location: Column) -> Column:
 
 def is_active(created_date: Column, as_of: date | None = None) -> Column:
     """Seen on the given day; by default on the current UTC day."""
-    today = F.lit(as_of) if as_of else F.to_date(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))
-    return created_date == today
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return created_date == (F.lit(as_of) if as_of else F.to_date(now))
 
 
 def days_active(earliest: Column, latest: Column) -> Column:

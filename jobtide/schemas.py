@@ -15,7 +15,8 @@ _TYPES = {
 
 def _struct(**columns: T.DataType | str) -> T.StructType:
     """A struct of nullable fields, their types given by short name or as such."""
-    return T.StructType([T.StructField(n, _TYPES[t] if isinstance(t, str) else t) for n, t in columns.items()])
+    given = {name: _TYPES[t] if isinstance(t, str) else t for name, t in columns.items()}
+    return T.StructType([T.StructField(name, t) for name, t in given.items()])
 
 
 def _texts(names: str) -> dict[str, str]:
