@@ -61,19 +61,33 @@ _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
-def words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the texts with A-Z lower-cased, and the first word of each text."""
-    data, offsets = text_bytes(column)
-    data = _LOWER[data]
-    inside = _IN_WORD[data]
-    starts = inside.copy()
+def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values``: the i-th from ``offsets[i]`` to ``offsets[i + 1]``."""
+    out, full = np.zeros(len(offsets) - 1, np.int64), offsets[1:] > offsets[:-1]
+    if full.any():
+        values = values.view(np.uint8) if values.dtype == bool else values
+        out[full] = np.add.reduceat(values, offsets[:-1][full], dtype=np.int64)
+    return out
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Runs of ``inside`` bytes, none across a document's end: their bytes, and the first run of each document."""
+    starts, ends = inside.copy(), inside.copy()
     starts[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
     edges = offsets[(offsets > 0) & (offsets < len(data))]
     starts[edges] = inside[edges]
-    places = np.cumsum(inside, dtype=np.int64)
+    ends[edges - 1] = inside[edges - 1]
     at = np.flatnonzero(starts)
-    total = places[-1:] if len(places) else np.zeros(1, np.int64)
-    return binary_array(data[inside], np.concatenate([places[at] - 1, total])), np.searchsorted(at, offsets)
+    places = np.concatenate([[0], np.cumsum(np.flatnonzero(ends) + 1 - at)])
+    return binary_array(data[inside], places), np.searchsorted(at, offsets)
+
+
+def words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the texts with A-Z lower-cased, and the first word of each text."""
+    data, offsets = text_bytes(column)
+    data = _LOWER[data]
+    return runs(_IN_WORD[data], offsets, data)
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

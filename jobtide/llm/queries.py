@@ -1,9 +1,10 @@
 """Registered queries: each operator over its whole table, as the digest its contract asks for."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import decontaminate
+from jobtide.llm import decontaminate, packing, quality_rules
 from jobtide.llm.arrow import unpacked
 
 
@@ -17,4 +18,17 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select(*unpacked(["doc_id"]), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256", "contaminated")
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination]}
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"], keep_ids=False)
+    return pieces.select(*unpacked(["doc_id"]), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, tokeniser measures and verdict of each document."""
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+    return judged.select(*unpacked(["doc_id"]), *[c for c in judged.columns if c != "row"])
+
+
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op5_packing, op9_quality_rules]}
