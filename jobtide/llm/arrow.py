@@ -5,6 +5,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Text bytes that an operator works on at once; a longer text is worked on alone.
 CHUNK_BYTES = 8 << 20
@@ -21,6 +23,12 @@ def packed(docs: DataFrame, text: str, carried: list[str]) -> DataFrame:
     return docs.select(row.alias("row"), quoted(text).cast("string").alias("text"))
 
 
+def row_type(frame: DataFrame) -> tuple[str, pa.DataType]:
+    """The type of ``row`` as Spark's text form and for Arrow; all of it may be null."""
+    text = frame.schema["row"].dataType.simpleString()
+    return text, to_arrow_type(T.DataType.fromDDL(text))
+
+
 def unpacked(carried: list[str]) -> list[Column]:
     """The columns that ``packed`` put into ``row``."""
     return [F.col(f"row.c{i}").alias(c) for i, c in enumerate(carried)]

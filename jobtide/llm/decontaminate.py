@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.arrow import chunks, packed, quoted, ranges, unpacked, words
+from jobtide.llm.arrow import chunks, packed, quoted, ranges, row_type, unpacked, words
 
 WINDOW = 13
 #: Text bytes of a block of test texts; a block is collected and sent to every task.
@@ -212,7 +212,7 @@ def search(
     result; an empty table on either side gives no rows or no matches.
     """
     found = packed(docs, text, carried).select("row", "text", F.lit(0).cast("long").alias("n_words"), F.expr(f"cast(null as array<{_SPAN}>)").alias("spans"))
-    row = found.schema["row"].dataType.simpleString()
+    row, _ = row_type(found)
     # names of struct fields are c0, c1, ..., so that the type's text form is safe to parse
     for block in _blocks(benchmark, item, text, window, block_bytes):
         found = found.mapInArrow(lambda batches, b=block: _search(batches, b), f"row {row}, text string, n_words long, spans array<{_SPAN}>")

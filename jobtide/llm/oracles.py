@@ -28,4 +28,30 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc LEFT JOIN items USING (doc_id) LEFT JOIN covered USING (doc_id)
 """
 
-ORACLES = {"op1_benchmark_decontamination": OP1}
+OP7 = """
+WITH doc AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), win AS (
+  SELECT doc_id, p, substr(h, 2 * p - 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(1, len(h) // 2 - 50 + 2)) AS p FROM doc)
+), hit AS (
+  SELECT doc_id, p FROM win JOIN (SELECT s, min(doc_id) AS first FROM win GROUP BY s HAVING count(*) > 1) USING (s)
+  WHERE first < doc_id
+), span AS (
+  SELECT doc_id, min(p) AS a, max(p) + 50 AS z FROM (
+    SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM (
+      SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS new FROM hit))
+  GROUP BY doc_id, g
+), piece AS (
+  SELECT doc_id, a, z - a AS n, substr(h, 2 * coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1) - 1,
+    2 * (a - coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1))) AS before FROM span JOIN doc USING (doc_id)
+), kept AS (
+  SELECT doc_id, sum(n) AS n_removed, count(*) AS n_spans, string_agg(before, '' ORDER BY a) AS head, max(a + n) AS z
+  FROM piece GROUP BY doc_id
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head || substr(h, 2 * z - 1), h))) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES = {"op1_benchmark_decontamination": OP1, "op7_suffix_array_dedup": OP7}

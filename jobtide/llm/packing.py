@@ -19,9 +19,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from jobtide.llm.arrow import binary_array, chunks, packed, ranges, text_bytes, unpacked
+from jobtide.llm.arrow import binary_array, chunks, packed, ranges, row_type, text_bytes, unpacked
 from jobtide.sinks.scratch import stored
 
 LENGTH, OPEN_WINDOWS = 1024, 64
@@ -214,9 +213,8 @@ def pack(
     empty table gives no pieces. Memory: one chunk of texts and the open windows.
     """
     found = packed(docs, text, carried)
-    row = found.schema["row"].dataType
-    names = f"row {row.simpleString()}, " + ", ".join(f"{n} long" for n, _ in _PIECES) + ", open boolean" + (", ids binary" if keep_ids else "")
-    arrow_row = to_arrow_type(row)
+    row, arrow_row = row_type(found)
+    names = f"row {row}, " + ", ".join(f"{n} long" for n, _ in _PIECES) + ", open boolean" + (", ids binary" if keep_ids else "")
     first = stored(found.mapInArrow(lambda batches: _pack(batches, vocabulary, arrow_row, length, open_windows, keep_ids), names), "packed")
     still_open = first.where("open").withColumn("task", F.shiftright("sequence_id", 33))
     tasks = still_open.select("task").distinct().count()

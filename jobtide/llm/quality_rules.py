@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.arrow import binary_array, chunks, packed, ranges, runs, sums, text_bytes, unpacked
+from jobtide.llm.arrow import binary_array, chunks, packed, ranges, row_type, runs, sums, text_bytes, unpacked
 
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
 
@@ -170,7 +170,7 @@ def judge(docs: DataFrame, model: str, carried: list[str], text: str = "text", b
     the base rules reject them. A text without letters belongs to ``other``. Repeated rows are judged alike.
     """
     found = packed(docs, text, carried)
-    row = found.schema["row"].dataType.simpleString()
+    row, _ = row_type(found)
     out = f"row {row}, " + ", ".join([f"{c} long" for c in _COUNTS] + [f"{c} double" for c in _MEASURES]) + ", script string, base_failed boolean, kept boolean"
     return found.mapInArrow(lambda batches: _apply(batches, model, bands, keep_text), out + (", text string" if keep_text else ""))
 

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import decontaminate, packing, quality_rules
+from jobtide.llm import decontaminate, packing, quality_rules, suffix_dedup
 from jobtide.llm.arrow import unpacked
 
 
@@ -25,10 +25,16 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(*unpacked(["doc_id"]), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that an earlier one has in a run of 50 or more."""
+    found = suffix_dedup.find(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(*unpacked(["doc_id"]), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, tokeniser measures and verdict of each document."""
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
     return judged.select(*unpacked(["doc_id"]), *[c for c in judged.columns if c != "row"])
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op5_packing, op9_quality_rules]}
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op5_packing, op7_suffix_array_dedup, op9_quality_rules]}
