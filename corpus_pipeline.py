@@ -2,22 +2,49 @@
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jobtide.llm import decontaminate
+from jobtide.llm import decontaminate, minhash, packing, quality_rules, suffix_dedup
+from jobtide.llm.arrow import unpacked
 from jobtide.sinks.scratch import shared_folder
 
 
-def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.keep(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the least id stays."""
+    return minhash.keep(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 50 bytes or more that an earlier document has go, and documents of which nothing remains."""
+    return suffix_dedup.remove(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share too much with the benchmark go."""
     return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 1024 tokens, with their ids."""
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), ["doc_id", "source", "lang"])
+    return pieces.select(*unpacked(["doc_id", "source", "lang"]), *[c for c in pieces.columns if c != "row"])
+
+
 STAGES = [
-    ("benchmark decontamination", benchmark_decontamination),
+    ("quality rules", quality),
+    ("MinHash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_strings),
+    ("benchmark decontamination", benchmark),
+    ("packing", sequences),
 ]
 
-#: The stages' models are beyond SQL; tests hold them against brute force.
+#: Tokenisers and signatures are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

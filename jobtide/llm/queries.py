@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import decontaminate, packing, quality_rules, suffix_dedup
+from jobtide.llm import decontaminate, minhash, packing, quality_rules, suffix_dedup
 from jobtide.llm.arrow import unpacked
 
 
@@ -31,10 +31,15 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*unpacked(["doc_id"]), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class of near-duplicates, named by its least document."""
+    return minhash.classes(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, tokeniser measures and verdict of each document."""
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
     return judged.select(*unpacked(["doc_id"]), *[c for c in judged.columns if c != "row"])
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op5_packing, op7_suffix_array_dedup, op9_quality_rules]}
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op5_packing, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules]}
