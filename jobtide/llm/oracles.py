@@ -28,6 +28,22 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc LEFT JOIN items USING (doc_id) LEFT JOIN covered USING (doc_id)
 """
 
+OP2 = """
+WITH rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), rest AS (
+  SELECT page_id, row_number() OVER () AS n,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
+), parsed AS (
+  SELECT page_id, n, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), fit AS (
+  SELECT n, arg_max(h || p, len(h || p)) AS rule, arg_max(v, len(h || p)) AS verdict
+  FROM parsed JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY n
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parsed LEFT JOIN fit USING (n)
+"""
+
 OP7 = """
 WITH doc AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
@@ -54,4 +70,4 @@ SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_remov
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES = {"op1_benchmark_decontamination": OP1, "op7_suffix_array_dedup": OP7}
+ORACLES = {"op1_benchmark_decontamination": OP1, "op2_url_filter": OP2, "op7_suffix_array_dedup": OP7}

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import decontaminate, minhash, packing, quality_rules, suffix_dedup
+from jobtide.llm import decontaminate, minhash, packing, quality_rules, suffix_dedup, url_filter
 from jobtide.llm.arrow import unpacked
 
 
@@ -18,6 +18,23 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select(*unpacked(["doc_id"]), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256", "contaminated")
 
 
+#: Host, beginning of the path and verdict of the rules that op2 applies.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of each page's URL."""
+    listed = ", ".join(str(rule) for rule in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {listed} AS rules(host, path, verdict)")
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules, ["page_id"])
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,4 +59,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*unpacked(["doc_id"]), *[c for c in judged.columns if c != "row"])
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op5_packing, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules]}
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op5_packing, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules]}
