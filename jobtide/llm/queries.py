@@ -1,11 +1,12 @@
 """Registered queries: each operator over its whole table, as the digest its contract asks for."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import chat, decontaminate, minhash, packing, quality_rules, suffix_dedup, url_filter
+from jobtide.llm import chat, decontaminate, minhash, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filter
 from jobtide.llm.arrow import unpacked
+from jobtide.sinks.scratch import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,32 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), rules, ["page_id"])
 
 
+def _held_out(doc_id: str = "doc_id") -> Column:
+    """Rows that labels are not learnt from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+
+
+def _predictions(scored: DataFrame, threshold: float) -> DataFrame:
+    scored = scored.select(*unpacked(["doc_id"]), "score")
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's quality by a discriminant fitted on all labelled rows that are not held out."""
+    measured = quality_classifier.measure(_table(spark, sf_dir, "documents"), ["doc_id"])
+    measured = stored(measured, "statistics")
+    labels = _table(spark, sf_dir, "labels").where(~_held_out()).select("doc_id", F.col("quality").alias("label"))
+    model = quality_classifier.fit(measured.select(*unpacked(["doc_id"]), "features").join(labels, "doc_id"))
+    return _predictions(quality_classifier.score(measured, model), 0.5)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's toxicity by a lexicon learnt from labelled rows that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels").where(~_held_out())
+    lexicon = toxicity.learn(toxicity.sample(docs, labels))
+    return _predictions(toxicity.score(docs, lexicon, ["doc_id"]), 0.7)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,4 +94,4 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.windows(given.union(extra)))
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op5_packing, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting]}
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting]}
