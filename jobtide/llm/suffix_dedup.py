@@ -62,7 +62,7 @@ def _keys(*tables: list[np.ndarray]) -> list[np.ndarray]:
 
 def _names(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the keys, and for each key how many distinct ones are up to it."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     ordered = key[order]
     new = np.ones(len(key), np.int64)
     new[1:] = ordered[1:] != ordered[:-1]
@@ -91,17 +91,20 @@ def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     rank[sampled] = names
     # the others by their first number and the rank of the suffix after it
     zero, first = _keys([padded[rest], rank[rest + 1]], [padded[one], rank[one + 1]])
-    zero_names = _names(zero)[1]
     long_zero, second = _keys([padded[rest], padded[rest + 1], rank[rest + 2]], [padded[two], padded[two + 1], rank[two + 2]])
-    first, second = np.sort(first), np.sort(second)
-    below = np.searchsorted(first, zero, "left") + np.searchsorted(second, long_zero, "left")
-    up_to = np.searchsorted(first, zero, "right") + np.searchsorted(second, long_zero, "right")
+    order, zero_names = _names(zero)
+    below, equal = np.zeros(len(rest), np.int64), np.zeros(len(rest), bool)
+    for sampled_keys, keys in ((np.sort(first), zero[order]), (np.sort(second), long_zero[order])):
+        if len(sampled_keys):
+            found = np.searchsorted(sampled_keys, keys)
+            below += found
+            equal |= sampled_keys[np.minimum(found, len(sampled_keys) - 1)] == keys
     # how many sampled suffixes come before each sampled one
-    before = np.searchsorted(np.sort(names), names, "left")
+    before = np.cumsum(np.bincount(names))[names - 1]
     place, inner = np.empty(n + 1, np.int64), np.zeros(n, np.int64)
     place[sampled] = 2 * before + 1
-    place[rest] = 2 * below + (up_to > below)
-    inner[rest] = np.where(up_to > below, 0, zero_names)
+    place[rest[order]] = 2 * below + equal
+    inner[rest[order]] = np.where(equal, 0, zero_names[order])
     return _names(_keys([place[:n], inner])[0])[1]
 
 
@@ -115,7 +118,7 @@ def least_documents(segments: np.ndarray, offsets: np.ndarray, least: np.ndarray
     text[ranges(shifted, sizes)] = segments.astype(np.int64) + 1
     windows = sizes - length + 1
     starts, doc = ranges(shifted, windows), np.repeat(least, windows)
-    order = np.argsort(suffix_ranks(text, length)[starts], kind="stable")
+    order = np.argsort(suffix_ranks(text, length)[starts])
     at = starts[order]
     # adjacent prefixes, compared eight bytes at a time
     raw = np.zeros(len(text) + 8, np.uint8)
@@ -190,7 +193,7 @@ def _segments(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int):
 
 
 def _squeezed(array: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(array).tobytes(), codec="zstd", asbytes=True)
+    return pa.Codec("zstd", compression_level=3).compress(np.ascontiguousarray(array).tobytes(), asbytes=True)
 
 
 def _unsqueezed(squeezed: bytes, n: int, kind) -> np.ndarray:
@@ -271,46 +274,59 @@ def _repeated(table: pa.Table, hot: int) -> pa.Table:
 _SENT = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("n_bytes", pa.int64()), ("text", pa.binary()), ("sizes", pa.binary()), ("anchors", pa.binary()), ("least", pa.binary())])
 
 
+def _among(keys: np.ndarray, told: list[dict], name: str, own: np.ndarray) -> np.ndarray:
+    """Which anchor keys a chunk has found itself or was told."""
+    parts = [(np.uint64(t["bucket"]) << np.uint64(32)) | np.frombuffer(t[name], np.uint32).astype(np.uint64) for t in told]
+    wanted = np.sort(np.concatenate([own, *parts]))
+    if not len(wanted):
+        return np.zeros(len(keys), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
+
+
+def _repeated_segments(data, offsets, told: list[dict], mask, length, anchor):
+    """Segments of a chunk whose anchor is in several documents, by bucket.
+
+    Columns: place, windows, anchor's place in the segment, document's place in the chunk, bucket. Each window of a
+    hot anchor is a segment by itself and goes where its own hash says.
+    """
+    at, windows, owner, hashes = _segments(data, offsets, length, anchor)
+    keys = hashes & mask
+    doc = np.searchsorted(offsets, at, "right") - 1
+    order = np.argsort(keys)
+    twice = (keys[order[1:]] == keys[order[:-1]]) & (doc[order[1:]] != doc[order[:-1]])
+    own = keys[order[1:][twice]]
+    wanted = _among(keys, told, "keys", own)
+    hot = _among(keys, told, "hot", own[:0])
+    single = ranges(at[hot], windows[hot])
+    by_window = _hashes(data, length)[single] if len(single) else np.zeros(0, np.uint64)
+    of, cold = np.repeat(np.flatnonzero(hot), windows[hot]), np.flatnonzero(wanted & ~hot)
+    start, every = np.concatenate([at[cold], single]), np.concatenate([cold, of])
+    count = np.concatenate([windows[cold], np.ones(len(single), np.int64)])
+    bucket = np.concatenate([keys[cold], by_window & mask]) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    start, every = start[order], every[order]
+    return start, count[order], owner[every] - start, doc[every], bucket[order].astype(np.int64)
+
+
+def _distinct(data, start, sizes):
+    """The segments' bytes as a dictionary array; its order depends on nothing but the segments."""
+    return binary_array(data[ranges(start, sizes)], np.concatenate([[0], np.cumsum(sizes)])).dictionary_encode()
+
+
 def _send(found: pa.Table, chunk: pa.Table, mask, length, anchor) -> pa.Table:
-    """A chunk's distinct segments with repeated anchors for each bucket, and where it has them (bucket -1)."""
-    out = []
+    """A chunk's distinct segments with repeated anchors, for each bucket, with the least document that has each."""
+    out, told = [], found.to_pylist()
     for row in chunk.to_pylist():
         data, offsets, ids = _opened(row)
-        at, windows, owner, hashes = _segments(data, offsets, length, anchor)
-        keys = hashes & mask
-        doc = np.searchsorted(offsets, at, "right") - 1
-        # anchors in two documents of this chunk, and those that other chunks have
-        pairs = np.unique(np.stack([keys, doc.astype(np.uint64)]), axis=1)[0] if len(keys) else keys
-        own = pairs[1:][pairs[1:] == pairs[:-1]]
-        told = [(np.uint64(b) << np.uint64(32)) | np.frombuffer(k, np.uint32).astype(np.uint64) for b, k in zip(found.column("bucket").to_pylist(), found.column("keys").to_pylist(), strict=True)]
-        hot = [(np.uint64(b) << np.uint64(32)) | np.frombuffer(k, np.uint32).astype(np.uint64) for b, k in zip(found.column("bucket").to_pylist(), found.column("hot").to_pylist(), strict=True)]
-        wanted = np.isin(keys, np.concatenate([own, *told]))
-        is_hot = np.isin(keys, np.concatenate([own[:0], *hot])) & wanted
-        bucket = (keys >> np.uint64(32)).astype(np.int64)
-        # each window of a hot anchor is a segment by itself and goes where its own hash says
-        single = ranges(at[is_hot], windows[is_hot])
-        by_window = _hashes(data, length)[single] if len(single) else np.zeros(0, np.uint64)
-        of = np.repeat(np.flatnonzero(is_hot), windows[is_hot])
-        cold = wanted & ~is_hot
-        at, windows = np.concatenate([at[cold], single]), np.concatenate([windows[cold], np.ones(len(single), np.int64)])
-        owner, doc = np.concatenate([owner[cold], owner[of]]), np.concatenate([doc[cold], doc[of]])
-        bucket = np.concatenate([bucket[cold], ((by_window & mask) >> np.uint64(32)).astype(np.int64)])
-        order = np.argsort(bucket, kind="stable")
-        at, windows, owner, doc, bucket = (a[order] for a in (at, windows, owner, doc, bucket))
-        sizes = windows + length - 1
-        code = np.zeros(len(at), np.int64)
+        start, windows, owner, doc, bucket = _repeated_segments(data, offsets, told, mask, length, anchor)
         for number, a, b in _equal(bucket):
-            ends = np.concatenate([[0], np.cumsum(sizes[a:b])])
-            coded = binary_array(data[ranges(at[a:b], sizes[a:b])], ends).dictionary_encode()
-            codes, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-            code[a:b] = codes
+            coded = _distinct(data, start[a:b], windows[a:b] + length - 1)
+            codes = coded.indices.to_numpy().astype(np.int64)
             first = np.unique(codes, return_index=True)[1]
-            least = np.full(len(distinct), np.iinfo(np.int64).max)
+            least = np.full(len(first), np.iinfo(np.int64).max)
             np.minimum.at(least, codes, ids[doc[a:b]])
-            text, places = text_bytes(distinct)
-            out.append((row["chunk"], number, len(distinct), len(text), _squeezed(text), _squeezed(np.diff(places).astype(np.uint16)), _squeezed((owner[a:b] - at[a:b])[first].astype(np.uint16)), _squeezed(least)))
-        places = np.concatenate([at, windows, doc, code, bucket])
-        out.append((row["chunk"], -1, len(at), 0, _squeezed(places), b"", b"", b""))
+            text, places = text_bytes(coded.dictionary)
+            out.append((row["chunk"], number, len(first), len(text), _squeezed(text), _squeezed(np.diff(places).astype(np.uint16)), _squeezed(owner[a:b][first].astype(np.uint16)), _squeezed(least)))
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 8, _SENT)], schema=_SENT)
 
 
@@ -369,34 +385,34 @@ def _resolve(table: pa.Table, length: int, anchor: int) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, _LEAST)], schema=_LEAST)
 
 
-def _removed(row: dict, places: dict, replies: list[dict], length: int) -> np.ndarray:
-    """Which bytes of a chunk go."""
-    n = places["n"]
-    at, windows, doc, code, bucket = _unsqueezed(places["text"], 5 * n, np.int64).reshape(5, n)
-    ids = np.array(row["ids"], np.int64)
-    marks = np.zeros(row["size"] + 1, np.int64)
-    for reply in replies:
-        mine = bucket == reply["bucket"]
+def _removed(data, offsets, ids, given: list[dict], mask, length: int, anchor: int) -> np.ndarray:
+    """Which bytes of a chunk go, by what it was told of its anchors and of its segments."""
+    gone = [np.zeros(0, np.int64)]
+    replies = {g["bucket"]: g for g in given if g["runs"] is not None}
+    told = [g for g in given if g["keys"] is not None]
+    start, windows, _, doc, bucket = _repeated_segments(data, offsets, told, mask, length, anchor)
+    for number, a, b in _equal(bucket):
+        reply = replies[number]
         lengths = _unsqueezed(reply["runs"], reply["n"], np.uint16).astype(np.int64)
         values = np.repeat(_unsqueezed(reply["least"], reply["n"], np.int64), lengths)
+        codes = _distinct(data, start[a:b], windows[a:b] + length - 1).indices.to_numpy().astype(np.int64)
         # windows of the distinct segments, in the order in which they were sent
-        count = np.zeros(int(code[mine].max(initial=-1)) + 1, np.int64)
-        count[code[mine]] = windows[mine]
-        begins = np.cumsum(count) - count
-        least = values[ranges(begins[code[mine]], windows[mine])]
-        covered = ranges(at[mine], windows[mine])[least < np.repeat(ids[doc[mine]], windows[mine])]
-        np.add.at(marks, covered, 1)
-        np.subtract.at(marks, covered + length, 1)
+        count = np.zeros(int(codes.max()) + 1, np.int64)
+        count[codes] = windows[a:b]
+        least = values[ranges((np.cumsum(count) - count)[codes], windows[a:b])]
+        gone.append(ranges(start[a:b], windows[a:b])[least < np.repeat(ids[doc[a:b]], windows[a:b])])
+    covered = np.concatenate(gone)
+    marks = np.zeros(len(data) + 1, np.int32)
+    np.add.at(marks, covered, 1)
+    np.subtract.at(marks, covered + length, 1)
     return np.cumsum(marks)[:-1] > 0
 
 
-def _finish(sent: pa.Table, chunk: pa.Table, row, length: int, keep_text: bool) -> pa.Table:
-    out = []
-    given = sent.to_pylist()
-    places = next((s for s in given if s["bucket"] == -1), None)
+def _finish(told: pa.Table, chunk: pa.Table, row, mask, length: int, anchor: int, keep_text: bool) -> pa.Table:
+    out, given = [], told.to_pylist()
     for given_row in chunk.to_pylist():
-        data, offsets, _ = _opened(given_row)
-        gone = _removed(given_row, places, [s for s in given if s["bucket"] >= 0], length)
+        data, offsets, ids = _opened(given_row)
+        gone = _removed(data, offsets, ids, given, mask, length, anchor)
         for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
             own, cut = data[a:b], gone[a:b]
             edges = np.flatnonzero(np.diff(np.concatenate([[False], cut, [False]]).astype(np.int8)))
@@ -446,17 +462,16 @@ def find(
 
     anchors = slim.mapInArrow(lambda batches: _anchors(batches, mask, length, anchor), "bucket long, chunk long, keys binary")
     told = anchors.groupBy("bucket").applyInArrow(lambda t: _repeated(t, hot_chunks), "chunk long, bucket long, keys binary, hot binary")
+    told = stored(told, "anchors")
     sent = told.groupBy("chunk").cogroup(slim.groupBy("chunk")).applyInArrow(
         lambda found, chunk: _send(found, chunk, mask, length, anchor),
         "chunk long, bucket long, n long, n_bytes long, text binary, sizes binary, anchors binary, least binary",
     )
-    sent = stored(sent, "segments")
-    least = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: _resolve(t, length, anchor), "chunk long, bucket long, n long, runs binary, least binary")
-    places = sent.where("bucket < 0").select("chunk", "bucket", "n", "text", F.lit(None).cast("binary").alias("runs"), F.lit(None).cast("binary").alias("least"))
-    both = least.select("chunk", "bucket", "n", F.lit(None).cast("binary").alias("text"), "runs", "least").unionByName(places)
+    least = sent.groupBy("bucket").applyInArrow(lambda t: _resolve(t, length, anchor), "chunk long, bucket long, n long, runs binary, least binary")
+    both = least.unionByName(told, allowMissingColumns=True)
     out = f"row {row}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,length:long>>"
     return both.groupBy("chunk").cogroup(table.groupBy("chunk")).applyInArrow(
-        lambda found, chunk: _finish(found, chunk, arrow_row, length, keep_text), out + (", text string" if keep_text else "")
+        lambda found, chunk: _finish(found, chunk, arrow_row, mask, length, anchor, keep_text), out + (", text string" if keep_text else "")
     )
 
 
