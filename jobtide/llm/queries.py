@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import chat, decontaminate, minhash, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filter
+from jobtide.llm import chat, decontaminate, main_text, minhash, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filter
 from jobtide.llm.arrow import unpacked
 from jobtide.sinks.scratch import stored
 
@@ -69,6 +69,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(*unpacked(["doc_id"]), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = main_text.extract_pages(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select(*unpacked(["page_id", "url"]), "text", "n_chars")
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each document that an earlier one has in a run of 50 or more."""
     found = suffix_dedup.find(_table(spark, sf_dir, "documents"), ["doc_id"])
@@ -94,4 +100,4 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.windows(given.union(extra)))
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting]}
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op6_html_extraction, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting]}
