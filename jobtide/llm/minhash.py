@@ -7,8 +7,9 @@ Jaccard similarity of their shingles.
 
 Candidates: bands of components; documents that share a band's values meet in a bucket. In each bucket all documents
 are compared with one of them, the hub. Links make classes, and buckets of a single class are done, however large. In
-what is left, pairs from different classes are compared: small buckets as they are, large ones after they were split
-by the values of the documents' other bands, again hubs first. Buckets are never capped.
+what is left, documents of different classes are compared block by block, and only links leave a block: its largest
+class is cut into blocks that meet the blocks of the others, so no block grows with the bucket. Buckets are never
+capped. A pair is judged in the first band it shares.
 
 Verification computes the similarity of each candidate pair from the texts; only verified links make classes.
 """
@@ -25,8 +26,9 @@ from jobtide.sinks.scratch import stored
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band once in 300,000 times.
 BANDS, ROWS = 32, 5
-#: Larger buckets that hold several classes are split by other bands before their pairs are compared.
-LARGE = 32
+#: Documents of a block, and the share of equal components below which a pair in it is no candidate: a pair at the
+#: threshold stays below once in 200,000 times.
+BLOCK, LIKELY = 512, 0.66
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _NONE = (1 << 63) - 1
@@ -125,40 +127,73 @@ def _sign(batches, bands, rows, shingle):
             found = signatures(text, key, weights(counts), n, bands * rows)
             hashed = np.tile(np.arange(1, bands + 1, dtype=np.uint64) * _M2, (n, 1))
             for row in range(rows):
-                hashed = _mixed((hashed ^ found[:, row::rows][:, :bands]) * _M1)
+                hashed = _mixed((hashed ^ found[:, row * bands : (row + 1) * bands]) * _M1)
             has = np.bincount(text, minlength=n) > 0
             places = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
             keys = pa.ListArray.from_arrays(pa.array(places), pa.array(hashed[has].ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays([chunk.column("id"), chunk.column("digest"), keys], names=["id", "digest", "keys"])
 
 
+def _pair_similarities(pair, key, weight, second, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``similarities`` of ``n`` pairs from the shingles of their first and second texts."""
+    order = np.lexsort((key, pair))
+    pair, key, weight, second = pair[order], key[order], weight[order], second[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])
+    group = np.cumsum(new) - 1
+    x, y = (np.bincount(group, weights=weight * side, minlength=int(new.sum())) for side in (~second, second))
+    return similarities(pair[new], x, y, n)
+
+
 def _verify(batches, threshold, shingle):
     for batch in batches:
         for chunk in chunks(batch, "text_a"):
-            n = chunk.num_rows
             sides = [shingles(chunk.column(c), shingle) for c in ("text_a", "text_b")]
-            pair = np.concatenate([s[0] for s in sides])
-            key = np.concatenate([s[1] for s in sides])
-            weight = np.concatenate([weights(s[2]) for s in sides])
-            second = np.repeat([False, True], [len(s[0]) for s in sides])
-            order = np.lexsort((key, pair))
-            pair, key, weight, second = pair[order], key[order], weight[order], second[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])
-            group = np.cumsum(new) - 1
-            x, y = (np.bincount(group, weights=weight * side, minlength=new.sum()) for side in (~second, second))
-            weighted, plain = similarities(pair[new], x, y, n)
-            columns = [chunk.column("a"), chunk.column("b"), pa.array(weighted), pa.array(plain), pa.array(np.maximum(weighted, plain) >= threshold)]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "weighted", "plain", "linked"])
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
-    """The pairs with their similarities; a pair of documents with several texts each is judged by any two."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    judged = joined.mapInArrow(lambda batches: _verify(batches, threshold, shingle), "a long, b long, weighted double, plain double, linked boolean")
-    return stored(judged, "verified")
+            pair, key = (np.concatenate([side[i] for side in sides]) for i in (0, 1))
+            weight = np.concatenate([weights(side[2]) for side in sides])
+            second = np.repeat([False, True], [len(side[0]) for side in sides])
+            weighted, plain = _pair_similarities(pair, key, weight, second, chunk.num_rows)
+            linked = np.maximum(weighted, plain) >= threshold
+            yield pa.RecordBatch.from_arrays([chunk.column("a"), chunk.column("b"), pa.array(weighted), pa.array(plain), pa.array(linked)], names=["a", "b", "weighted", "plain", "linked"])
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _block_links(table: pa.Table, bands: int, rows: int, threshold: float, shingle: int, likely: float) -> pa.Table:
+    """Links between the classes of a block, from its members' texts: ``band``, ``side``, ``node``, ``class``, ``text``.
+
+    Where the block is one of two sides, only pairs across are judged.
+    """
+    node, kind, side = (table.column(c).to_numpy() for c in ("node", "class", "side"))
+    band = table.column("band")[0].as_py()
+    text, key, counts = shingles(table.column("text").combine_chunks(), shingle)
+    weight = weights(counts)
+    found = signatures(text, key, weight, len(node), bands * rows)
+    first, last = np.searchsorted(text, np.arange(len(node))), np.searchsorted(text, np.arange(len(node)), "right")
+    two_sides = side.min() != side.max()
+    pairs = []
+    for a in range(len(node) - 1):
+        others = np.arange(a + 1, len(node))
+        others = others[(kind[others] != kind[a]) & ((side[others] != side[a]) | (not two_sides))]
+        equal = found[others] == found[a]
+        near = equal.mean(axis=1) >= likely
+        shared = equal[near].reshape(-1, rows, bands).all(axis=1)
+        here = others[near][shared.argmax(axis=1) == band]
+        pairs.append(np.stack([np.full(len(here), a), here]))
+    left, right = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+    links = []
+    step = max(1, (1 << 21) // max(1, int((last - first).max(initial=1))))
+    for at in range(0, len(left), step):
+        i, j = left[at : at + step], right[at : at + step]
+        of = np.concatenate([ranges(first[i], (last - first)[i]), ranges(first[j], (last - first)[j])])
+        sizes = (last - first)[i], (last - first)[j]
+        pair = np.concatenate([np.repeat(np.arange(len(i)), size) for size in sizes])
+        second = np.repeat([False, True], [size.sum() for size in sizes])
+        linked = np.maximum(*_pair_similarities(pair, key[of], weight[of], second, len(i))) >= threshold
+        links.append(np.stack([node[i[linked]], node[j[linked]]]))
+    a, b = np.concatenate(links, axis=1) if links else np.zeros((2, 0), np.int64)
+    return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], schema=_LINKS)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -179,7 +214,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _with_hubs(members: DataFrame, label: str) -> DataFrame:
-    """Members (``key``, ``node``) of buckets with two nodes or more, and the least node of their bucket."""
+    """Members (``key``, ``band``, ``node``) of buckets with two nodes or more, and the least node of their bucket."""
     hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub != most")
     return stored(members.join(stored(hubs.select("key", "hub"), "hubs"), "key"), label)
 
@@ -189,11 +224,34 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _mixed_buckets(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of buckets that hold several classes, with their class and the bucket's size."""
-    placed = stored(members.select("key", "node").join(classes, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class")), "placed")
-    several = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size")).where("low != high")
-    return stored(placed.join(stored(several.select("key", "size"), "sizes"), "key"), "mixed")
+def _blocks(members: DataFrame, found: DataFrame, block: int) -> DataFrame:
+    """Members of buckets with several classes, dealt to blocks: ``key``, ``band``, ``pair``, ``side``, ``node``, ``class``.
+
+    A small bucket is one block. In a larger one the largest class and the others are cut into pieces; each piece of
+    the others meets each piece of the largest class and each of the others.
+    """
+    placed = members.select("key", "band", "node").join(found, "node", "left").select("key", "band", "node", F.coalesce("class", "node").alias("class"))
+    placed = stored(placed, "placed")
+    by_class = placed.groupBy("key", "class").agg(F.count("*").alias("n"))
+    buckets = by_class.groupBy("key").agg(F.count("*").alias("classes"), F.sum("n").alias("size"), F.max(F.struct("n", "class")).alias("most")).where("classes > 1")
+    buckets = stored(buckets.select("key", "size", F.col("most.class").alias("largest"), F.col("most.n").alias("n")), "mixed")
+    dealt = placed.join(buckets, "key")
+    big, inner, outer = F.col("size") > block, F.ceil(F.col("n") / block), F.ceil((F.col("size") - F.col("n")) / block)
+    is_inner = F.col("class") == F.col("largest")
+    piece = F.pmod(F.xxhash64("node"), F.when(is_inner, inner).otherwise(outer))
+
+    def with_each(count, pair):
+        return F.transform(F.sequence(F.lit(0), (count - 1).cast("int")), pair)
+
+    def blocks_of(a, b, side):
+        return F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"), side.alias("side"))
+
+    own = piece.cast("int")
+    across = F.when(is_inner, with_each(outer, lambda o: blocks_of(own, o, F.lit(0)))).otherwise(with_each(inner, lambda i: blocks_of(i, own, F.lit(1))))
+    # pieces of the others are numbered on from -1 downwards, the lower number first
+    among = with_each(outer, lambda o: blocks_of(-1 - F.least(o, own), F.greatest(o, own), (own > o).cast("int")))
+    all_of = F.when(~big, F.array(blocks_of(F.lit(0), F.lit(0), F.lit(0)))).when(is_inner, across).otherwise(F.concat(across, among))
+    return dealt.select("key", "band", "node", "class", F.explode(all_of).alias("pair")).select("key", "band", "node", "class", F.col("pair.a").alias("one"), F.col("pair.b").alias("two"), F.col("pair.side").alias("side"))
 
 
 def classes(
@@ -204,7 +262,8 @@ def classes(
     shingle: int = SHINGLE,
     bands: int = BANDS,
     rows: int = ROWS,
-    large: int = LARGE,
+    block: int = BLOCK,
+    likely: float = LIKELY,
 ) -> DataFrame:
     """``doc_id`` and ``class_id`` for each row of ``docs``: the least id of the documents it is linked with.
 
@@ -220,34 +279,22 @@ def classes(
     # equal texts: the least document of each stands for all
     whole = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node"), F.any_value("keys").alias("keys"))
     whole = stored(whole, "texts")
-    shared = _with_hubs(whole.select(F.explode("keys").alias("key"), "node"), "buckets")
+    shared = _with_hubs(whole.select("node", F.posexplode("keys").alias("band", "key")), "buckets")
     wanted = stored(shared.select("node").distinct(), "wanted")
     own = given.where("text != ''").join(wanted, F.col("id") == F.col("node")).select("node", "text")
     texts = stored(own.distinct(), "candidates")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return _verified(stored(pairs, "pairs"), texts, threshold, shingle)
-
-    judged = verified(_stars(shared))
-    found = components(judged.where("linked"))
-    mixed = _mixed_buckets(shared, found)
-    rest = mixed.where(F.col("size") <= large)
-    big = mixed.where(F.col("size") > large)
-    if not big.isEmpty():
-        others = shared.select(F.col("key").alias("other"), "node")
-        finer = big.select("key", "node").join(others, "node").where("key != other")
-        finer = finer.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node").distinct()
-        finer = _with_hubs(finer, "finer")
-        fresh = _stars(finer).join(judged.select("a", "b"), ["a", "b"], "left_anti")
-        judged = stored(judged.union(verified(fresh)), "verified")
-        found = components(judged.where("linked"))
-        rest = _mixed_buckets(finer, found).union(_mixed_buckets(rest, found))
-    one = rest.select("key", F.col("node").alias("a"), F.col("class").alias("class_a"))
-    two = rest.select("key", F.col("node").alias("b"), F.col("class").alias("class_b"))
-    across = one.join(two, "key").where("a < b AND class_a != class_b").select("a", "b").distinct()
-    across = stored(across.join(judged.select("a", "b"), ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        found = components(judged.where("linked").union(verified(across).where("linked")))
+    pairs = stored(_stars(shared), "pairs")
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    judged = joined.mapInArrow(lambda batches: _verify(batches, threshold, shingle), "a long, b long, weighted double, plain double, linked boolean")
+    links = stored(judged.where("linked").select("a", "b"), "links")
+    found = components(links)
+    dealt = stored(_blocks(shared, found, block), "blocks").join(texts, "node")
+    more = dealt.groupBy("key", "one", "two").applyInArrow(lambda t: _block_links(t, bands, rows, threshold, shingle, likely), "a long, b long")
+    more = stored(more.distinct(), "links")
+    if not more.isEmpty():
+        found = components(links.union(more))
     # documents through their text's node to the class
     by_text = signed.join(whole.select("digest", "node"), "digest", "left").select("id", F.coalesce("node", "id").alias("node"))
     placed = by_text.join(found, "node", "left").select("id", F.coalesce("class", "node").alias("class"))
