@@ -62,7 +62,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     chars = sums((~_SPACE[data]) & ((data & 0xC0) != 0x80), offsets)
     size = np.diff(np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1])
     capitals, letters = _CAPITALS[data], _LETTERS[data]
-    word_bytes = _SPACE[data] == False  # noqa: E712
+    word_bytes = ~_SPACE[data]
     inner = np.concatenate([[0], np.cumsum(size)])
     capital_words = np.bincount(doc, weights=sums(capitals[word_bytes], inner) * 2 > np.maximum(size, 3), minlength=n)
     codes = found.dictionary_encode().indices.to_numpy().astype(np.int64) if len(found) else np.zeros(0, np.int64)
@@ -73,10 +73,10 @@ def statistics(column: pa.Array) -> np.ndarray:
     key = (codes[at] * 1_000_003 + codes[at + 1]) * 1_000_003 + codes[at + 2] if len(at) else at
     distinct_windows, _ = _times(key & 0x7FFFFFFF, of, n)
     # lines
-    breaks = np.flatnonzero(data == 10)
-    ends = np.concatenate([breaks, offsets[1:]])
+    # (where a document ends and the next begins with a break, the end comes first)
+    ends = np.concatenate([offsets[1:], np.flatnonzero(data == 10)])
     order = np.argsort(ends, kind="stable")
-    ends, is_break = ends[order], order < len(breaks)
+    ends, is_break = ends[order], order >= n
     line_doc = np.repeat(np.arange(n), sums(data == 10, offsets) + 1)
     lines = binary_array(data[data != 10], np.concatenate([[0], ends - (np.cumsum(is_break) - is_break)])).dictionary_encode()
     full = sums(~_SPACE[data], np.concatenate([[0], ends])) > 0

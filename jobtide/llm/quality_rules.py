@@ -23,7 +23,7 @@ MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
 #: Band of each measure by script: characters per token, share of byte tokens, share of the possible entropy. A script
 #: of many small characters takes more tokens for a character, and one that the vocabulary lacks is spelt in bytes.
 BANDS = {
-    "latin": ((1.25, 9.0), (0.0, 0.10), (0.45, 1.0)),
+    "latin": ((1.2, 9.0), (0.0, 0.10), (0.40, 1.0)),
     "cyrillic": ((1.0, 8.0), (0.0, 0.30), (0.45, 1.0)),
     "greek": ((0.6, 8.0), (0.0, 0.60), (0.40, 1.0)),
     "cjk": ((0.25, 4.0), (0.0, 0.95), (0.35, 1.0)),
@@ -76,13 +76,12 @@ def _repeated_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Lines of each document that have a word and equal an earlier line of it."""
     breaks = data == 10
     count = sums(breaks, offsets) + 1
-    # a line ends at a break or at the document's end
-    at = np.flatnonzero(breaks)
-    ends = np.concatenate([at, offsets[1:]])
+    # a line ends at a break or at the document's end; at the same place the end of the document before comes first
+    ends = np.concatenate([offsets[1:], np.flatnonzero(breaks)])
     order = np.argsort(ends, kind="stable")
     if not len(ends):
         return np.zeros(0, np.int64)
-    ends, is_break = ends[order], order < len(at)
+    ends, is_break = ends[order], order >= len(count)
     doc = np.repeat(np.arange(len(count)), count)
     places = np.concatenate([[0], ends - (np.cumsum(is_break) - is_break)])
     lines = binary_array(data[~breaks], places).dictionary_encode()
