@@ -21,11 +21,11 @@ FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 CTES["dated_events"] = """
 SELECT event_id, user_id, event_type, user_id % 4 AS provider, user_id % 20 AS company,
        user_id || '-' || event_type AS posting,
-       (29 - date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))) * (1 + user_id % 5) AS days_back,
+       CASE WHEN user_id % 10 = 1 THEN (29 - date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))) % 6
+            ELSE (29 - date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))) * (1 + user_id % 5) END AS days_back,
        CAST(extract(hour FROM ts) * 3600 + extract(minute FROM ts) * 60 + extract(second FROM ts) AS BIGINT) AS seconds,
        CAST(extract(hour FROM ts) AS BIGINT) // 12 AS half
 FROM events
-WHERE NOT (user_id % 10 = 1 AND date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) < 24)
 """
 
 CTES["sightings"] = """
@@ -176,6 +176,12 @@ SELECT CAST(100 + r_regionkey AS BIGINT), 'https://jobs.lever.co/quiet' || r_reg
 FROM region WHERE r_regionkey < 2
 """
 
+# The same tables from the sightings of all providers.
+
+for _name in [n for n in CTES if n.startswith(("greenhouse_", "lever_", "ashby_", "rippling_"))]:
+    _text = re.sub(r"\b(FROM|JOIN) ((?:greenhouse|ashby)_\w+)", r"\1 all_\2", CTES[_name])
+    CTES[f"all_{_name}"] = re.sub(r"FROM sightings WHERE provider = \d", "FROM sightings", _text)
+
 # Staged tables.
 
 _TIMES = """
@@ -410,7 +416,27 @@ def oracle(name, statement):
 
 # A: sources, extraction, sinks
 
-oracle("typed_scan", "SELECT * FROM lever_openings")
+_RAW_COLUMNS = {
+    "greenhouse_openings": "id record_id created_at updated_at source run_id raw_file existing_used department_ids location office_ids opening_link opening_title",
+    "greenhouse_departments": "id record_id created_at updated_at source run_id raw_file existing_used company_name department_category department_id department_name",
+    "lever_openings": "id record_id created_at updated_at source run_id raw_file existing_used company_name department_names location opening_link opening_title workplace_type",
+    "ashby_openings": "id record_id created_at updated_at company_name board_source run_id raw_file existing_used opening_id opening_name department_id location_id location_name employment_type compensation_tier opening_link",
+    "ashby_departments": "id record_id created_at updated_at company_name board_source run_id raw_file existing_used department_id department_name parent_department_id",
+    "ashby_locations": "id record_id created_at updated_at company_name board_source run_id raw_file existing_used opening_id secondary_location_id secondary_location_name",
+    "rippling_openings": "id job_id created_at title url location board_token department run_id api_endpoint",
+    "boards": "id url is_enabled is_prospect is_web_scraped job_board_provider board_token",
+}
+
+
+def _whole_rows(names, more=""):
+    parts = []
+    for name in names:
+        values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in sorted(_RAW_COLUMNS[name].split()))
+        parts.append(f"SELECT '{name}' AS table_name, id, concat_ws('|', {values}) AS row_text{more} FROM {name}")
+    return " UNION ALL ".join(parts)
+
+
+oracle("typed_scan", _whole_rows(_RAW_COLUMNS))
 
 oracle(
     "page_links",
@@ -599,9 +625,10 @@ FROM documents
 """,
 )
 
+_LOADED = [name for name in _RAW_COLUMNS if name != "boards"]
 oracle(
     "append_runs",
-    "SELECT *, 'parquet' AS stored_as FROM lever_openings UNION ALL SELECT *, 'json' FROM lever_openings",
+    _whole_rows(_LOADED, ", 'parquet' AS stored_as") + " UNION ALL " + _whole_rows(_LOADED, ", 'json' AS stored_as"),
 )
 
 _EPOCH_TABLES = [
@@ -658,7 +685,7 @@ oracle(
     """
 SELECT id, make_timestamp(updated_at * 1000000) AS updated_at_utc,
        CAST(make_timestamp(updated_at * 1000000) AS DATE) AS updated_date_utc
-FROM lever_openings
+FROM all_lever_openings
 """,
 )
 
@@ -700,7 +727,7 @@ UNION ALL SELECT id, workplace_type = 'Remote' FROM lever_openings
 
 oracle("since_cutoff", "SELECT id, record_id, updated_at FROM greenhouse_departments WHERE updated_at > 1684600000")
 
-CTES["rippling_days"] = "SELECT id, url, CAST(created_at AS DATE) AS day FROM rippling_openings"
+CTES["rippling_days"] = "SELECT id, url, CAST(created_at AS DATE) AS day FROM all_rippling_openings"
 
 CTES["rippling_spans"] = "SELECT url, min(day) AS first_day, max(day) AS last_day FROM rippling_days GROUP BY url"
 
@@ -745,12 +772,12 @@ oracle("department_paths", "SELECT id, opening_id, primary_department, secondary
 
 oracle(
     "with_group_values",
-    "SELECT id, source, run_id, count(*) OVER (PARTITION BY source) AS board_rows FROM lever_openings",
+    "SELECT id, source, run_id, count(*) OVER (PARTITION BY source) AS board_rows FROM all_lever_openings",
 )
 
 oracle(
     "combined_on_id",
-    "SELECT id, opening_id, compensation_tier, department_id FROM ashby_openings WHERE compensation_tier IS NOT NULL AND department_id <> 'missing'",
+    "SELECT id, opening_id, compensation_tier, department_id FROM all_ashby_openings WHERE compensation_tier IS NOT NULL AND department_id <> 'missing'",
 )
 
 oracle(
@@ -758,13 +785,13 @@ oracle(
     """
 SELECT l.id, l.source, b.id AS board_id, b.url AS board_url, b.is_enabled AS board_is_enabled, b.is_prospect AS board_is_prospect,
        b.is_web_scraped AS board_is_web_scraped, b.job_board_provider AS board_job_board_provider, b.board_token AS board_board_token
-FROM lever_openings l JOIN boards b ON l.source = regexp_replace(b.url, '/$', '')
+FROM all_lever_openings l JOIN boards b ON l.source = regexp_replace(b.url, '/$', '')
 """,
 )
 
 oracle(
     "explode_list",
-    "SELECT id, department_ids, unnest(string_split(department_ids, ',')) AS department_id FROM greenhouse_openings WHERE department_ids <> ''",
+    "SELECT id, department_ids, unnest(string_split(department_ids, ',')) AS department_id FROM all_greenhouse_openings WHERE department_ids <> ''",
 )
 
 oracle(
@@ -772,7 +799,7 @@ oracle(
     """
 SELECT id, department_names, trim(unnest(string_split(department_names, '–'))) AS department_name,
        generate_subscripts(string_split(department_names, '–'), 1) AS department_level
-FROM lever_openings WHERE department_names <> ''
+FROM all_lever_openings WHERE department_names <> ''
 """,
 )
 
@@ -783,7 +810,7 @@ oracle(
     """
 SELECT id, url, seen_on, min(seen_on) OVER link AS earliest_opening_date, max(seen_on) OVER link AS latest_opening_date,
        CAST(max(seen_on) OVER link - min(seen_on) OVER link + 1 AS BIGINT) AS days_active
-FROM (SELECT id, url, CAST(created_at AS DATE) AS seen_on FROM rippling_openings WHERE location IS NOT NULL)
+FROM (SELECT id, url, CAST(created_at AS DATE) AS seen_on FROM all_rippling_openings)
 WINDOW link AS (PARTITION BY url)
 """,
 )
@@ -819,7 +846,7 @@ SELECT id, max(CASE WHEN place = 1 THEN step END) AS primary_department, max(CAS
        max(CASE WHEN place = 3 THEN step END) AS tertiary_department, max(CASE WHEN place = 4 THEN step END) AS quaternary_department
 FROM (SELECT id, trim(unnest(string_split(department_names, '–'))) AS step,
              generate_subscripts(string_split(department_names, '–'), 1) AS place
-      FROM lever_openings WHERE department_names <> '')
+      FROM all_lever_openings WHERE department_names <> '')
 GROUP BY id
 """,
 )
@@ -829,27 +856,30 @@ oracle(
     """
 SELECT run_id, source, 'greenhouse' AS job_board, count(*) AS num_rows, count(DISTINCT opening_link) AS num_source_openings FROM greenhouse_openings GROUP BY run_id, source
 UNION ALL SELECT run_id, source, 'lever', count(*), count(DISTINCT opening_link) FROM lever_openings GROUP BY run_id, source
+UNION ALL SELECT run_id, board_source, 'ashby', count(*), count(DISTINCT opening_link) FROM ashby_openings GROUP BY run_id, board_source
 """,
 )
 
-oracle("distinct_postings", "SELECT DISTINCT source, company_name, opening_link, opening_title FROM lever_openings")
+oracle("distinct_postings", "SELECT DISTINCT source, company_name, opening_link, opening_title FROM all_lever_openings")
 
 # E: windows
 
 oracle(
     "first_seen",
     """
-SELECT id, record_id, updated_at FROM lever_openings
+SELECT id, record_id, updated_at FROM all_lever_openings
 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY updated_at, id) = 1
 """,
 )
 
-oracle("first_seen_per_day", "SELECT id, record_id, opening_link, updated_date_utc AS day FROM ashby_first")
+CTES["all_ashby_first"] = _first_openings("all_ashby_openings")
+
+oracle("first_seen_per_day", "SELECT id, record_id, opening_link, updated_date_utc AS day FROM all_ashby_first")
 
 oracle(
     "first_seen_two_keys",
     """
-SELECT id, record_id, department_id, run_id FROM greenhouse_departments
+SELECT id, record_id, department_id, run_id FROM all_greenhouse_departments
 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY updated_at, id) = 1
     AND row_number() OVER (PARTITION BY department_id, run_id ORDER BY updated_at, id) = 1
 """,
@@ -858,7 +888,7 @@ QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY updated_at, id) = 1
 oracle(
     "latest_name",
     """
-SELECT id, department_id, department_name, updated_at FROM ashby_departments
+SELECT id, department_id, department_name, updated_at FROM all_ashby_departments
 QUALIFY row_number() OVER (PARTITION BY department_id ORDER BY updated_at DESC, id) = 1
 """,
 )
@@ -887,23 +917,26 @@ FROM events
 
 # K: checks
 
-oracle("check_not_null", "SELECT id, record_id FROM lever_openings WHERE department_names IS NULL")
+oracle("check_not_null", "SELECT id, record_id FROM all_lever_openings WHERE department_names IS NULL")
 
 oracle(
     "check_unique",
-    "SELECT record_id, count(*) AS occurrences FROM ashby_departments GROUP BY record_id HAVING count(*) > 1",
+    "SELECT record_id, count(*) AS occurrences FROM all_ashby_departments GROUP BY record_id HAVING count(*) > 1",
 )
 
 oracle(
     "check_unique_where",
-    "SELECT record_id, count(*) AS occurrences FROM unified WHERE job_board <> 'rippling' GROUP BY record_id HAVING count(*) > 1",
+    """
+SELECT record_id, count(*) AS occurrences FROM all_greenhouse_departments WHERE department_category <> 'level-2'
+GROUP BY record_id HAVING count(*) > 1
+""",
 )
 
 oracle(
     "check_accepted",
     """
-SELECT workplace_type, count(*) AS occurrences FROM lever_openings
-WHERE workplace_type NOT IN ('On-site', 'Remote') GROUP BY workplace_type
+SELECT job_board, count(*) AS occurrences FROM unified
+WHERE job_board NOT IN ('greenhouse', 'lever', 'ashby') GROUP BY job_board
 """,
 )
 

@@ -53,11 +53,19 @@ def _mart(spark, sf) -> DataFrame:
 # A: sources, extraction, sinks
 
 
+def _whole_rows(df, name) -> DataFrame:
+    """A table's rows with all their values as one text."""
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)]
+    return df.select(F.lit(name).alias("table_name"), "id", F.concat_ws("|", *values).alias("row_text"))
+
+
 @query
 def typed_scan(spark, sf):
-    path = _folder(spark)
-    E.lever_openings(spark, sf).write.parquet(f"{path}/lever_openings")
-    return tables.read_raw(spark, path, "lever_openings")
+    path, frames = _folder(spark), []
+    for name, make in E.TABLES.items():
+        make(spark, sf).write.parquet(f"{path}/{name}")
+        frames.append(_whole_rows(tables.read_raw(spark, path, name), name))
+    return setops.union_all(*frames)
 
 
 @query
@@ -149,15 +157,17 @@ def first_and_last_words(spark, sf):
 
 @query
 def append_runs(spark, sf):
-    raw, path = E.lever_openings(spark, sf), _folder(spark)
-    frames = []
-    this_year = F.col("run_id") >= "2024-01-01"
-    for fmt in ("parquet", "json"):
-        for run in (raw.where(~this_year), raw.where(this_year)):
-            storage.append_raw(run, f"{path}/{fmt}/lever_openings", fmt)
-        back = tables.read_raw(spark, f"{path}/{fmt}", "lever_openings", fmt)
-        frames.append(back.withColumn("stored_as", F.lit(fmt)))
-    return frames[0].unionByName(frames[1])
+    """Two runs of each table appended to files of two formats and read back."""
+    path, frames = _folder(spark), []
+    for name in LOADED_AT:
+        raw = E.TABLES[name](spark, sf)
+        this_year = F.col("run_id") >= "2024-01-01"
+        for fmt in ("parquet", "json"):
+            for run in (raw.where(~this_year), raw.where(this_year)):
+                storage.append_raw(run, f"{path}/{fmt}/{name}", fmt)
+            back = tables.read_raw(spark, f"{path}/{fmt}", name, fmt)
+            frames.append(_whole_rows(back, name).withColumn("stored_as", F.lit(fmt)))
+    return setops.union_all(*frames)
 
 
 def _by_load_time(spark, sf, pick):
@@ -220,7 +230,7 @@ def landed_rows(spark, sf):
 @query
 def epoch_dates(spark, sf):
     at = C.epoch_to_utc(F.col("updated_at"))
-    return E.lever_openings(spark, sf).select(
+    return E.lever_openings(spark, sf, None).select(
         "id", at.alias("updated_at_utc"), C.day_of(at).alias("updated_date_utc")
     )
 
@@ -283,7 +293,7 @@ def since_cutoff(spark, sf):
 
 @query
 def length_bucket(spark, sf):
-    postings = E.rippling_openings(spark, sf).select(
+    postings = E.rippling_openings(spark, sf, None).select(
         "id", "url", C.day_of(F.col("created_at")).alias("day")
     )
     spanned = joins.with_lifespan(postings, "url", "day").select(
@@ -352,14 +362,14 @@ def department_paths(spark, sf):
 
 @query
 def with_group_values(spark, sf):
-    raw = E.lever_openings(spark, sf).select("id", "source", "run_id")
+    raw = E.lever_openings(spark, sf, None).select("id", "source", "run_id")
     grouped = aggregates.count_by(raw, ["source"], "board_rows")
     return joins.with_group_values(raw, grouped, "source")
 
 
 @query
 def combined_on_id(spark, sf):
-    raw = E.ashby_openings(spark, sf)
+    raw = E.ashby_openings(spark, sf, None)
     return joins.combine_on_id(
         raw.select("id", "opening_id"),
         raw.where("compensation_tier IS NOT NULL").select("id", "compensation_tier"),
@@ -370,19 +380,19 @@ def combined_on_id(spark, sf):
 @query
 def board_postings(spark, sf):
     return joins.join_boards(
-        E.lever_openings(spark, sf).select("id", "source"), E.boards(spark, sf)
+        E.lever_openings(spark, sf, None).select("id", "source"), E.boards(spark, sf)
     )
 
 
 @query
 def explode_list(spark, sf):
-    raw = E.greenhouse_openings(spark, sf).select("id", "department_ids")
+    raw = E.greenhouse_openings(spark, sf, None).select("id", "department_ids")
     return reshape.explode_list(raw, "department_ids", V.LIST_SEPARATOR, "department_id")
 
 
 @query
 def explode_path_ordinal(spark, sf):
-    raw = E.lever_openings(spark, sf).select("id", "department_names")
+    raw = E.lever_openings(spark, sf, None).select("id", "department_names")
     return reshape.explode_list(
         raw, "department_names", V.PATH_SEPARATOR, "department_name", "department_level"
     ).withColumn("department_name", F.trim("department_name"))
@@ -393,9 +403,8 @@ def explode_path_ordinal(spark, sf):
 
 @query
 def lifespan(spark, sf):
-    raw = E.rippling_openings(spark, sf)
-    link = F.when(F.col("location").isNotNull(), F.col("url")).alias("url")
-    days = raw.select("id", link, C.day_of(F.col("created_at")).alias("seen_on"))
+    raw = E.rippling_openings(spark, sf, None)
+    days = raw.select("id", "url", C.day_of(F.col("created_at")).alias("seen_on"))
     spanned = joins.with_lifespan(days, "url", "seen_on")
     return spanned.withColumn(
         "days_active",
@@ -437,7 +446,7 @@ def pivot_by_level(spark, sf):
 @query
 def pivot_by_ordinal(spark, sf):
     steps = reshape.explode_list(
-        E.lever_openings(spark, sf).select("id", "department_names"),
+        E.lever_openings(spark, sf, None).select("id", "department_names"),
         "department_names",
         V.PATH_SEPARATOR,
         "step",
@@ -450,10 +459,10 @@ def pivot_by_ordinal(spark, sf):
 @query
 def run_counts(spark, sf):
     raw = E.raw_tables(spark, sf)
-    rows = {
-        name: aggregates.count_by(raw[f"{name}_openings"], ["run_id", "source"], "num_rows")
-        for name in ("greenhouse", "lever")
-    }
+    rows = {}
+    for name in ("greenhouse", "lever", "ashby"):
+        openings = raw[f"{name}_openings"].withColumnRenamed("board_source", "source")
+        rows[name] = aggregates.count_by(openings, ["run_id", "source"], "num_rows")
     links = checks.raw_link_counts(raw)
     return setops.union_counts(**rows).join(links, ["run_id", "source", "job_board"])
 
@@ -461,7 +470,7 @@ def run_counts(spark, sf):
 @query
 def distinct_postings(spark, sf):
     return aggregates.distinct_rows(
-        E.lever_openings(spark, sf), ["source", "company_name", "opening_link", "opening_title"]
+        E.lever_openings(spark, sf, None), ["source", "company_name", "opening_link", "opening_title"]
     )
 
 
@@ -470,13 +479,13 @@ def distinct_postings(spark, sf):
 
 @query
 def first_seen(spark, sf):
-    kept = dedupe.first_seen(E.lever_openings(spark, sf), ["record_id"], ["updated_at", "id"])
+    kept = dedupe.first_seen(E.lever_openings(spark, sf, None), ["record_id"], ["updated_at", "id"])
     return kept.select("id", "record_id", "updated_at")
 
 
 @query
 def first_seen_per_day(spark, sf):
-    raw = E.ashby_openings(spark, sf).withColumn("day", C.day_of(C.epoch_to_utc(F.col("updated_at"))))
+    raw = E.ashby_openings(spark, sf, None).withColumn("day", C.day_of(C.epoch_to_utc(F.col("updated_at"))))
     kept = dedupe.first_seen_per_day(raw, "record_id", "opening_link", "day", ["updated_at", "id"])
     return kept.select("id", "record_id", "opening_link", "day")
 
@@ -484,7 +493,7 @@ def first_seen_per_day(spark, sf):
 @query
 def first_seen_two_keys(spark, sf):
     kept = dedupe.first_seen_two_keys(
-        E.greenhouse_departments(spark, sf),
+        E.greenhouse_departments(spark, sf, None),
         ["record_id"],
         ["department_id", "run_id"],
         ["updated_at", "id"],
@@ -494,13 +503,13 @@ def first_seen_two_keys(spark, sf):
 
 @query
 def latest_name(spark, sf):
-    kept = dedupe.latest(E.ashby_departments(spark, sf), ["department_id"], ["updated_at", "id"])
+    kept = dedupe.latest(E.ashby_departments(spark, sf, None), ["department_id"], ["updated_at", "id"])
     return kept.select("id", "department_id", "department_name", "updated_at")
 
 
 @query
 def first_daily(spark, sf):
-    days = E.rippling_openings(spark, sf).withColumn("day", C.day_of(F.col("created_at")))
+    days = E.rippling_openings(spark, sf, None).withColumn("day", C.day_of(F.col("created_at")))
     return dedupe.first_daily(days, "url", "day", "id").select("id", "url", "day")
 
 
@@ -509,7 +518,7 @@ def header_fill(spark, sf):
     """User ids shown with events of some value only, carried on within the event type."""
     shown = F.when(F.col("value") > 40, F.col("user_id"))
     rows = E.table(spark, sf, "events").select("event_id", "event_type", shown.alias("header"))
-    return dedupe.fill_forward(rows, ["event_type"], "event_id", "header", chunk_rows=10_000)
+    return dedupe.fill_forward(rows, ["event_type"], "event_id", "header")
 
 
 @query
@@ -524,23 +533,25 @@ def keyed_ids(spark, sf):
 
 @query
 def check_not_null(spark, sf):
-    return checks.not_null(E.lever_openings(spark, sf), "department_names").select("id", "record_id")
+    return checks.not_null(E.lever_openings(spark, sf, None), "department_names").select("id", "record_id")
 
 
 @query
 def check_unique(spark, sf):
-    return checks.unique(E.ashby_departments(spark, sf), "record_id")
+    return checks.unique(E.ashby_departments(spark, sf, None), "record_id")
 
 
 @query
 def check_unique_where(spark, sf):
-    return checks.unique(_unified(spark, sf), "record_id", "job_board != 'rippling'")
+    return checks.unique(
+        E.greenhouse_departments(spark, sf, None), "record_id", "department_category != 'level-2'"
+    )
 
 
 @query
 def check_accepted(spark, sf):
-    raw = E.lever_openings(spark, sf)
-    return checks.accepted(raw, "workplace_type", V.ACCEPTED["workplace_type"][:2])
+    """The selected boards' providers against all postings: those of the fourth one are wrong."""
+    return checks.accepted(_unified(spark, sf), "job_board", V.ACCEPTED["selected_job_board"])
 
 
 @query

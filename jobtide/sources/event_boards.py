@@ -1,13 +1,16 @@
 """Raw board tables made from the event data, for trying the engine on the given tables.
 
 An event is one sighting of the posting (user, event type) by the crawl of a day. Days are spread
-backwards from ``AS_OF`` so that postings of all ages occur, and a few events get missing, empty
-or unknown departments and locations. Work grows with the events; nation and region name things.
+backwards from ``AS_OF`` so that postings of all ages occur (those of every tenth user into the last
+six days), and a few events get missing, empty or unknown departments and locations. Every event is
+a sighting of one provider; an adapter without a provider takes the events of all. Work grows with
+the events; nation and region name things.
 """
 
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobtide.schemas import GIVEN, RAW
 
@@ -27,11 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sightings(spark: SparkSession, sf_dir: str, provider: int) -> DataFrame:
-    """Events of one provider's companies as sightings, with the names of their place."""
-    events = table(spark, sf_dir, "events").where(
-        f"user_id % 4 = {provider} AND NOT (user_id % 10 = 1 AND {_DAY} < 24)"
-    )
+def sightings(spark: SparkSession, sf_dir: str, provider: int | None = None) -> DataFrame:
+    """Events of one provider's companies, or of all, as sightings with the names of their place."""
+    events = table(spark, sf_dir, "events")
+    if provider is not None:
+        events = events.where(F.col("user_id") % 4 == provider)
     seen = events.selectExpr(
         "event_id",
         "user_id",
@@ -39,7 +42,7 @@ def sightings(spark: SparkSession, sf_dir: str, provider: int) -> DataFrame:
         "user_id % 20 AS company",
         "CAST(user_id % 25 AS INT) AS n_nationkey",
         "user_id || '-' || event_type AS posting",
-        f"(29 - {_DAY}) * (1 + user_id % 5) AS days_back",
+        f"if(user_id % 10 = 1, (29 - {_DAY}) % 6, (29 - {_DAY}) * (1 + user_id % 5)) AS days_back",
         "CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT) AS seconds",
         "hour(ts) div 12 AS half",
         f"{_TITLE} AS title",
@@ -84,9 +87,9 @@ _TYPE_DEPARTMENT = """(company * 100 + 80
 _BOTH_DEPARTMENTS = f"{_REGION_DEPARTMENT} || ',' || {_NATION_DEPARTMENT}"
 
 
-def greenhouse_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def greenhouse_openings(spark: SparkSession, sf_dir: str, provider: int | None = 0) -> DataFrame:
     return _raw(
-        sightings(spark, sf_dir, 0),
+        sightings(spark, sf_dir, provider),
         "greenhouse_openings",
         **_SEEN,
         source=_GREENHOUSE_SOURCE,
@@ -104,9 +107,9 @@ def greenhouse_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def greenhouse_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def greenhouse_departments(spark: SparkSession, sf_dir: str, provider: int | None = 0) -> DataFrame:
     """Departments a crawl's postings refer to; some are listed twice, some much too early."""
-    named = sightings(spark, sf_dir, 0).selectExpr(
+    named = sightings(spark, sf_dir, provider).selectExpr(
         "event_id",
         "seen_at",
         "run_id",
@@ -140,9 +143,9 @@ def _first_listed(named: DataFrame, *keys: str) -> DataFrame:
 # lever: companies 1, 5, 9, 13 and 17
 
 
-def lever_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lever_openings(spark: SparkSession, sf_dir: str, provider: int | None = 1) -> DataFrame:
     return _raw(
-        sightings(spark, sf_dir, 1),
+        sightings(spark, sf_dir, provider),
         "lever_openings",
         **_SEEN,
         source="'https://jobs.lever.co/company' || company",
@@ -170,9 +173,9 @@ _REGION_TEAM = "'c' || company || '-r' || r_regionkey"
 _NATION_TEAM = "'c' || company || '-n' || n_nationkey"
 
 
-def ashby_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ashby_openings(spark: SparkSession, sf_dir: str, provider: int | None = 2) -> DataFrame:
     return _raw(
-        sightings(spark, sf_dir, 2),
+        sightings(spark, sf_dir, provider),
         "ashby_openings",
         **_SEEN,
         company_name=_ASHBY_COMPANY,
@@ -190,9 +193,9 @@ def ashby_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ashby_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ashby_departments(spark: SparkSession, sf_dir: str, provider: int | None = 2) -> DataFrame:
     """Teams a crawl's postings refer to; nations are renamed from the middle of the month on."""
-    named = sightings(spark, sf_dir, 2).selectExpr(
+    named = sightings(spark, sf_dir, provider).selectExpr(
         "event_id",
         "seen_at",
         "run_id",
@@ -216,10 +219,10 @@ def ashby_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ashby_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ashby_locations(spark: SparkSession, sf_dir: str, provider: int | None = 2) -> DataFrame:
     """No, one or two further locations per sighting."""
     places = "explode(sequence(1, CAST(event_id % 3 AS INT))) AS place"
-    seen = sightings(spark, sf_dir, 2).where("event_id % 3 > 0").drop("n_name")
+    seen = sightings(spark, sf_dir, provider).where("event_id % 3 > 0").drop("n_name")
     further = seen.selectExpr("*", places).selectExpr("*", "(n_nationkey + place) % 25 AS further")
     names = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS further", "n_name")
     return _raw(
@@ -240,9 +243,9 @@ def ashby_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RIPPLING_SOURCE = "'https://api.rippling.com/boards/company' || company || '/jobs'"
 
 
-def rippling_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rippling_openings(spark: SparkSession, sf_dir: str, provider: int | None = 3) -> DataFrame:
     return _raw(
-        sightings(spark, sf_dir, 3),
+        sightings(spark, sf_dir, provider),
         "rippling_openings",
         id="event_id",
         job_id="posting",
