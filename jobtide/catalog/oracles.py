@@ -819,13 +819,18 @@ oracle(
     "child_concat",
     """
 SELECT opening_id, run_id, string_agg(secondary_location_name, ', ' ORDER BY id) AS secondary_locations
-FROM ashby_locations GROUP BY opening_id, run_id
+FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY updated_at, id) AS n FROM all_ashby_locations)
+WHERE n = 1 GROUP BY opening_id, run_id
 """,
 )
 
 oracle(
     "concat_all_but_one",
-    "SELECT job_id, title, run_id, string_agg(label, ', ' ORDER BY id, i) AS label FROM flat_rows GROUP BY job_id, title, run_id",
+    """
+SELECT job_id, title, run_id, string_agg(label, ', ' ORDER BY id, i) AS label
+FROM (SELECT * FROM flat_rows QUALIFY row_number() OVER (PARTITION BY job_id, run_id, label ORDER BY id, i) = 1)
+GROUP BY job_id, title, run_id
+""",
 )
 
 oracle(

@@ -414,8 +414,10 @@ def lifespan(spark, sf):
 
 @query
 def child_concat(spark, sf):
+    """Locations of a posting and run, each sighting of a place once."""
+    _, stage = marts.STAGED["ashby_locations"]
     return reshape.concat_children(
-        E.ashby_locations(spark, sf),
+        stage(E.ashby_locations(spark, sf, None)),
         ["opening_id", "run_id"],
         "secondary_location_name",
         "id",
@@ -425,10 +427,12 @@ def child_concat(spark, sf):
 
 @query
 def concat_all_but_one(spark, sf):
+    """Labels of a posting and run, each label once, as first listed."""
     rows = P.flat_rows(spark, sf).select(
         "job_id", "title", "run_id", "label", (F.col("id") * 10 + F.col("place")).alias("row")
     )
-    return reshape.concat_all_but_one(rows, "label", "row")
+    listed = dedupe.first_seen(rows, ["job_id", "run_id", "label"], ["row"])
+    return reshape.concat_all_but_one(listed, "label", "row")
 
 
 @query

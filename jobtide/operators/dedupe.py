@@ -60,33 +60,47 @@ def first_daily(df: DataFrame, link: str, day: str, row_id: str) -> DataFrame:
     return first_seen(df, [link, day], [row_id])
 
 
+#: Order values in a run of ``fill_forward``, and runs in a block of runs.
+RUN_ROWS, BLOCK_RUNS = 100_000, 10_000
+
+
+def _entering(ends: DataFrame, part: str, run: str, size: int) -> DataFrame:
+    """For each run (``part``, ``run``) the last value of the runs before it, from their own last
+    values (``_end``). Runs are reduced in blocks first, so no task sees all runs of a part."""
+    blocked = ends.withColumn("_block", F.col(run) - F.pmod(F.col(run), F.lit(size)))
+    value = F.when(F.col("_end").isNotNull(), F.col(run))
+    blocks = blocked.groupBy(part, "_block").agg(F.max_by("_end", value).alias("_block_end"))
+    before = W.partitionBy(part).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    carried = blocks.select(
+        part, "_block", F.last("_block_end", ignorenulls=True).over(before).alias("_carried")
+    )
+    earlier = W.partitionBy(part, "_block").orderBy(run).rowsBetween(W.unboundedPreceding, -1)
+    inside = blocked.withColumn("_inside", F.last("_end", ignorenulls=True).over(earlier))
+    return inside.join(carried, [part, "_block"]).select(
+        part, run, F.coalesce("_inside", "_carried").alias("_entering")
+    )
+
+
 def fill_forward(
-    df: DataFrame, part: list[str], order: str, col: str, chunk_rows: int = 100_000
+    df: DataFrame, part: list[str], order: str, col: str, run_rows: int = RUN_ROWS
 ) -> DataFrame:
     """Replace NULLs in ``col`` by the last value before them, per ``part`` in ``order``.
 
-    ``order`` is a whole number. Each part is cut into runs of ``chunk_rows`` order values; a run is
+    ``order`` is a whole number. Each part is cut into runs of ``run_rows`` order values; a run is
     filled on its own, and what enters it from the runs before comes from one summary row per run.
-    So a hot part is spread over many tasks.
+    So a hot part is spread over many tasks. The key of a part is a struct, which is never NULL:
+    runs and summaries then meet on plain keys, and the rows are shuffled once.
     """
-    cut = df.withColumn("_chunk", F.col(order) - F.pmod(F.col(order), F.lit(chunk_rows)))
-    keys = [*part, "_chunk"]
-
-    summary = cut.groupBy(*keys).agg(
-        F.max_by(col, F.when(F.col(col).isNotNull(), F.col(order))).alias("_end")
-    )
-    earlier = W.partitionBy(*part).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    entering = summary.select(
-        *[F.col(k).alias(f"_{k}_key") for k in keys],
-        F.last("_end", ignorenulls=True).over(earlier).alias("_entering"),
-    )
-
-    so_far = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    run = F.col(order) - F.pmod(F.col(order), F.lit(run_rows))
+    cut = df.withColumn("_part", F.struct(*part)).withColumn("_run", run)
+    last_value = F.max_by(col, F.when(F.col(col).isNotNull(), F.col(order)))
+    ends = cut.groupBy("_part", "_run").agg(last_value.alias("_end"))
+    entering = _entering(ends, "_part", "_run", run_rows * BLOCK_RUNS)
+
+    so_far = W.partitionBy("_part", "_run").orderBy(order)
+    so_far = so_far.rowsBetween(W.unboundedPreceding, W.currentRow)
     within = cut.withColumn("_within", F.last(col, ignorenulls=True).over(so_far))
-    same_run = [within[k].eqNullSafe(entering[f"_{k}_key"]) for k in keys]
-    return within.join(entering, same_run, "left").select(
-        *[
-            F.coalesce("_within", "_entering").alias(c) if c == col else within[c]
-            for c in df.columns
-        ]
+    filled = F.coalesce("_within", "_entering")
+    return within.join(entering, ["_part", "_run"], "left").select(
+        *[filled.alias(c) if c == col else F.col(c) for c in df.columns]
     )

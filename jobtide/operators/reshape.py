@@ -54,7 +54,11 @@ def _joined_names(col: str, order: str):
 def concat_children(
     df: DataFrame, keys: list[str], col: str, order: str, name: str
 ) -> DataFrame:
-    """Children's names per parent as one text, in the given order; NULL names are skipped."""
+    """Children's names per parent as one text, in the given order; NULL names are skipped.
+
+    A parent's names become one cell: reduce children to those that count before, so that a parent
+    holds as many as it has distinct children.
+    """
     return df.groupBy(*keys).agg(_joined_names(col, order).alias(name))
 
 

@@ -61,7 +61,7 @@ def test_fill_forward_matches_brute_force_across_chunks(spark, rows):
         last[part] = h or last.get(part)
         expected.append((place, last[part]))
     for chunk in (1, 7, 1000):
-        got = dedupe.fill_forward(df, ["part"], "place", "h", chunk_rows=chunk)
+        got = dedupe.fill_forward(df, ["part"], "place", "h", run_rows=chunk)
         assert got.columns == df.columns
         assert rows(got, "place", "h") == expected
 
