@@ -9,7 +9,10 @@ from jobtide.sinks.storage import publish
 
 
 def build(
-    raw: dict[str, DataFrame], base: str | None = None, as_of: date | None = None
+    raw: dict[str, DataFrame],
+    base: str | None = None,
+    as_of: date | None = None,
+    schema: str | None = None,
 ) -> dict[str, DataFrame]:
     """Publish staging views, intermediate tables and marts; returns the marts by name.
 
@@ -22,7 +25,7 @@ def build(
         for name, df in marts.staged_tables(raw).items()
     }
     unified = {
-        name: publish(df, "intermediate", f"unified_{name}", base)
+        name: publish(df, "intermediate", f"unified_{name}", base, schema=schema)
         for name, df in marts.unified_tables(staged).items()
     }
     mart = publish(
@@ -31,11 +34,12 @@ def build(
         "all_postings",
         base,
         ("is_active",),
+        schema,
     )
     subsets = {
         "active_postings": marts.active_postings(mart),
         "active_selected": marts.active_selected(mart, raw["boards"]),
         "active_prospect": marts.active_prospect(mart, raw["boards"]),
     }
-    published = {name: publish(df, "marts", name, base) for name, df in subsets.items()}
+    published = {name: publish(df, "marts", name, base, schema=schema) for name, df in subsets.items()}
     return {"all_postings": mart, **published}

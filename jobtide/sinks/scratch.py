@@ -1,24 +1,19 @@
 """Tables written between two steps of a job, in the shared folder the cluster names."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only a local session gets one of its own instead."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """The folder in ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``.
+
+    There is no other: what all executors can reach is for the cluster to say.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="jobtide-")
-    return _local_folders[context.applicationId]
+    return named
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -5,6 +5,7 @@ ones, so a run day holding a third of the rows becomes many files of even size.
 """
 
 from datetime import date, datetime, time, timedelta, timezone
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from jobtide.fixed_values import RETENTION_DAYS
 from jobtide.functions import epoch_to_utc
 from jobtide.schemas import LOADED_AT, RAW
+from jobtide.sinks.scratch import shared_folder
 
 LAYERS = {"staging": None, "intermediate": None, "marts": "core"}
 
@@ -86,21 +88,28 @@ def publish(
     name: str,
     base: str | None = None,
     partition_by: tuple[str, ...] = (),
+    schema: str | None = None,
 ) -> DataFrame:
-    """A staging dataset becomes a view; the others become tables, marts in their own schema."""
+    """A staging dataset becomes a temporary view; the others are stored and named by a view.
+
+    Each publication writes a folder of its own, ``<base>/<layer>/<name>/<run>``, and then points
+    the view there. A run that fails leaves the last good version in place, and a reader of that
+    version is not disturbed; drop old folders when nobody reads them any more. ``base`` is the
+    shared folder unless given. Marts go to the schema ``core``, others to the current one, unless
+    ``schema`` keeps the builds of one catalog apart.
+    """
     spark = df.sparkSession
     if layer == "staging":
         df.createOrReplaceTempView(name)
         return spark.table(name)
-    schema = LAYERS[layer]
+    path = f"{base or shared_folder(spark)}/{layer}/{name}/{uuid4().hex}"
+    writer = df.hint("rebalance", *partition_by).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    schema = schema or LAYERS[layer]
     if schema:
-        place = f" LOCATION '{base}/{schema}'" if base else ""
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{place}")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     full_name = f"{schema}.{name}" if schema else name
-    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if base:
-        writer = writer.option("path", f"{base}/{layer}/{name}")
-    writer.saveAsTable(full_name)
-    return spark.table(full_name).select(*df.columns)
+    # what a folder's name says of a partition column is text until it is cast
+    columns = ", ".join(f"CAST(`{c}` AS {t}) AS `{c}`" if c in partition_by else f"`{c}`" for c, t in df.dtypes)
+    spark.sql(f"CREATE OR REPLACE VIEW {full_name} AS SELECT {columns} FROM parquet.`{path}`")
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -73,19 +73,38 @@ def test_publish_layers(spark, raw, rows, tmp_path):
     storage.publish(df, "intermediate", "published_table", str(tmp_path))
     storage.publish(df, "marts", "published_mart", str(tmp_path), ("existing_used",))
     assert spark.catalog.getTable("published_view").tableType == "TEMPORARY"
-    assert spark.catalog.getTable("published_table").tableType == "EXTERNAL"
+    assert spark.catalog.getTable("published_table").tableType == "VIEW"
     assert spark.catalog.getTable("core.published_mart").namespace == ["core"]
 
 
+def test_publish_again_swaps_whole_versions(spark, raw, rows, tmp_path):
+    first = storage.publish(raw("lever_openings", lever(1, CUTOFF)), "marts", "swapped", str(tmp_path))
+    storage.publish(raw("lever_openings", lever(2, CUTOFF)), "marts", "swapped", str(tmp_path))
+    assert rows(spark.table("core.swapped"), "id") == [(2,)]
+    # who reads the version before goes on reading it, and a build that fails changes nothing
+    assert rows(first, "id") == [(1,)]
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|division"):
+        broken = raw("lever_openings", lever(3, CUTOFF)).selectExpr("id", "1 / (id - 3) AS source")
+        storage.publish(broken, "marts", "swapped", str(tmp_path))
+    assert rows(spark.table("core.swapped"), "id") == [(2,)]
+
+
+def test_two_builds_keep_apart_by_their_schema(spark, raw, rows, tmp_path):
+    for number, schema in ((1, "mine"), (2, "yours")):
+        storage.publish(raw("lever_openings", lever(number, CUTOFF)), "marts", "apart", f"{tmp_path}/{schema}", schema=schema)
+    assert rows(spark.table("mine.apart"), "id") == [(1,)] and rows(spark.table("yours.apart"), "id") == [(2,)]
+
+
 def test_scratch_uses_the_folder_the_session_names(spark, rows, checkpoint_dir):
     stored = scratch.stored(spark.range(3), "three")
     assert rows(stored) == [(0,), (1,), (2,)]
     assert len(list(checkpoint_dir.glob("three-*"))) == 1
 
 
-def test_scratch_refuses_a_local_folder_on_a_cluster():
+def test_scratch_needs_a_named_folder():
     class Context:
-        master, applicationId = "yarn", "app"
+        def getCheckpointDir(self):
+            return None
 
     class Conf:
         def get(self, key, default):
