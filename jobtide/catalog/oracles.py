@@ -6,8 +6,6 @@ others, in front of it. The tables of the data folder are views of the same name
 
 import re
 
-from jobtide.quality.declared import MART_CHECKS, RAW_CHECKS, STAGED_CHECKS
-
 CTES = {}
 ORACLES = {}
 
@@ -1065,7 +1063,38 @@ FROM ({failing})"""
     ),
 )
 
-def _declared(checks, tables):
+# What each dataset has to hold: filled, filled (warning), unique, unique where, accepted, accepted (warning), age.
+
+_ROLES = ["Data", "Software Engineering", "Product", "Sales", "Finance & Accounting", "Operations", "Other"]
+_LENGTHS = ["Inactive", "Stale", "Old", "Medium", "Recent", "New"]
+_HTML = "id record_id created_at updated_at source"
+_JSON = "id record_id created_at updated_at board_source company_name"
+_DECLARED_RAW = {
+    "greenhouse_departments": (f"{_HTML} company_name", "", "id", {}, {}, {"department_category": ["level-0", "level-1", "level-2", "level-3", "level-4"]}, "updated_at"),
+    "greenhouse_openings": (f"{_HTML} opening_link opening_title", "location", "id", {}, {}, {}, "updated_at"),
+    "lever_openings": (f"{_HTML} department_names opening_link opening_title", "location", "id", {}, {"workplace_type": ["On-site", "Remote", "Hybrid"]}, {}, "updated_at"),
+    "ashby_departments": (_JSON, "", "id", {}, {}, {}, "updated_at"),
+    "ashby_locations": (_JSON, "", "id", {}, {}, {}, "updated_at"),
+    "ashby_openings": (f"{_JSON} opening_id opening_name location_id location_name", "", "id", {}, {"employment_type": ["Intern", "Contract", "PartTime", "FullTime", "Temporary"]}, {}, "updated_at"),
+    "rippling_openings": ("id job_id created_at title url location board_token department run_id api_endpoint", "", "id", {}, {}, {}, "created_at"),
+    "boards": ("id url", "", "id url", {}, {}, {}, None),
+}
+_DECLARED_STAGED = {n: ("", "", "", {}, {"job_board": [b]}, {}, None) for n, b in (("greenhouse_departments", "greenhouse"), ("greenhouse", "greenhouse"), ("lever", "lever"))}
+
+
+def _mart_rules(boards, unique, where):
+    return ("id record_id", "", unique, where, {"posting_length_category": _LENGTHS, "opening_category": _ROLES, "job_board": boards}, {}, None)
+
+
+_DECLARED_MARTS = {
+    "all_postings": _mart_rules(["greenhouse", "lever", "ashby", "rippling"], "id", {"record_id": "job_board <> 'rippling'"}),
+    "active_postings": _mart_rules(["greenhouse", "lever", "ashby", "rippling"], "id record_id", {}),
+    "active_selected": _mart_rules(["greenhouse", "lever", "ashby"], "id record_id", {}),
+    "active_prospect": _mart_rules(["greenhouse", "lever", "ashby", "rippling"], "id record_id", {}),
+}
+
+
+def _declared(rules, tables):
     rows = []
 
     def row(name, check, column, failures, severity="error"):
@@ -1074,38 +1103,58 @@ def _declared(checks, tables):
        CASE WHEN failures > 0 THEN '{severity}' ELSE 'pass' END AS verdict FROM ({failures})"""
         )
 
-    for name, d in checks.items():
+    for name, (filled, filled_warn, unique, unique_where, accepted, accepted_warn, loaded_at) in rules.items():
         table = tables[name]
         row(name, "columns match", "", "SELECT CAST(0 AS BIGINT) AS failures")
-        for column in [*d.filled, *d.filled_warn]:
-            nulls = f"SELECT count(*) - count({column}) AS failures FROM {table}"
-            row(name, "not null", column, nulls, "error" if column in d.filled else "warn")
-        for column in [*d.unique, *d.unique_where]:
-            where = d.unique_where.get(column, "true")
+        for severity, columns in (("error", filled), ("warn", filled_warn)):
+            for column in columns.split():
+                row(name, "not null", column, f"SELECT count(*) - count({column}) AS failures FROM {table}", severity)
+        for column, where in {**dict.fromkeys(unique.split(), "true"), **unique_where}.items():
             repeated = f"SELECT {column} FROM {table} WHERE {column} IS NOT NULL AND {where} GROUP BY 1 HAVING count(*) > 1"
             row(name, "unique", column, f"SELECT count(*) AS failures FROM ({repeated})")
-        for column, values in {**d.accepted, **d.accepted_warn}.items():
-            known = ", ".join(f"'{v}'" for v in values)
-            other = f"SELECT count(DISTINCT {column}) AS failures FROM {table} WHERE {column} NOT IN ({known})"
-            row(name, "accepted values", column, other, "error" if column in d.accepted else "warn")
+        for severity, lists in (("error", accepted), ("warn", accepted_warn)):
+            for column, values in lists.items():
+                known = ", ".join(f"'{v}'" for v in values)
+                other = f"SELECT count(DISTINCT {column}) AS failures FROM {table} WHERE {column} NOT IN ({known})"
+                row(name, "accepted values", column, other, severity)
+        if loaded_at:
+            latest = "max(created_at)" if loaded_at == "created_at" else "make_timestamp(max(updated_at) * 1000000)"
+            age = f"SELECT epoch(TIMESTAMP '2024-01-30 12:00:00') - epoch({latest}) AS age FROM {table}"
+            rows.append(
+                f"""SELECT '{name}', 'freshness', '{loaded_at}', CAST(CASE WHEN age IS NULL OR age > 86400 THEN 1 ELSE 0 END AS BIGINT),
+       CASE WHEN age IS NULL OR age > 172800 THEN 'error' WHEN age > 86400 THEN 'warn' ELSE 'pass' END FROM ({age})"""
+            )
     return " UNION ALL ".join(rows)
 
 
-oracle("declared_checks_raw", _declared(RAW_CHECKS, {name: name for name in RAW_CHECKS}))
-oracle("declared_checks_staged", _declared(STAGED_CHECKS, {n: f"staged_{n}" for n in STAGED_CHECKS}))
+oracle("declared_checks_raw", _declared(_DECLARED_RAW, {name: name for name in _DECLARED_RAW}))
+oracle("declared_checks_staged", _declared(_DECLARED_STAGED, {n: f"staged_{n}" for n in _DECLARED_STAGED}))
 oracle(
     "declared_checks_marts",
     _declared(
-        MART_CHECKS,
-        {
-            "all_postings": "mart",
-            "active_postings": "active",
-            "active_selected": "selected",
-            "active_prospect": "prospect",
-        },
+        _DECLARED_MARTS,
+        {"all_postings": "mart", "active_postings": "active", "active_selected": "selected", "active_prospect": "prospect"},
     ),
 )
 
+oracle(
+    "checks_across",
+    """
+SELECT 'boards' AS dataset, 'boards reconciled' AS check_name, '' AS column_name, count(*) AS failures,
+       CASE WHEN count(*) >= 10 THEN 'error' WHEN count(*) >= 1 THEN 'warn' ELSE 'pass' END AS verdict FROM unreconciled
+UNION ALL
+SELECT 'all_postings', 'no returning postings', '', count(*), CASE WHEN count(*) >= 1 THEN 'warn' ELSE 'pass' END
+FROM (SELECT full_opening_link FROM mart GROUP BY full_opening_link HAVING count(DISTINCT created_date_utc) <> max(days_active))
+UNION ALL
+SELECT 'all_postings', 'days open agree', '', count(*), CASE WHEN count(*) >= 1 THEN 'error' ELSE 'pass' END
+FROM (SELECT full_opening_link FROM mart GROUP BY full_opening_link HAVING count(DISTINCT days_active) > 1)
+UNION ALL
+SELECT 'active_postings', 'active count match', '', count(*), CASE WHEN count(*) >= 1 THEN 'warn' ELSE 'pass' END
+FROM (SELECT run_id, source, job_board, count(*) AS num_openings FROM active GROUP BY run_id, source, job_board)
+JOIN raw_links USING (run_id, source) WHERE num_openings <> num_source_openings
+""",
+)
+
 # L: datasets
 
 for _name in (

@@ -569,17 +569,22 @@ def check_columns(spark, sf):
 
 @query
 def check_freshness(spark, sf):
+    """The age of each table at two times, from its newest row."""
     frames = []
     for name in LOADED_AT:
-        raw = E.TABLES[name](spark, sf)
-        column = F.col(LOADED_AT[name])
-        loaded = column if name == "rippling_openings" else C.epoch_to_utc(column)
-        fresh = checks.freshness(raw, loaded, AS_OF_TIME)
-        stale = checks.freshness(raw, loaded, datetime(2024, 2, 1, 10))
-        frames += [
-            fresh.withColumn("table_name", F.lit(f"{name} today")),
-            stale.withColumn("table_name", F.lit(f"{name} later")),
+        column = F.max(LOADED_AT[name])
+        latest = column if name == "rippling_openings" else C.epoch_to_utc(column)
+        newest = E.TABLES[name](spark, sf).agg(latest.alias("latest"))
+        times = {f"{name} today": AS_OF_TIME, f"{name} later": datetime(2024, 2, 1, 10)}
+        ages = [
+            F.struct(
+                F.lit(label).alias("table_name"),
+                checks.age_seconds(F.col("latest"), at).alias("age_seconds"),
+                checks.age_verdict(checks.age_seconds(F.col("latest"), at)).alias("verdict"),
+            )
+            for label, at in times.items()
         ]
+        frames.append(newest.select("latest", F.inline(F.array(*ages))))
     return setops.union_all(*frames)
 
 
@@ -652,7 +657,15 @@ def check_verdicts(spark, sf):
 
 @query
 def declared_checks_raw(spark, sf):
-    return declared.run_all(E.raw_tables(spark, sf), declared.RAW_CHECKS)
+    raw = {name: stored(df, name) for name, df in E.raw_tables(spark, sf).items()}
+    return declared.run_all(raw, declared.RAW_CHECKS, AS_OF_TIME)
+
+
+@query
+def checks_across(spark, sf):
+    """Boards, returning postings, days open and active counts, as the daily job runs them."""
+    mart = stored(_mart(spark, sf), "mart")
+    return declared.run_across(E.raw_tables(spark, sf), mart, marts.active_postings(mart))
 
 
 @query

@@ -47,6 +47,23 @@ def columns_match(df: DataFrame, expected: list[str]) -> DataFrame:
     )
 
 
+def age_seconds(newest: Column, as_of: datetime) -> Column:
+    """Seconds from the newest row to ``as_of``, both in UTC."""
+    now = F.lit(as_of.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", newest, now)
+
+
+def age_verdict(
+    seconds: Column, warn_days: int = V.FRESH_WARN_DAYS, error_days: int = V.FRESH_ERROR_DAYS
+) -> Column:
+    """What an age means; of an empty table, which has none, it is an error."""
+    return (
+        F.when(seconds.isNull() | (seconds > error_days * _DAY_SECONDS), "error")
+        .when(seconds > warn_days * _DAY_SECONDS, "warn")
+        .otherwise("pass")
+    )
+
+
 def freshness(
     df: DataFrame,
     loaded_at: Column,
@@ -54,17 +71,10 @@ def freshness(
     warn_days: int = V.FRESH_WARN_DAYS,
     error_days: int = V.FRESH_ERROR_DAYS,
 ) -> DataFrame:
-    """Age of the newest row in seconds, and its verdict; an empty table is an error."""
+    """Age of the newest row in seconds, and its verdict."""
     newest = df.agg(F.max(loaded_at).alias("latest"))
-    now = F.lit(as_of.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
-    age = newest.withColumn("age_seconds", F.timestamp_diff("SECOND", F.col("latest"), now))
-    seconds = F.col("age_seconds")
-    status = (
-        F.when(seconds.isNull() | (seconds > error_days * _DAY_SECONDS), "error")
-        .when(seconds > warn_days * _DAY_SECONDS, "warn")
-        .otherwise("pass")
-    )
-    return age.withColumn("verdict", status)
+    age = newest.withColumn("age_seconds", age_seconds(F.col("latest"), as_of))
+    return age.withColumn("verdict", age_verdict(F.col("age_seconds"), warn_days, error_days))
 
 
 def reconcile(

@@ -89,3 +89,18 @@ def test_active_count_match(raw, mart, rows):
     }
     got = checks.active_count_match(active, tables)
     assert rows(got, "source", "num_openings", "num_source_openings") == [("s2", 1, 2)]
+
+
+def test_a_table_is_read_once_for_its_row_checks_and_once_per_unique_key(spark, raw, tmp_path):
+    from jobtide.quality import declared
+
+    path = str(tmp_path / "lever")
+    raw("lever_openings", {"id": 1, "workplace_type": "Elsewhere", "updated_at": 1706572800}).write.parquet(path)
+    stored = spark.read.parquet(path)
+    found = declared.run_declared("lever_openings", stored, declared.RAW_CHECKS["lever_openings"], datetime(2024, 2, 1))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    verdicts = {(r.check_name, r.column_name): (r.failures, r.verdict) for r in found.collect()}
+    assert verdicts["accepted values", "workplace_type"] == (1, "error")
+    assert verdicts["freshness", "updated_at"] == (1, "warn") and verdicts["not null", "location"] == (1, "warn")
+    assert verdicts["unique", "id"] == (0, "pass") and verdicts["columns match", ""] == (0, "pass")
