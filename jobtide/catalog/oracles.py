@@ -458,7 +458,9 @@ FROM greenhouse_openings WHERE source NOT LIKE 'https://job-boards.%'
 WINDOW page AS (PARTITION BY source, run_id, id // 1000)
 """
 
-_STAMP = "fetched_at AS created_at, fetched_at AS updated_at, source, run_id, CAST(NULL AS VARCHAR) AS raw_file, false AS existing_used"
+_FIRST_SEEN = "fetched_at - CASE WHEN fetched_at % 3 = 0 THEN 86400 ELSE 0 END"
+_FILE = "run_id || '/' || source || '/' || page_number AS raw_file, fetched_at % 3 = 0 AS existing_used"
+_STAMP = f"{_FIRST_SEEN} AS created_at, fetched_at AS updated_at, source, run_id, {_FILE}"
 
 oracle(
     "extract_openings",
@@ -479,7 +481,7 @@ oracle(
     "extract_departments",
     f"""
 SELECT {_html_key('department', 'place')} AS record_id,
-       fetched_at AS created_at, fetched_at AS updated_at, source, run_id, raw_file, false AS existing_used,
+       {_STAMP},
        company_name, department_category, department_id, department_name
 FROM classic_departments
 """,
@@ -603,6 +605,14 @@ FROM response_pages
 """,
 )
 
+CTES["flat_pages"] = """
+SELECT DISTINCT api_endpoint AS board, run_id, id // 1000 AS page,
+       CASE dayofyear(CAST(run_id AS DATE)) % 7 WHEN 0 THEN 'decode_error' WHEN 1 THEN 'no_postings' END AS reason
+FROM rippling_openings
+"""
+
+oracle("reject_split_flat", "SELECT board, run_id, CAST(0 AS BIGINT) AS fetched_at, reason FROM flat_pages")
+
 oracle(
     "stamp_run",
     """
@@ -660,20 +670,54 @@ UNION ALL SELECT *, 'active_selected' FROM selected UNION ALL SELECT *, 'active_
 """,
 )
 
+_GOOD = "fetched_at % 7 > 3"
+
+
+def _landed(name, columns, rows):
+    values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns.split())
+    return f"SELECT '{name}' AS table_name, concat_ws('|', {values}) AS row_text FROM ({rows})"
+
+
+_PAGE_ROW = "record_id run_id created_at updated_at raw_file existing_used"
+CTES["response_locations"] = """
+SELECT p.*, row_number() OVER (PARTITION BY p.id ORDER BY l.id) - 1 AS child FROM response_postings p JOIN ashby_locations l ON p.id = l.id // 10
+"""
+CTES["response_teams"] = """
+SELECT d.* EXCLUDE (created_at, updated_at), r.fetched_at,
+       row_number() OVER (PARTITION BY d.board_source, d.run_id, d.id // 10000 ORDER BY d.id) - 1 AS place
+FROM ashby_departments d JOIN response_pages r ON d.board_source = r.board_source AND d.run_id = r.run_id AND d.id // 10000 = r.page_number
+"""
+CTES["unknown_pages"] = """
+SELECT DISTINCT replace(source, 'jobs.lever.co', 'careers.unknown.org') AS source, run_id, page_number, fetched_at FROM grouped_openings
+"""
+
+
+def _response_row(key):
+    return f"SELECT {key} AS record_id, run_id, fetched_at AS created_at, fetched_at AS updated_at, NULL AS raw_file, false AS existing_used"
+
+
 oracle(
     "landed_rows",
-    """
-SELECT 'lever' AS job_board, opening_link AS full_opening_link, CAST(make_timestamp(fetched_at * 1000000) AS DATE) AS created_date_utc,
-       opening_title, run_id
-FROM grouped_openings
-QUALIFY row_number() OVER (PARTITION BY opening_link, CAST(make_timestamp(fetched_at * 1000000) AS DATE)) = 1
-UNION ALL
-SELECT 'ashby', opening_link, CAST(make_timestamp(fetched_at * 1000000) AS DATE), opening_name, run_id
-FROM response_postings
-QUALIFY row_number() OVER (PARTITION BY opening_link, CAST(make_timestamp(fetched_at * 1000000) AS DATE)) = 1
-UNION ALL
-SELECT 'rippling', url, DATE '2024-01-30', title, run_id FROM rippling_openings
-""",
+    " UNION ALL ".join(
+        [
+            _landed("greenhouse_openings", _PAGE_ROW, f"SELECT {_html_key('opening', 'place')} AS record_id, {_STAMP} FROM classic_openings"),
+            _landed("greenhouse_openings", _PAGE_ROW, f"SELECT {_html_key('paged opening', 'group_place', 'place')} AS record_id, {_STAMP} FROM paged_openings"),
+            _landed("greenhouse_departments", _PAGE_ROW, f"SELECT {_html_key('department', 'place')} AS record_id, {_STAMP} FROM classic_departments"),
+            _landed("greenhouse_departments", _PAGE_ROW, f"SELECT DISTINCT {_html_key('paged department', 'group_place')} AS record_id, {_STAMP} FROM paged_openings"),
+            _landed("lever_openings", _PAGE_ROW, f"SELECT {_html_key('grouped opening', 'group_place', 'place')} AS record_id, {_STAMP} FROM grouped_openings"),
+            _landed("ashby_openings", _PAGE_ROW, f"{_response_row(_json_key('posting', 'place'))} FROM response_postings WHERE {_GOOD}"),
+            _landed("ashby_locations", _PAGE_ROW, f"{_response_row(_json_key('location', 'place', 'child'))} FROM response_locations WHERE {_GOOD}"),
+            _landed("ashby_departments", _PAGE_ROW, f"{_response_row(_json_key('team', 'place'))} FROM response_teams WHERE {_GOOD}"),
+            _landed("rippling_openings", "job_id run_id created_at", "SELECT job_id || '#' || id AS job_id, run_id, TIMESTAMP '2024-01-30 12:00:00' AS created_at FROM rippling_openings WHERE dayofyear(CAST(run_id AS DATE)) % 7 > 1"),
+            _landed("rejected", "kind source run_id fetched_at reason", "SELECT 'page' AS kind, source, run_id, fetched_at, 'unknown_board' AS reason FROM unknown_pages"),
+            _landed("rejected", "kind source run_id fetched_at reason", "SELECT 'flat response' AS kind, board AS source, run_id, 0 AS fetched_at, reason FROM flat_pages WHERE reason IS NOT NULL"),
+            _landed(
+                "rejected",
+                "kind source run_id fetched_at reason",
+                "SELECT 'nested response' AS kind, board_source AS source, run_id, fetched_at, CASE fetched_at % 7 WHEN 1 THEN 'no_board' WHEN 2 THEN 'no_postings' ELSE 'decode_error' END AS reason FROM response_pages WHERE fetched_at % 7 <= 3",
+            ),
+        ]
+    ),
 )
 
 # B: projections, filters, derived columns

@@ -131,6 +131,13 @@ def reject_split(spark, sf):
     return accepted.unionByName(rejected).drop("body")
 
 
+@query
+def reject_split_flat(spark, sf):
+    good, rejected = json_boards.split_valid_flat(P.damaged_flat_responses(spark, sf))
+    accepted = good.withColumn("reason", F.lit(None).cast("string"))
+    return accepted.unionByName(rejected).drop("body")
+
+
 @query
 def stamp_run(spark, sf):
     events = E.table(spark, sf, "events").select("event_id", "user_id", "event_type")
@@ -208,20 +215,23 @@ def published_layers(spark, sf):
 
 @query
 def landed_rows(spark, sf):
-    """Pages and responses landed, read back and staged; without the ids the landing gave out."""
+    """All pages and responses, sound and damaged, landed and read back: the rows of the seven raw
+    tables without the ids that the landing gave out, and what was rejected."""
     path = _folder(spark)
-    rows = ingest.page_rows(P.grouped_pages(spark, sf))
-    rows.update(ingest.response_rows(P.nested_responses(spark, sf), P.flat_responses(spark, sf)))
-    wanted = ("lever_openings", "ashby_openings", "rippling_openings")
-    ingest.land({name: rows[name] for name in wanted}, path, AS_OF_TIME)
-    landed = {name: tables.read_raw(spark, path, name) for name in wanted}
-    staged = [
-        staging.stage_lever(landed["lever_openings"]),
-        staging.stage_ashby(landed["ashby_openings"]),
-        staging.stage_rippling(landed["rippling_openings"]),
-    ]
-    shown = ["job_board", "full_opening_link", "created_date_utc", "opening_title", "run_id"]
-    return setops.union_all(*[df.select(*shown) for df in staged])
+    rows = ingest.all_rows(
+        P.all_pages(spark, sf), P.damaged_responses(spark, sf), P.damaged_flat_responses(spark, sf)
+    )
+    ingest.land(rows, path, AS_OF_TIME)
+    frames = []
+    for name in LOADED_AT:
+        back = tables.read_raw(spark, path, name)
+        shown = [c for c in ("record_id", "job_id", "run_id", "created_at", "updated_at", "raw_file", "existing_used") if c in back.columns]
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in shown]
+        frames.append(back.select(F.lit(name).alias("table_name"), F.concat_ws("|", *values).alias("row_text")))
+    bad = spark.read.parquet(f"{path}/rejected")
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in ingest.REJECTED]
+    frames.append(bad.select(F.lit("rejected").alias("table_name"), F.concat_ws("|", *values).alias("row_text")))
+    return setops.union_all(*frames)
 
 
 # B: projections, filters, derived columns

@@ -8,18 +8,38 @@ from pyspark.sql import functions as F
 from jobtide.functions import normalise_url, provider_of
 from jobtide.operators.setops import union_all
 from jobtide.schemas import RAW
+from jobtide.sinks.scratch import stored
 from jobtide.sinks.storage import append_numbered
 from jobtide.sources import html_boards, json_boards
 from jobtide.sources.tables import last_id
 
 
-def page_rows(pages: DataFrame) -> dict[str, DataFrame]:
-    """Raw rows of stored pages, each read in the style its board URL tells."""
-    stored = pages.withColumn("source", normalise_url(F.col("source")))
+#: Columns of what could not be read: a page no style fits, or a response that is of no use.
+REJECTED = ["kind", "source", "run_id", "fetched_at", "reason"]
+
+
+def _styles(pages: DataFrame) -> DataFrame:
+    """Pages with the style their board URL tells; NULL where it tells none."""
     provider, newer = provider_of(F.col("source")), F.col("source").contains("//job-boards.")
-    classic = stored.where((provider == "greenhouse") & ~newer)
-    paged = stored.where((provider == "greenhouse") & newer)
-    grouped = stored.where(provider == "lever")
+    style = (
+        F.when((provider == "greenhouse") & newer, "paged")
+        .when(provider == "greenhouse", "classic")
+        .when(provider == "lever", "grouped")
+    )
+    return pages.withColumn("source", normalise_url(F.col("source"))).withColumn("_style", style)
+
+
+def page_rows(pages: DataFrame) -> dict[str, DataFrame]:
+    """Raw rows of stored pages, each read in the style its board URL tells, and ``rejected`` ones.
+
+    Each page is parsed once: the element lists are stored, and every extraction reads those.
+    """
+    styled = _styles(pages)
+    known = styled.where(F.col("_style").isNotNull())
+    parsed = stored(html_boards.with_elements(known), "page-elements")
+    classic, paged, grouped = (
+        parsed.where(F.col("_style") == style) for style in ("classic", "paged", "grouped")
+    )
     return {
         "greenhouse_departments": union_all(
             html_boards.extract_departments(classic), html_boards.extract_paged_departments(paged)
@@ -28,28 +48,55 @@ def page_rows(pages: DataFrame) -> dict[str, DataFrame]:
             html_boards.extract_openings(classic), html_boards.extract_paged_openings(paged)
         ),
         "lever_openings": html_boards.extract_grouped(grouped),
+        "rejected": _rejected(styled.where(F.col("_style").isNull()), "page", "source", "unknown_board"),
     }
 
 
+def _rejected(rows: DataFrame, kind: str, source: str, reason: str | None = None) -> DataFrame:
+    why = F.col("reason") if reason is None else F.lit(reason).alias("reason")
+    return rows.select(
+        F.lit(kind).alias("kind"), F.col(source).alias("source"), "run_id", "fetched_at", why
+    )
+
+
 def response_rows(nested: DataFrame, flat: DataFrame) -> dict[str, DataFrame]:
-    """Raw rows of board responses; boards that cannot be read are left out (see ``split_valid``)."""
+    """Raw rows of board responses, and the ``rejected`` ones; each body is parsed once and stored."""
+    judged = stored(json_boards.parsed(nested).drop("body"), "responses")
+    judged_flat = stored(json_boards.parsed_flat(flat).drop("body"), "flat-responses")
+    bad, bad_flat = (
+        df.where(F.col("_reason").isNotNull()).withColumn("reason", F.col("_reason"))
+        for df in (judged, judged_flat)
+    )
     return {
-        "ashby_openings": json_boards.decode_postings(nested),
-        "ashby_departments": json_boards.decode_teams(nested),
-        "ashby_locations": json_boards.decode_locations(nested),
-        "rippling_openings": json_boards.decode_flat_board(flat),
+        "ashby_openings": json_boards.decode_postings(judged),
+        "ashby_departments": json_boards.decode_teams(judged),
+        "ashby_locations": json_boards.decode_locations(judged),
+        "rippling_openings": json_boards.decode_flat_board(judged_flat),
+        "rejected": union_all(
+            _rejected(bad, "nested response", "board"), _rejected(bad_flat, "flat response", "board")
+        ),
     }
 
 
+def all_rows(pages: DataFrame, nested: DataFrame, flat: DataFrame) -> dict[str, DataFrame]:
+    """Raw rows of everything a run fetched, and all that was rejected."""
+    of_pages, of_responses = page_rows(pages), response_rows(nested, flat)
+    rejected = union_all(of_pages["rejected"], of_responses["rejected"])
+    return {**of_pages, **of_responses, "rejected": rejected}
+
+
 def land(
     rows: dict[str, DataFrame], base: str, landed_at: datetime, fmt: str = "parquet"
 ) -> None:
-    """Append a run's rows to the raw tables under ``base``.
+    """Append a run's rows to the raw tables under ``base``, and what was rejected to ``rejected``.
 
     A table whose rows carry no time of their own is dated by ``landed_at``, in UTC.
     """
     at = F.lit(landed_at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     for name, df in rows.items():
+        if name == "rejected":
+            df.withColumn("landed_at", at).write.mode("append").format(fmt).save(f"{base}/{name}")
+            continue
         after = last_id(df.sparkSession, base, name, fmt)
         dated = df if "created_at" in df.columns else df.withColumn("created_at", at)
         columns = [c for c in RAW[name].names if c != "id"]

@@ -1,7 +1,9 @@
 """Stored pages and board responses rendered from the event-based raw tables.
 
 A page or response holds what one crawl of one board saw within ``PAGE_EVENTS`` successive events,
-so its size is bounded however large a board is.
+so its size is bounded however large a board is; page numbers, and with them record ids, depend on
+this parameter, and no row does. A page's file is named after it; those of every third run number
+are files of the day before.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,10 +30,42 @@ def _joined(snippet: str, order: str) -> Column:
 
 def _pages(snippets: DataFrame, order: str) -> DataFrame:
     body = _joined("snippet", order)
-    return snippets.groupBy("source", "page_number", "run_id").agg(
+    pages = snippets.groupBy("source", "page_number", "run_id").agg(
         F.max("seen_at").alias("fetched_at"),
         F.concat(F.lit("<html><body><br>"), body, F.lit("</body></html>")).alias("html"),
     )
+    older = F.col("fetched_at") % 3 == 0
+    return pages.select(
+        "source",
+        "page_number",
+        "run_id",
+        "fetched_at",
+        "html",
+        F.concat_ws("/", "run_id", "source", "page_number").alias("raw_file"),
+        older.alias("existing_used"),
+        (F.col("fetched_at") - F.when(older, 86400).otherwise(0)).alias("first_seen_at"),
+    )
+
+
+def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of all styles, and one of an unknown board for each page of grouped ones."""
+    grouped = grouped_pages(spark, sf_dir)
+    board = F.replace(F.col("source"), F.lit("jobs.lever.co"), F.lit("careers.unknown.org"))
+    return (
+        classic_opening_pages(spark, sf_dir)
+        .unionByName(classic_department_pages(spark, sf_dir))
+        .unionByName(paged_pages(spark, sf_dir))
+        .unionByName(grouped)
+        .unionByName(grouped.withColumn("source", board))
+    )
+
+
+def damaged_flat_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat responses of which those of one run in seven are cut off, and of one in seven empty."""
+    day = F.dayofyear(F.to_date("run_id")) % 7
+    body = F.col("body")
+    damaged = F.when(day == 0, F.left(body, F.length(body) - 5)).when(day == 1, "[]").otherwise(body)
+    return flat_responses(spark, sf_dir).withColumn("body", damaged)
 
 
 def _is_paged() -> Column:

@@ -2,8 +2,10 @@
 
 HTML is tag soup, which no built-in Spark function reads, so one small Arrow function lists the
 elements of a page in document order. What the elements mean for each board style is stated as
-Spark expressions over that list. A page row is (source, page_number, run_id, fetched_at, html);
-every page is one row and is worked on within its row, so nothing is shuffled.
+Spark expressions over that list. A page row is (source, page_number, run_id, fetched_at, html), and
+may say where its file lies (``raw_file``), whether a file of an earlier fetch was used
+(``existing_used``) and when that was made (``first_seen_at``). Every page is one row and is worked
+on within its row, so nothing is shuffled.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -54,8 +56,19 @@ def _first(elements: Column, field: str) -> Column:
     return first_value(F.transform(elements, lambda e: e[field]))
 
 
-def _with_elements(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("_elements", page_elements("html")).drop("html")
+#: What a page may say of its file, and what holds where it does not.
+_FILE = {"raw_file": "string", "existing_used": "boolean", "first_seen_at": "bigint"}
+
+
+def with_elements(pages: DataFrame) -> DataFrame:
+    """Pages with the list of their elements in place of the markup; pages that have it stay.
+
+    Store this where several extractions read the same pages, and each is parsed once.
+    """
+    if "_elements" in pages.columns:
+        return pages
+    missing = {c: F.lit(None).cast(t) for c, t in _FILE.items() if c not in pages.columns}
+    return pages.withColumns({**missing, "_elements": page_elements("html")}).drop("html")
 
 
 def _stamped(rows: DataFrame, kind: str, places: list[str]) -> DataFrame:
@@ -68,6 +81,9 @@ def _stamped(rows: DataFrame, kind: str, places: list[str]) -> DataFrame:
         F.col("run_id"),
         page_company(F.col("source")),
         F.col("source"),
+        created_at=F.coalesce("first_seen_at", "fetched_at"),
+        raw_file=F.col("raw_file"),
+        existing_used=F.coalesce("existing_used", F.lit(False)),
     )
 
 
@@ -125,12 +141,12 @@ def extract_departments(pages: DataFrame) -> DataFrame:
     sections = _pick(
         F.col("_elements"), lambda e: _tagged(e, "section") & _classed(e, "level")
     )
-    rows = _with_elements(pages).withColumn("_rows", F.transform(sections, department))
+    rows = with_elements(pages).withColumn("_rows", F.transform(sections, department))
     return _exploded(rows, "_row", "department", ["_row"]).select(*_DEPARTMENTS)
 
 
 def _exploded(rows: DataFrame, place: str, kind: str, places: list[str]) -> DataFrame:
-    page = ["source", "page_number", "run_id", "fetched_at"]
+    page = ["source", "page_number", "run_id", "fetched_at", *_FILE]
     fields = entries(rows, "_rows", place, "_r", *page).select(*page, place, "_r.*")
     return _stamped(fields, kind, places)
 
@@ -152,7 +168,7 @@ def extract_openings(pages: DataFrame) -> DataFrame:
     blocks = _pick(
         F.col("_elements"), lambda e: _tagged(e, "div") & _classed(e, "opening", exact=True)
     )
-    rows = _with_elements(pages).withColumn("_rows", F.transform(blocks, opening))
+    rows = with_elements(pages).withColumn("_rows", F.transform(blocks, opening))
     return _exploded(rows, "_row", "opening", ["_row"]).select(*_OPENINGS)
 
 
@@ -166,7 +182,7 @@ def extract_paged_departments(pages: DataFrame) -> DataFrame:
     )
     names = F.transform(headings, lambda h: F.struct(h["text"].alias("department_name")))
     rows = _exploded(
-        _with_elements(pages).withColumn("_rows", names), "_row", "paged department", ["_row"]
+        with_elements(pages).withColumn("_rows", names), "_row", "paged department", ["_row"]
     )
     return rows.withColumns(
         {
@@ -214,7 +230,7 @@ def extract_paged_openings(pages: DataFrame) -> DataFrame:
         F.col("_elements"), lambda e: _tagged(e, "div") & _classed(e, "job-posts", exact=True)
     )
     found = F.transform(groups, headed)
-    rows = _with_elements(pages).withColumn("_rows", F.flatten(F.transform(found, openings)))
+    rows = with_elements(pages).withColumn("_rows", F.flatten(F.transform(found, openings)))
     stamped = _exploded(rows, "_place", "paged opening", ["_group", "_row"])
     return stamped.withColumns(
         {
@@ -256,7 +272,7 @@ def page_groups(pages: DataFrame) -> DataFrame:
     groups = _pick(
         F.col("_elements"), lambda e: _tagged(e, "div") & _classed(e, "postings-group", exact=True)
     )
-    found = _with_elements(pages).withColumn("_groups", F.transform(groups, group_row))
+    found = with_elements(pages).withColumn("_groups", F.transform(groups, group_row))
     return found.drop("_elements")
 
 

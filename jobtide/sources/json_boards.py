@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobtide.fixed_values import NAME_SEPARATOR
 from jobtide.functions import blank_to_null, keyed_id, skipping_concat, token_company
-from jobtide.operators.reshape import concat_all_but_one, entries
+from jobtide.operators.reshape import entries
 from jobtide.schemas import FLAT_BOARD, NESTED_BOARD
 from jobtide.sources.runs import stamp_run
 
@@ -36,8 +37,13 @@ def _with_decoded(responses: DataFrame, schema: T.DataType, **options) -> DataFr
     return responses.select("*", F.explode_outer(decoded).alias("_decoded"))
 
 
-def _parsed(responses: DataFrame) -> DataFrame:
-    """Nested responses with their board and the reason why it cannot be used, if there is one."""
+def parsed(responses: DataFrame) -> DataFrame:
+    """Nested responses with their board and the reason why it cannot be used, if there is one.
+
+    Responses that have these stay: store them where several things are decoded from the same ones.
+    """
+    if "_reason" in responses.columns:
+        return responses
     decoded = _with_decoded(
         responses, NESTED_BOARD, mode="PERMISSIVE", columnNameOfCorruptRecord="broken"
     )
@@ -77,16 +83,22 @@ def _split(judged: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]
 
 def split_valid(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nested responses worth decoding, and the others with the reason they are left out."""
-    return _split(_parsed(responses), responses.columns)
+    return _split(parsed(responses), responses.columns)
 
 
-def split_valid_flat(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The same for responses that are one array of postings."""
+def parsed_flat(responses: DataFrame) -> DataFrame:
+    """The same for responses that are one array of postings: the array and the reason."""
+    if "_reason" in responses.columns:
+        return responses
     reason = F.when(F.col("_decoded").isNull(), "decode_error").when(
         F.size("_decoded") == 0, "no_postings"
     )
-    judged = _with_decoded(responses, FLAT_BOARD).withColumn("_reason", reason)
-    return _split(judged, responses.columns)
+    return _with_decoded(responses, FLAT_BOARD).withColumn("_reason", reason)
+
+
+def split_valid_flat(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Flat responses worth decoding, and the others with the reason they are left out."""
+    return _split(parsed_flat(responses), responses.columns)
 
 
 def _stamped(rows: DataFrame) -> DataFrame:
@@ -101,7 +113,7 @@ def _stamped(rows: DataFrame) -> DataFrame:
 
 
 def _postings(responses: DataFrame) -> DataFrame:
-    good = _parsed(responses).where(F.col("_reason").isNull())
+    good = parsed(responses).where(F.col("_reason").isNull())
     return entries(good, "_board.jobPostings", "_row", "_p", *_RESPONSE)
 
 
@@ -143,7 +155,7 @@ def decode_locations(responses: DataFrame) -> DataFrame:
 
 def decode_teams(responses: DataFrame) -> DataFrame:
     """One row per team with its parent, also for boards that have no posting just now."""
-    usable = _parsed(responses).where(
+    usable = parsed(responses).where(
         F.coalesce("_reason", F.lit("no_postings")) == "no_postings"
     )
     teams = entries(usable, "_board.teams", "_row", "_t", *_RESPONSE)
@@ -156,19 +168,36 @@ def decode_teams(responses: DataFrame) -> DataFrame:
     )
 
 
+_FLAT = ["uuid", "name", "url"]
+
+
 def decode_flat_board(responses: DataFrame) -> DataFrame:
-    """Postings of flat responses; one listed under several locations becomes a single row."""
-    decoded = _with_decoded(responses, FLAT_BOARD)
-    rows = entries(decoded, "_decoded", "_row", "_p", "board", "run_id")
-    listed = rows.select(
-        F.col("_p.uuid").alias("job_id"),
-        F.col("_p.name").alias("title"),
-        F.col("_p.url").alias("url"),
-        F.col("_p.workLocation.label").alias("location"),
+    """Postings of flat responses; one listed under several locations becomes a single row.
+
+    A posting's entries are in one response, so they are brought together within the row: each
+    distinct posting picks its locations from the array, in the order listed.
+    """
+
+    def key(entry: Column) -> Column:
+        return F.struct(*[entry[f].alias(f) for f in _FLAT], entry["department"]["label"].alias("department"))
+
+    def labels(posting: Column) -> Column:
+        same = F.filter("_decoded", lambda entry: key(entry) == posting)
+        listed = F.transform(same, lambda entry: entry["workLocation"]["label"])
+        found = F.filter(listed, lambda label: label.isNotNull())
+        return F.when(F.size(found) > 0, F.array_join(found, NAME_SEPARATOR))
+
+    postings = F.array_distinct(F.transform("_decoded", key))
+    listed = F.transform(postings, lambda p: F.struct(p.alias("p"), labels(p).alias("location")))
+    collapsed = parsed_flat(responses).withColumn("_postings", listed)
+    rows = entries(collapsed, "_postings", "_row", "_p", "board", "run_id")
+    return rows.select(
+        F.col("_p.p.uuid").alias("job_id"),
+        F.col("_p.p.name").alias("title"),
+        F.col("_p.p.url").alias("url"),
+        F.col("_p.location").alias("location"),
         F.split_part(F.col("board"), F.lit("/"), F.lit(-2)).alias("board_token"),
-        F.col("_p.department.label").alias("department"),
+        F.col("_p.p.department").alias("department"),
         "run_id",
         F.col("board").alias("api_endpoint"),
-        "_row",
     )
-    return concat_all_but_one(listed, "location", "_row")

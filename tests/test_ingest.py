@@ -46,8 +46,8 @@ def test_two_days_from_pages_to_marts(spark, raw, rows, tmp_path):
     base = str(tmp_path / "raw")
     for day, run in ((0, "first"), (8, "second")):
         pages, responses, flats = inputs(spark, T0 + day * 86400, run)
-        landed = {**ingest.page_rows(pages), **ingest.response_rows(responses, flats)}
-        assert set(landed) | {"boards"} == set(RAW)
+        landed = ingest.all_rows(pages, responses, flats)
+        assert set(landed) - {"rejected"} | {"boards"} == set(RAW)
         ingest.land(landed, base, datetime(2024, 1, 30 if day == 0 else 31))
     boards = raw("boards", {"id": 1, "url": "https://jobs.lever.co/lev/", "is_prospect": True})
     stored = {name: tables.read_raw(spark, base, name) for name in RAW if name != "boards"}
@@ -71,3 +71,28 @@ def test_two_days_from_pages_to_marts(spark, raw, rows, tmp_path):
     assert rows(mart.where("job_board = 'rippling'"), "location", "is_remote") == [("Rome, Remote", True)] * 2
     assert rows(marts["active_prospect"], "full_opening_link") == [("https://l/1",)]
     assert rows(marts["active_selected"], "full_opening_link") == [("https://l/1",)]
+
+
+def test_what_cannot_be_read_is_kept_with_its_reason(spark, rows, tmp_path):
+    pages = spark.createDataFrame([("https://careers.example.org/x", 1, "r", T0, "<p>")], PAGES)
+    bad = spark.createDataFrame([("https://jobs.ashbyhq.com/a", "r", T0, "{cut"), ("https://jobs.ashbyhq.com/b", "r", T0, None)], RESPONSES)
+    flat = spark.createDataFrame([("https://api/rip/jobs", "r", T0, "[]")], RESPONSES)
+    ingest.land(ingest.all_rows(pages, bad, flat), str(tmp_path), datetime(2024, 1, 30))
+    found = rows(spark.read.parquet(f"{tmp_path}/rejected"), "kind", "reason")
+    assert found == [("flat response", "no_postings"), ("nested response", "decode_error"), ("nested response", "decode_error"), ("page", "unknown_board")]
+
+
+def test_pages_and_bodies_are_read_from_their_parsed_form(spark):
+    pages, responses, flats = inputs(spark, T0, "r")
+    for df in ingest.all_rows(pages, responses, flats).values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" not in plan and "from_json" not in plan
+
+
+def test_a_stored_file_says_where_and_when(spark, rows):
+    pages, responses, flats = inputs(spark, T0, "r")
+    from pyspark.sql import functions as F
+
+    filed = pages.withColumns({"raw_file": F.lit("f"), "existing_used": F.lit(True), "first_seen_at": F.lit(T0 - 5)})
+    found = ingest.page_rows(filed)["lever_openings"]
+    assert rows(found, "raw_file", "existing_used", "created_at", "updated_at") == [("f", True, T0 - 5, T0)]
