@@ -19,7 +19,7 @@ from jobtide.sources import event_pages as P
 from jobtide.sources import html_boards, json_boards, runs, tables
 
 AS_OF_TIME = datetime(2024, 1, 30, 12)
-CUTOFF = storage.cutoff_epoch(E.AS_OF)
+CUTOFF = storage.cutoff_day(E.AS_OF)
 QUERIES = {}
 
 
@@ -178,30 +178,28 @@ def append_runs(spark, sf):
 
 
 def _by_load_time(spark, sf, pick):
-    frames = [
-        pick(make(spark, sf), name).select(F.lit(name).alias("table_name"), "id")
-        for name, make in E.TABLES.items()
-        if name in LOADED_AT
-    ]
+    """Rows of each raw table, laid out by load day, that are picked from it in place."""
+    path, frames = _folder(spark), []
+    for name in LOADED_AT:
+        storage.append_raw(E.TABLES[name](spark, sf), f"{path}/{name}")
+        frames.append(pick(path, name).select(F.lit(name).alias("table_name"), "id"))
     return setops.union_all(*frames)
 
 
 @query
 def archive_roundtrip(spark, sf):
-    path = _folder(spark)
-
-    def archived(df, name):
-        return spark.read.schema(RAW[name]).parquet(storage.archive(df, name, CUTOFF, path, E.AS_OF))
+    def archived(path, name):
+        to = storage.archive(spark, path, name, CUTOFF, f"{path}/archive", E.AS_OF)
+        return spark.read.schema(RAW[name]).parquet(to)
 
     return _by_load_time(spark, sf, archived)
 
 
 @query
 def retained_rows(spark, sf):
-    path = _folder(spark)
-
-    def kept(df, name):
-        return spark.read.schema(RAW[name]).parquet(storage.retain(df, name, CUTOFF, f"{path}/{name}"))
+    def kept(path, name):
+        storage.drop_days(spark, path, name, CUTOFF)
+        return tables.read_raw(spark, path, name)
 
     return _by_load_time(spark, sf, kept)
 

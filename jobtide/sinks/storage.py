@@ -4,24 +4,23 @@ Writes carry a ``rebalance`` hint: adaptive execution merges small output partit
 ones, so a run day holding a third of the rows becomes many files of even size.
 """
 
-from datetime import date, datetime, time, timedelta, timezone
+from datetime import date, timedelta
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.fixed_values import RETENTION_DAYS
 from jobtide.functions import epoch_to_utc
-from jobtide.schemas import LOADED_AT, RAW
 from jobtide.sinks.scratch import shared_folder
+from jobtide.sources.tables import read_raw
 
 LAYERS = {"staging": None, "intermediate": None, "marts": "core"}
 
 
-def cutoff_epoch(as_of: date, days: int = RETENTION_DAYS) -> int:
-    """Epoch second of the start of the day so many days ago, in UTC."""
-    start = datetime.combine(as_of - timedelta(days=days), time(), tzinfo=timezone.utc)
-    return int(start.timestamp())
+def cutoff_day(as_of: date, days: int = RETENTION_DAYS) -> date:
+    """The first load day to keep, so many days ago; load days are in UTC."""
+    return as_of - timedelta(days=days)
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -49,37 +48,32 @@ def append_numbered(df: DataFrame, path: str, after: int, fmt: str = "parquet")
     numbered.write.mode("append").partitionBy("run_date").format(fmt).save(path)
 
 
-def _age(name: str, cutoff: int) -> tuple[Column, Column]:
-    """The column that dates a raw table, and the cutoff in its type; both plain for pushdown."""
-    column = LOADED_AT[name]
-    is_epoch = RAW[name][column].dataType.typeName() == "long"
-    return F.col(column), F.lit(cutoff) if is_epoch else epoch_to_utc(F.lit(cutoff))
-
-
-def outdated(df: DataFrame, name: str, cutoff: int) -> DataFrame:
-    """Rows of a raw table from before the cutoff."""
-    loaded, limit = _age(name, cutoff)
-    return df.where(loaded < limit)
-
-
-def retained(df: DataFrame, name: str, cutoff: int) -> DataFrame:
-    """Rows to keep: at the cutoff, after it, or of unknown age."""
-    loaded, limit = _age(name, cutoff)
-    return df.where((loaded >= limit) | loaded.isNull())
-
-
-def archive(df: DataFrame, name: str, cutoff: int, base: str, as_of: date) -> str:
-    """Write the outdated rows of a table as Parquet under the day of the export."""
-    path = f"{base}/{as_of}/{name}"
-    outdated(df, name, cutoff).hint("rebalance").write.mode("overwrite").parquet(path)
+def archive(spark: SparkSession, base: str, name: str, before: date, to: str, as_of: date) -> str:
+    """Write the load days before the given one of a raw table as Parquet under the day of the
+    export. Only the folders of those days are read."""
+    path = f"{to}/{as_of}/{name}"
+    old = read_raw(spark, base, name, before_day=before)
+    old.hint("rebalance").write.mode("overwrite").parquet(path)
     return path
 
 
-def retain(df: DataFrame, name: str, cutoff: int, new_path: str) -> str:
-    """Write the rows to keep to a new place, laid out like the old one, to be read from then on."""
-    kept = _spread(retained(df, name, cutoff))
-    kept.write.mode("errorifexists").partitionBy("run_date").parquet(new_path)
-    return new_path
+def drop_days(spark: SparkSession, base: str, name: str, before: date) -> list[date]:
+    """Drop the folders of a raw table's load days before the given one; returns those days.
+
+    Nothing that stays is read or written, a repeated call drops what an interrupted one left, and
+    rows of an unknown day are kept. Archive first, and let readers name a ``from_day`` so that none
+    is on a folder that goes.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    dropped = []
+    for status in files.listStatus(folder):
+        column, _, value = status.getPath().getName().partition("=")
+        if column == "run_date" and value != "__HIVE_DEFAULT_PARTITION__":
+            day = date.fromisoformat(value)
+            if day < before and files.delete(status.getPath(), True):
+                dropped.append(day)
+    return sorted(dropped)
 
 
 def publish(

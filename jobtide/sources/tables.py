@@ -15,11 +15,13 @@ def read_raw(
     name: str,
     fmt: str = "parquet",
     from_day: date | None = None,
+    before_day: date | None = None,
     **options,
 ) -> DataFrame:
     """A raw table under ``base`` with its declared schema; nothing is inferred.
 
-    ``from_day`` skips the folders of earlier load days. Any file format or ``jdbc`` will do; for
+    ``from_day`` skips the folders of earlier load days, ``before_day`` those of that day and later
+    ones, and rows of an unknown day with them. Any file format or ``jdbc`` will do; for
     the latter pass ``url`` and the like as options.
     """
     schema = RAW[name]
@@ -29,6 +31,8 @@ def read_raw(
     rows = spark.read.format(fmt).schema(schema).options(**options).load(f"{base}/{name}")
     if from_day is not None:
         rows = rows.where(F.col("run_date") >= F.lit(from_day))
+    if before_day is not None:
+        rows = rows.where(F.col("run_date") < F.lit(before_day))
     return rows.select(*schema.names)
 
 

@@ -6,30 +6,38 @@ from jobtide.schemas import RAW
 from jobtide.sinks import scratch, storage
 from jobtide.sources import tables
 
-CUTOFF = storage.cutoff_epoch(date(2024, 1, 30))
+DAY = storage.cutoff_day(date(2024, 1, 30))
+CUTOFF = 1705968000  # the start of that day
 
 
 def lever(n, at):
     return {"id": n, "record_id": f"r{n}", "created_at": at, "updated_at": at, "opening_title": "a,b \"q\""}
 
 
-def test_cutoff_is_utc_midnight():
-    assert CUTOFF == 1705968000
-
-
-def test_retention_keeps_the_cutoff_itself(raw, rows):
+def test_retention_keeps_the_cutoff_itself(spark, raw, rows, tmp_path):
     df = raw("lever_openings", lever(1, CUTOFF - 1), lever(2, CUTOFF), lever(3, CUTOFF + 1), lever(4, None))
-    assert rows(storage.retained(df, "lever_openings", CUTOFF), "id") == [(2,), (3,), (4,)]
-    assert rows(storage.outdated(df, "lever_openings", CUTOFF), "id") == [(1,)]
+    storage.append_raw(df, f"{tmp_path}/lever_openings")
+    assert storage.drop_days(spark, str(tmp_path), "lever_openings", DAY) == [date(2024, 1, 22)]
+    assert rows(tables.read_raw(spark, str(tmp_path), "lever_openings"), "id") == [(2,), (3,), (4,)]
+    assert storage.drop_days(spark, str(tmp_path), "lever_openings", DAY) == []
 
 
-def test_retention_of_a_timestamp_table(raw, rows):
+def test_archive_of_a_timestamp_table(spark, raw, rows, tmp_path):
     df = raw(
         "rippling_openings",
         {"id": 1, "created_at": datetime(2024, 1, 22, 23, 59, 59)},
         {"id": 2, "created_at": datetime(2024, 1, 23)},
     )
-    assert rows(storage.retained(df, "rippling_openings", CUTOFF), "id") == [(2,)]
+    storage.append_raw(df, f"{tmp_path}/rippling_openings")
+    to = storage.archive(spark, str(tmp_path), "rippling_openings", DAY, f"{tmp_path}/archive", date(2024, 1, 30))
+    assert to.endswith("archive/2024-01-30/rippling_openings") and rows(spark.read.parquet(to), "id") == [(1,)]
+
+
+def test_the_archive_reads_its_days_only(spark, raw, tmp_path):
+    storage.append_raw(raw("lever_openings", lever(1, CUTOFF - 5), lever(2, CUTOFF)), f"{tmp_path}/lever_openings")
+    old = tables.read_raw(spark, str(tmp_path), "lever_openings", before_day=DAY)
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "json", "csv"])
@@ -56,15 +64,14 @@ def test_appended_ids_rise_and_stay_unique(spark, raw, tmp_path):
     assert min(ids) == 0 and tables.last_id(spark, str(tmp_path), "lever_openings") == max(ids)
 
 
-def test_archive_and_retain_split_the_table(spark, raw, rows, tmp_path):
-    df = raw("lever_openings", lever(1, CUTOFF - 5), lever(2, CUTOFF))
-    archived = storage.archive(df, "lever_openings", CUTOFF, str(tmp_path), date(2024, 1, 30))
-    assert archived.endswith("2024-01-30/lever_openings")
-    kept = storage.retain(df, "lever_openings", CUTOFF, f"{tmp_path}/new")
-    assert rows(spark.read.parquet(archived), "id") == [(1,)]
-    assert rows(spark.read.parquet(kept), "id") == [(2,)]
-    storage.append_raw(raw("lever_openings", lever(3, CUTOFF + 86400)), kept)
-    assert rows(spark.read.parquet(kept), "id") == [(2,), (3,)]
+def test_archive_and_retention_split_the_table(spark, raw, rows, tmp_path):
+    path, name = str(tmp_path), "lever_openings"
+    storage.append_raw(raw(name, lever(1, CUTOFF - 5), lever(2, CUTOFF)), f"{path}/{name}")
+    to = storage.archive(spark, path, name, DAY, f"{path}/archive", date(2024, 1, 30))
+    storage.drop_days(spark, path, name, DAY)
+    storage.append_raw(raw(name, lever(3, CUTOFF + 86400)), f"{path}/{name}")
+    assert rows(spark.read.parquet(to), "id") == [(1,)]
+    assert rows(tables.read_raw(spark, path, name), "id") == [(2,), (3,)]
 
 
 def test_publish_layers(spark, raw, rows, tmp_path):
