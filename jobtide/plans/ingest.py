@@ -9,7 +9,7 @@ from jobtide.functions import normalise_url, provider_of
 from jobtide.operators.setops import union_all
 from jobtide.schemas import RAW
 from jobtide.sinks.scratch import stored
-from jobtide.sinks.storage import append_numbered
+from jobtide.sinks.storage import append_numbered, append_rejected
 from jobtide.sources import html_boards, json_boards
 from jobtide.sources.tables import last_id
 
@@ -90,12 +90,14 @@ def land(
 ) -> None:
     """Append a run's rows to the raw tables under ``base``, and what was rejected to ``rejected``.
 
+    Landing a run again replaces it.
+
     A table whose rows carry no time of their own is dated by ``landed_at``, in UTC.
     """
     at = F.lit(landed_at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     for name, df in rows.items():
         if name == "rejected":
-            df.withColumn("landed_at", at).write.mode("append").format(fmt).save(f"{base}/{name}")
+            append_rejected(df.withColumn("landed_at", at), f"{base}/{name}", fmt)
             continue
         after = last_id(df.sparkSession, base, name, fmt)
         dated = df if "created_at" in df.columns else df.withColumn("created_at", at)

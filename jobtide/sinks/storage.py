@@ -30,12 +30,19 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.withColumn("run_date", F.to_date(loaded)).hint("rebalance", "run_date")
 
 
+def _write(df: DataFrame, path: str, fmt: str, folders: list[str]) -> None:
+    """Replace the folders that the rows belong to, and no others."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*folders).format(fmt).save(path)
+
+
 def append_raw(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Add the rows of a run, in a folder per load day; an empty frame adds no file.
+    """Add the rows of a run, in a folder per load day and run; an empty frame adds no file.
 
-    ``fmt`` may be any file format, such as parquet, json or csv.
+    A run that is written again replaces its rows of those days, so an interrupted landing can be
+    repeated. ``fmt`` may be any file format, such as parquet, json or csv.
     """
-    _spread(df).write.mode("append").partitionBy("run_date").format(fmt).save(path)
+    _write(_spread(df).withColumn("run", F.col("run_id")), path, fmt, ["run_date", "run"])
 
 
 def append_numbered(df: DataFrame, path: str, after: int, fmt: str = "parquet") -> None:
@@ -45,7 +52,12 @@ def append_numbered(df: DataFrame, path: str, after: int, fmt: str = "parquet")
     task write again as a whole, and never mixes two numberings of the same rows.
     """
     numbered = _spread(df).withColumn("id", F.monotonically_increasing_id() + (after + 1))
-    numbered.write.mode("append").partitionBy("run_date").format(fmt).save(path)
+    _write(numbered.withColumn("run", F.col("run_id")), path, fmt, ["run_date", "run"])
+
+
+def append_rejected(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Add what a run rejected, in a folder per kind and run, with the same effect of a repetition."""
+    _write(df.withColumn("run", F.col("run_id")).hint("rebalance"), path, fmt, ["kind", "run"])
 
 
 def archive(spark: SparkSession, base: str, name: str, before: date, to: str, as_of: date) -> str:

@@ -53,12 +53,20 @@ def test_append_adds_runs(spark, raw, rows, tmp_path, fmt):
     assert rows(later, "id") == [(2,)]
 
 
+def test_a_run_written_again_replaces_itself(spark, raw, rows, tmp_path):
+    path = f"{tmp_path}/lever_openings"
+    one, two = ({**lever(n, CUTOFF + n), "run_id": f"run{n}"} for n in (1, 2))
+    for run in ([one], [two], [one], [two, {**two, "id": 3}]):
+        storage.append_raw(raw("lever_openings", *run), path)
+    assert rows(tables.read_raw(spark, str(tmp_path), "lever_openings"), "id") == [(1,), (2,), (3,)]
+
+
 def test_appended_ids_rise_and_stay_unique(spark, raw, tmp_path):
     path = f"{tmp_path}/lever_openings"
-    run = raw("lever_openings", *[lever(None, CUTOFF + n * 40_000) for n in range(20)]).drop("id")
-    for _ in range(3):
+    for number in range(3):
+        seen = [{**lever(None, CUTOFF + n * 40_000), "run_id": f"run{number}"} for n in range(20)]
         last = tables.last_id(spark, str(tmp_path), "lever_openings")
-        storage.append_numbered(run, path, last)
+        storage.append_numbered(raw("lever_openings", *seen).drop("id"), path, last)
     ids = [r.id for r in tables.read_raw(spark, str(tmp_path), "lever_openings").collect()]
     assert len(ids) == len(set(ids)) == 60
     assert min(ids) == 0 and tables.last_id(spark, str(tmp_path), "lever_openings") == max(ids)
