@@ -1,5 +1,7 @@
 """Text columns as byte arrays: what the operators that work inside Arrow tasks share."""
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Text bytes that an operator works on at once; a longer text is worked on alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def quoted(name: str) -> Column:
@@ -44,6 +46,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return memory that is free in this process to the machine: a worker waits for its next task for a while, and an
+    executor has little room besides Spark's own heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES):
     """Slices of a batch with at most ``size`` bytes of text each, or one row."""
     if not batch.num_rows:
@@ -54,6 +65,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES)
         before = ends[first - 1] if first else 0
         after = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
         yield batch.slice(first, after - first)
+        give_back()
         first = after
 
 

@@ -160,7 +160,7 @@ def _search(batches, block):
             )
 
 
-def _judge(batches, ratio):
+def _judge(batches, ratio, keep_text):
     for batch in batches:
         hits, items, digests, verdicts = [], [], [], []
         for n, spans in zip(batch.column("n_words").to_pylist(), batch.column("spans").to_pylist(), strict=True):
@@ -175,8 +175,8 @@ def _judge(batches, ratio):
             verdicts.append(covered > 0 and ratio * covered >= n)
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), batch.column("n_words"), pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(digests, pa.string()), pa.array(verdicts, pa.bool_()), batch.column("spans")]
-            + ([batch.column("text")] if "text" in batch.schema.names else []),
-            names=["row", "n_words", "n_hit", "items", "items_sha256", "contaminated", "spans"] + (["text"] if "text" in batch.schema.names else []),
+            + ([batch.column("text")] if keep_text else []),
+            names=["row", "n_words", "n_hit", "items", "items_sha256", "contaminated", "spans"] + (["text"] if keep_text else []),
         )
 
 
@@ -214,12 +214,12 @@ def search(
     found = packed(docs, text, carried).select("row", "text", F.lit(0).cast("long").alias("n_words"), F.expr(f"cast(null as array<{_SPAN}>)").alias("spans"))
     row, _ = row_type(found)
     # names of struct fields are c0, c1, ..., so that the type's text form is safe to parse
-    for block in _blocks(benchmark, item, text, window, block_bytes):
+    *earlier, last = _blocks(benchmark, item, text, window, block_bytes)
+    for block in earlier:
         found = found.mapInArrow(lambda batches, b=block: _search(batches, b), f"row {row}, text string, n_words long, spans array<{_SPAN}>")
-    if not keep_text:
-        found = found.drop("text")
+    # the last pass judges as well, so that a task of a single block needs one Python process
     out = f"row {row}, n_words long, n_hit long, items array<string>, items_sha256 string, contaminated boolean, spans array<{_SPAN}>"
-    return found.mapInArrow(lambda batches: _judge(batches, ratio), out + (", text string" if keep_text else ""))
+    return found.mapInArrow(lambda batches: _judge(_search(batches, last), ratio, keep_text), out + (", text string" if keep_text else ""))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

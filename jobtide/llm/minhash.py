@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobtide.llm.arrow import chunks, quoted, ranges, words
+from jobtide.llm.arrow import chunks, give_back, quoted, ranges, words
 from jobtide.sinks.scratch import stored
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -183,7 +183,7 @@ def _block_links(table: pa.Table, bands: int, rows: int, threshold: float, shing
         pairs.append(np.stack([np.full(len(here), a), here]))
     left, right = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
     links = []
-    step = max(1, (1 << 21) // max(1, int((last - first).max(initial=1))))
+    step = max(1, (1 << 19) // max(1, int((last - first).max(initial=1))))
     for at in range(0, len(left), step):
         i, j = left[at : at + step], right[at : at + step]
         of = np.concatenate([ranges(first[i], (last - first)[i]), ranges(first[j], (last - first)[j])])
@@ -193,6 +193,8 @@ def _block_links(table: pa.Table, bands: int, rows: int, threshold: float, shing
         linked = np.maximum(*_pair_similarities(pair, key[of], weight[of], second, len(i))) >= threshold
         links.append(np.stack([node[i[linked]], node[j[linked]]]))
     a, b = np.concatenate(links, axis=1) if links else np.zeros((2, 0), np.int64)
+    if len(node) > 100:
+        give_back()
     return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], schema=_LINKS)
 
 
@@ -311,7 +313,8 @@ def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options)
     kept = stored(placed.where(F.equal_null("doc_id", "class_id")).groupBy("doc_id").agg(F.count("*").alias("copies")), "kept")
     single, several = kept.where("copies = 1").select("doc_id"), kept.where("copies > 1").select("doc_id")
     key = quoted(doc_id).cast("long")
-    out = docs.join(single.withColumnRenamed("doc_id", "_kept_id"), key.eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
+    # the kept are most documents, so the plan is the same at every size
+    out = docs.join(single.withColumnRenamed("doc_id", "_kept_id").hint("merge"), key.eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
     if not several.isEmpty():
         again = docs.join(several.withColumnRenamed("doc_id", "_kept_id"), key.eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
         first = Window.partitionBy(key).orderBy(quoted(text))

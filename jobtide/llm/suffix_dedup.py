@@ -26,16 +26,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.arrow import binary_array, chunks, packed, ranges, row_type, text_bytes, unpacked
+from jobtide.llm.arrow import binary_array, chunks, give_back, packed, ranges, row_type, text_bytes, unpacked
 from jobtide.sinks.scratch import stored
 
 LENGTH, ANCHOR = 50, 20
 #: Bytes of text for each bucket, and windows that a task works on at once.
-BUCKET_BYTES, BLOCK = 16 << 20, 1 << 20
+BUCKET_BYTES, BLOCK = 16 << 20, 1 << 18
 #: An anchor in more chunks than this is split by the hashes of its windows.
 HOT_CHUNKS = 1000
 #: Text bytes that are sorted together, unless one anchor has more.
-SORTED_BYTES = 1 << 20
+SORTED_BYTES = 1 << 19
+#: Text bytes of a chunk.
+CHUNK_TEXT = 4 << 20
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -209,7 +211,7 @@ _CHUNK = "chunk long, size long, text binary, ids array<long>, lengths array<lon
 def _make_chunks(batches, rows):
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
-        for chunk in chunks(batch):
+        for chunk in chunks(batch, size=CHUNK_TEXT):
             data, offsets = text_bytes(chunk.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -252,6 +254,7 @@ def _anchors(batches, mask, length, anchor):
                 [pa.array([b for b, _ in parts], pa.int64()), pa.array([chunk["chunk"]] * len(parts), pa.int64()), pa.array([k.tobytes() for _, k in parts], pa.binary())],
                 names=["bucket", "chunk", "keys"],
             )
+        give_back()
 
 
 _REPEATED = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("hot", pa.binary())])
@@ -327,6 +330,7 @@ def _send(found: pa.Table, chunk: pa.Table, mask, length, anchor) -> pa.Table:
             np.minimum.at(least, codes, ids[doc[a:b]])
             text, places = text_bytes(coded.dictionary)
             out.append((row["chunk"], number, len(first), len(text), _squeezed(text), _squeezed(np.diff(places).astype(np.uint16)), _squeezed(owner[a:b][first].astype(np.uint16)), _squeezed(least)))
+    give_back()
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 8, _SENT)], schema=_SENT)
 
 
@@ -382,6 +386,7 @@ def _resolve(table: pa.Table, length: int, anchor: int) -> pa.Table:
         starts = np.flatnonzero(new)
         lengths = np.diff(np.append(starts, len(values)))
         out.append((row["chunk"], row["bucket"], len(starts), _squeezed(lengths.astype(np.uint16)), _squeezed(values[starts])))
+    give_back()
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, _LEAST)], schema=_LEAST)
 
 
@@ -428,6 +433,7 @@ def _finish(told: pa.Table, chunk: pa.Table, row, mask, length: int, anchor: int
             out.append(item)
     fields = [("row", row), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))]
     fields += [("text", pa.string())] if keep_text else []
+    give_back()
     return pa.table([pa.array([o[n] for o in out], t) for n, t in fields], names=[n for n, _ in fields])
 
 

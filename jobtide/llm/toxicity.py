@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.arrow import packed, quoted, row_type
+from jobtide.llm.arrow import chunks, packed, quoted, row_type
 from jobtide.llm.minhash import shingles
 from jobtide.sinks.scratch import stored
 
@@ -216,7 +216,7 @@ def learn(labelled: DataFrame, exceptions: list[str] = EXCEPTIONS) -> Lexicon:
 
 def _score(batches, lexicon):
     automaton = lexicon.automaton()
-    for batch in batches:
+    for batch in (chunk for whole in batches for chunk in chunks(whole)):
         found = measure(batch.column("text").to_pylist(), automaton)
         yield pa.RecordBatch.from_arrays([batch.column("row"), *[pa.array(found[:, i]) for i in range(3)], pa.array(lexicon.score(found))], names=["row", "weight", "rate", "most", "score"])
 
