@@ -13,6 +13,7 @@ Hosts with few pages borrow the template that all pages together give.
 
 import re
 import zlib
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -37,6 +38,12 @@ AROUND_WORDS = frozenset(
     "nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer bottombar comment comments disqus reply replies respond discussion "
     "pagination pager login signup search toolbar skip complementary contentinfo navigation tags legal copyright disclaimer".split()
 )
+#: Of these, words of what stands apart and may hold articles of its own, such as comments.
+APART_WORDS = frozenset("comment comments disqus reply replies respond discussion related recommended recommendations".split())
+#: Words after which a class says what an element holds or is about, not what it is.
+DESCRIBING = frozenset("has with without no category tag".split())
+#: Words that make a header the headline of a text.
+HEADLINE_OF = frozenset("article entry post story".split())
 #: Elements, and words in classes, ids and roles, of the main text.
 MAIN, MAIN_WORDS = frozenset(["article", "main"]), frozenset("article articlebody main post entry story".split())
 
@@ -56,20 +63,54 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
 
 
+@lru_cache(4096)
+def _kind(tag: str, named: tuple[str, ...]) -> tuple[bool, bool, bool, bool]:
+    """Whether an element is around by its names, so even inside the main text, apart whatever it holds, and main."""
+    words = set()
+    for value in (v for each in named for v in each.split()):
+        for word in (w.lower() for w in _WORD.findall(value)):
+            if word in DESCRIBING:
+                break
+            words.add(word)
+    said = words & AROUND_WORDS if tag not in ("body", "html") else set()
+    if said == {"header"} and words & HEADLINE_OF:
+        said = set()
+    # a header inside the article holds its headline
+    inside = (tag in AROUND and tag != "header") or bool(said - {"header"})
+    apart = (tag in AROUND and tag != "form") or bool(said & APART_WORDS)
+    return tag in AROUND or bool(said), inside, apart, tag in MAIN or bool(words & MAIN_WORDS)
+
+
 class _Element:
-    __slots__ = ("around", "dropped", "main", "parent", "path", "tag")
+    __slots__ = ("apart", "around", "article", "dropped", "kind", "main", "parent", "path", "tag")
 
     def __init__(self, tag: str, attributes: str, parent: "_Element | None"):
         named = sorted("".join(m[1:]) for m in _ATTRIBUTE.findall(attributes)) if "=" in attributes else []
-        words = {w.lower() for value in named for w in _WORD.findall(value)}
-        inside = parent is not None and parent.main
         self.tag, self.parent = tag, parent
         self.path = f"{parent.path if parent else ''}/{tag}" + "".join(f"[{n}]" for n in named)
         self.dropped = (parent is not None and parent.dropped) or tag in DROPPED
-        # a header inside the article holds its headline
-        around = (tag in AROUND and not (tag == "header" and inside)) or (bool(words & AROUND_WORDS) and tag not in ("body", "html"))
-        self.around = (parent is not None and parent.around) or around
-        self.main = (inside or tag in MAIN or bool(words & MAIN_WORDS)) and not self.around
+        self.kind = _kind(tag, tuple(named))
+        self.apart = (parent is not None and parent.apart) or self.kind[2]
+        # the article or main element it is in; an article inside an article is a comment on it
+        self.article = parent.article if parent else None
+        if tag in MAIN and (self.article is None or self.article.tag == "main"):
+            self.article = self
+        self.settle(())
+
+    def settle(self, spared) -> None:
+        """Set ``around`` and ``main`` from its names, which do not make an element of ``spared`` around."""
+        parent = self.parent
+        inside = parent is not None and parent.main
+        self.around = (parent is not None and parent.around) or (self.kind[inside] and self not in spared)
+        self.main = (inside or self.kind[3]) and not self.around
+
+    def line(self) -> "list[_Element]":
+        """The element and all that hold it, from the outermost on."""
+        out, element = [], self
+        while element is not None:
+            out.append(element)
+            element = element.parent
+        return out[::-1]
 
 
 def read(html: str) -> list[tuple[str, "_Element", str]]:
@@ -189,12 +230,49 @@ class Template:
         return {name for name, where in places.items() if len(where) == 1}
 
 
+def _spared(tokens: list[tuple[str, _Element, str]], slots: list[int] | None, of_template: list[bool]) -> set[_Element]:
+    """The elements that are or hold the main text, whatever their names say; none where names do not touch it.
+
+    The main text is in the article or main element with the most text; those that stand apart come into question only
+    if they hold more than all that is not around. Without such an element it is in the slot with the most text of the
+    page's own, if that is more than what is not around; a page that follows no template is one slot, in question only
+    where it has nothing else.
+    """
+    if not any(text and element.around for _, element, text in tokens):
+        return set()
+    articles: dict[_Element, int] = {}
+    by_slot: dict[int, list[tuple[_Element, int]]] = {}
+    clean = own = 0
+    for i, (_, element, text) in enumerate(tokens):
+        if not text:
+            continue
+        if element.article is not None:
+            articles[element.article] = articles.get(element.article, 0) + len(text)
+        if not element.around:
+            clean += len(text)
+            own += len(text) * (not of_template[i])
+        if not element.apart and not of_template[i]:
+            by_slot.setdefault(slots[i] if slots else 0, []).append((element, len(text)))
+    found = {e: n for e, n in articles.items() if not e.apart} or {e: n for e, n in articles.items() if n > clean}
+    if found:
+        return set(max(found, key=found.__getitem__).line())
+    if not by_slot:
+        return set()
+    blocks = max(by_slot.values(), key=lambda some: sum(n for _, n in some))
+    if sum(n for _, n in blocks) <= own or (not slots and own):
+        return set()
+    # what holds the whole slot
+    lines = [e.line() for e, _ in blocks]
+    return {same[0] for same in zip(*lines, strict=False) if len(set(same)) == 1}
+
+
 def extract(html: str | None, template: Template | None) -> str:
     """The main text of a page; empty for null, and where a page has none.
 
     Template tokens cut the page into slots. Blocks that are template tokens, and blocks in slots around the main text,
     are left out; of the slots left, those inside a main element of the template count, or all if it has none. A page
-    that follows no template is one slot, and its own elements count for the template's.
+    that follows no template is one slot, and its own elements count for the template's. Names never take away what
+    holds the main text (``_spared``).
     """
     if not html:
         return ""
@@ -202,6 +280,11 @@ def extract(html: str | None, template: Template | None) -> str:
     keys = [key for key, _, _ in tokens]
     slots = template.slots(keys) if template else None
     valid = template.nested(keys, slots) | {template.name} if slots else set()
+    of_template = [bool(slots) and template.member.get(key) in valid for key in keys]
+    spared = _spared(tokens, slots, of_template)
+    if spared:
+        for _, element, _ in tokens:
+            element.settle(spared)
     blocks, main = [], False
     for i, (key, element, text) in enumerate(tokens):
         if not text or element.around:
@@ -210,8 +293,7 @@ def extract(html: str | None, template: Template | None) -> str:
         around = element
         while slots and around.parent is not None and template.member.get(around.path) not in valid:
             around = around.parent
-        of_template = bool(slots) and template.member.get(key) in valid
-        if of_template and not around.main:
+        if of_template[i] and not around.main:
             continue
         blocks.append((text, around.main or element.main, slots[i] if slots else 0))
         main = main or blocks[-1][1]

@@ -66,3 +66,23 @@ def test_odd_rows(table):
     assert found[5] == ("long " * 100_000).strip() and found[6].startswith("cut")
     assert main_text.extract_pages(pages, ["page_id"]).count() == 7
     assert main_text.extract_pages(pages.where("false"), ["page_id"]).count() == 0
+
+
+def test_names_do_not_take_away_what_holds_the_main_text(table):
+    article = "<article><h1>H</h1><p>Own text.</p></article>"
+    for page in (
+        f"<body><nav>n</nav><div class='content-with-sidebar'>{article}</div><div class='sidebar'>s</div>",
+        f"<body><div class='page has-header'>{article}<div id='comments'><article>me too</article></div></div><footer>f</footer>",
+        f"<body><div class='sidebar-layout banner'><form id='f'>{article}</form></div>",
+        "<body><article class='post category-legal has-comments'><h1>H</h1><p>Own text.</p></article><p>loose",
+        "<body><article><div class='article-header'><h1>H</h1></div><p>Own text.</p><div class='share'>s</div></article>",
+        "<body><div class='sidebar-page'><h1>H</h1><p>Own text.</p></div>",
+    ):
+        assert main_text.extract(page, None) == "H\n\nOwn text.", page
+    # text that stands apart stays away from a page that has its own
+    assert main_text.extract("<body><div><p>Much more own text.</p></div><aside><article>teaser</article></aside>", None) == "Much more own text."
+    rows = [
+        {"page_id": i, "url": f"http://w.org/{i}", "html": f"<body><div class='menu-left'><p>Home</p><div class='x'><p>Text {i}</p><p>More {i * i}</p></div><p>Imprint</p></div><div class='y'>c</div></body>"}
+        for i in range(6)
+    ]
+    assert extract(table("page_id long, url string, html string", rows)) == {i: f"Text {i}\n\nMore {i * i}" for i in range(6)}
