@@ -26,6 +26,8 @@ from jobtide.sinks.scratch import stored
 
 #: Pages that a host needs for a template of its own, and the share of them that must have a token of it.
 MIN_PAGES, MIN_SHARE = 3, 0.5
+#: Where less than this share of what the main element holds is the page's own, the page is one of copies.
+COPY_SHARE = 0.1
 
 #: Elements whose text is not shown, or not prose.
 DROPPED = frozenset("script style noscript template iframe object svg math canvas audio video select option button textarea input label datalist head title".split())
@@ -269,10 +271,11 @@ def _spared(tokens: list[tuple[str, _Element, str]], slots: list[int] | None, of
 def extract(html: str | None, template: Template | None) -> str:
     """The main text of a page; empty for null, and where a page has none.
 
-    Template tokens cut the page into slots. Blocks that are template tokens, and blocks in slots around the main text,
-    are left out; of the slots left, those inside a main element of the template count, or all if it has none. A page
-    that follows no template is one slot, and its own elements count for the template's. Names never take away what
-    holds the main text (``_spared``).
+    Template tokens cut the page into slots. Blocks that are template tokens are left out wherever they are, also in a
+    main element, and so are blocks of slots that names say are around the main text; names never take away what holds
+    it (``_spared``). Of the rest, blocks in a main element count, or all if none is in one. A page that follows no
+    template is one slot. Where hardly any of the text is the page's own, its host has copies of one page, and the
+    template's text is the main text.
     """
     if not html:
         return ""
@@ -285,19 +288,17 @@ def extract(html: str | None, template: Template | None) -> str:
     if spared:
         for _, element, _ in tokens:
             element.settle(spared)
-    blocks, main = [], False
-    for i, (key, element, text) in enumerate(tokens):
-        if not text or element.around:
-            continue
-        # the template's element around the slot
-        around = element
-        while slots and around.parent is not None and template.member.get(around.path) not in valid:
-            around = around.parent
-        if of_template[i] and not around.main:
-            continue
-        blocks.append((text, around.main or element.main, slots[i] if slots else 0))
-        main = main or blocks[-1][1]
-    return "\n\n".join(text for text, in_main, _ in blocks if in_main or not main)
+    # what the slots hold, and the template's own text between them
+    blocks = [(text, element.main, of_template[i]) for i, (_, element, text) in enumerate(tokens) if text and not element.around]
+    in_main = [block for block in blocks if block[1]]
+    own = _own(in_main) or _own(blocks)
+    if in_main and sum(len(text) for text, _, _ in own) < COPY_SHARE * sum(len(text) for text, _, _ in in_main):
+        own = in_main
+    return "\n\n".join(text for text, _, _ in own or blocks)
+
+
+def _own(blocks: list[tuple[str, bool, bool]]) -> list[tuple[str, bool, bool]]:
+    return [block for block in blocks if not block[2]]
 
 
 def _digest(page: int, count: int) -> int:

@@ -86,3 +86,15 @@ def test_names_do_not_take_away_what_holds_the_main_text(table):
         for i in range(6)
     ]
     assert extract(table("page_id long, url string, html string", rows)) == {i: f"Text {i}\n\nMore {i * i}" for i in range(6)}
+
+
+def test_the_template_decides_inside_the_article_too(table):
+    def page(i, line):
+        return f"<body><article><h1>Title {i}</h1><p>Words {i} of {i * i}.</p><p>Subscribe to our letter.</p>{line}</article><p>Imprint</p></body>"
+
+    rows = [{"page_id": i, "url": f"http://t.org/{i}", "html": page(i, "<p>Buy now.</p>" if i % 3 else "")} for i in range(9)]
+    # copies of one page that tell the time
+    same = " ".join(f"word{j}" for j in range(50))
+    rows += [{"page_id": 100 + i, "url": f"http://c.org/{i}", "html": f"<body><article><p>{same}</p></article><p>{i}</p></body>"} for i in range(5)]
+    found = extract(table("page_id long, url string, html string", rows))
+    assert found == {i: f"Title {i}\n\nWords {i} of {i * i}." for i in range(9)} | {100 + i: same for i in range(5)}
