@@ -3,9 +3,10 @@
 Signature: every shingle is the source of a Poisson process whose rate is its weight; each arrival falls on a random
 component of the signature, and a component keeps the shingle that arrived first. A document is done as soon as the
 next arrivals come after the last component was filled. Two documents agree in a component with the probability
-Jaccard similarity of their shingles.
+Jaccard similarity of their shingles. A text that repeats shingles has a second signature, from equal weights, that
+agrees with the set Jaccard similarity; for one that repeats none both are the same.
 
-Candidates: bands of components; documents that share a band's values meet in a bucket. In each bucket all documents
+Candidates: bands of components; documents that share a band's values in either signature meet in a bucket. In each bucket all documents
 are compared with one of them, the hub. Links make classes, and buckets of a single class are done, however large. In
 what is left, documents of different classes are compared block by block, and only links leave a block: its largest
 class is cut into blocks that meet the blocks of the others, so no block grows with the bucket. Buckets are never
@@ -24,10 +25,10 @@ from jobtide.llm.arrow import chunks, give_back, quoted, ranges, words
 from jobtide.sinks.scratch import stored
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: A pair at the threshold shares no band once in 300,000 times.
+#: A pair at the threshold, by either similarity, shares no band of that signature once in 300,000 times.
 BANDS, ROWS = 32, 5
-#: Documents of a block, and the share of equal components below which a pair in it is no candidate: a pair at the
-#: threshold stays below once in 200,000 times.
+#: Documents of a block, and the share of equal components below which, in both signatures, a pair in it is no
+#: candidate: a pair at the threshold stays below once in 200,000 times.
 BLOCK, LIKELY = 512, 0.66
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -119,18 +120,40 @@ def similarities(pair: np.ndarray, x: np.ndarray, y: np.ndarray, n: int) -> tupl
     return np.bincount(pair, weights=terms, minlength=n), shared / np.maximum(union, 1)
 
 
+def _both_signatures(text: np.ndarray, key: np.ndarray, counts: np.ndarray, n: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures by damped counts and by equal weights, and which texts repeat a shingle, so that the two differ."""
+    weighted = signatures(text, key, weights(counts), n, size)
+    again = np.bincount(text[counts > 1], minlength=n) > 0
+    plain, number = weighted, np.cumsum(again) - 1
+    if again.any():
+        of = again[text]
+        plain = weighted.copy()
+        plain[again] = signatures(number[text[of]], key[of], np.ones(int(of.sum())), int(again.sum()), size)
+    return weighted, plain, again
+
+
+def _band_keys(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    hashed = np.tile(np.arange(1, bands + 1, dtype=np.uint64) * _M2, (len(found), 1))
+    for row in range(rows):
+        hashed = _mixed((hashed ^ found[:, row * bands : (row + 1) * bands]) * _M1)
+    return hashed
+
+
 def _sign(batches, bands, rows, shingle):
     for batch in batches:
         for chunk in chunks(batch):
             text, key, counts = shingles(chunk.column("text"), shingle)
             n = chunk.num_rows
-            found = signatures(text, key, weights(counts), n, bands * rows)
-            hashed = np.tile(np.arange(1, bands + 1, dtype=np.uint64) * _M2, (n, 1))
-            for row in range(rows):
-                hashed = _mixed((hashed ^ found[:, row * bands : (row + 1) * bands]) * _M1)
+            weighted, plain, again = _both_signatures(text, key, counts, n, bands * rows)
             has = np.bincount(text, minlength=n) > 0
-            places = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
-            keys = pa.ListArray.from_arrays(pa.array(places), pa.array(hashed[has].ravel().view(np.int64)))
+            # keys by equal weights follow, null where they are the same
+            keys, second = _band_keys(weighted, bands, rows), np.zeros((n, bands), np.uint64)
+            second[again] = _band_keys(plain[again], bands, rows)
+            given = np.repeat(np.stack([has, again], axis=1), bands, axis=1)
+            null = np.concatenate([np.zeros((n, bands), bool), second == keys], axis=1)[given]
+            values = pa.array(np.concatenate([keys, second], axis=1)[given].view(np.int64), mask=null)
+            places = np.concatenate([[0], np.cumsum((has.astype(int) + again) * bands)]).astype(np.int32)
+            keys = pa.ListArray.from_arrays(pa.array(places), values)
             yield pa.RecordBatch.from_arrays([chunk.column("id"), chunk.column("digest"), keys], names=["id", "digest", "keys"])
 
 
@@ -169,17 +192,21 @@ def _block_links(table: pa.Table, bands: int, rows: int, threshold: float, shing
     band = table.column("band")[0].as_py()
     text, key, counts = shingles(table.column("text").combine_chunks(), shingle)
     weight = weights(counts)
-    found = signatures(text, key, weight, len(node), bands * rows)
+    weighted, plain, again = _both_signatures(text, key, counts, len(node), bands * rows)
     first, last = np.searchsorted(text, np.arange(len(node))), np.searchsorted(text, np.arange(len(node)), "right")
     two_sides = side.min() != side.max()
     pairs = []
     for a in range(len(node) - 1):
         others = np.arange(a + 1, len(node))
         others = others[(kind[others] != kind[a]) & ((side[others] != side[a]) | (not two_sides))]
-        equal = found[others] == found[a]
+        equal = weighted[others] == weighted[a]
         near = equal.mean(axis=1) >= likely
-        shared = equal[near].reshape(-1, rows, bands).all(axis=1)
-        here = others[near][shared.argmax(axis=1) == band]
+        shared = equal.reshape(-1, rows, bands).all(axis=1)
+        if again[a] or again[others].any():
+            equal = plain[others] == plain[a]
+            near |= equal.mean(axis=1) >= likely
+            shared |= equal.reshape(-1, rows, bands).all(axis=1)
+        here = others[near & shared.any(axis=1) & (shared.argmax(axis=1) == band)]
         pairs.append(np.stack([np.full(len(here), a), here]))
     left, right = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
     links = []
@@ -281,7 +308,7 @@ def classes(
     # equal texts: the least document of each stands for all
     whole = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node"), F.any_value("keys").alias("keys"))
     whole = stored(whole, "texts")
-    shared = _with_hubs(whole.select("node", F.posexplode("keys").alias("band", "key")), "buckets")
+    shared = _with_hubs(whole.select("node", F.posexplode("keys").alias("band", "key")).where("key IS NOT NULL").withColumn("band", F.col("band") % bands), "buckets")
     wanted = stored(shared.select("node").distinct(), "wanted")
     own = given.where("text != ''").join(wanted, F.col("id") == F.col("node")).select("node", "text")
     texts = stored(own.distinct(), "candidates")

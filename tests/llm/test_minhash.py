@@ -82,3 +82,24 @@ def test_odd_rows(documents):
         [(5, None), (6, None), (7, ""), (8, ""), (9, "?!"), (2, "v0 v1 "), (11, "one tw"), (None, "n u l ")], key=str
     )
     assert minhash.keep(given.where("false")).count() == 0
+
+
+def test_set_similarity_counts_where_texts_repeat_lines(documents):
+    random.seed(6)
+    docs = []
+    for i in range(60):
+        words = [f"s{i}x{j}" for j in range(130)]
+        for side in range(2):
+            # 126 shingles in common, and a line of its own that is repeated
+            docs.append((2 * i + side, " ".join(words + [f"r{i}x{side}x{j}" for j in range(11)] * 20)))
+    weighted, plain = similarity(shingles(docs[0][1]), shingles(docs[1][1]))
+    assert weighted < 0.6 and plain >= 0.8
+    found = {r["doc_id"]: r["class_id"] for r in minhash.classes(documents(docs)).collect()}
+    assert found == {i: i - i % 2 for i, _ in docs}
+    links = set()
+    for band in range(minhash.BANDS):
+        block = pa.table({"node": [i for i, _ in docs], "class": [i for i, _ in docs], "side": [0] * len(docs), "band": [band] * len(docs), "text": [t for _, t in docs]})
+        own = minhash._block_links(block, minhash.BANDS, minhash.ROWS, minhash.THRESHOLD, minhash.SHINGLE, minhash.LIKELY).to_pylist()
+        assert not links & {(r["a"], r["b"]) for r in own}
+        links |= {(r["a"], r["b"]) for r in own}
+    assert links == {(i, i + 1) for i in range(0, len(docs), 2)}
