@@ -283,34 +283,22 @@ def _blocks(members: DataFrame, found: DataFrame, block: int) -> DataFrame:
     return dealt.select("key", "band", "node", "class", F.explode(all_of).alias("pair")).select("key", "band", "node", "class", F.col("pair.a").alias("one"), F.col("pair.b").alias("two"), F.col("pair.side").alias("side"))
 
 
-def classes(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    threshold: float = THRESHOLD,
-    shingle: int = SHINGLE,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    block: int = BLOCK,
-    likely: float = LIKELY,
-) -> DataFrame:
-    """``doc_id`` and ``class_id`` for each row of ``docs``: the least id of the documents it is linked with.
+def _classed(given: DataFrame, threshold: float, shingle: int, bands: int, rows: int, block: int, likely: float) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``given`` (``id``, ``text``) as ``id`` and ``digest``, and the classes of their texts.
 
-    Equal texts are linked, and texts whose shingles have a similarity of ``threshold``, weighted by their counts
-    (probability Jaccard) or not. ``doc_id`` is a whole number. Null and empty texts are linked with nothing; texts
-    without words only with equal ones. Rows of the same id, and all rows without one, are one document: they share a
-    class. An empty table gives no rows.
+    Each distinct text that is not empty has a node of its own, whatever its ids: ``digest``, ``id`` (the least) and
+    ``class`` (a node of its class). The digest of null and empty texts is null.
     """
-    given = docs.select(F.coalesce(quoted(doc_id).cast("long"), F.lit(_NONE)).alias("id"), quoted(text).cast("string").alias("text"))
     signed = given.select("id", F.md5("text").alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     signed = signed.withColumn("digest", F.when(F.col("text") != "", F.col("digest")))
     signed = stored(signed.mapInArrow(lambda batches: _sign(batches, bands, rows, shingle), "id long, digest string, keys array<long>"), "signed")
-    # equal texts: the least document of each stands for all
-    whole = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node"), F.any_value("keys").alias("keys"))
-    whole = stored(whole, "texts")
+    whole = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys"))
+    whole = stored(whole.withColumn("node", F.monotonically_increasing_id()), "texts")
     shared = _with_hubs(whole.select("node", F.posexplode("keys").alias("band", "key")).where("key IS NOT NULL").withColumn("band", F.col("band") % bands), "buckets")
-    wanted = stored(shared.select("node").distinct(), "wanted")
-    own = given.where("text != ''").join(wanted, F.col("id") == F.col("node")).select("node", "text")
+    wanted = shared.select("node").distinct().join(whole, "node").select("node", F.col("digest").alias("of"), F.col("id").alias("least"))
+    wanted = stored(wanted, "wanted")
+    # a text is read from the row with its least id
+    own = given.where("text != ''").join(wanted, F.col("id").eqNullSafe(F.col("least")) & (F.md5("text") == F.col("of"))).select("node", "text")
     texts = stored(own.distinct(), "candidates")
     pairs = stored(_stars(shared), "pairs")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -324,26 +312,94 @@ def classes(
     more = stored(more.distinct(), "links")
     if not more.isEmpty():
         found = components(links.union(more))
-    # documents through their text's node to the class
-    by_text = signed.join(whole.select("digest", "node"), "digest", "left").select("id", F.coalesce("node", "id").alias("node"))
-    placed = by_text.join(found, "node", "left").select("id", F.coalesce("class", "node").alias("class"))
-    back = F.nullif("class", F.lit(_NONE))
-    return placed.select(F.nullif("id", F.lit(_NONE)).alias("doc_id"), back.alias("class_id"))
+    placed = whole.join(found, "node", "left").select("digest", "id", F.coalesce("class", "node").alias("class"))
+    return signed.select("id", "digest"), stored(placed, "classed")
 
 
-def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each class, the one with the least id; columns as they were.
+def _given(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(quoted(doc_id).cast("long").alias("id"), quoted(text).cast("string").alias("text"))
+
+
+def classes(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    threshold: float = THRESHOLD,
+    shingle: int = SHINGLE,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = BLOCK,
+    likely: float = LIKELY,
+) -> DataFrame:
+    """``doc_id`` and ``class_id`` for each row of ``docs``: the least id of the documents it is linked with.
 
-    Of several rows with that id the one with the least text stays; a class of rows without an id keeps one as well.
+    Equal texts are linked, and texts whose shingles have a similarity of ``threshold``, weighted by their counts
+    (probability Jaccard) or not. ``doc_id`` is a whole number. Null and empty texts are linked with nothing; texts
+    without words only with equal ones. Rows of the same id are one document: they share a class. Rows without an id
+    are documents of their own, and a class of such rows only has no id. An empty table gives no rows.
     """
-    placed = classes(docs, doc_id, text, **options)
-    kept = stored(placed.where(F.equal_null("doc_id", "class_id")).groupBy("doc_id").agg(F.count("*").alias("copies")), "kept")
-    single, several = kept.where("copies = 1").select("doc_id"), kept.where("copies > 1").select("doc_id")
-    key = quoted(doc_id).cast("long")
+    signed, texts = _classed(_given(docs, doc_id, text), threshold, shingle, bands, rows, block, likely)
+    placed = stored(signed.join(texts.select("digest", "class"), "digest", "left").select("id", "class"), "rows")
+    # unlike texts of one id
+    several = placed.where("id IS NOT NULL AND class IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("most")).where("a != most")
+    same = stored(placed.join(several.select("id", "a"), "id").where("class != a").select("a", F.col("class").alias("b")).distinct(), "links")
+    if not same.isEmpty():
+        merged = components(same).withColumnRenamed("class", "all")
+        placed = stored(placed.join(merged, placed["class"] == merged["node"], "left").select("id", F.coalesce("all", "class").alias("class")), "rows")
+    full, empty = placed.where("class IS NOT NULL"), placed.where("class IS NULL").select("id")
+    named = full.join(full.groupBy("class").agg(F.min("id").alias("class_id")), "class").select("id", "class_id")
+    if not empty.isEmpty():
+        by_id = named.where("id IS NOT NULL").join(empty.distinct(), "id", "left_semi").groupBy("id").agg(F.min("class_id").alias("class_id"))
+        named = named.union(empty.join(by_id, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id")))
+    return named.withColumnRenamed("id", "doc_id")
+
+
+def _rows_of(docs: DataFrame, kept: DataFrame, doc_id: str, text: str, by_text: bool) -> DataFrame:
+    """A row of ``docs`` for each of ``kept`` (``id``, ``copies`` and, where ``by_text``, ``digest``): that of the least text."""
+    key, own = quoted(doc_id).cast("long"), F.md5(F.coalesce(quoted(text).cast("string"), F.lit("")))
+    names = [F.col("id").alias("_kept_id"), *([F.col("digest").alias("_kept_digest")] if by_text else [])]
+    same = key.eqNullSafe(F.col("_kept_id")) & ((own == F.col("_kept_digest")) if by_text else F.lit(True))
+    single, several = kept.where("copies = 1").select(names), kept.where("copies > 1").select(names)
     # the kept are most documents, so the plan is the same at every size
-    out = docs.join(single.withColumnRenamed("doc_id", "_kept_id").hint("merge"), key.eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
+    out = docs.join(single.hint("merge"), same).drop("_kept_id", "_kept_digest")
     if not several.isEmpty():
-        again = docs.join(several.withColumnRenamed("doc_id", "_kept_id"), key.eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
-        first = Window.partitionBy(key).orderBy(quoted(text))
+        again = docs.join(several, same).drop("_kept_id", "_kept_digest")
+        first = Window.partitionBy(key, *([own] if by_text else [])).orderBy(quoted(text))
         out = out.union(again.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place"))
     return out
+
+
+def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each class, the one with the least id; columns as they were.
+
+    Documents are told apart by their ids only: of several rows with that id the one with the least text stays, and of
+    all rows without an id one. ``keep_texts`` loses no unlike text of theirs.
+    """
+    placed = classes(docs, doc_id, text, **options)
+    kept = placed.where(F.equal_null("doc_id", "class_id")).groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("copies"))
+    return _rows_of(docs, stored(kept, "kept"), doc_id, text, False)
+
+
+def keep_texts(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    threshold: float = THRESHOLD,
+    shingle: int = SHINGLE,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = BLOCK,
+    likely: float = LIKELY,
+) -> DataFrame:
+    """``docs`` with one row of each class of texts, columns as they were: that of the least id, and then digest.
+
+    Classes are those of texts alone, so unlike texts of one id, or without an id, all stay. Rows without an id come
+    after the others. Of rows with a null or empty text one stays for each id.
+    """
+    signed, texts = _classed(_given(docs, doc_id, text), threshold, shingle, bands, rows, block, likely)
+    best = texts.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("without"), "id", "digest")).alias("row")).select("row.id", "row.digest")
+    counted = signed.groupBy("id", "digest").agg(F.count("*").alias("copies"))
+    best = best.withColumnsRenamed({"id": "best_id", "digest": "best_digest"})
+    kept = counted.join(best, (F.col("digest") == F.col("best_digest")) & F.col("id").eqNullSafe(F.col("best_id")), "left")
+    kept = kept.where("best_digest IS NOT NULL OR digest IS NULL").select("id", F.coalesce("digest", F.md5(F.lit(""))).alias("digest"), "copies")
+    return _rows_of(docs, stored(kept, "kept"), doc_id, text, True)

@@ -103,3 +103,18 @@ def test_set_similarity_counts_where_texts_repeat_lines(documents):
         assert not links & {(r["a"], r["b"]) for r in own}
         links |= {(r["a"], r["b"]) for r in own}
     assert links == {(i, i + 1) for i in range(0, len(docs), 2)}
+
+
+def test_unlike_texts_of_one_id_or_none_all_stay(documents):
+    random.seed(7)
+    long = random.choices(WORDS, k=80)
+    near = " ".join(long[:-1])
+    docs = [(11, "one two"), (11, "three four"), (12, "three four"), (12, "three four"), (1, " ".join(long)), (None, near), (None, "n u l l"), (None, "z z"), (None, "z z"), (20, near), (20, "own"), (5, None), (5, ""), (None, None)]
+    given = documents(docs, clashing=True)
+    kept = minhash.keep_texts(given)
+    assert kept.columns == given.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect() if r["text"]), key=str) == sorted(
+        [(11, "one two"), (11, "three four"), (1, " ".join(long)), (None, "n u l l"), (None, "z z"), (20, "own")], key=str
+    )
+    assert sorted((r["doc_id"] for r in kept.collect() if not r["text"]), key=str) == [5, None]
+    assert minhash.keep_texts(given.where("false")).count() == 0
