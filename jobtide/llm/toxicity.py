@@ -25,8 +25,8 @@ from jobtide.sinks.scratch import stored
 
 #: Labelled rows that a lexicon is learnt from at most, those with the least hash of their id.
 TRAINING_ROWS = 20_000
-#: Entries considered and kept at most, and toxic documents that must have one.
-CANDIDATES, ENTRIES, SUPPORT = 20_000, 4_000, 6
+#: Toxic documents that must have an entry.
+SUPPORT = 6
 #: Least log odds of an entry, by so many standard errors; a word that is clean at these log odds is an exception to a
 #: shorter entry.
 ODDS, ERRORS, CLEAN_ODDS = 0.7, 2.5, -0.3
@@ -104,20 +104,33 @@ def measure(texts: list[str | None], automaton) -> np.ndarray:
     return out
 
 
-def _count(batches, wanted):
-    counts: dict[str, int] = {}
+def _count(batches):
+    counts: dict[str, list[int]] = {}
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             own = set()
             for word in set(fold(text or "")[0].split()):
                 own |= _entries(word)
-            for entry in own if wanted is None else own & wanted:
-                counts[entry] = counts.get(entry, 0) + 1
-    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["entry", "n"])
+            for entry in own:
+                counts.setdefault(entry, [0, 0])[label] += 1
+    columns = [pa.array([c[i] for c in counts.values()], pa.int64()) for i in (1, 0)]
+    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *columns], names=["entry", "toxic", "clean"])
 
 
-def _counts(texts: DataFrame, wanted: set[str] | None) -> DataFrame:
-    return texts.mapInArrow(lambda batches: _count(batches, wanted), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+def _candidates(labelled: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """Entries with enough support that can get a weight or be an exception: ``entry``, ``toxic``, ``clean``, ``odds``, ``sure``.
+
+    ``labelled`` has ``text`` and a 0/1 ``label``, of which ``toxic`` and ``clean`` rows.
+    """
+    counted = labelled.mapInArrow(_count, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = stored(counted.where(F.col("toxic") >= SUPPORT), "entries")
+    # an entry goes where one that is longer by a letter has nearly all its toxic documents
+    beginnings = counted.where("entry NOT LIKE '% '").groupBy(F.expr("left(entry, length(entry) - 1)").alias("of")).agg(F.max("toxic").alias("longer"))
+    left = counted.join(beginnings, F.col("entry") == F.col("of"), "left").where(F.coalesce("longer", F.lit(0)) < SAME * F.col("toxic"))
+    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 1.0) / (clean + 1))
+    sure = F.col("odds") - ERRORS * F.sqrt(1 / F.col("toxic") + 1 / (F.col("clean") + 1.0))
+    left = left.select("entry", "toxic", "clean", odds.alias("odds")).withColumn("sure", sure)
+    return left.where((F.col("sure") >= ODDS) | (F.col("entry").endswith(" ") & (F.col("odds") <= CLEAN_ODDS)))
 
 
 def _measures(batches, lexicon):
@@ -184,31 +197,20 @@ def learn(labelled: DataFrame, exceptions: list[str] = EXCEPTIONS) -> Lexicon:
     toxic, clean = known.get(1, 0), known.get(0, 0)
     if not toxic or not clean:
         return Lexicon({})
-    often = _counts(labelled.where("label = 1").select("text"), None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "entry").limit(CANDIDATES)
-    positive = {r["entry"]: r["n"] for r in often.collect()}
-    negative = {r["entry"]: r["n"] for r in _counts(labelled.where("label = 0").select("text"), set(positive)).collect()}
-
-    def odds(entry: str) -> float:
-        return float(np.log((positive[entry] + 0.5) / (toxic + 1)) - np.log((negative.get(entry, 0) + 1.0) / (clean + 1)))
-
-    longer: dict[str, int] = {}
-    for entry, n in positive.items():
-        if not entry.endswith(" "):
-            longer[entry[:-1]] = max(longer.get(entry[:-1], 0), n)
-    weights = {e: odds(e) for e, n in positive.items() if longer.get(e, 0) < SAME * n}
+    known_labels = labelled.where("label IN (0, 1)").select("text", F.col("label").cast("int").alias("label"))
+    candidates = {r["entry"]: r for r in _candidates(known_labels, toxic, clean).collect()}
     # shorter ones first; a longer one is only of use where its weight differs
     kept: dict[str, float] = {}
-    for entry in sorted(weights, key=lambda e: (len(e), e)):
+    for entry in sorted(candidates, key=lambda e: (len(e), e)):
         outer = next((kept[entry[:n]] for n in range(len(entry) - 1, SHORTEST, -1) if entry[:n] in kept), None)
-        sure = weights[entry] - ERRORS * np.sqrt(1 / positive[entry] + 1 / (negative.get(entry, 0) + 1.0))
-        if sure >= ODDS and (outer is None or weights[entry] > outer + 0.7):
-            kept[entry] = weights[entry]
-        elif outer is not None and entry.endswith(" ") and weights[entry] <= CLEAN_ODDS:
+        weight = candidates[entry]["odds"]
+        if candidates[entry]["sure"] >= ODDS and (outer is None or weight > outer + 0.7):
+            kept[entry] = weight
+        elif outer is not None and entry.endswith(" ") and weight <= CLEAN_ODDS:
             kept[entry] = 0.0
-    most = sorted(kept, key=lambda e: (-kept[e] * np.sqrt(positive[e]), e))[:ENTRIES]
     phrases = {" " + _GAP.join(fold(p)[0].split()): 0.0 for p in exceptions}
-    lexicon = Lexicon({e: kept[e] for e in most} | phrases)
-    found = labelled.where("label IN (0, 1)").select("text", F.col("label").cast("int").alias("label")).mapInArrow(lambda batches: _measures(batches, lexicon), "label int, weight double, rate double, most double").collect()
+    lexicon = Lexicon(kept | phrases)
+    found = known_labels.mapInArrow(lambda batches: _measures(batches, lexicon), "label int, weight double, rate double, most double").collect()
     x = np.array([[r["weight"], r["rate"], r["most"]] for r in found])
     lexicon.bias = _logistic(x, np.array([r["label"] for r in found], float))
     return lexicon

@@ -72,3 +72,10 @@ def test_odd_rows(documents, table):
     scores = [r["score"] for r in toxicity.score(given, lexicon, ["doc_id"]).collect()]
     assert len(scores) == 4 and len(set(scores)) == 1
     assert toxicity.score(given.where("false"), lexicon, ["doc_id"]).count() == 0
+
+
+def test_rare_toxic_words_are_found_beside_very_many_frequent_ones(table):
+    # 3,000 words in all documents have 21,000 entries, all more frequent than the toxic word
+    common = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}oqrstuv" for i in range(3000))
+    rows = [{"text": common + (" blurgh" if i < 8 else ""), "label": int(i < 20)} for i in range(200)]
+    assert toxicity.learn(table("text string, label int", rows)).weights.get(" blurgh", 0) > 0
