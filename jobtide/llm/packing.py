@@ -16,6 +16,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,37 +69,49 @@ class Tokenizer:
     """A byte-level BPE vocabulary in a task, read from its file at first use.
 
     Its ids follow the order of its merges, so the faster of two public libraries gives the same ids; tests hold it
-    against the other. Runs of over ``long`` bytes go to the other, whose time does not grow with their square.
+    against the other. Runs of over ``long`` bytes go to the other, whose time does not grow with their square, and so
+    do texts with the string of an added token, which is that token unless ``plain``.
     """
 
-    def __init__(self, path: str, long: int = 400):
+    def __init__(self, path: str, long: int = 400, plain: bool = False):
         import tiktoken
         from tokenizers import Tokenizer as Library
 
-        self.library, self.long = Library.from_file(path), long
+        self.library, self.whole, self.long = Library.from_file(path), Library.from_file(path), long
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        symbols, special = _byte_of_symbol(), set()
-        ranks = {}
-        for token, rank in model["vocab"].items():
-            if all(c in symbols for c in token) and (len(token) == 1 or not token.startswith("<|")):
-                ranks[bytes(symbols[c] for c in token)] = rank
-            else:
-                special.add(token)
+            given = json.load(file)
+        self.added = [] if plain else [t["content"] for t in given["added_tokens"]]
+        symbols, added = _byte_of_symbol(), {t["content"] for t in given["added_tokens"]}
+        #: Bytes of each token of the vocabulary, by its id.
+        self.token_bytes = {i: bytes(symbols[c] for c in token) for token, i in given["model"]["vocab"].items() if token not in added}
+        ranks = {token: i for i, token in self.token_bytes.items()}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def _one(self, text: str) -> list[int]:
+    def one(self, text: str) -> list[int]:
+        """Ids of a text in which the strings of added tokens mean nothing."""
         if len(text) > self.long:
             return self.library.encode(text, add_special_tokens=False).ids
         return self.encoding.encode_ordinary(text)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end with a 0 after each, and where each text begins."""
+        marked = np.zeros(len(column), bool)
+        for token in self.added:
+            marked |= pc.fill_null(pc.match_substring(column, token), False).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return self._encode(column)
+        ids, edges = self._encode(pc.if_else(pa.array(marked), pa.scalar("", column.type), column))
+        lists = [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        for i in np.flatnonzero(marked):
+            lists[i] = np.array([*self.whole.encode(column[int(i)].as_py(), add_special_tokens=False).ids, 0], np.uint32)
+        return np.concatenate(lists), np.concatenate([[0], np.cumsum([len(each) for each in lists])])
+
+    def _encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(column)
         units, firsts = _units(data, offsets)
         encoded = units.dictionary_encode()
-        lists = [self._one(v) for v in encoded.dictionary.cast(pa.large_string()).to_pylist()]
+        lists = [self.one(v) for v in encoded.dictionary.cast(pa.large_string()).to_pylist()]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         ids = np.fromiter((i for each in lists for i in each), np.uint32, int(counts.sum()))
         codes = encoded.indices.to_numpy().astype(np.int64)

@@ -1,12 +1,14 @@
 """Registered queries: each operator over its whole table, as the digest its contract asks for."""
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import chat, decontaminate, main_text, minhash, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filter
+from jobtide.llm import chat, decontaminate, main_text, minhash, packing, quality_classifier, quality_rules, suffix_dedup, token_files, toxicity, url_filter
 from jobtide.llm.arrow import unpacked
-from jobtide.sinks.scratch import stored
+from jobtide.sinks.scratch import shared_folder, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,4 +102,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.windows(given.union(extra)))
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op6_html_extraction, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting]}
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of each document's token ids, read back from files of coded ids."""
+    path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path, keep_ids=False)
+
+
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op6_html_extraction, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting, op13_token_files]}

@@ -13,9 +13,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def library():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_are_those_of_the_library():
@@ -26,6 +24,14 @@ def test_ids_are_those_of_the_library():
     some = library()
     for text, a, b in zip(texts, edges[:-1], edges[1:], strict=True):
         assert ids[a:b].tolist() == some.encode(text or "", add_special_tokens=False).ids + [0]
+    assert 50256 in ids
+
+
+def test_strings_of_added_tokens_can_be_plain_text():
+    ids, _ = packing.Tokenizer(PATH, plain=True).encode(pa.array(["hi <|endoftext|> there"]))
+    some = library()
+    some.encode_special_tokens = True
+    assert ids.tolist() == some.encode("hi <|endoftext|> there", add_special_tokens=False).ids + [0] and 50256 not in ids
 
 
 def check(docs, pieces, length):
