@@ -46,10 +46,10 @@ def _byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The texts cut before each run of white space, and the first cut piece of each text."""
+def units(data: np.ndarray, offsets: np.ndarray, cut: np.ndarray = _SPACE) -> tuple[pa.Array, np.ndarray]:
+    """The texts cut before each run of white space that begins with a byte of ``cut``, and the first piece of each."""
     n = len(data)
-    starts = _SPACE[data]
+    starts = cut[data]
     if n > 1:
         before = data[:-1]
         unsure = _MAYBE_SPACE[before]
@@ -77,7 +77,7 @@ class Tokenizer:
         import tiktoken
         from tokenizers import Tokenizer as Library
 
-        self.library, self.whole, self.long = Library.from_file(path), Library.from_file(path), long
+        self.library, self.long, self._load = Library.from_file(path), long, lambda: Library.from_file(path)
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             given = json.load(file)
@@ -102,15 +102,15 @@ class Tokenizer:
         if not marked.any():
             return self._encode(column)
         ids, edges = self._encode(pc.if_else(pa.array(marked), pa.scalar("", column.type), column))
-        lists = [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        lists, whole = [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], self._load()
         for i in np.flatnonzero(marked):
-            lists[i] = np.array([*self.whole.encode(column[int(i)].as_py(), add_special_tokens=False).ids, 0], np.uint32)
+            lists[i] = np.array([*whole.encode(column[int(i)].as_py(), add_special_tokens=False).ids, 0], np.uint32)
         return np.concatenate(lists), np.concatenate([[0], np.cumsum([len(each) for each in lists])])
 
     def _encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(column)
-        units, firsts = _units(data, offsets)
-        encoded = units.dictionary_encode()
+        found, firsts = units(data, offsets)
+        encoded = found.dictionary_encode()
         lists = [self.one(v) for v in encoded.dictionary.cast(pa.large_string()).to_pylist()]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         ids = np.fromiter((i for each in lists for i in each), np.uint32, int(counts.sum()))

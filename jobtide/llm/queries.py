@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import chat, decontaminate, main_text, minhash, packing, quality_classifier, quality_rules, suffix_dedup, token_files, toxicity, url_filter
+from jobtide.llm import alignment, chat, decontaminate, main_text, minhash, packing, quality_classifier, quality_rules, suffix_dedup, token_files, toxicity, url_filter
 from jobtide.llm.arrow import unpacked
 from jobtide.sinks.scratch import shared_folder, stored
 
@@ -102,6 +102,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.windows(given.union(extra)))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of a byte-level vocabulary and of a vocabulary of pieces fit together in each document."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = alignment.align(_table(spark, sf_dir, "documents"), *paths, ["doc_id"])
+    return found.select(*unpacked(["doc_id"]), "n_a", "n_b", "n_groups", "n_overlaps", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, number and checksum of each document's token ids, read back from files of coded ids."""
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
@@ -109,4 +116,4 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, keep_ids=False)
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op6_html_extraction, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting, op13_token_files]}
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op6_html_extraction, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting, op11_token_alignment, op13_token_files]}
