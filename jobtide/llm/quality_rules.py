@@ -33,6 +33,8 @@ _SCRIPTS = list(BANDS)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+#: Bytes of words ``[^\\x20\\x09-\\x0D]+``.
+NOT_SPACE = ~_SPACE
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 #: What a lead byte adds to Latin, Cyrillic, Greek, CJK and other letters (UTF-8 blocks begin at fixed lead bytes).

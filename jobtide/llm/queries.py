@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import alignment, chat, decontaminate, main_text, minhash, packing, quality_classifier, quality_rules, suffix_dedup, token_files, toxicity, url_filter
+from jobtide.llm import alignment, chat, decontaminate, main_text, minhash, packing, periodic, quality_classifier, quality_rules, suffix_dedup, token_files, toxicity, url_filter
 from jobtide.llm.arrow import unpacked
 from jobtide.sinks.scratch import shared_folder, stored
 
@@ -109,6 +109,42 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*unpacked(["doc_id"]), "n_a", "n_b", "n_groups", "n_overlaps", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The texts, a tenth of them with words that repeat from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        first, period = g % n, 1 + F.floor((n - g % n) / (3 + g % 8))
+        numbers = F.sequence(F.lit(0), F.size(words) - 1)
+        picked = F.transform(numbers, lambda i: words[F.when(i < first, i).otherwise(first + (i - first) % period).cast("int")])
+        return F.when(n > 0, F.array_join(picked, " ")).otherwise("")
+
+    # words are looked up often, so they are named first
+    words = F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    return docs.withColumn("text", F.when(h % 10 == 0, F.transform(words, repeated)[0]).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in each document, the longest of them, and the text without the repetitions."""
+    found = periodic.find(_with_periods(_table(spark, sf_dir, "documents")), ["doc_id"])
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    found = found.withColumn("most", longest)
+    length, period = F.col("most.length"), -F.col("most.period")
+    return found.select(
+        *unpacked(["doc_id"]),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("most.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2(F.col("text"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, number and checksum of each document's token ids, read back from files of coded ids."""
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
@@ -116,4 +152,4 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, keep_ids=False)
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op6_html_extraction, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting, op11_token_alignment, op13_token_files]}
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_url_filter, op3_quality_classifier, op4_toxicity, op5_packing, op6_html_extraction, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_quality_rules, op10_chat_formatting, op11_token_alignment, op12_periodic_runs, op13_token_files]}

@@ -18,10 +18,11 @@ CONTRACT = {
     9: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     10: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     11: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    12: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     13: "doc_id start n_tokens ids_crc32",
 }
 KINDS = {"score": "double", "predicted": "int", "contaminated": "boolean", "held_out": "boolean", "base_failed": "boolean", "kept": "boolean"}
-TEXTS = {"items_sha256", "host", "path", "rule", "verdict", "url", "text", "kept_sha256", "turns_sha256", "loss_sha256", "groups_sha256"}
+TEXTS = {"items_sha256", "host", "path", "rule", "verdict", "url", "text", "kept_sha256", "turns_sha256", "loss_sha256", "groups_sha256", "runs_sha256", "collapsed_sha256"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
