@@ -37,20 +37,25 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def _ranks(symbols: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """How frequent each of the pairs at ``at`` is: 0 for those that occur once, else rising, and apart for each pair."""
+    """How frequent each of the pairs at ``at`` is: 0 for those that occur once, else rising, and apart for each pair.
+
+    Among equally frequent pairs a hash decides. By their numbers, those of a repeated passage would rise from one to
+    the next, and a round would replace one of them.
+    """
     key, which, counts = np.unique(symbols[at] * size + symbols[at + 1], return_inverse=True, return_counts=True)
-    order, rank = np.argsort(counts, kind="stable"), np.empty(len(key), np.int64)
+    order, rank = np.lexsort((_mixed(key.astype(np.uint64) * _M1), counts)), np.empty(len(key), np.int64)
     rank[order] = np.arange(1, len(key) + 1)
     rank[counts < 2] = 0
     return rank[which]
 
 
-def _chosen(rank: np.ndarray) -> np.ndarray:
-    """Places whose pair outranks those it overlaps with; of a word that repeats itself, every other one."""
-    before, after = np.concatenate([[0], rank[:-1]]), np.concatenate([rank[1:], [0]])
-    place = np.arange(len(rank))
-    begin = np.maximum.accumulate(np.where(before != rank, place, 0))
-    return np.flatnonzero((rank > 0) & (before <= rank) & (after <= rank) & ((place - begin) % 2 == 0))
+def _chosen(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the places ``at`` have a pair that outranks those it overlaps with; of a word that repeats itself,
+    every other one."""
+    near = at[1:] == at[:-1] + 1
+    before, after = np.concatenate([[0], rank[:-1] * near]), np.concatenate([rank[1:] * near, [0]])
+    begin = np.maximum.accumulate(np.where(before != rank, at, 0))
+    return (rank > 0) & (before <= rank) & (after <= rank) & ((at - begin) % 2 == 0)
 
 
 def grammar(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,26 +73,28 @@ def grammar(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     made, names, stands, n = [], [], [], 0
     while live.any():
         at = np.flatnonzero(live)
-        rank = np.zeros(len(symbols), np.int64)
-        rank[at] = _ranks(symbols, at, size)
-        chosen = _chosen(rank)
+        rank = _ranks(symbols, at, size)
+        taken = _chosen(at, rank)
+        chosen = at[taken]
         if not len(chosen):
             break
-        _, one, which = np.unique(rank[chosen], return_index=True, return_inverse=True)
+        _, one, which = np.unique(rank[taken], return_index=True, return_inverse=True)
         named = chosen[one]
         made.append(np.stack([places[named], places[named + 1], places[named + 2]]))
         names.append(n + which)
         stands.append(places[chosen])
         symbols[chosen] = size + which
         n, size = n + len(one), size + len(one)
-        fresh = np.zeros(len(symbols) + 1, bool)
-        fresh[chosen] = True
+        # pairs that may repeat: those that did, and those with a new symbol
+        live = np.zeros(len(symbols), bool)
+        live[at[rank > 0]] = True
+        live[chosen] = True
+        live[np.maximum(chosen - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
         keep[chosen + 1] = False
-        repeated, fresh = (rank > 0)[keep], fresh[:-1][keep]
-        symbols, places = symbols[keep], np.append(places[:-1][keep], len(words))
+        symbols, live, places = symbols[keep], live[keep], np.append(places[:-1][keep], len(words))
         joined = ~ends_text[places[1:]]
-        live = joined & (repeated | fresh | np.append(fresh[1:], False))
+        live &= joined
     # what is left, two by two
     while joined.any():
         begin = np.maximum.accumulate(np.where(np.concatenate([[True], ~joined[:-1]]), np.arange(len(joined)), 0))
