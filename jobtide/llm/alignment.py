@@ -133,12 +133,13 @@ class Vocabularies:
     def encode(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]:
         """Ids of A and of B, each with where a text's begin, and whether both spell the text; texts begin with a space."""
         sides = []
-        wanted = np.frombuffer((joined := b"".join(encoded := [t.encode() for t in texts])), np.uint8)
-        places = np.concatenate([[0], np.cumsum([len(e) for e in encoded], dtype=np.int64)])
-        right = np.full(len(texts), len(joined) >= 0)
-        for lists, spelled in (([self.a.one(t) for t in texts], self.bytes_a), (self.b.encode([t[1:] for t in texts], num_threads=1), self.bytes_b)):
-            edges = np.concatenate([[0], np.cumsum([len(each) for each in lists], dtype=np.int64)])
-            ids = np.fromiter((i for each in lists for i in each), np.int64, int(edges[-1]))
+        values = pa.array(texts, pa.large_string())
+        wanted, places = text_bytes(values)
+        right = np.ones(len(texts), bool)
+        lists = self.b.encode([t[1:] for t in texts], num_threads=1)
+        of_b = np.fromiter((i for each in lists for i in each), np.int64), np.fromiter(map(len, lists), np.int64, len(lists))
+        for (ids, counts), spelled in ((self.a.each(values), self.bytes_a), (of_b, self.bytes_b)):
+            ids, edges = ids.astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
             sizes, found = sums(spelled.size[ids], edges), spelled.of(ids)
             same = sizes == np.diff(places)
             begins, counts = (np.cumsum(sizes) - sizes)[same], sizes[same]

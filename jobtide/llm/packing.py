@@ -46,19 +46,19 @@ def _byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _maybe_space_before(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether white space, or what some take for it, may end right before each place."""
+    one, two, three = (np.where(places >= i, data[np.maximum(places - i, 0)], 0).astype(np.uint16) for i in (1, 2, 3))
+    # two- and three-byte white space, and its neighbours
+    return _MAYBE_SPACE[one] | (two == 0xC2) | np.isin((three << 8) | two, [0xE19A, 0xE280, 0xE281, 0xE380])
+
+
 def units(data: np.ndarray, offsets: np.ndarray, cut: np.ndarray = _SPACE) -> tuple[pa.Array, np.ndarray]:
     """The texts cut before each run of white space that begins with a byte of ``cut``, and the first piece of each."""
     n = len(data)
     starts = cut[data]
-    if n > 1:
-        before = data[:-1]
-        unsure = _MAYBE_SPACE[before]
-        # two- and three-byte white space, and its neighbours
-        unsure[1:] |= data[:-2] == 0xC2
-        if n > 3:
-            pairs = (data[:-3].astype(np.uint16) << 8) | data[1:-2]
-            unsure[2:] |= np.isin(pairs, [0xE19A, 0xE280, 0xE281, 0xE380])
-        starts[1:] &= ~unsure
+    begins = np.flatnonzero(starts)
+    starts[begins] = ~_maybe_space_before(data, begins)
     if n:
         starts[offsets[:-1][np.diff(offsets) > 0]] = True
     at = np.flatnonzero(starts)
@@ -87,6 +87,8 @@ class Tokenizer:
         self.token_bytes = {i: bytes(symbols[c] for c in token) for token, i in given["model"]["vocab"].items() if token not in added}
         ranks = {token: i for i, token in self.token_bytes.items()}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(self.token_bytes) + 1, np.int64)
+        self.sizes[list(self.token_bytes)] = [len(token) for token in self.token_bytes.values()]
 
     def one(self, text: str) -> list[int]:
         """Ids of a text in which the strings of added tokens mean nothing."""
@@ -94,6 +96,25 @@ class Tokenizer:
             return self.library.encode(text, add_special_tokens=False).ids
         return self.encoding.encode_ordinary(text)
 
+    def each(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all values on end, as ``one`` gives them, and how many each value has."""
+        data, offsets = text_bytes(values)
+        sizes = np.diff(offsets)
+        # a value that begins with white space and ends with something else can stand between such ones
+        fit = (sizes > 0) & (sizes <= self.long)
+        fit[fit] = _SPACE[data[offsets[:-1][fit]]] & ~_maybe_space_before(data, offsets[1:][fit])
+        joined = data[ranges(offsets[:-1][fit], sizes[fit])].tobytes().decode()
+        ids = self.encoding.encode_to_numpy(joined).astype(np.uint32)
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes[fit]), "right")
+        lists = [self.one(v) for v in values.filter(pa.array(~fit)).cast(pa.large_string()).to_pylist()]
+        counts = np.zeros(len(values), np.int64)
+        counts[fit] = np.diff(ends, prepend=0)
+        counts[~fit] = [len(each) for each in lists]
+        out, begins = np.zeros(int(counts.sum()), np.uint32), np.cumsum(counts) - counts
+        out[ranges(begins[fit], counts[fit])] = ids
+        out[ranges(begins[~fit], counts[~fit])] = np.fromiter((i for each in lists for i in each), np.uint32, int(counts[~fit].sum()))
+        return out, counts
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end with a 0 after each, and where each text begins."""
         marked = np.zeros(len(column), bool)
@@ -111,9 +132,7 @@ class Tokenizer:
         data, offsets = text_bytes(column)
         found, firsts = units(data, offsets)
         encoded = found.dictionary_encode()
-        lists = [self.one(v) for v in encoded.dictionary.cast(pa.large_string()).to_pylist()]
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter((i for each in lists for i in each), np.uint32, int(counts.sum()))
+        ids, counts = self.each(encoded.dictionary)
         codes = encoded.indices.to_numpy().astype(np.int64)
         per_unit, begins = counts[codes], (np.cumsum(counts) - counts)[codes]
         ends = np.concatenate([[0], np.cumsum(per_unit)])
