@@ -661,6 +661,12 @@ def _by_load_time(sign):
 
 oracle("archive_roundtrip", _by_load_time("<"))
 oracle("retained_rows", _by_load_time(">="))
+oracle("landed_in_parts", _whole_rows(_LOADED))
+oracle("late_rows", f"{_by_load_time('>=')} UNION ALL SELECT * FROM ({_by_load_time('<')}) WHERE id % 2 = 1")
+oracle(
+    "archive_repeated",
+    f"SELECT *, 'archive' AS place FROM ({_by_load_time('<')}) UNION ALL SELECT *, 'table' FROM ({_by_load_time('>=')})",
+)
 
 oracle(
     "published_layers",

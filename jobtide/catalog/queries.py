@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as V
 from jobtide import functions as C
 from jobtide.operators import aggregates, dedupe, joins, reshape, setops
-from jobtide.plans import build, ingest, marts, staging, unify
+from jobtide.plans import build, ingest, marts, retention, side_by_side, staging, unify
 from jobtide.quality import checks, declared
 from jobtide.schemas import LOADED_AT, MART_COLUMNS, RAW
 from jobtide.sinks import storage
@@ -177,20 +177,50 @@ def append_runs(spark, sf):
     return setops.union_all(*frames)
 
 
+@query
+def landed_in_parts(spark, sf):
+    """Each table landed in two parts, each of them twice, and read back."""
+    path = _folder(spark)
+
+    def landed(name):
+        raw = E.TABLES[name](spark, sf)
+        odd = F.col("id") % 2 == 1
+        for label, part in {"even": raw.where(~odd), "odd": raw.where(odd)}.items():
+            for _ in range(2):
+                storage.append_raw(part, f"{path}/{name}", landing=label)
+        return _whole_rows(tables.read_raw(spark, path, name), name)
+
+    return setops.union_all(*_each_table(landed))
+
+
+def _each_table(job) -> list[DataFrame]:
+    return list(side_by_side({name: lambda name=name: job(name) for name in LOADED_AT}).values())
+
+
 def _by_load_time(spark, sf, pick):
     """Rows of each raw table, laid out by load day, that are picked from it in place."""
-    path, frames = _folder(spark), []
-    for name in LOADED_AT:
+    path = _folder(spark)
+
+    def picked(name):
         storage.append_raw(E.TABLES[name](spark, sf), f"{path}/{name}")
-        frames.append(pick(path, name).select(F.lit(name).alias("table_name"), "id"))
-    return setops.union_all(*frames)
+        return pick(path, name).select(F.lit(name).alias("table_name"), "id")
+
+    return setops.union_all(*_each_table(picked))
+
+
+def _archive(spark, path, name):
+    return storage.archive(spark, path, name, CUTOFF, f"{path}/archive", E.AS_OF)
+
+
+def _drop(spark, path, name):
+    return storage.drop_days(spark, path, name, CUTOFF, f"{path}/archive")
 
 
 @query
 def archive_roundtrip(spark, sf):
     def archived(path, name):
-        to = storage.archive(spark, path, name, CUTOFF, f"{path}/archive", E.AS_OF)
-        return spark.read.schema(RAW[name]).parquet(to)
+        _archive(spark, path, name)
+        return storage.read_archive(spark, f"{path}/archive", name)
 
     return _by_load_time(spark, sf, archived)
 
@@ -198,12 +228,52 @@ def archive_roundtrip(spark, sf):
 @query
 def retained_rows(spark, sf):
     def kept(path, name):
-        storage.drop_days(spark, path, name, CUTOFF)
+        _archive(spark, path, name)
+        _drop(spark, path, name)
         return tables.read_raw(spark, path, name)
 
     return _by_load_time(spark, sf, kept)
 
 
+def _late(spark, sf, path, name):
+    """Half of a table's rows archived; then the other half, of the same days, lands."""
+    raw, late = E.TABLES[name](spark, sf), F.col("id") % 2 == 1
+    storage.append_raw(raw.where(~late), f"{path}/{name}")
+    _archive(spark, path, name)
+    storage.append_raw(raw.where(late), f"{path}/{name}")
+    _drop(spark, path, name)
+
+
+@query
+def late_rows(spark, sf):
+    """What is left of each table when rows of old days landed between the archive and the drop."""
+    path = _folder(spark)
+
+    def left(name):
+        _late(spark, sf, path, name)
+        return tables.read_raw(spark, path, name).select(F.lit(name).alias("table_name"), "id")
+
+    return setops.union_all(*_each_table(left))
+
+
+@query
+def archive_repeated(spark, sf):
+    """Archive and table after late rows, and after the daily job ran two times more."""
+    path = _folder(spark)
+
+    def landed(name):
+        _late(spark, sf, path, name)
+
+    _each_table(landed)
+    for _ in range(2):
+        retention.retain(spark, path, f"{path}/archive", AS_OF_TIME)
+    frames = []
+    for name in LOADED_AT:
+        places = {"archive": storage.read_archive(spark, f"{path}/archive", name), "table": tables.read_raw(spark, path, name)}
+        frames += [df.select(F.lit(name).alias("table_name"), "id", F.lit(place).alias("place")) for place, df in places.items()]
+    return setops.union_all(*frames)
+
+
 @query
 def published_layers(spark, sf):
     marts_built = build.build(E.raw_tables(spark, sf), _folder(spark), E.AS_OF)
@@ -219,14 +289,14 @@ def landed_rows(spark, sf):
     rows = ingest.all_rows(
         P.all_pages(spark, sf), P.damaged_responses(spark, sf), P.damaged_flat_responses(spark, sf)
     )
-    ingest.land(rows, path, AS_OF_TIME)
+    ingest.land(rows, path, "all", AS_OF_TIME)
     frames = []
     for name in LOADED_AT:
         back = tables.read_raw(spark, path, name)
         shown = [c for c in ("record_id", "job_id", "run_id", "created_at", "updated_at", "raw_file", "existing_used") if c in back.columns]
         values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in shown]
         frames.append(back.select(F.lit(name).alias("table_name"), F.concat_ws("|", *values).alias("row_text")))
-    bad = spark.read.parquet(f"{path}/rejected")
+    bad = ingest.read_rejected(spark, path)
     values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in ingest.REJECTED]
     frames.append(bad.select(F.lit("rejected").alias("table_name"), F.concat_ws("|", *values).alias("row_text")))
     return setops.union_all(*frames)

@@ -8,7 +8,7 @@ from jobtide.functions.classify import (
     length_bucket,
     searchable,
 )
-from jobtide.functions.dates import day_of, epoch_to_utc
+from jobtide.functions.dates import day_of, epoch_to_utc, utc_literal, utc_time
 from jobtide.functions.keys import keyed_id, namespaced_id, skipping_concat
 from jobtide.functions.text import (
     blank_to_null,

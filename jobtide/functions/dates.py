@@ -3,6 +3,8 @@
 Timestamps are ``TIMESTAMP_NTZ`` holding UTC wall time, so no result depends on the session zone.
 """
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,3 +17,11 @@ def epoch_to_utc(seconds: Column) -> Column:
 def day_of(timestamp: Column) -> Column:
     return F.to_date(timestamp)
 
+
+def utc_time(at: datetime) -> datetime:
+    """A time as UTC wall time without a zone; one that has no zone is taken to be in UTC."""
+    return at if at.tzinfo is None else at.astimezone(timezone.utc).replace(tzinfo=None)
+
+
+def utc_literal(at: datetime) -> Column:
+    return F.lit(utc_time(at).isoformat(sep=" ")).cast("timestamp_ntz")

@@ -5,7 +5,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from jobtide.plans import marts
-from jobtide.sinks.storage import publish
+from jobtide.sinks.scratch import shared_folder
+from jobtide.sinks.storage import Build, publish, sweep
 
 
 def build(
@@ -18,7 +19,7 @@ def build(
 
     Intermediate tables are stored, so the mart's two reads of the union cost two scans instead of
     two runs of everything before. The mart is partitioned on activity: its active subsets read
-    nothing else.
+    nothing else. The marts become visible together, when all of them are written.
     """
     staged = {
         name: publish(df, "staging", f"staged_{name}")
@@ -28,18 +29,17 @@ def build(
         name: publish(df, "intermediate", f"unified_{name}", base, schema=schema)
         for name, df in marts.unified_tables(staged).items()
     }
-    mart = publish(
-        marts.all_postings(marts.union_unified(unified), as_of),
-        "marts",
-        "all_postings",
-        base,
-        ("is_active",),
-        schema,
+    build = Build(raw["boards"].sparkSession, base, schema)
+    mart = build.add(
+        marts.all_postings(marts.union_unified(unified), as_of), "all_postings", ("is_active",)
     )
     subsets = {
         "active_postings": marts.active_postings(mart),
         "active_selected": marts.active_selected(mart, raw["boards"]),
         "active_prospect": marts.active_prospect(mart, raw["boards"]),
     }
-    published = {name: publish(df, "marts", name, base, schema=schema) for name, df in subsets.items()}
+    published = {name: build.add(df, name) for name, df in subsets.items()}
+    build.switch()
+    for name in unified:
+        sweep(build.spark, f"{base or shared_folder(build.spark)}/intermediate/unified_{name}")
     return {"all_postings": mart, **published}

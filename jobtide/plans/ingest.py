@@ -1,17 +1,21 @@
 """The landing job: stored pages and board responses of a run to the raw tables."""
 
 from datetime import datetime
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from jobtide.functions import normalise_url, provider_of
+from jobtide import files
+from jobtide.functions import normalise_url, provider_of, utc_literal, utc_time
 from jobtide.operators.setops import union_all
 from jobtide.schemas import RAW
 from jobtide.sinks.scratch import stored
 from jobtide.sinks.storage import append_numbered, append_rejected
+from jobtide.plans import side_by_side
 from jobtide.sources import html_boards, json_boards
-from jobtide.sources.tables import last_id
+from jobtide.sources.landings import all_landings, key_of, latest
 
 
 #: Columns of what could not be read: a page no style fits, or a response that is of no use.
@@ -85,21 +89,43 @@ def all_rows(pages: DataFrame, nested: DataFrame, flat: DataFrame) -> dict[str,
     return {**of_pages, **of_responses, "rejected": rejected}
 
 
+def _landed_at(spark: SparkSession, base: str, landing: str, at: datetime) -> datetime:
+    """When a landing came first, as on record."""
+    record, now = f"{base}/_landed/{key_of(landing)}", utc_time(at).isoformat()
+    files.create(spark, record, now)
+    return datetime.fromisoformat(files.read(spark, record) or now)
+
+
 def land(
-    rows: dict[str, DataFrame], base: str, landed_at: datetime, fmt: str = "parquet"
+    rows: dict[str, DataFrame], base: str, landing: str, landed_at: datetime, fmt: str = "parquet"
 ) -> None:
-    """Append a run's rows to the raw tables under ``base``, and what was rejected to ``rejected``.
+    """Add the rows of a landing to the raw tables under ``base``, and what was rejected to ``rejected``.
 
-    Landing a run again replaces it.
-
-    A table whose rows carry no time of their own is dated by ``landed_at``, in UTC.
+    ``landing`` names what is landed: a run, or a part of one where several processes land their own
+    boards under one run. Parts add up; a landing that is repeated, also on another day or after it
+    failed half way, replaces itself in each table. A table whose rows carry no time of their own is
+    dated by when the landing came first: ``landed_at``, in UTC unless it has a zone. Tables are
+    written side by side.
     """
-    at = F.lit(landed_at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
-    for name, df in rows.items():
+    spark = next(iter(rows.values())).sparkSession
+    at = utc_literal(_landed_at(spark, base, landing, landed_at))
+
+    def write(name: str, df: DataFrame) -> None:
         if name == "rejected":
-            append_rejected(df.withColumn("landed_at", at), f"{base}/{name}", fmt)
-            continue
-        after = last_id(df.sparkSession, base, name, fmt)
+            append_rejected(df.withColumn("landed_at", at), f"{base}/{name}", fmt, landing)
+            return
         dated = df if "created_at" in df.columns else df.withColumn("created_at", at)
         columns = [c for c in RAW[name].names if c != "id"]
-        append_numbered(dated.select(*columns), f"{base}/{name}", after, fmt)
+        append_numbered(dated.select(*columns), f"{base}/{name}", fmt, landing)
+
+    side_by_side({name: partial(write, name, df) for name, df in rows.items()})
+
+
+def read_rejected(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """What was rejected, of the landings that count."""
+    schema = T.StructType.fromDDL("kind string, source string, run_id string, fetched_at long, reason string, landed_at timestamp_ntz")
+    path = f"{base}/rejected"
+    folders = [f"{path}/{each.folder}" for each in latest(all_landings(spark, path))]
+    if not any(files.children(spark, folder) != ["_SUCCESS"] for folder in folders):
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).option("basePath", path).load(folders).select(*schema.names)

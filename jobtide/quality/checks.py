@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as V
-from jobtide.functions import days_active, normalise_url
+from jobtide.functions import days_active, normalise_url, utc_literal
 from jobtide.operators.aggregates import count_by, distinct_count_by
 from jobtide.operators.dedupe import first_daily
 from jobtide.operators.joins import count_mismatch, unmatched_both, value_mismatch
@@ -48,9 +48,8 @@ def columns_match(df: DataFrame, expected: list[str]) -> DataFrame:
 
 
 def age_seconds(newest: Column, as_of: datetime) -> Column:
-    """Seconds from the newest row to ``as_of``, both in UTC."""
-    now = F.lit(as_of.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", newest, now)
+    """Seconds from the newest row, in UTC, to ``as_of``, in UTC unless it has a zone."""
+    return F.timestamp_diff("SECOND", newest, utc_literal(as_of))
 
 
 def age_verdict(
