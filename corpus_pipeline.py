@@ -5,6 +5,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from jobtide import files
 from jobtide.llm import decontaminate, minhash, packing, quality_rules, suffix_dedup
 from jobtide.llm.arrow import unpacked
 from jobtide.sinks.scratch import shared_folder
@@ -49,9 +50,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; the last one's rows."""
+    """Apply the stages to ``documents``; the last one's rows. What a stage read goes when it is written."""
     docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            files.delete(spark, f"{folder}/{number - 1}")
     return docs

@@ -71,7 +71,7 @@ def main(sf_dir, only):
     from __spark_entry__ import oracle_sql, queries
     from bench import session
 
-    spark, con, sql, failed = session(**{"spark.checkpoint.dir": "/tmp/ckpt-run"}), connect(sf_dir), oracle_sql(), []
+    spark, con, sql, failed = session(**{"spark.ui.showConsoleProgress": "false"}), connect(sf_dir), oracle_sql(), []
     for name, fn in queries().items():
         if only and name not in only:
             continue

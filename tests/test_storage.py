@@ -286,6 +286,19 @@ def test_scratch_uses_the_folder_the_session_names(spark, rows, checkpoint_dir):
     assert len(list(checkpoint_dir.glob("three-*"))) == 1
 
 
+def test_steps_go_but_for_what_is_kept(spark, rows, checkpoint_dir):
+    with scratch.Steps(spark) as steps:
+        first = steps.stored(spark.range(3), "going")
+        second = steps.stored(first.where("id > 0"), "staying")
+        steps.keep(second)
+    assert rows(second) == [(1,), (2,)]
+    assert not list(checkpoint_dir.glob("going-*")) and len(list(checkpoint_dir.glob("staying-*"))) == 1
+    with pytest.raises(ZeroDivisionError), scratch.Steps(spark) as steps:
+        steps.stored(spark.range(3), "going")
+        1 / 0
+    assert not list(checkpoint_dir.glob("going-*"))
+
+
 def test_scratch_needs_a_named_folder():
     class Context:
         def getCheckpointDir(self):
