@@ -744,7 +744,7 @@ SELECT id, split_part(source, '.', 2) AS provider, {_FULL_LINK} AS is_full_link,
        {_GREENHOUSE_COMPANY} AS company_name,
        CASE WHEN source LIKE '%for=%' THEN split_part(source, 'for=', -1) ELSE split_part(split_part(source, '/', -1), '?', 1) END AS page_company,
        source AS board_url, split_part(source, '.', 2) || '_' || id AS public_id, department_ids || '_' || id AS strict_id
-FROM greenhouse_openings
+FROM all_greenhouse_openings
 """,
 )
 
@@ -752,7 +752,7 @@ oracle(
     "token_companies",
     """
 SELECT id, replace(split_part(board_source, '/', -1), '%20', ' ') AS company_name, board_source || '/' || opening_id AS opening_link
-FROM ashby_openings
+FROM all_ashby_openings
 """,
 )
 
@@ -761,19 +761,19 @@ oracle(
     """
 SELECT id, coalesce(department_ids, 'No Dept') AS department_ids, nullif(department_ids, '') AS listed_ids,
        CASE WHEN department_ids IS NULL THEN 'No Department' END AS shown_as, existing_used AS uses_existing
-FROM greenhouse_openings
+FROM all_greenhouse_openings
 """,
 )
 
 oracle(
     "remote_flag",
     """
-SELECT id, lower(location) LIKE '%remote%' AS is_remote FROM greenhouse_openings
-UNION ALL SELECT id, workplace_type = 'Remote' FROM lever_openings
+SELECT id, lower(location) LIKE '%remote%' AS is_remote FROM all_greenhouse_openings
+UNION ALL SELECT id, workplace_type = 'Remote' FROM all_lever_openings
 """,
 )
 
-oracle("since_cutoff", "SELECT id, record_id, updated_at FROM greenhouse_departments WHERE updated_at > 1684600000")
+oracle("since_cutoff", "SELECT id, record_id, updated_at FROM all_greenhouse_departments WHERE updated_at > 1684600000")
 
 CTES["rippling_days"] = "SELECT id, url, CAST(created_at AS DATE) AS day FROM all_rippling_openings"
 
@@ -807,10 +807,10 @@ oracle(
     """
 SELECT o.id, o.department_id, coalesce(p.department_name, d.department_name) AS primary_department,
        CASE WHEN p.department_name IS NOT NULL THEN d.department_name END AS secondary_department
-FROM ashby_openings o
-LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY department_id ORDER BY updated_at DESC, id) AS n FROM ashby_departments) WHERE n = 1) d
+FROM all_ashby_openings o
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY department_id ORDER BY updated_at DESC, id) AS n FROM all_ashby_departments) WHERE n = 1) d
        ON o.department_id = d.department_id
-LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY department_id ORDER BY updated_at DESC, id) AS n FROM ashby_departments) WHERE n = 1) p
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY department_id ORDER BY updated_at DESC, id) AS n FROM all_ashby_departments) WHERE n = 1) p
        ON d.parent_department_id = p.department_id
 """,
 )
@@ -888,7 +888,7 @@ SELECT source, run_id, max(CASE WHEN department_category = 'level-0' THEN depart
        max(CASE WHEN department_category = 'level-1' THEN department_name END) AS secondary_department,
        max(CASE WHEN department_category = 'level-2' THEN department_name END) AS tertiary_department,
        max(CASE WHEN department_category = 'level-3' THEN department_name END) AS quaternary_department
-FROM greenhouse_departments GROUP BY source, run_id
+FROM all_greenhouse_departments GROUP BY source, run_id
 """,
 )
 

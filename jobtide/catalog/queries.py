@@ -316,7 +316,7 @@ def epoch_dates(spark, sf):
 @query
 def link_parts(spark, sf):
     source, link = F.col("source"), F.col("opening_link")
-    return E.greenhouse_openings(spark, sf).select(
+    return E.greenhouse_openings(spark, sf, None).select(
         "id",
         C.provider_of(source).alias("provider"),
         C.is_full_link(source).alias("is_full_link"),
@@ -332,7 +332,7 @@ def link_parts(spark, sf):
 @query
 def token_companies(spark, sf):
     source = F.col("board_source")
-    return E.ashby_openings(spark, sf).select(
+    return E.ashby_openings(spark, sf, None).select(
         "id",
         C.token_company(source).alias("company_name"),
         C.skipping_concat(source, F.lit("/"), F.col("opening_id")).alias("opening_link"),
@@ -342,7 +342,7 @@ def token_companies(spark, sf):
 @query
 def defaults_and_blanks(spark, sf):
     ids = F.col("department_ids")
-    return E.greenhouse_openings(spark, sf).select(
+    return E.greenhouse_openings(spark, sf, None).select(
         "id",
         C.default_group(ids).alias("department_ids"),
         C.blank_to_null(ids).alias("listed_ids"),
@@ -353,10 +353,10 @@ def defaults_and_blanks(spark, sf):
 
 @query
 def remote_flag(spark, sf):
-    by_location = E.greenhouse_openings(spark, sf).select(
+    by_location = E.greenhouse_openings(spark, sf, None).select(
         "id", C.is_remote(F.col("location")).alias("is_remote")
     )
-    by_workplace = E.lever_openings(spark, sf).select(
+    by_workplace = E.lever_openings(spark, sf, None).select(
         "id", (F.col("workplace_type") == "Remote").alias("is_remote")
     )
     return by_location.unionByName(by_workplace)
@@ -364,7 +364,7 @@ def remote_flag(spark, sf):
 
 @query
 def since_cutoff(spark, sf):
-    return tables.since(E.greenhouse_departments(spark, sf), V.DEPARTMENT_EPOCH).select(
+    return tables.since(E.greenhouse_departments(spark, sf, None), V.DEPARTMENT_EPOCH).select(
         "id", "record_id", "updated_at"
     )
 
@@ -408,7 +408,7 @@ def enabled_boards(spark, sf):
 
 @query
 def department_lookup(spark, sf):
-    slots = unify.department_slots(_staged(spark, sf, "greenhouse")).drop("_posting")
+    slots = unify.department_slots(_staged(spark, sf, "greenhouse"))
     dims = _staged(spark, sf, "greenhouse_departments").select(
         "source", "department_id", "run_id", "department_category", "department_name"
     )
@@ -420,8 +420,8 @@ def department_lookup(spark, sf):
 
 @query
 def hierarchy_path(spark, sf):
-    items = E.ashby_openings(spark, sf).select("id", "department_id")
-    return joins.hierarchy_path(items, E.ashby_departments(spark, sf), ["updated_at", "id"])
+    items = E.ashby_openings(spark, sf, None).select("id", "department_id")
+    return joins.hierarchy_path(items, E.ashby_departments(spark, sf, None), ["updated_at", "id"])
 
 
 @query
@@ -516,7 +516,7 @@ def concat_all_but_one(spark, sf):
 @query
 def pivot_by_level(spark, sf):
     return reshape.pivot_by_value(
-        E.greenhouse_departments(spark, sf),
+        E.greenhouse_departments(spark, sf, None),
         ["source", "run_id"],
         "department_category",
         "department_name",
@@ -702,34 +702,37 @@ def active_count_match(spark, sf):
 
 @query
 def check_verdicts(spark, sf):
+    """Checks of several tables: one pass over each for all that needs no grouping, the mart's too."""
     raw = E.raw_tables(spark, sf)
     mart = stored(_mart(spark, sf), "mart")
-    active = marts.active_postings(mart)
-    lever, departments = raw["lever_openings"], raw["greenhouse_departments"]
-    missing = checks.not_null(lever, "department_names")
-    levels = checks.accepted(departments, "department_category", V.ACCEPTED["department_category"])
-    boards_off = checks.reconcile(raw["boards"], active)
+
+    def accepted(column, values, **limits):
+        return checks.fold_accepted(column, V.ACCEPTED[values], **limits)
+
+    of_lever = {
+        "lever department_names not null": checks.fold_not_null("department_names"),
+        "lever department_names not null, warn only": checks.fold_not_null("department_names", severity="warn"),
+    }
+    of_mart = {
+        "mart id not null": checks.fold_not_null("id"),
+        "mart length category accepted": accepted("posting_length_category", "posting_length_category"),
+        "mart opening category accepted": accepted("opening_category", "opening_category"),
+        "mart job board accepted": accepted("job_board", "selected_job_board"),
+    }
+    of_departments = {
+        "department category accepted": accepted("department_category", "department_category", severity="warn")
+    }
     limits = {"warn_at": V.RECONCILE_WARN_AT, "error_at": V.RECONCILE_ERROR_AT}
-    return checks.verdicts(
-        {
-            "lever department_names not null": checks.verdict(missing),
-            "lever department_names not null, warn only": checks.verdict(missing, "warn"),
-            "mart id not null": checks.verdict(checks.not_null(mart, "id")),
-            "mart id unique": checks.verdict(checks.unique(mart, "id")),
-            "mart length category accepted": checks.verdict(
-                checks.accepted(
-                    mart, "posting_length_category", V.ACCEPTED["posting_length_category"]
-                )
-            ),
-            "mart opening category accepted": checks.verdict(
-                checks.accepted(mart, "opening_category", V.ACCEPTED["opening_category"])
-            ),
-            "mart job board accepted": checks.verdict(
-                checks.accepted(mart, "job_board", V.ACCEPTED["selected_job_board"])
-            ),
-            "department category accepted": checks.verdict(levels, "warn"),
-            "boards reconciled": checks.verdict(boards_off, **limits),
-        }
+    boards_off = checks.reconcile(raw["boards"], marts.active_postings(mart))
+    grouped = {
+        "mart id unique": checks.verdict(checks.unique(mart, "id")),
+        "boards reconciled": checks.verdict(boards_off, **limits),
+    }
+    return setops.union_all(
+        checks.judged(raw["lever_openings"], of_lever),
+        checks.judged(mart, of_mart),
+        checks.judged(raw["greenhouse_departments"], of_departments),
+        checks.verdicts(grouped),
     )
 
 

@@ -60,24 +60,58 @@ def first_daily(df: DataFrame, link: str, day: str, row_id: str) -> DataFrame:
     return first_seen(df, [link, day], [row_id])
 
 
-#: Order values in a run of ``fill_forward``, and runs in a block of runs.
-RUN_ROWS, BLOCK_RUNS = 100_000, 10_000
+#: Rows in a run of ``fill_forward``, most runs, rows sampled for each, and runs in a block of runs.
+RUN_ROWS, MOST_RUNS, SAMPLED, BLOCK_RUNS = 1_000_000, 4096, 64, 256
 
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
 
-def _entering(ends: DataFrame, part: str, run: str, size: int) -> DataFrame:
-    """For each run (``part``, ``run``) the last value of the runs before it, from their own last
+
+def _bounds(places: DataFrame, run_rows: int) -> list[tuple[int, int]]:
+    """Places (``_at``, ``_tie``) at which runs end, so that each has about so many rows: quantiles of
+    a sample of bounded size. None where all rows fit into one run."""
+    rows = places.count()
+    if rows <= run_rows:
+        return []
+    runs = min(MOST_RUNS, -(-rows // run_rows))
+    drawn = places.sample(fraction=min(1.0, runs * SAMPLED / rows), seed=7).collect()
+    sample = sorted((r["_at"], r["_tie"]) for r in drawn)
+    return sorted({sample[len(sample) * i // runs] for i in range(1, runs)} if sample else ())
+
+
+def _run(bounds: list[tuple[int, int]]) -> Column:
+    """Number of the run that holds a place: how many bounds are before it, by halving."""
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    filled = [*bounds, *[(_LAST, _LAST)] * (2 * steps[0] - 1 - len(bounds))] if steps else []
+
+    def listed(numbers: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+    if not steps:
+        return F.lit(0)
+    at, tie = (listed([bound[i] for bound in filled]) for i in (0, 1))
+
+    def further(place: Column, step: Column) -> Column:
+        last = place + step - 1
+        same = (F.get(at, last) == F.col("_at")) & (F.get(tie, last) < F.col("_tie"))
+        return place + F.when((F.get(at, last) < F.col("_at")) | same, step).otherwise(0)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further)
+
+
+def _entering(ends: DataFrame) -> DataFrame:
+    """For each run (``_part``, ``_run``) the last value of the runs before it, from their own last
     values (``_end``). Runs are reduced in blocks first, so no task sees all runs of a part."""
-    blocked = ends.withColumn("_block", F.col(run) - F.pmod(F.col(run), F.lit(size)))
-    value = F.when(F.col("_end").isNotNull(), F.col(run))
-    blocks = blocked.groupBy(part, "_block").agg(F.max_by("_end", value).alias("_block_end"))
-    before = W.partitionBy(part).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    blocked = ends.withColumn("_block", F.floor(F.col("_run") / BLOCK_RUNS))
+    value = F.when(F.col("_end").isNotNull(), F.col("_run"))
+    blocks = blocked.groupBy("_part", "_block").agg(F.max_by("_end", value).alias("_block_end"))
+    before = W.partitionBy("_part").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     carried = blocks.select(
-        part, "_block", F.last("_block_end", ignorenulls=True).over(before).alias("_carried")
+        "_part", "_block", F.last("_block_end", ignorenulls=True).over(before).alias("_carried")
     )
-    earlier = W.partitionBy(part, "_block").orderBy(run).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_part", "_block").orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
     inside = blocked.withColumn("_inside", F.last("_end", ignorenulls=True).over(earlier))
-    return inside.join(carried, [part, "_block"]).select(
-        part, run, F.coalesce("_inside", "_carried").alias("_entering")
+    return inside.join(carried, ["_part", "_block"]).select(
+        "_part", "_run", F.coalesce("_inside", "_carried").alias("_entering")
     )
 
 
@@ -86,21 +120,29 @@ def fill_forward(
 ) -> DataFrame:
     """Replace NULLs in ``col`` by the last value before them, per ``part`` in ``order``.
 
-    ``order`` is a whole number. Each part is cut into runs of ``run_rows`` order values; a run is
-    filled on its own, and what enters it from the runs before comes from one summary row per run.
-    So a hot part is spread over many tasks. The key of a part is a struct, which is never NULL:
-    runs and summaries then meet on plain keys, and the rows are shuffled once.
+    ``order`` is a whole number. Where rows share one, a NULL takes the greatest value there, if
+    there is any; rows without one stay as they are. Parts may be NULL.
+
+    Values are first reduced to one per part and order, so however many rows repeat one, it is
+    shuffled once a task. Only rows with a NULL are shuffled: their parts are cut into runs of about
+    ``run_rows`` rows at sampled quantiles of the order, and of a hash where very many rows share one
+    order; a run is filled on its own, and what enters it from the runs before comes from one
+    summary row per run. So neither a hot part, nor a sparse or dense order makes a task long.
     """
-    run = F.col(order) - F.pmod(F.col(order), F.lit(run_rows))
-    cut = df.withColumn("_part", F.struct(*part)).withColumn("_run", run)
-    last_value = F.max_by(col, F.when(F.col(col).isNotNull(), F.col(order)))
-    ends = cut.groupBy("_part", "_run").agg(last_value.alias("_end"))
-    entering = _entering(ends, "_part", "_run", run_rows * BLOCK_RUNS)
-
-    so_far = W.partitionBy("_part", "_run").orderBy(order)
-    so_far = so_far.rowsBetween(W.unboundedPreceding, W.currentRow)
-    within = cut.withColumn("_within", F.last(col, ignorenulls=True).over(so_far))
-    filled = F.coalesce("_within", "_entering")
-    return within.join(entering, ["_part", "_run"], "left").select(
-        *[filled.alias(c) if c == col else F.col(c) for c in df.columns]
-    )
+    known, placed = F.col(col).isNotNull(), F.col(order).isNotNull()
+    place = {"_part": F.struct(*part), "_at": F.col(order).cast("bigint")}
+    gaps = df.where(~known & placed).withColumns({**place, "_tie": F.xxhash64(*df.columns)})
+    values = df.where(known & placed).select(*[c.alias(n) for n, c in place.items()], F.col(col).alias("_value"))
+    values = values.groupBy("_part", "_at").agg(F.max("_value").alias("_value")).withColumn("_tie", F.lit(_FIRST))
+    bounds = _bounds(df.where(placed).select(place["_at"].alias("_at"), F.when(known, _FIRST).otherwise(F.xxhash64(*df.columns)).alias("_tie")), run_rows)
+
+    wide = gaps.select("_part", "_at", "_tie", F.struct(*df.columns).alias("_row"))
+    rows = wide.unionByName(values, allowMissingColumns=True).withColumn("_run", _run(bounds))
+    so_far = W.partitionBy("_part", "_run").orderBy("_at", "_tie").rowsBetween(W.unboundedPreceding, W.currentRow)
+    filled = rows.withColumn("_value", F.last("_value", ignorenulls=True).over(so_far)).where(F.col("_row").isNotNull())
+    if bounds:
+        narrow = gaps.select("_part", "_at", "_tie").unionByName(values, allowMissingColumns=True).withColumn("_run", _run(bounds))
+        ends = narrow.groupBy("_part", "_run").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_at"))).alias("_end"))
+        filled = filled.join(_entering(ends), ["_part", "_run"], "left").withColumn("_value", F.coalesce("_value", "_entering"))
+    told = filled.select(*[F.col("_value" if c == col else f"_row.{c}").alias(c) for c in df.columns])
+    return df.where(known | ~placed).unionByName(told)

@@ -28,35 +28,37 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def department_slots(openings: DataFrame) -> DataFrame:
-    """One narrow row per listed department; the first of a posting carries its other columns."""
+    """One narrow row per listed department: the posting's id and what its department is looked up by."""
     own = ["id", "source", "run_id"]
-    carried = [c for c in UNIFIED.names if c in openings.columns and c not in own]
     listed = openings.select(
-        *own,
-        F.struct(*carried).alias("_posting"),
-        split_literal(F.col("department_ids"), V.LIST_SEPARATOR).alias("_ids"),
+        *own, split_literal(F.col("department_ids"), V.LIST_SEPARATOR).alias("_ids")
     )
-    slots = entries(listed, "_ids", "_place", "department_id").drop("_ids")
-    return slots.withColumn("_posting", F.when(F.col("_place") == 0, F.col("_posting")))
+    return entries(listed, "_ids", "_place", "department_id").drop("_ids")
 
 
-def unify_greenhouse(openings: DataFrame, departments: DataFrame) -> DataFrame:
-    """Departments of a posting looked up in its own run, the greatest name per level."""
+def department_levels(slots: DataFrame, departments: DataFrame) -> DataFrame:
+    """Of each posting (``id``) the greatest name per level among its departments in its own run."""
     dims = departments.select(*_LOOKUP, "department_category", "department_name")
-    found = left_lookup(department_slots(openings), dims, _LOOKUP)
+    found = left_lookup(slots, dims, _LOOKUP)
     level, name = F.col("department_category"), F.col("department_name")
     first, *deeper = zip(V.DEPARTMENT_LEVELS, V.DEPARTMENT_COLUMNS, strict=True)
     none_listed = F.col("department_id") == V.NO_GROUP_LIST
     primary = F.when(level == first[0], name).when(none_listed, V.NO_GROUP_NAME)
-    postings = found.groupBy("id").agg(
-        F.first("source").alias("source"),
-        F.first("run_id").alias("run_id"),
-        F.first("_posting", ignorenulls=True).alias("_posting"),
+    return found.groupBy("id").agg(
         F.max(primary).alias(first[1]),
         *[F.max(F.when(level == value, name)).alias(column) for value, column in deeper],
     )
-    flat = postings.select("*", "_posting.*").withColumn("is_remote", is_remote(F.col("location")))
-    return conform(flat)
+
+
+def unify_greenhouse(openings: DataFrame, departments: DataFrame) -> DataFrame:
+    """Postings with the departments looked up in their own run.
+
+    The lookup and the levels are worked out on narrow rows; the posting itself is shuffled once, by
+    its id, to where its levels are. A posting that lists no department drops out.
+    """
+    levels = department_levels(department_slots(openings), departments)
+    carried = openings.select(*[c for c in UNIFIED.names if c in openings.columns])
+    return conform(carried.join(levels, "id").withColumn("is_remote", is_remote(F.col("location"))))
 
 
 def unify_lever(openings: DataFrame) -> DataFrame:

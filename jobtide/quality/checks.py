@@ -1,5 +1,6 @@
 """Checks return their failing rows; ``verdict`` turns a number of those into pass, warn or error."""
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -150,13 +151,55 @@ def verdict(
     return counted.withColumn("verdict", status(severity, warn_at, error_at))
 
 
-def status(severity: str, warn_at: int = 1, error_at: int = 1) -> Column:
-    """What the number in a column ``failures`` means."""
-    number = F.col("failures")
+def status(severity: str, warn_at: int = 1, error_at: int = 1, number: Column | None = None) -> Column:
+    """What a number of failures means, that in a column ``failures`` unless given."""
+    number = F.col("failures") if number is None else number
     label = F.when(number >= warn_at, "warn").otherwise("pass")
     return F.when(number >= error_at, "error").otherwise(label) if severity == "error" else label
 
 
+@dataclass(frozen=True)
+class Fold:
+    """A check that one aggregate over a table's rows answers, so that many share a pass.
+
+    ``failures`` is that aggregate: how many fail. With severity ``warn`` they are never an error.
+    """
+
+    failures: Column
+    severity: str = "error"
+    warn_at: int = 1
+    error_at: int = 1
+
+
+def fold_not_null(col: str, **limits) -> Fold:
+    """The rows in which a column is NULL."""
+    return Fold(F.count_if(F.col(col).isNull()), **limits)
+
+
+def fold_accepted(col: str, values: list[str], **limits) -> Fold:
+    """The values outside the accepted ones; NULL passes."""
+    return Fold(F.count_distinct(F.when(~F.col(col).isin(values), F.col(col))), **limits)
+
+
+def fold_where(wrong: Column, **limits) -> Fold:
+    """The rows for which a condition holds."""
+    return Fold(F.count_if(wrong), **limits)
+
+
+def judged(df: DataFrame, folds: dict[str, Fold]) -> DataFrame:
+    """A verdict row for each of the checks under its name, from one pass over the rows."""
+    counted = df.agg(*[fold.failures.alias(f"c{i}") for i, fold in enumerate(folds.values())])
+    listed = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.col(f"c{i}").alias("failures"),
+            status(fold.severity, fold.warn_at, fold.error_at, F.col(f"c{i}")).alias("verdict"),
+        )
+        for i, (name, fold) in enumerate(folds.items())
+    ]
+    return counted.select(F.inline(F.array(*listed)))
+
+
 def verdicts(checks: dict[str, DataFrame]) -> DataFrame:
     """Verdict rows of several checks under their names."""
     named = [v.select(F.lit(name).alias("check_name"), "*") for name, v in checks.items()]

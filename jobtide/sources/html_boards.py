@@ -20,6 +20,7 @@ from jobtide.functions import (
     last_word,
     page_company,
 )
+from jobtide.operators.in_row import carried
 from jobtide.operators.reshape import entries
 from jobtide.sources.page_elements import page_elements
 from jobtide.sources.runs import stamp_run
@@ -284,14 +285,6 @@ def extract_grouped(pages: DataFrame) -> DataFrame:
     """
     groups = F.col("_groups")
     headed = F.get(groups, F.lit(0))["header"].isNotNull()
-    carried = F.aggregate(
-        groups,
-        F.array().cast("array<string>"),
-        lambda done, g: F.array_append(
-            done, F.coalesce(g["header"], F.try_element_at(done, F.lit(-1)))
-        ),
-    )
-
     def named(group: Column, header: Column) -> Column:
         full = F.concat(header, F.lit(f" {PATH_SEPARATOR} "), group["label"])
         return F.struct(
@@ -310,6 +303,6 @@ def extract_grouped(pages: DataFrame) -> DataFrame:
             ),
         )
 
-    paths = F.zip_with(groups, carried, named)
+    paths = F.zip_with(groups, carried(F.transform(groups, lambda g: g["header"])), named)
     rows = page_groups(pages).withColumn("_rows", F.flatten(F.transform(paths, openings)))
     return _exploded(rows, "_place", "grouped opening", ["_group", "_row"]).select(*_GROUPED)

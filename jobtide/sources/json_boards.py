@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from jobtide.fixed_values import NAME_SEPARATOR
 from jobtide.functions import blank_to_null, keyed_id, skipping_concat, token_company
+from jobtide.operators.in_row import grouped
 from jobtide.operators.reshape import entries
 from jobtide.schemas import FLAT_BOARD, NESTED_BOARD
 from jobtide.sources.runs import stamp_run
@@ -174,21 +175,20 @@ _FLAT = ["uuid", "name", "url"]
 def decode_flat_board(responses: DataFrame) -> DataFrame:
     """Postings of flat responses; one listed under several locations becomes a single row.
 
-    A posting's entries are in one response, so they are brought together within the row: each
-    distinct posting picks its locations from the array, in the order listed.
+    A posting's entries are in one response, so they are brought together within the row, sorted by
+    posting once. Postings come as first listed, and so do the locations of each.
     """
 
     def key(entry: Column) -> Column:
         return F.struct(*[entry[f].alias(f) for f in _FLAT], entry["department"]["label"].alias("department"))
 
-    def labels(posting: Column) -> Column:
-        same = F.filter("_decoded", lambda entry: key(entry) == posting)
-        listed = F.transform(same, lambda entry: entry["workLocation"]["label"])
+    def posting(group: Column) -> Column:
+        listed = F.transform(group, lambda entry: entry["workLocation"]["label"])
         found = F.filter(listed, lambda label: label.isNotNull())
-        return F.when(F.size(found) > 0, F.array_join(found, NAME_SEPARATOR))
+        location = F.when(F.size(found) > 0, F.array_join(found, NAME_SEPARATOR))
+        return F.struct(key(group[0]).alias("p"), location.alias("location"))
 
-    postings = F.array_distinct(F.transform("_decoded", key))
-    listed = F.transform(postings, lambda p: F.struct(p.alias("p"), labels(p).alias("location")))
+    listed = F.transform(grouped(F.col("_decoded"), key), posting)
     collapsed = parsed_flat(responses).withColumn("_postings", listed)
     rows = entries(collapsed, "_postings", "_row", "_p", "board", "run_id")
     return rows.select(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobtide.plans import build, marts, staging, unify
-from jobtide.schemas import MART_COLUMNS, UNIFIED_COLUMNS
+from jobtide.schemas import MART_COLUMNS, RAW, UNIFIED_COLUMNS
 from jobtide.sources import event_boards
 
 DAY = 86400
@@ -111,6 +111,26 @@ def test_unify_greenhouse(raw, rows):
     assert rows(got, "full_opening_link")[0] == (CLASSIC + "/jobs/1",)
 
 
+def test_unify_greenhouse_shuffles_the_posting_once(spark, tmp_path):
+    for name in ("greenhouse_openings", "greenhouse_departments"):
+        spark.createDataFrame([], RAW[name]).write.parquet(str(tmp_path / name))
+    openings, departments = (spark.read.schema(RAW[n]).parquet(str(tmp_path / n)) for n in ("greenhouse_openings", "greenhouse_departments"))
+    staged = openings.withColumns({"full_opening_link": F.col("opening_link"), "job_board": F.lit("greenhouse")})
+    found, wide, narrow = unify.unify_greenhouse(staged, departments), [], []
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    node = found._jdf.queryExecution().executedPlan()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    todo = [node.initialPlan() if node.nodeName() == "AdaptiveSparkPlan" else node]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            columns = node.output().mkString(",")
+            (wide if "opening_title" in columns or "location" in columns else narrow).append(columns)
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert len(wide) == 1 and len(narrow) == 3, (wide, narrow)
+
+
 def test_unify_lever(raw, rows):
     staged = staging.stage_lever(
         raw(

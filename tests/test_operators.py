@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.operators import aggregates, dedupe, joins, reshape, setops
+from jobtide.operators import aggregates, dedupe, in_row, joins, reshape, setops
 
 
 def plan(df):
@@ -48,22 +48,75 @@ def test_first_seen_two_keys_needs_both(spark, rows):
     assert rows(kept, "id") == [(1,)]
 
 
-def test_fill_forward_matches_brute_force_across_chunks(spark, rows):
+def filled(data):
+    """Rows (part, place, h, row) with h filled one after the other."""
+    at_place = {}
+    for part, place, h, _ in data:
+        if h is not None and place is not None:
+            at_place[part, place] = max(h, at_place.get((part, place), h))
+    out = []
+    for part, place, h, row in data:
+        if h is None and place is not None:
+            earlier = [p for q, p in at_place if q == part and p <= place]
+            h = at_place[part, max(earlier)] if earlier else None
+        out.append((row, h))
+    return sorted(out)
+
+
+ORDERS = {
+    "dense": lambda i, _: i,
+    "microseconds": lambda i, _: 1_700_000_000_000_000 + i * 86_400_000_000,
+    "one third alike": lambda i, rng: 50 if rng.random() < 0.3 else i,
+    "few": lambda i, rng: rng.randrange(4),
+    "extremes": lambda i, rng: rng.choice([-(2**63), 2**63 - 1, i, None]),
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_fill_forward_matches_brute_force(spark, rows, kind):
     rng = random.Random(7)
     data = []
     for part in ["hot"] * 300 + ["a"] * 40 + [None] * 25:
-        place = len(data)
-        data.append((part, place, rng.choice([None, None, None, f"h{place}"])))
+        i = len(data)
+        data.append((part, ORDERS[kind](i, rng), rng.choice([None, None, None, f"h{i}"]), i))
     rng.shuffle(data)
-    df = spark.createDataFrame(data, "part string, place long, h string")
-    expected, last = [], {}
-    for part, place, h in sorted(data, key=lambda r: r[1]):
-        last[part] = h or last.get(part)
-        expected.append((place, last[part]))
-    for chunk in (1, 7, 1000):
-        got = dedupe.fill_forward(df, ["part"], "place", "h", run_rows=chunk)
+    df = spark.createDataFrame(data, "part string, place long, h string, row long")
+    for run_rows in (3, 20, 1000):
+        got = dedupe.fill_forward(df, ["part"], "place", "h", run_rows=run_rows)
         assert got.columns == df.columns
-        assert rows(got, "place", "h") == expected
+        assert rows(got, "row", "h") == filled(data)
+
+
+def test_runs_are_alike_for_dense_and_sparse_orders(spark):
+    for order in ("id", "id * 3600000000", "id * id", "id % 10", "0", "cast(pow(1.9, id % 60) as long)"):
+        df = spark.range(20_000).selectExpr(f"{order} AS _at", "xxhash64(id) AS _tie")
+        found = df.select(dedupe._run(dedupe._bounds(df, 1000)).alias("run")).groupBy("run").count()
+        counts = [r["count"] for r in found.collect()]
+        assert len(counts) == 20 and max(counts) < 1500 and min(counts) > 600, order
+
+
+def test_fill_forward_shuffles_a_repeated_value_once_a_task(spark):
+    df = spark.range(0, 40_000, 1, 4).selectExpr("'p' AS part", "if(id % 100 < 99, 5, id) AS place", "if(id % 100 < 99, 'h', NULL) AS h")
+    got = dedupe.fill_forward(df, ["part"], "place", "h", run_rows=100)
+    assert max(shuffled_rows(got)) < 3000
+    assert dedupe.fill_forward(df.where("false"), ["part"], "place", "h").count() == 0
+
+
+def test_entries_are_grouped_and_carried_within_the_row(spark, rows):
+    rng = random.Random(3)
+    lists = [None, [], [None], ["x"], [None, "a", None, "a", "b", None], *[rng.choices([None, "a", "b", "c"], k=40) for _ in range(20)]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "id int, v array<string>")
+    pairs = df.withColumn("v", F.transform("v", lambda e, i: F.struct(e.alias("e"), i.alias("i"))))
+    groups = {r["id"]: r["g"] for r in pairs.select("id", in_row.grouped(F.col("v"), lambda e: F.struct(e["e"])).alias("g")).collect()}
+    carried = {r["id"]: r["c"] for r in df.select("id", in_row.carried(F.col("v")).alias("c")).collect()}
+    for i, values in enumerate(lists):
+        expected, last, filled_ = {}, None, []
+        for place, value in enumerate(values or []):
+            expected.setdefault(value, []).append((value, place))
+            last = last if value is None else value
+            filled_.append(last)
+        assert (groups[i] and [[tuple(e) for e in g] for g in groups[i]]) == (None if values is None else list(expected.values()))
+        assert carried[i] == (None if values is None else filled_)
 
 
 def test_first_daily(spark, rows):

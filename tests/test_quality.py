@@ -104,3 +104,34 @@ def test_a_table_is_read_once_for_its_row_checks_and_once_per_unique_key(spark,
     assert verdicts["accepted values", "workplace_type"] == (1, "error")
     assert verdicts["freshness", "updated_at"] == (1, "warn") and verdicts["not null", "location"] == (1, "warn")
     assert verdicts["unique", "id"] == (0, "pass") and verdicts["columns match", ""] == (0, "pass")
+
+
+def test_checks_share_one_pass(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", None), (None, None), ("c", 5)], "v string, n long")
+    folds = {
+        "v filled": checks.fold_not_null("v"),
+        "n filled, warn": checks.fold_not_null("n", severity="warn"),
+        "n filled, some may fail": checks.fold_not_null("n", warn_at=2, error_at=3),
+        "v accepted": checks.fold_accepted("v", ["a"], error_at=3),
+        "n small": checks.fold_where(F.col("n") > 9),
+    }
+    found = checks.judged(df, folds)
+    assert rows(found) == [
+        ("n filled, some may fail", 2, "warn"),
+        ("n filled, warn", 2, "warn"),
+        ("n small", 0, "pass"),
+        ("v accepted", 2, "warn"),
+        ("v filled", 1, "error"),
+    ]
+    # the same as each check on its own
+    assert checks.verdict(checks.accepted(df, "v", ["a"]), error_at=3).first()["failures"] == 2
+    assert {r["failures"] for r in checks.judged(df.where("false"), folds).collect()} == {0}
+
+
+def test_verdicts_scan_the_mart_once_and_once_per_key(spark, tmp_path):
+    spark.range(5).selectExpr("id", "cast(id as string) AS v", "id AS n").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    folds = {c: checks.fold_not_null(c) for c in ("id", "v", "n")} | {"v accepted": checks.fold_accepted("v", ["1"])}
+    both = checks.judged(df, folds).union(checks.verdicts({"unique": checks.verdict(checks.unique(df, "id"))}))
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -277,3 +278,25 @@ def test_enabled_boards(raw, rows):
     )
     assert rows(tables.enabled_boards(boards)) == [("a",)]
     assert rows(tables.enabled_boards(boards, "rippling")) == [("tb",)]
+
+
+def test_a_flat_response_of_many_entries(spark):
+    """Postings are listed at two places far apart; a quadratic pass over these would take an hour."""
+    half = 50_000
+    entries = [
+        {"uuid": f"j{i % half}", "name": "Cook", "department": {"id": "d", "label": "Ops"}, "url": f"u{i % half}", "workLocation": {"id": "w", "label": f"p{i}"}}
+        for i in range(2 * half)
+    ]
+    flat = spark.createDataFrame([("https://api/rip/jobs", "r", 0, json.dumps(entries))], RESPONSES)
+    start = time.time()
+    found = J.decode_flat_board(flat).select("job_id", "location").collect()
+    assert [tuple(r) for r in found[:2]] == [("j0", f"p0, p{half}"), ("j1", f"p1, p{half + 1}")]
+    assert len(found) == half and time.time() - start < 60
+
+
+def test_a_page_of_many_groups(spark):
+    page = grouped(*[("Head" if i % 1000 == 0 else None, f"g{i}", [f"https://l/{i}"]) for i in range(20_000)])
+    pages = spark.createDataFrame([("https://jobs.lever.co/lev", 1, "r", 0, page)], PAGES)
+    start = time.time()
+    found = H.extract_grouped(pages).select("department_names").distinct().count()
+    assert found == 20_000 and time.time() - start < 60
