@@ -29,7 +29,7 @@ from jobtide.llm.packing import Tokenizer, units
 from jobtide.sinks.scratch import stored
 
 #: Text bytes of a chunk, and terms of a product that are worked out at once, unless one row has more.
-CHUNK_TEXT, TERMS = 8 << 20, 1 << 22
+CHUNK_TEXT, TERMS = 4 << 20, 1 << 20
 
 _SPACE_ONLY = np.zeros(256, bool)
 _SPACE_ONLY[32] = True
