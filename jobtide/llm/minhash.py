@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.llm.arrow import chunks, give_back, quoted, ranges, words
-from jobtide.sinks.scratch import stored
+from jobtide.sinks.scratch import Steps, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair at the threshold, by either similarity, shares no band of that signature once in 300,000 times.
@@ -225,27 +225,33 @@ def _block_links(table: pa.Table, bands: int, rows: int, threshold: float, shing
     return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], schema=_LINKS)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, steps: Steps) -> DataFrame:
     """The least node that each linked node is connected with: ``node``, ``class``. Links: ``a``, ``b``.
 
-    Labels spread along links and jump to the label of their label, until none changes; each round is a stored table.
+    In rounds, each node takes the least of itself and its neighbours for its class, and then the class of that; links
+    inside a class go, and the others become links between classes. After the first round few are left. Each round is
+    a stored table; at the end the classes of all rounds are chained.
     """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("class")), "labels")
-    while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("class").alias("near"))
-        spread = stored(labels.join(near, "node").select("node", F.least("class", "near").alias("class"), F.col("class").alias("was")), "labels")
-        jump = spread.select(F.col("node").alias("class"), F.col("class").alias("next"))
-        jumped = stored(spread.join(jump, "class", "left").select("node", F.coalesce("next", "class").alias("class"), "was"), "labels")
-        if jumped.where("class != was").isEmpty():
-            return jumped.select("node", "class")
-        labels = jumped.select("node", "class")
-
-
-def _with_hubs(members: DataFrame, label: str) -> DataFrame:
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    left, rounds = steps.stored(links.where("a != b").select(*ends).distinct(), "links"), []
+    while not rounds or not left.isEmpty():
+        near = left.select("a", "b").union(left.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+        near = steps.stored(near.select("node", F.least("node", "near").alias("next")), "labels")
+        jump = near.select(F.col("node").alias("next"), F.col("next").alias("class"))
+        rounds.append(steps.stored(near.join(jump, "next").select("node", "class"), "labels"))
+        of_a, of_b = (rounds[-1].select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in ("a", "b"))
+        moved = left.join(of_a, "a").join(of_b, "b").where("class_a != class_b")
+        left = steps.stored(moved.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")).distinct(), "links")
+    found = rounds[0]
+    for later in rounds[1:]:
+        found = found.join(later.select(F.col("node").alias("class"), F.col("class").alias("next")), "class", "left").select("node", F.coalesce("next", "class").alias("class"))
+    return steps.stored(found, "components")
+
+
+def _with_hubs(members: DataFrame, steps: Steps, label: str) -> DataFrame:
     """Members (``key``, ``band``, ``node``) of buckets with two nodes or more, and the least node of their bucket."""
     hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub != most")
-    return stored(members.join(stored(hubs.select("key", "hub"), "hubs"), "key"), label)
+    return steps.stored(members.join(steps.stored(hubs.select("key", "hub"), "hubs"), "key"), label)
 
 
 def _stars(members: DataFrame) -> DataFrame:
@@ -253,17 +259,17 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _blocks(members: DataFrame, found: DataFrame, block: int) -> DataFrame:
+def _blocks(members: DataFrame, found: DataFrame, steps: Steps, block: int) -> DataFrame:
     """Members of buckets with several classes, dealt to blocks: ``key``, ``band``, ``pair``, ``side``, ``node``, ``class``.
 
     A small bucket is one block. In a larger one the largest class and the others are cut into pieces; each piece of
     the others meets each piece of the largest class and each of the others.
     """
     placed = members.select("key", "band", "node").join(found, "node", "left").select("key", "band", "node", F.coalesce("class", "node").alias("class"))
-    placed = stored(placed, "placed")
+    placed = steps.stored(placed, "placed")
     by_class = placed.groupBy("key", "class").agg(F.count("*").alias("n"))
     buckets = by_class.groupBy("key").agg(F.count("*").alias("classes"), F.sum("n").alias("size"), F.max(F.struct("n", "class")).alias("most")).where("classes > 1")
-    buckets = stored(buckets.select("key", "size", F.col("most.class").alias("largest"), F.col("most.n").alias("n")), "mixed")
+    buckets = steps.stored(buckets.select("key", "size", F.col("most.class").alias("largest"), F.col("most.n").alias("n")), "mixed")
     dealt = placed.join(buckets, "key")
     big, inner, outer = F.col("size") > block, F.ceil(F.col("n") / block), F.ceil((F.col("size") - F.col("n")) / block)
     is_inner = F.col("class") == F.col("largest")
@@ -283,35 +289,39 @@ def _blocks(members: DataFrame, found: DataFrame, block: int) -> DataFrame:
     return dealt.select("key", "band", "node", "class", F.explode(all_of).alias("pair")).select("key", "band", "node", "class", F.col("pair.a").alias("one"), F.col("pair.b").alias("two"), F.col("pair.side").alias("side"))
 
 
-def _classed(given: DataFrame, threshold: float, shingle: int, bands: int, rows: int, block: int, likely: float) -> tuple[DataFrame, DataFrame]:
+def _classed(given: DataFrame, steps: Steps, threshold: float, shingle: int, bands: int, rows: int, block: int, likely: float) -> tuple[DataFrame, DataFrame]:
     """The rows of ``given`` (``id``, ``text``) as ``id`` and ``digest``, and the classes of their texts.
 
     Each distinct text that is not empty has a node of its own, whatever its ids: ``digest``, ``id`` (the least) and
     ``class`` (a node of its class). The digest of null and empty texts is null.
+
+    Texts are joined by sorting at every size, so that what is shuffled grows as the input does. Those of documents
+    that share no band with another leave the first such join.
     """
+    stored = steps.stored
     signed = given.select("id", F.md5("text").alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     signed = signed.withColumn("digest", F.when(F.col("text") != "", F.col("digest")))
     signed = stored(signed.mapInArrow(lambda batches: _sign(batches, bands, rows, shingle), "id long, digest string, keys array<long>"), "signed")
     whole = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys"))
     whole = stored(whole.withColumn("node", F.monotonically_increasing_id()), "texts")
-    shared = _with_hubs(whole.select("node", F.posexplode("keys").alias("band", "key")).where("key IS NOT NULL").withColumn("band", F.col("band") % bands), "buckets")
+    shared = _with_hubs(whole.select("node", F.posexplode("keys").alias("band", "key")).where("key IS NOT NULL").withColumn("band", F.col("band") % bands), steps, "buckets")
     wanted = shared.select("node").distinct().join(whole, "node").select("node", F.col("digest").alias("of"), F.col("id").alias("least"))
     wanted = stored(wanted, "wanted")
     # a text is read from the row with its least id
-    own = given.where("text != ''").join(wanted, F.col("id").eqNullSafe(F.col("least")) & (F.md5("text") == F.col("of"))).select("node", "text")
+    own = given.where("text != ''").join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("least")) & (F.md5("text") == F.col("of"))).select("node", "text")
     texts = stored(own.distinct(), "candidates")
     pairs = stored(_stars(shared), "pairs")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "text_a", "text_b")
     judged = joined.mapInArrow(lambda batches: _verify(batches, threshold, shingle), "a long, b long, weighted double, plain double, linked boolean")
     links = stored(judged.where("linked").select("a", "b"), "links")
-    found = components(links)
-    dealt = stored(_blocks(shared, found, block), "blocks").join(texts, "node")
+    found = components(links, steps)
+    dealt = stored(_blocks(shared, found, steps, block), "blocks").join(texts.hint("merge"), "node")
     more = dealt.groupBy("key", "one", "two").applyInArrow(lambda t: _block_links(t, bands, rows, threshold, shingle, likely), "a long, b long")
     more = stored(more.distinct(), "links")
     if not more.isEmpty():
-        found = components(links.union(more))
+        found = components(links.union(more), steps)
     placed = whole.join(found, "node", "left").select("digest", "id", F.coalesce("class", "node").alias("class"))
     return signed.select("id", "digest"), stored(placed, "classed")
 
@@ -338,20 +348,24 @@ def classes(
     without words only with equal ones. Rows of the same id are one document: they share a class. Rows without an id
     are documents of their own, and a class of such rows only has no id. An empty table gives no rows.
     """
-    signed, texts = _classed(_given(docs, doc_id, text), threshold, shingle, bands, rows, block, likely)
-    placed = stored(signed.join(texts.select("digest", "class"), "digest", "left").select("id", "class"), "rows")
-    # unlike texts of one id
-    several = placed.where("id IS NOT NULL AND class IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("most")).where("a != most")
-    same = stored(placed.join(several.select("id", "a"), "id").where("class != a").select("a", F.col("class").alias("b")).distinct(), "links")
-    if not same.isEmpty():
-        merged = components(same).withColumnRenamed("class", "all")
-        placed = stored(placed.join(merged, placed["class"] == merged["node"], "left").select("id", F.coalesce("all", "class").alias("class")), "rows")
-    full, empty = placed.where("class IS NOT NULL"), placed.where("class IS NULL").select("id")
-    named = full.join(full.groupBy("class").agg(F.min("id").alias("class_id")), "class").select("id", "class_id")
-    if not empty.isEmpty():
-        by_id = named.where("id IS NOT NULL").join(empty.distinct(), "id", "left_semi").groupBy("id").agg(F.min("class_id").alias("class_id"))
-        named = named.union(empty.join(by_id, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id")))
-    return named.withColumnRenamed("id", "doc_id")
+    with Steps(docs.sparkSession) as steps:
+        stored = steps.stored
+        signed, texts = _classed(_given(docs, doc_id, text), steps, threshold, shingle, bands, rows, block, likely)
+        placed = stored(signed.join(texts.select("digest", "class"), "digest", "left").select("id", "class"), "rows")
+        # unlike texts of one id
+        several = placed.where("id IS NOT NULL AND class IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("most")).where("a != most")
+        same = stored(placed.join(several.select("id", "a"), "id").where("class != a").select("a", F.col("class").alias("b")).distinct(), "links")
+        if not same.isEmpty():
+            merged = components(same, steps).withColumnRenamed("class", "all")
+            placed = stored(placed.join(merged, placed["class"] == merged["node"], "left").select("id", F.coalesce("all", "class").alias("class")), "rows")
+        full, empty = placed.where("class IS NOT NULL"), placed.where("class IS NULL").select("id")
+        named = full.join(full.groupBy("class").agg(F.min("id").alias("class_id")), "class").select("id", "class_id")
+        if not empty.isEmpty():
+            by_id = named.where("id IS NOT NULL").join(empty.distinct(), "id", "left_semi").groupBy("id").agg(F.min("class_id").alias("class_id"))
+            named = named.union(empty.join(by_id, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id")))
+        found = stored(named.withColumnRenamed("id", "doc_id"), "classes")
+        steps.keep(found)
+    return found
 
 
 def _rows_of(docs: DataFrame, kept: DataFrame, doc_id: str, text: str, by_text: bool) -> DataFrame:
@@ -396,10 +410,13 @@ def keep_texts(
     Classes are those of texts alone, so unlike texts of one id, or without an id, all stay. Rows without an id come
     after the others. Of rows with a null or empty text one stays for each id.
     """
-    signed, texts = _classed(_given(docs, doc_id, text), threshold, shingle, bands, rows, block, likely)
-    best = texts.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("without"), "id", "digest")).alias("row")).select("row.id", "row.digest")
-    counted = signed.groupBy("id", "digest").agg(F.count("*").alias("copies"))
-    best = best.withColumnsRenamed({"id": "best_id", "digest": "best_digest"})
-    kept = counted.join(best, (F.col("digest") == F.col("best_digest")) & F.col("id").eqNullSafe(F.col("best_id")), "left")
-    kept = kept.where("best_digest IS NOT NULL OR digest IS NULL").select("id", F.coalesce("digest", F.md5(F.lit(""))).alias("digest"), "copies")
-    return _rows_of(docs, stored(kept, "kept"), doc_id, text, True)
+    with Steps(docs.sparkSession) as steps:
+        signed, texts = _classed(_given(docs, doc_id, text), steps, threshold, shingle, bands, rows, block, likely)
+        best = texts.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("without"), "id", "digest")).alias("row")).select("row.id", "row.digest")
+        counted = signed.groupBy("id", "digest").agg(F.count("*").alias("copies"))
+        best = best.withColumnsRenamed({"id": "best_id", "digest": "best_digest"})
+        kept = counted.join(best, (F.col("digest") == F.col("best_digest")) & F.col("id").eqNullSafe(F.col("best_id")), "left")
+        kept = kept.where("best_digest IS NOT NULL OR digest IS NULL").select("id", F.coalesce("digest", F.md5(F.lit(""))).alias("digest"), "copies")
+        kept = steps.stored(kept, "kept")
+        steps.keep(kept)
+    return _rows_of(docs, kept, doc_id, text, True)

@@ -5,6 +5,7 @@ import pyarrow as pa
 from brute import near_classes, shingles, similarity
 
 from jobtide.llm import minhash
+from jobtide.sinks.scratch import Steps
 
 WORDS = [f"w{i}" for i in range(300)]
 
@@ -118,3 +119,27 @@ def test_unlike_texts_of_one_id_or_none_all_stay(documents):
     )
     assert sorted((r["doc_id"] for r in kept.collect() if not r["text"]), key=str) == [5, None]
     assert minhash.keep_texts(given.where("false")).count() == 0
+
+
+def test_components_are_named_by_their_least_node(spark):
+    random.seed(9)
+    chains = [(i, i + 1) for i in range(100, 160)] + [(3 * i, 3 * i + 3) for i in range(300, 340)]
+    star = [(5000, i) for i in range(5001, 5200)]
+    wild = [(random.randrange(6000, 6300), random.randrange(6000, 6300)) for _ in range(250)]
+    pairs = [p for p in chains + star + wild + wild[:20] for p in (p, p[::-1])][: 2 * 560]
+    random.shuffle(pairs)
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    with Steps(spark) as steps:
+        found = minhash.components(spark.createDataFrame(pairs, "a long, b long"), steps)
+        assert {r["node"]: r["class"] for r in found.collect()} == {x: find(x) for x in parent}
+        assert minhash.components(spark.createDataFrame([], "a long, b long"), steps).count() == 0
