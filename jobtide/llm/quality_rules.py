@@ -2,8 +2,12 @@
 
 A public vocabulary shows whether a text is made of what it was made for: characters per token, the share of tokens
 that spell out single bytes, and the entropy of the tokens (in bits per token, over what so many tokens can have at
-most). Each script has a band for each; a document outside a band is rejected. Before that, base rules count repeated
-windows, repeated lines and symbols. All is worked out inside the row, so documents are not shuffled.
+most). A document outside a band of one of these is rejected. Bands are fitted to the documents themselves: for each
+script, language and size (a power of two of tokens, as the measures of few tokens vary more), the median and
+``SPREADS`` times the spread on each side of it, from quartiles that Spark adds up over all documents which pass the
+base rules. So what a vocabulary made for prose takes more tokens for than it does for the same language's prose, such
+as menus or texts strewn with symbols, goes. A group of less than ``LEAST`` documents has no fitted band. Wide outer
+bands by script hold for all. Base rules count repeated windows, repeated lines and symbols inside the row.
 
 Words are encoded once for each few MB of text. The vocabulary's pieces never cross white space, so this gives the
 tokens of the text but for those of the white space itself.
@@ -17,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.llm.arrow import binary_array, chunks, packed, ranges, row_type, runs, sums, text_bytes, unpacked
+from jobtide.sinks.scratch import stored
 
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
 
@@ -30,6 +35,11 @@ BANDS = {
     "other": ((0.25, 9.0), (0.0, 1.0), (0.35, 1.0)),
 }
 _SCRIPTS = list(BANDS)
+#: Width of a fitted band in spreads (a normal distribution's standard deviation, from its quartiles), the documents it
+#: takes to fit one, and the least spread of each measure.
+SPREADS, LEAST = 4.0, 100
+FLOORS = {"chars_per_token": 0.01, "byte_share": 0.01, "entropy": 0.005}
+_PER_QUARTILE = 1.4826
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -46,7 +56,7 @@ _SCRIPT[[*range(0xE3, 0xEE), 0xF0]] = 3
 _SCRIPT[[*range(0xD4, 0xE2)]] = 4
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_MEASURES = ["chars_per_token", "byte_share", "entropy"]
+_MEASURES = list(FLOORS)
 
 
 def _repeated_words(codes: np.ndarray, firsts: np.ndarray, window: int) -> np.ndarray:
@@ -128,6 +138,7 @@ def _measure(column: pa.Array, vocabulary: _Vocabulary) -> dict[str, np.ndarray]
     tokens = ids[ranges(begins[codes], per_word)]
     total = sums(per_word, firsts)
     edges = np.concatenate([[0], np.cumsum(total)])
+    out["n_tokens"] = total
     out["byte_share"] = sums(vocabulary.is_byte[tokens], edges) / np.maximum(total, 1)
     out["chars_per_token"] = out["word_chars"] / np.maximum(total, 1)
     doc = np.repeat(np.arange(n), total)
@@ -154,31 +165,70 @@ def _apply(batches, path, bands, keep_text):
             for i, name in enumerate(_MEASURES):
                 low, high = limits[out["script"], i].T
                 inside &= (out[name] >= low) & (out[name] <= high)
-            columns = [chunk.column("row"), *[pa.array(out[c].astype(np.int64)) for c in _COUNTS], *[pa.array(out[c].astype(float)) for c in _MEASURES]]
-            columns += [pa.array([_SCRIPTS[i] for i in out["script"]], pa.string()), pa.array(failed), pa.array(~failed & inside)]
-            names = ["row", *_COUNTS, *_MEASURES, "script", "base_failed", "kept"]
+            columns = [chunk.column("row"), *[pa.array(out[c].astype(np.int64)) for c in [*_COUNTS, "n_tokens"]], *[pa.array(out[c].astype(float)) for c in _MEASURES]]
+            columns += [pa.array([_SCRIPTS[i] for i in out["script"]], pa.string()), pa.array(failed), pa.array(inside)]
+            names = ["row", *_COUNTS, "n_tokens", *_MEASURES, "script", "base_failed", "inside"]
             if keep_text:
                 columns, names = [*columns, chunk.column("text")], [*names, "text"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def judge(docs: DataFrame, model: str, carried: list[str], text: str = "text", bands: dict = BANDS, keep_text: bool = False) -> DataFrame:
+_GROUP = ["script", "language", "size"]
+
+
+def fit(measured: DataFrame, spreads: float = SPREADS, least: int = LEAST) -> DataFrame:
+    """The bands of each group of measured documents: ``script``, ``language``, ``size``, and for each measure its
+    ``_low`` and ``_high``. One row a group; what is added up are quantile summaries."""
+    quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 10_000).alias(m) for m in _MEASURES]
+    found = measured.where("NOT base_failed AND inside").groupBy(*_GROUP).agg(F.count("*").alias("n"), *quartiles).where(F.col("n") >= least)
+    edges = []
+    for m in _MEASURES:
+        low, middle, high = (F.col(m)[i] for i in range(3))
+        below, above = (F.greatest(_PER_QUARTILE * spread, F.lit(FLOORS[m])) * spreads for spread in (middle - low, high - middle))
+        edges += [(middle - below).alias(f"{m}_low"), (middle + above).alias(f"{m}_high")]
+    return found.select(*_GROUP, *edges)
+
+
+def judge(
+    docs: DataFrame,
+    model: str,
+    carried: list[str],
+    text: str = "text",
+    language: str | None = None,
+    bands: dict = BANDS,
+    spreads: float = SPREADS,
+    least: int = LEAST,
+    keep_text: bool = False,
+) -> DataFrame:
     """Counts, measures and verdict for each row of ``docs``; ``model`` is the path of a sentencepiece model.
 
     Columns: ``carried`` as one struct ``row`` (see ``arrow.unpacked``); ``n_words`` (runs without white space),
-    ``word_chars`` (their code points), ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``; ``chars_per_token``,
-    ``byte_share``, ``entropy`` and ``script``; ``base_failed`` and ``kept``. Null and empty texts have no words, so
-    the base rules reject them. A text without letters belongs to ``other``. Repeated rows are judged alike.
+    ``word_chars`` (their code points), ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``n_tokens``;
+    ``chars_per_token``, ``byte_share``, ``entropy`` and ``script``; ``base_failed``, ``kept`` and ``reason`` (what
+    rejects it first: ``base``, ``outer band`` or a measure). ``language`` names one of the carried columns; without it
+    bands are by script and size only. Null and empty texts have no words, so the base rules reject them. A text
+    without letters belongs to the script ``other``. Repeated rows are judged alike, and count each in the bands.
+    Measures are stored, as they are read twice.
     """
     found = packed(docs, text, carried)
     row, _ = row_type(found)
-    out = f"row {row}, " + ", ".join([f"{c} long" for c in _COUNTS] + [f"{c} double" for c in _MEASURES]) + ", script string, base_failed boolean, kept boolean"
-    return found.mapInArrow(lambda batches: _apply(batches, model, bands, keep_text), out + (", text string" if keep_text else ""))
-
-
-def keep(docs: DataFrame, model: str, text: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that the rules reject; columns as they were."""
+    out = f"row {row}, " + ", ".join([f"{c} long" for c in [*_COUNTS, "n_tokens"]] + [f"{c} double" for c in _MEASURES]) + ", script string, base_failed boolean, inside boolean"
+    measured = found.mapInArrow(lambda batches: _apply(batches, model, bands, keep_text), out + (", text string" if keep_text else ""))
+    named = F.lit("") if language is None else F.coalesce(F.col(f"row.c{carried.index(language)}").cast("string"), F.lit(""))
+    size = F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")
+    measured = stored(measured.withColumns({"language": named, "size": size}), "measured")
+    judged = measured.join(stored(fit(measured, spreads, least), "bands"), _GROUP, "left")
+    reason = F.when(F.col("base_failed"), "base").when(~F.col("inside"), "outer band")
+    for m in _MEASURES:
+        reason = reason.when((F.col(m) < F.col(f"{m}_low")) | (F.col(m) > F.col(f"{m}_high")), m)
+    judged = judged.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull())
+    return judged.select("row", *_COUNTS, "n_tokens", *_MEASURES, "script", "base_failed", "kept", "reason", *(["text"] if keep_text else []))
+
+
+def keep(docs: DataFrame, model: str, text: str = "text", language: str | None = "lang", **options) -> DataFrame:
+    """``docs`` without the rows that the rules reject; columns as they were. ``language`` may be missing."""
     others = [c for c in docs.columns if c != text]
-    found = judge(docs, model, others, text, keep_text=True, **options).where("kept")
+    language = language if language in others else None
+    found = judge(docs, model, others, text, language, keep_text=True, **options).where("kept")
     columns = dict(zip(others, unpacked(others), strict=True)) | {text: F.col("text").alias(text)}
     return found.select(*[columns[c] for c in docs.columns])

@@ -90,7 +90,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, tokeniser measures and verdict of each document."""
-    judged = quality_rules.judge(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id", "lang"], language="lang")
     return judged.select(*unpacked(["doc_id"]), *[c for c in judged.columns if c != "row"])
 
 

@@ -50,6 +50,50 @@ def test_scripts_and_bands(documents):
     assert not quality_rules.judge(documents([spelt]), MODEL, ["doc_id"]).first()["kept"]
 
 
+def test_bands_are_fitted_to_the_documents(table):
+    """Symbols behind every word, and menus, are rejected where their language's prose shows what is usual."""
+    random.seed(11)
+    rows = []
+    for i in range(900):
+        n, lang = random.choice([40, 90, 200]), random.choice(["one", "two"])
+        words = [random.choice(LETTERS) + random.choice(LETTERS if lang == "two" else ["", "s"]) for _ in range(n)]
+        kind = "plain" if i % 15 else ("symbols", "menu")[i % 2]
+        mark = {"plain": " ", "symbols": "$$$ ", "menu": " | "}[kind]
+        rows.append({"doc_id": i, "lang": None if i % 7 == 0 else lang, "text": mark.join(words), "kind": kind})
+    docs = table("doc_id long, lang string, text string", rows)
+    judged = quality_rules.judge(docs, MODEL, ["doc_id", "lang"], language="lang", least=60)
+    found = judged.select(*unpacked(["doc_id", "lang"]), *[c for c in judged.columns if c != "row"]).collect()
+
+    # the same from sorted values
+    groups = {}
+    for r in found:
+        if not r["base_failed"]:
+            groups.setdefault((r["lang"], r["n_tokens"].bit_length()), []).append(r)
+    gone = {"plain": 0, "symbols": 0, "menu": 0}
+    for r in found:
+        expected = "base" if r["base_failed"] else None
+        group = groups.get((r["lang"], r["n_tokens"].bit_length()), [])
+        if not expected and len(group) >= 60:
+            for m, floor in quality_rules.FLOORS.items():
+                values = sorted(g[m] for g in group)
+                low, middle, high = (values[-(-len(values) * q // 4) - 1] for q in (1, 2, 3))
+                below, above = (4.0 * max(1.4826 * x, floor) for x in (middle - low, high - middle))
+                if not middle - below <= r[m] <= middle + above:
+                    expected = expected or m
+        assert (r["reason"], r["kept"]) == (expected, expected is None)
+        gone[rows[r["doc_id"]]["kind"]] += expected is not None
+    assert gone["plain"] <= 8 and gone["symbols"] + gone["menu"] >= 30
+
+
+def test_bands_decide_on_the_given_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    judged = quality_rules.judge(docs, MODEL, ["doc_id", "lang"], language="lang", least=50)
+    judged = judged.select(*unpacked(["doc_id"]), "kept", "base_failed").join(labels, "doc_id").where("NOT base_failed")
+    counts = {(r["quality"], r["kept"]): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    # of documents that pass the base rules, junk goes and the others stay
+    assert counts[0, False] > 5 and counts.get((1, False), 0) <= 0.02 * counts[1, True]
+
+
 def test_odd_rows(documents):
     plain = "These ten words or more are enough to be kept by every rule there is."
     docs = [(1, None), (2, ""), (3, plain), (3, plain), (None, plain), (4, " ".join(a + b for a in LETTERS for b in LETTERS))]
