@@ -30,7 +30,10 @@ def first_seen(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The row per key with the greatest first order column; later ones break ties upwards."""
+    """The row per key with the greatest first order column; later ones break ties upwards.
+
+    A row without a time never wins over one that has a time.
+    """
     newest, *ties = order
     return _top_one(df, keys, _ordered([newest], descending=True) + _ordered(ties))
 

@@ -84,7 +84,8 @@ def response_rows(nested: DataFrame, flat: DataFrame) -> dict[str, DataFrame]:
 
 def all_rows(pages: DataFrame, nested: DataFrame, flat: DataFrame) -> dict[str, DataFrame]:
     """Raw rows of everything a run fetched, and all that was rejected."""
-    of_pages, of_responses = page_rows(pages), response_rows(nested, flat)
+    both = {"pages": lambda: page_rows(pages), "responses": lambda: response_rows(nested, flat)}
+    of_pages, of_responses = side_by_side(both).values()
     rejected = union_all(of_pages["rejected"], of_responses["rejected"])
     return {**of_pages, **of_responses, "rejected": rejected}
 
