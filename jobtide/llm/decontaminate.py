@@ -3,7 +3,8 @@
 A task sorts the word suffixes of its documents, a few MB of text at a time (a shard), and binary-searches every
 suffix of the test texts in each shard. That gives the longest verbatim matches and their places, and from them the
 words hit, the share of a document that is hit and the documents to remove. Documents are never shuffled: the test
-texts go to the tasks, in blocks of a checked size, one pass over the documents for each block.
+texts go to the tasks in blocks of a checked size, which a task takes one after another for each shard. Test texts that
+are alike are searched for once in a block.
 
 Words that no test text has cannot be part of a match; they end a suffix like the end of a document does. Suffixes are
 sorted to the length of the longest test text, beyond which no match can go.
@@ -69,16 +70,20 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
 
 
 class TestTexts:
-    """A block of test texts: their words as codes, and where each text begins."""
+    """A block of test texts: the words of each distinct one as codes, where it begins, and the ids that have it."""
 
     def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
-        self.ids = [i for i, _ in items]
-        found, self.firsts = words(pa.array([t for _, t in items], pa.string()))
+        ids: dict[str, set[str]] = {}
+        for i, text in items:
+            ids.setdefault(text, set()).add(i)
+        self.n_ids = np.array([len(each) for each in ids.values()], np.int64)
+        self.ids = np.array([i for each in ids.values() for i in sorted(each)], object)
+        found, self.firsts = words(pa.array(list(ids), pa.string()))
         self.vocabulary = pc.unique(found)
         self.codes = self.encode(found)
         lengths = np.diff(self.firsts)
         self.depth = int(lengths.max(initial=0))
-        self.item = np.repeat(np.arange(len(items)), lengths)
+        self.item = np.repeat(np.arange(len(ids)), lengths)
         self.left = np.repeat(self.firsts[1:], lengths) - np.arange(len(found))
         self.need = np.minimum(window, np.repeat(lengths, lengths))
         self.starts = np.flatnonzero(self.left >= self.need)
@@ -129,34 +134,45 @@ class TestTexts:
         return here, there, lengths
 
 
-def _search(batches, block):
-    texts = block.value
+def _opened(blocks):
+    """The blocks one after another; of several none stays in memory."""
+    for block in blocks:
+        yield block.value
+        if len(blocks) > 1:
+            vars(block).pop("_value", None)
+
+
+def _found(texts: TestTexts, words_found: pa.Array, firsts: np.ndarray) -> list[np.ndarray]:
+    """Matches of a block in the documents of a shard: document, word in it, test text's id, word in it, and length."""
+    counts = np.diff(firsts)
+    # a 0 after each document
+    codes = np.zeros(len(words_found) + len(counts), np.int64)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    codes[np.arange(len(words_found)) + doc] = texts.encode(words_found)
+    begins = firsts[:-1] + np.arange(len(counts))
+    here, there, lengths = texts.matches(codes)
+    owner = np.searchsorted(begins, here, "right") - 1
+    item = texts.item[there]
+    times = texts.n_ids[item]
+    ids = texts.ids[ranges((np.cumsum(texts.n_ids) - texts.n_ids)[item], times)]
+    owner, word, item_word, lengths = (np.repeat(a, times) for a in (owner, here - begins[owner], there - texts.firsts[item], lengths))
+    return [owner, word, ids, item_word, lengths]
+
+
+def _search(batches, blocks):
     for batch in batches:
         for chunk in chunks(batch):
             found, firsts = words(chunk.column("text"))
-            counts = np.diff(firsts)
-            # a 0 after each document
-            codes = np.zeros(len(found) + len(counts), np.int64)
-            doc = np.repeat(np.arange(len(counts)), counts)
-            codes[np.arange(len(found)) + doc] = texts.encode(found)
-            begins = firsts[:-1] + np.arange(len(counts))
-            here, there, lengths = texts.matches(codes)
-            owner = np.searchsorted(begins, here, "right") - 1
-            by = np.lexsort((there, here))
-            here, there, lengths, owner = here[by], there[by], lengths[by], owner[by]
-            item = texts.item[there] if len(there) else there
+            parts = [_found(texts, found, firsts) for texts in _opened(blocks)]
+            owner, word, ids, item_word, lengths = (np.concatenate([p[i] for p in parts]) for i in range(5))
+            by = np.lexsort((item_word, word, owner))
             spans = pa.StructArray.from_arrays(
-                [pa.array([texts.ids[i] for i in item.tolist()], pa.string()), pa.array(there - texts.firsts[item]), pa.array(here - begins[owner]), pa.array(lengths)],
-                names=["item_id", "item_word", "word", "n_words"],
+                [pa.array(ids[by], pa.string()), *[pa.array(a[by], pa.int64()) for a in (item_word, word, lengths)]], names=["item_id", "item_word", "word", "n_words"]
             )
-            places = np.searchsorted(owner, np.arange(len(counts) + 1)).astype(np.int32)
+            places = np.searchsorted(owner[by], np.arange(len(firsts))).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(places), spans).cast(_SPANS)
-            earlier = chunk.column("spans")
-            if earlier.null_count < len(earlier):
-                both = [a + b for a, b in zip(earlier.to_pylist(), listed.to_pylist(), strict=True)]
-                listed = pa.array(both, _SPANS)
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("row"), chunk.column("text"), pa.array(counts.astype(np.int64)), listed], names=["row", "text", "n_words", "spans"]
+                [chunk.column("row"), chunk.column("text"), pa.array(np.diff(firsts).astype(np.int64)), listed], names=["row", "text", "n_words", "spans"]
             )
 
 
@@ -181,13 +197,16 @@ def _judge(batches, ratio, keep_text):
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, window: int, block_bytes: int):
-    """Blocks of test texts as broadcasts, each of a checked size; one test text must fit into a block."""
+    """Blocks of test texts as broadcasts, each of a size near the given one; one test text must fit into a block.
+
+    Texts are dealt by their ids as well, so that those alike, under however many ids, don't all meet in a block.
+    """
     spark = benchmark.sparkSession
     items = benchmark.select(quoted(item).cast("string").alias("item_id"), quoted(text).cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item_id")), F.lit(0))).first()[0]
     count = 1 if total <= block_bytes else 2 * -(-total // block_bytes)
     for block in range(count):
-        part = items if count == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(count)) == block)
+        part = items if count == 1 else items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(count)) == block)
         yield spark.sparkContext.broadcast(TestTexts([tuple(r) for r in part.collect()], window))
 
 
@@ -211,15 +230,12 @@ def search(
     matches nothing. Null text has no words; null test texts and ids are no test texts. Repeated rows each get their
     result; an empty table on either side gives no rows or no matches.
     """
-    found = packed(docs, text, carried).select("row", "text", F.lit(0).cast("long").alias("n_words"), F.expr(f"cast(null as array<{_SPAN}>)").alias("spans"))
-    row, _ = row_type(found)
+    found = packed(docs, text, carried)
     # names of struct fields are c0, c1, ..., so that the type's text form is safe to parse
-    *earlier, last = _blocks(benchmark, item, text, window, block_bytes)
-    for block in earlier:
-        found = found.mapInArrow(lambda batches, b=block: _search(batches, b), f"row {row}, text string, n_words long, spans array<{_SPAN}>")
-    # the last pass judges as well, so that a task of a single block needs one Python process
+    row, _ = row_type(found)
+    blocks = list(_blocks(benchmark, item, text, window, block_bytes))
     out = f"row {row}, n_words long, n_hit long, items array<string>, items_sha256 string, contaminated boolean, spans array<{_SPAN}>"
-    return found.mapInArrow(lambda batches: _judge(_search(batches, last), ratio, keep_text), out + (", text string" if keep_text else ""))
+    return found.mapInArrow(lambda batches: _judge(_search(batches, blocks), ratio, keep_text), out + (", text string" if keep_text else ""))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -31,6 +31,20 @@ def test_matches_brute_force_in_one_block_and_in_several(spark, documents, table
         check(docs, items, search(documents(docs), benchmark, window=3, block_bytes=block_bytes), 3)
 
 
+def test_equal_test_texts_are_dealt_to_blocks_and_searched_once(documents, table):
+    same = "one two three four"
+    items = [(i, same) for i in range(500)] + [(1000, "five six seven"), (1001, same), (1001, same)]
+    benchmark = table("item_id long, text string", [{"item_id": i, "text": t} for i, t in items])
+    docs = [(0, f"x {same} y"), (1, "nothing here"), (2, f"five six seven {same}")]
+    for block_bytes in (1 << 20, 1000):
+        found = search(documents(docs), benchmark, window=3, block_bytes=block_bytes)
+        assert found[0]["items"] == sorted(map(str, [*range(500), 1001])) and found[1]["items"] == []
+        assert len(found[2]["spans"]) == 502 and found[2]["n_hit"] == 7
+    blocks = [b.value for b in decontaminate._blocks(benchmark, "item_id", "text", 3, 1000)]
+    assert len(blocks) > 10 and max(len(b.ids) for b in blocks) < 60
+    assert all(len(b.n_ids) <= 2 for b in blocks)
+
+
 def test_longest_match_and_its_place(documents, table):
     text = "one two three four five"
     found = search(documents([f"x {text} six"]), table("item_id string, text string", [{"item_id": "i", "text": f"zero {text}"}]), window=3)
