@@ -170,13 +170,17 @@ def _score(batches, model):
 
 
 def measure(docs: DataFrame, carried: list[str], text: str = "text") -> DataFrame:
-    """``carried`` as one struct ``row`` (see ``arrow.unpacked``) and ``features`` of each row of ``docs``."""
+    """``carried`` as one struct ``row`` (see ``arrow.unpacked``) and ``features`` of each row of ``docs``.
+
+    Null and empty texts have the same features, those of a text without words. Repeated rows are measured alike, an
+    empty table gives no rows, and no column of ``docs`` can clash. Memory: a chunk of texts, or one longer text.
+    """
     found = packed(docs, text, carried)
     row, _ = row_type(found)
     return found.mapInArrow(_measure, f"row {row}, features array<double>")
 
 
 def score(features: DataFrame, model: Discriminant) -> DataFrame:
-    """``row`` and ``score`` (probability of label 1) of measured rows."""
+    """``row`` and ``score`` (probability of label 1) of measured rows, repeated ones alike; none of an empty table."""
     row, _ = row_type(features)
     return features.mapInArrow(lambda batches: _score(batches, model), f"row {row}, score double")
