@@ -17,6 +17,7 @@ from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +59,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SIBLINGS = {
     "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",),
 }
+#: Elements that end each other like one of the same kind.
+ALIKE = {"dt": ("dd",), "dd": ("dt",), "td": ("th",), "th": ("td",)}
 _RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template")
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -89,7 +92,8 @@ class _Element:
     def __init__(self, tag: str, attributes: str, parent: "_Element | None"):
         named = sorted("".join(m[1:]) for m in _ATTRIBUTE.findall(attributes)) if "=" in attributes else []
         self.tag, self.parent = tag, parent
-        self.path = f"{parent.path if parent else ''}/{tag}" + "".join(f"[{n}]" for n in named)
+        # a hash of the whole path, so that a deep page's keys are no longer than others
+        self.path = xxhash.xxh64_hexdigest(f"{parent.path if parent else ''}/{tag}" + "".join(f"[{n}]" for n in named))
         self.dropped = (parent is not None and parent.dropped) or tag in DROPPED
         self.kind = _kind(tag, tuple(named))
         self.apart = (parent is not None and parent.apart) or self.kind[2]
@@ -115,14 +119,42 @@ class _Element:
         return out[::-1]
 
 
+class _Open(list):
+    """The open elements, from the outermost on, with the places of each tag among them; place 0 is the root's."""
+
+    def __init__(self, root: _Element):
+        super().__init__()
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.append(root)
+
+    def append(self, element: _Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self))
+        if element.tag in BLOCKS:
+            self.blocks.append(len(self))
+        super().append(element)
+
+    def cut(self, at: int) -> None:
+        """Close the element at a place and all in it."""
+        while len(self) > at:
+            element = self.pop()
+            self.places[element.tag].pop()
+            if element.tag in BLOCKS:
+                self.blocks.pop()
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost element of these tags, 0 if there is none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+
+
 def read(html: str) -> list[tuple[str, "_Element", str]]:
     """Tokens of a page: key, the element it is in, and the text of a block.
 
-    Blocks are runs of shown text with white space as one space; those without text are none. A key is the path of a
-    tag, or of a block with its text's digest.
+    Blocks are runs of shown text with white space as one space; those without text are none. A key is a hash of the
+    path of a tag, or that of a block with its text's digest. Time and memory grow with the page, however deep it is.
     """
     root = _Element("html", "", None)
-    tokens, open_ = [], [root]
+    tokens, open_ = [], _Open(root)
     parts: list[str] = []
     owner = root
 
@@ -137,7 +169,7 @@ def read(html: str) -> list[tuple[str, "_Element", str]]:
         nonlocal owner
         if text and not open_[-1].dropped:
             if not parts:
-                owner = next((e for e in reversed(open_) if e.tag in BLOCKS), root)
+                owner = open_[open_.blocks[-1]] if open_.blocks else root
             parts.append(text)
 
     place, end = 0, len(html)
@@ -157,26 +189,25 @@ def read(html: str) -> list[tuple[str, "_Element", str]]:
         if tag in BLOCKS:
             flush()
         if found[1]:
-            at = next((i for i in range(len(open_) - 1, 0, -1) if open_[i].tag == tag), 0)
+            at = open_.last(tag)
             # an end tag does not reach out of the article or a table cell it is not in
-            if at and not any(e.tag in ("article", "main", "td", "body") for e in open_[at + 1 :] if tag not in ("article", "main", "table", "body", "html")):
+            if at and (tag in ("article", "main", "table", "body", "html") or open_.last("article", "main", "td", "body") <= at):
                 tokens.append((f"{open_[at].path}/end", open_[at], ""))
-                del open_[at:]
+                open_.cut(at)
             continue
         if tag in BLOCKS and tag not in ("body", "html"):
             # a paragraph ends where a block begins, and with it what it left open
-            at = next((i for i in range(len(open_) - 1, 0, -1) if open_[i].tag == "p"), 0)
-            if at and not any(e.tag in BLOCKS for e in open_[at + 1 :]):
-                del open_[at:]
+            at = open_.last("p")
+            if at and open_.blocks[-1] == at:
+                open_.cut(at)
         if tag in SIBLINGS:
-            stop = next((i for i in range(len(open_) - 1, 0, -1) if open_[i].tag in SIBLINGS[tag]), 0)
-            at = next((i for i in range(len(open_) - 1, stop, -1) if open_[i].tag == tag or {tag, open_[i].tag} in ({"dt", "dd"}, {"td", "th"})), 0)
-            if at:
-                del open_[at:]
-        if tag in ("html", "body") and any(e.tag == tag for e in open_[1 if tag == "body" else 0 :]):
+            at = open_.last(tag, *ALIKE.get(tag, ()))
+            if at > open_.last(*SIBLINGS[tag]):
+                open_.cut(at)
+        if tag == "html" or (tag == "body" and open_.last("body")):
             continue
         if tag == "body":
-            del open_[1:]
+            open_.cut(1)
         element = _Element(tag, found[3], open_[-1])
         tokens.append((element.path, element, ""))
         if tag in VOID or found[3].endswith("/") and tag not in BLOCKS:
@@ -187,7 +218,7 @@ def read(html: str) -> list[tuple[str, "_Element", str]]:
             if not element.dropped:
                 shown(html[place : close.start() if close else end])
             place = close.end() if close else end
-            open_.pop()
+            open_.cut(len(open_) - 1)
     flush()
     return tokens
 
@@ -263,9 +294,21 @@ def _spared(tokens: list[tuple[str, _Element, str]], slots: list[int] | None, of
     blocks = max(by_slot.values(), key=lambda some: sum(n for _, n in some))
     if sum(n for _, n in blocks) <= own or (not slots and own):
         return set()
-    # what holds the whole slot
-    lines = [e.line() for e, _ in blocks]
-    return {same[0] for same in zip(*lines, strict=False) if len(set(same)) == 1}
+    return _common([e for e, _ in blocks])
+
+
+def _common(elements: list[_Element]) -> set[_Element]:
+    """The elements that are or hold all of some; each is passed once."""
+    line = elements[0].line()
+    known, least = {e: i for i, e in enumerate(line)}, len(line) - 1
+    for element in elements[1:]:
+        passed = []
+        while element not in known:
+            passed.append(element)
+            element = element.parent
+        least = min(least, known[element])
+        known.update(dict.fromkeys(passed, known[element]))
+    return set(line[: least + 1])
 
 
 def extract(html: str | None, template: Template | None) -> str:

@@ -1,4 +1,5 @@
 import random
+import time
 
 from jobtide.llm import main_text
 from jobtide.llm.arrow import unpacked
@@ -98,3 +99,17 @@ def test_the_template_decides_inside_the_article_too(table):
     rows += [{"page_id": 100 + i, "url": f"http://c.org/{i}", "html": f"<body><article><p>{same}</p></article><p>{i}</p></body>"} for i in range(5)]
     found = extract(table("page_id long, url string, html string", rows))
     assert found == {i: f"Title {i}\n\nWords {i} of {i * i}." for i in range(9)} | {100 + i: same for i in range(5)}
+
+
+def test_deep_pages_take_time_and_memory_in_proportion():
+    depth = 100_000
+    deep = "<body><nav>m</nav>" + "<div>" * depth + "the text" + "</div>" * depth
+    texts = "<body>" + "<div class='sidebar'>a " * 30_000 + "<p>end</p>"
+    start = time.time()
+    assert main_text.extract(deep, None) == "the text"
+    assert len(main_text.read(deep)) > 2 * depth
+    main_text.extract(texts, None)
+    main_text.extract("<table>" + "<tr><td>x" * 30_000, None)
+    main_text.extract("<p>" + "<b>y" * 60_000, None)
+    assert time.time() - start < 30
+    assert max(len(key) for key, _, _ in main_text.read(deep)) < 60
