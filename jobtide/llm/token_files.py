@@ -137,6 +137,8 @@ def _ids(batches, vocabulary):
         tokenizer = tokenizer or Tokenizer(vocabulary)
         for chunk in chunks(batch):
             ids, edges = tokenizer.encode(chunk.column("text"))
+            if ids.max(initial=0) >= 1 << 16:
+                raise ValueError("ids of more than 16 bits")
             raw = binary_array(ids.astype("<u2").view(np.uint8), 2 * edges).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), raw, pa.array(np.diff(edges), pa.int64())], names=["doc_id", "ids", "n"])
 
