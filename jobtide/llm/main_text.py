@@ -13,6 +13,7 @@ Hosts with few pages borrow the template that all pages together give.
 
 import re
 import zlib
+from collections import defaultdict
 from functools import lru_cache
 from html import unescape
 
@@ -59,7 +60,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SIBLINGS = {
     "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",),
 }
-#: Elements that end each other like one of the same kind.
+#: Elements that an end tag does not reach out of, and those that end each other like one of the same kind.
+WALLS = frozenset(["article", "main", "td", "body"])
 ALIKE = {"dt": ("dd",), "dd": ("dt",), "td": ("th",), "th": ("td",)}
 _RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template")
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""", re.S)
@@ -93,7 +95,8 @@ class _Element:
         named = sorted("".join(m[1:]) for m in _ATTRIBUTE.findall(attributes)) if "=" in attributes else []
         self.tag, self.parent = tag, parent
         # a hash of the whole path, so that a deep page's keys are no longer than others
-        self.path = xxhash.xxh64_hexdigest(f"{parent.path if parent else ''}/{tag}" + "".join(f"[{n}]" for n in named))
+        path = f"{parent.path}/{tag}" if parent else tag
+        self.path = xxhash.xxh64_hexdigest(path + "".join([f"[{n}]" for n in named]) if named else path)
         self.dropped = (parent is not None and parent.dropped) or tag in DROPPED
         self.kind = _kind(tag, tuple(named))
         self.apart = (parent is not None and parent.apart) or self.kind[2]
@@ -120,31 +123,38 @@ class _Element:
 
 
 class _Open(list):
-    """The open elements, from the outermost on, with the places of each tag among them; place 0 is the root's."""
+    """The open elements, from the outermost on, with the places of each tag among them; place 0 is the root's.
 
-    def __init__(self, root: _Element):
-        super().__init__()
-        self.places: dict[str, list[int]] = {}
-        self.blocks: list[int] = []
-        self.append(root)
+    ``blocks`` has the places of blocks, ``walls`` those of elements that an end tag doesn't reach out of.
+    """
 
-    def append(self, element: _Element) -> None:
-        self.places.setdefault(element.tag, []).append(len(self))
-        if element.tag in BLOCKS:
-            self.blocks.append(len(self))
-        super().append(element)
+    def __init__(self, root: _Element):
+        super().__init__([root])
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks, self.walls = [0], [0]
+
+    def open(self, element: _Element, is_block: bool) -> None:
+        place, tag = len(self), element.tag
+        self.places[tag].append(place)
+        if is_block:
+            self.blocks.append(place)
+            if tag in WALLS:
+                self.walls.append(place)
+        self.append(element)
 
     def cut(self, at: int) -> None:
         """Close the element at a place and all in it."""
         while len(self) > at:
-            element = self.pop()
-            self.places[element.tag].pop()
-            if element.tag in BLOCKS:
-                self.blocks.pop()
+            self.places[self.pop().tag].pop()
+        while self.blocks[-1] >= at:
+            self.blocks.pop()
+        while self.walls[-1] >= at:
+            self.walls.pop()
 
-    def last(self, *tags: str) -> int:
-        """The place of the innermost element of these tags, 0 if there is none."""
-        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+    def last(self, tag: str) -> int:
+        """The place of the innermost element of a tag, 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
 
 
 def read(html: str) -> list[tuple[str, "_Element", str]]:
@@ -169,7 +179,7 @@ def read(html: str) -> list[tuple[str, "_Element", str]]:
         nonlocal owner
         if text and not open_[-1].dropped:
             if not parts:
-                owner = open_[open_.blocks[-1]] if open_.blocks else root
+                owner = open_[open_.blocks[-1]]
             parts.append(text)
 
     place, end = 0, len(html)
@@ -186,23 +196,24 @@ def read(html: str) -> list[tuple[str, "_Element", str]]:
         if tag == "br":
             shown(" ")
             continue
-        if tag in BLOCKS:
+        is_block = tag in BLOCKS
+        if is_block:
             flush()
         if found[1]:
             at = open_.last(tag)
             # an end tag does not reach out of the article or a table cell it is not in
-            if at and (tag in ("article", "main", "table", "body", "html") or open_.last("article", "main", "td", "body") <= at):
+            if at and (open_.walls[-1] <= at or tag in ("article", "main", "table", "body", "html")):
                 tokens.append((f"{open_[at].path}/end", open_[at], ""))
                 open_.cut(at)
             continue
-        if tag in BLOCKS and tag not in ("body", "html"):
+        if is_block and tag not in ("body", "html"):
             # a paragraph ends where a block begins, and with it what it left open
             at = open_.last("p")
             if at and open_.blocks[-1] == at:
                 open_.cut(at)
         if tag in SIBLINGS:
-            at = open_.last(tag, *ALIKE.get(tag, ()))
-            if at > open_.last(*SIBLINGS[tag]):
+            at = max(map(open_.last, (tag, *ALIKE.get(tag, ()))))
+            if at > max(map(open_.last, SIBLINGS[tag])):
                 open_.cut(at)
         if tag == "html" or (tag == "body" and open_.last("body")):
             continue
@@ -210,9 +221,9 @@ def read(html: str) -> list[tuple[str, "_Element", str]]:
             open_.cut(1)
         element = _Element(tag, found[3], open_[-1])
         tokens.append((element.path, element, ""))
-        if tag in VOID or found[3].endswith("/") and tag not in BLOCKS:
+        if tag in VOID or found[3].endswith("/") and not is_block:
             continue
-        open_.append(element)
+        open_.open(element, is_block)
         if tag in _RAW:
             close = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(html, place)
             if not element.dropped:
