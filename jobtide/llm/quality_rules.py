@@ -208,16 +208,22 @@ def judge(
     rejects it first: ``base``, ``outer band`` or a measure). ``language`` names one of the carried columns; without it
     bands are by script and size only. Null and empty texts have no words, so the base rules reject them. A text
     without letters belongs to the script ``other``. Repeated rows are judged alike, and count each in the bands.
-    Measures are stored, as they are read twice.
+    Measures are stored, as they are read twice; texts are not.
     """
     found = packed(docs, text, carried)
     row, _ = row_type(found)
     out = f"row {row}, " + ", ".join([f"{c} long" for c in [*_COUNTS, "n_tokens"]] + [f"{c} double" for c in _MEASURES]) + ", script string, base_failed boolean, inside boolean"
-    measured = found.mapInArrow(lambda batches: _apply(batches, model, bands, keep_text), out + (", text string" if keep_text else ""))
     named = F.lit("") if language is None else F.coalesce(F.col(f"row.c{carried.index(language)}").cast("string"), F.lit(""))
     size = F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")
-    measured = stored(measured.withColumns({"language": named, "size": size}), "measured")
-    judged = measured.join(stored(fit(measured, spreads, least), "bands"), _GROUP, "left")
+
+    def measured(with_text: bool) -> DataFrame:
+        made = found.mapInArrow(lambda batches: _apply(batches, model, bands, with_text), out + (", text string" if with_text else ""))
+        return made.withColumns({"language": named, "size": size})
+
+    narrow = stored(measured(False), "measured")
+    fitted = stored(fit(narrow, spreads, least), "bands")
+    # with their texts, documents are measured again: that takes less than storing and reading them
+    judged = (measured(True) if keep_text else narrow).join(fitted, _GROUP, "left")
     reason = F.when(F.col("base_failed"), "base").when(~F.col("inside"), "outer band")
     for m in _MEASURES:
         reason = reason.when((F.col(m) < F.col(f"{m}_low")) | (F.col(m) > F.col(f"{m}_high")), m)
