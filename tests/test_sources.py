@@ -1,6 +1,8 @@
 import json
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from jobtide.schemas import PAGES, RESPONSES
 from jobtide.sources import html_boards as H
 from jobtide.sources import json_boards as J
 from jobtide.sources import tables
-from jobtide.sources.page_elements import read_elements
+from jobtide.sources.page_elements import page_elements, read_elements
 from jobtide.sources.runs import stamp_run
 
 
@@ -38,6 +40,25 @@ def test_read_elements_mends_tag_soup():
     assert read_elements("plain") == []
 
 
+def test_pages_are_read_in_slices_of_a_batch(spark):
+    """A batch of ten times the pages takes no more memory in Python, and gives each page its elements."""
+    page = '<div class="opening"><a href="/jobs/1">Cook</a><span>Rome</span></div>' * 50
+
+    def peak(count):
+        tracemalloc.start()
+        sizes = [len(part) for part in page_elements.func(iter([pa.array([page] * count)]))]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(sizes) == count
+        return most
+
+    assert peak(6000) < 1.5 * peak(600)
+    texts = [None, "", page, "<p>a", page * 400, page * 400, None, "<br>"]
+    found = spark.createDataFrame(list(enumerate(texts)), "n int, html string").repartition(1)
+    counts = found.select("n", F.size(page_elements("html")).alias("size")).collect()
+    assert {r["n"]: r["size"] for r in counts} == {n: len(read_elements(t or "")) for n, t in enumerate(texts)}
+
+
 def test_extract_departments(pages, rows):
     html = """<section class="level level-0"><h3 id="10">Eng</h3>
       <section class="child level-1"><h4 id="11">Backend</h4></section></section>
