@@ -40,25 +40,38 @@ def test_read_elements_mends_tag_soup():
     assert read_elements("plain") == []
 
 
-def test_pages_are_read_in_slices_of_a_batch(spark):
-    """A batch of ten times the pages takes no more memory in Python, and gives each page its elements."""
-    page = '<div class="opening"><a href="/jobs/1">Cook</a><span>Rome</span></div>' * 50
+@pytest.fixture
+def peak(monkeypatch):
+    """Most bytes of Python objects at once while a batch of equal pages is read."""
+    monkeypatch.setattr("jobtide.sources.page_elements._SLICE", 1 << 16)
+    _peak("<p>", 1)  # what a first call loads is not counted
+    return _peak
+
+
+def _peak(page, count):
+    tracemalloc.start()
+    sizes = [len(part) for part in page_elements.func(iter([pa.array([page] * count)]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == count
+    return most
 
-    def peak(count):
-        tracemalloc.start()
-        sizes = [len(part) for part in page_elements.func(iter([pa.array([page] * count)]))]
-        most = tracemalloc.get_traced_memory()[1]
-        tracemalloc.stop()
-        assert sum(sizes) == count
-        return most
 
-    assert peak(6000) < 1.5 * peak(600)
+def test_pages_are_read_in_slices_of_a_batch(spark, peak):
+    """A batch of ten times the pages takes no more memory in Python, and gives each page its elements."""
+    page = '<div class="opening"><a href="/jobs/1">Cook</a><span>Rome</span></div>' * 50
+    assert 1.5 * peak(page, 30) > peak(page, 300)
     texts = [None, "", page, "<p>a", page * 400, page * 400, None, "<br>"]
     found = spark.createDataFrame(list(enumerate(texts)), "n int, html string").repartition(1)
     counts = found.select("n", F.size(page_elements("html")).alias("size")).collect()
     assert {r["n"]: r["size"] for r in counts} == {n: len(read_elements(t or "")) for n, t in enumerate(texts)}
 
 
+def test_grouped_pages_are_read_in_slices(peak):
+    page = "".join(grouped(("Head", f"g{i}", [f"/{i}", f"/{i}x"])) for i in range(20))
+    assert 1.5 * peak(page, 30) > peak(page, 300)
+
+
 def test_extract_departments(pages, rows):
     html = """<section class="level level-0"><h3 id="10">Eng</h3>
       <section class="child level-1"><h4 id="11">Backend</h4></section></section>
