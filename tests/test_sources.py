@@ -67,6 +67,11 @@ def test_pages_are_read_in_slices_of_a_batch(spark, peak):
     assert {r["n"]: r["size"] for r in counts} == {n: len(read_elements(t or "")) for n, t in enumerate(texts)}
 
 
+def test_openings_are_read_in_slices(peak):
+    block = '<div class="opening" department_id="1,2" office_id="o1"><a href="/j">Cook</a><br><span>Rome</span></div>'
+    assert 1.5 * peak(block * 40, 30) > peak(block * 40, 300)
+
+
 def test_grouped_pages_are_read_in_slices(peak):
     page = "".join(grouped(("Head", f"g{i}", [f"/{i}", f"/{i}x"])) for i in range(20))
     assert 1.5 * peak(page, 30) > peak(page, 300)
