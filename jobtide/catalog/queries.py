@@ -1,6 +1,7 @@
 """One query per operator and dataset; each takes (spark, sf_dir) and returns a DataFrame."""
 
 from datetime import datetime
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -164,17 +165,19 @@ def first_and_last_words(spark, sf):
 
 @query
 def append_runs(spark, sf):
-    """Two runs of each table appended to files of two formats and read back."""
-    path, frames = _folder(spark), []
-    for name in LOADED_AT:
+    """Two runs of each table appended to files of two formats and read back, tables and formats side by side."""
+    path = _folder(spark)
+
+    def appended(name, fmt):
         raw = E.TABLES[name](spark, sf)
         this_year = F.col("run_id") >= "2024-01-01"
-        for fmt in ("parquet", "json"):
-            for run in (raw.where(~this_year), raw.where(this_year)):
-                storage.append_raw(run, f"{path}/{fmt}/{name}", fmt)
-            back = tables.read_raw(spark, f"{path}/{fmt}", name, fmt)
-            frames.append(_whole_rows(back, name).withColumn("stored_as", F.lit(fmt)))
-    return setops.union_all(*frames)
+        for run in (raw.where(~this_year), raw.where(this_year)):
+            storage.append_raw(run, f"{path}/{fmt}/{name}", fmt)
+        back = tables.read_raw(spark, f"{path}/{fmt}", name, fmt)
+        return _whole_rows(back, name).withColumn("stored_as", F.lit(fmt))
+
+    places = [(name, fmt) for name in LOADED_AT for fmt in ("parquet", "json")]
+    return setops.union_all(*side_by_side({place: partial(appended, *place) for place in places}).values())
 
 
 @query
