@@ -1,6 +1,8 @@
 import json
+import re
 import time
 import tracemalloc
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -77,6 +79,46 @@ def test_grouped_pages_are_read_in_slices(peak):
     assert 1.5 * peak(page, 30) > peak(page, 300)
 
 
+@pytest.fixture
+def worker_peak(spark):
+    """Most MB that one of Spark's Python workers takes while an extraction reads a batch of equal pages."""
+
+    def status(process, field):
+        found = re.search(rf"^{field}:\s+(\d+)", (process / "status").read_text(), re.M)
+        return int(found[1]) if found else 0
+
+    def workers():
+        jvm = spark._jvm.java.lang.ProcessHandle.current().pid()
+        parents = {}
+        for process in Path("/proc").glob("[0-9]*"):
+            try:
+                parents[int(process.name)] = status(process, "PPid")
+            except OSError:  # it ended meanwhile
+                pass
+        return [Path(f"/proc/{pid}") for pid, parent in parents.items() if parents.get(parent) == jvm]
+
+    def measure(extract, page, count):
+        for process in workers():
+            (process / "clear_refs").write_text("5")  # its peak counts from now on
+        pages = spark.range(0, count, 1, 1).select(
+            F.lit("https://jobs.lever.co/acme").alias("source"),
+            F.col("id").alias("page_number"),
+            F.lit("run").alias("run_id"),
+            F.lit(5).cast("bigint").alias("fetched_at"),
+            F.concat(F.lit(page), "id").alias("html"),
+        )
+        extract(pages).write.format("noop").mode("overwrite").save()
+        return max(status(process, "VmHWM") for process in workers()) / 1024
+
+    return measure
+
+
+def test_a_batch_of_grouped_pages_fits_a_worker(worker_peak):
+    """Spark sends 10,000 pages at once; as Python objects their elements would take some 600 MB."""
+    page = "".join(grouped(("Head", f"g{i}", [f"/{i}", f"/{i}x"])) for i in range(10))
+    assert worker_peak(H.extract_grouped, page, 10_000) < 350
+
+
 def test_extract_departments(pages, rows):
     html = """<section class="level level-0"><h3 id="10">Eng</h3>
       <section class="child level-1"><h4 id="11">Backend</h4></section></section>
