@@ -119,6 +119,11 @@ def test_a_batch_of_grouped_pages_fits_a_worker(worker_peak):
     assert worker_peak(H.extract_grouped, page, 10_000) < 350
 
 
+def test_a_batch_of_openings_fits_a_worker(worker_peak):
+    block = '<div class="opening" department_id="1,2" office_id="o1"><a href="/j">Cook</a><br><span>Rome</span></div>'
+    assert worker_peak(H.extract_openings, block * 25, 10_000) < 350
+
+
 def test_extract_departments(pages, rows):
     html = """<section class="level level-0"><h3 id="10">Eng</h3>
       <section class="child level-1"><h4 id="11">Backend</h4></section></section>
