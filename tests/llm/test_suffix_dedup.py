@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from brute import repeats
 
 from jobtide.llm import suffix_dedup
@@ -57,3 +58,52 @@ def test_odd_rows(documents):
     assert suffix_dedup.remove(given.where("false")).count() == 0
     repeated = documents([(1, passage), (1, passage)])
     assert suffix_dedup.remove(repeated).count() == 2
+
+
+def chunk_of(texts, number=0):
+    """A chunk as ``_send`` gets it; the ids are the places of the texts."""
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    row = {"chunk": number, "size": len(data), "text": suffix_dedup._squeezed(data), "ids": list(range(len(texts))), "lengths": [len(t.encode()) for t in texts]}
+    return data, pa.Table.from_pylist([row])
+
+
+def told_of(keys, hot):
+    buckets = np.unique(keys >> np.uint64(32)).astype(np.int64)
+    own = [keys[keys >> np.uint64(32) == b].astype(np.uint32).tobytes() for b in buckets]
+    return pa.table({"chunk": pa.array([0] * len(own), pa.int64()), "bucket": pa.array(buckets), "keys": pa.array(own, pa.binary()), "hot": pa.array(own if hot else [b""] * len(own), pa.binary())})
+
+
+def sent_of(texts, bits, hot):
+    mask = np.uint64((1 << (32 + bits)) - 1)
+    data, chunk = chunk_of(texts)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    keys = np.unique(suffix_dedup._segments(data, offsets, 50, 20)[3] & mask)
+    return suffix_dedup._send(told_of(keys, hot), chunk, mask, 50, 20)
+
+
+def test_a_chunks_work_does_not_grow_with_the_buckets(monkeypatch):
+    random.seed(3)
+    texts, calls, distinct = ["".join(random.choices("abcdefgh ", k=3000)) for _ in range(4)], [], suffix_dedup._distinct
+    monkeypatch.setattr(suffix_dedup, "_distinct", lambda *given: calls.append(1) or distinct(*given))
+    for bits in (1, 7):
+        assert len(sent_of(texts, bits, False)) == 1 << bits
+    assert len(calls) == 2
+
+
+def test_an_anchor_is_split_by_its_segments_not_its_chunks():
+    chunks = 2000
+    keys, times = np.array([7, 9], np.uint32).tobytes(), np.array([1, 400], np.uint16).tobytes()
+    table = pa.table({"bucket": pa.array([5] * chunks), "chunk": pa.array(range(chunks)), "keys": [keys] * chunks, "times": [times] * chunks})
+    found = suffix_dedup._repeated(table, suffix_dedup.HOT_CHUNKS * 64)
+    assert found.column("keys").to_pylist() == [keys] * chunks
+    # an anchor that a chunk has once fills no bucket, however many chunks there are
+    assert found.column("hot").to_pylist() == [keys[4:]] * chunks
+
+
+def test_single_windows_need_no_sorting(monkeypatch):
+    random.seed(4)
+    shared = "a passage that is in each text "
+    sent = sent_of(["".join(random.choices("abcdefgh", k=40)) + shared + "".join(random.choices("abcdefgh", k=40)) for _ in range(30)], 0, True)
+    monkeypatch.setattr(suffix_dedup, "least_documents", lambda *given: 1 / 0)
+    found = suffix_dedup._resolve(sent, 50, 20)
+    assert len(found) == 1 and found.column("n").to_pylist() == sent.column("n").to_pylist()
